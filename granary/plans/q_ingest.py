@@ -1 +1,230 @@
-"""(filled in below)"""
+"""Ingest-side keys: page envelopes, hashing, lineage columns, bronze merge,
+silver mapping and scalar coercions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from granary.functions.hashing import record_hash
+from granary.functions.numeric import nan_to_null, safe_float
+from granary.functions.text import error_truncate
+from granary.functions.urls import redact_params
+from granary.operators import bronze, records
+from granary.plans import crop, pages
+from granary.plans.registry import query
+from granary.plans.tables import load
+
+_PAGE_SQL = "CAST(o_orderkey // 100 * 100 AS BIGINT)"
+
+
+@query(
+    "page_explode_records",
+    f"""SELECT {_PAGE_SQL} AS offset,
+  CAST(row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS INTEGER) AS record_no,
+  o_custkey, o_orderdate, t_orderkey AS o_orderkey, o_orderpriority, o_orderstatus, o_totalprice
+FROM ({pages.ORDER_TEXT_SQL}) o""",
+)
+def page_explode_records(spark, sf_dir):
+    good, _ = records.split_error_pages(pages.orders_pages(spark, sf_dir))
+    r = records.explode_records(good, keep=["offset"])
+    return r.select("offset", "record_no", *pages.record_columns(r))
+
+
+@query(
+    "page_explode_fields",
+    f"""SELECT p.offset, f.field_id, f.field_name, f.field_type
+FROM (SELECT DISTINCT {_PAGE_SQL} AS offset FROM orders) p,
+     (VALUES {", ".join(f"('{i}', '{n}', '{t}')" for i, n, t in pages.FIELDS)}) f(field_id, field_name, field_type)""",
+)
+def page_explode_fields(spark, sf_dir):
+    good, _ = records.split_error_pages(pages.orders_pages(spark, sf_dir))
+    return records.explode_fields(good, keep=["offset"])
+
+
+@query(
+    "page_total",
+    f"""SELECT p.offset, p.attempt, CASE WHEN p.attempt = 1 THEN (SELECT count(*) FROM orders) ELSE 0 END AS total
+FROM (SELECT {_PAGE_SQL} AS offset, 1 AS attempt FROM orders GROUP BY 1
+      UNION ALL
+      SELECT {_PAGE_SQL}, 0 FROM orders GROUP BY 1 HAVING max(o_totalprice) > {pages.ERROR_PRICE}) p""",
+)
+def page_total(spark, sf_dir):
+    p = records.parse_envelope(pages.orders_pages(spark, sf_dir))
+    return p.select("offset", "attempt", records.page_total(F.col("env")).alias("total"))
+
+
+@query(
+    "page_error_filter",
+    f"""SELECT {_PAGE_SQL} AS offset, 0 AS attempt, 'error' AS status, 'rate limited' AS error
+FROM orders GROUP BY 1 HAVING max(o_totalprice) > {pages.ERROR_PRICE}""",
+)
+def page_error_filter(spark, sf_dir):
+    _, bad = records.split_error_pages(pages.orders_pages(spark, sf_dir))
+    return bad.select("offset", "attempt", F.col("env.status").alias("status"), F.col("env.error").alias("error"))
+
+
+INGEST_SQL = f"""SELECT {crop.CROP_HASH_SQL} AS source_record_hash, '{crop.DATASET_NAME}' AS source_dataset,
+  '{crop.RESOURCE_ID}' AS source_resource_id, '{crop.SOURCE_SYSTEM}' AS source_system,
+  TIMESTAMP '2024-01-01 00:00:00' AS ingested_at,
+  {", ".join(crop.RECORD_KEYS)}
+FROM ({crop.CROP_FIELDS_SQL}) f"""
+
+
+@query("ingest_batch", INGEST_SQL)
+def ingest_batch(spark, sf_dir):
+    """Landed pages -> quarantine errors -> records -> hash -> merge -> bronze
+    table with one text column per catalogued field."""
+    b = crop.ingest(crop.crop_pages(spark, sf_dir))
+    b = b.drop("was_present", "in_batch")
+    return bronze.promote_record(b, crop.RECORD_KEYS)
+
+
+@query(
+    "record_hash",
+    f"SELECT c_custkey, {pages.CUSTOMER_HASH_SQL} AS record_hash FROM customer",
+)
+def record_hash_q(spark, sf_dir):
+    c = load(spark, sf_dir, "customer")
+    return c.select("c_custkey", record_hash(pages.customer_record()).alias("record_hash"))
+
+
+@query(
+    "lineage_enrich",
+    f"""SELECT c_custkey, 'customers' AS source_dataset, 'cust-res' AS source_resource_id,
+  'tables' AS source_system, {pages.CUSTOMER_HASH_SQL} AS source_record_hash FROM customer""",
+)
+def lineage_enrich(spark, sf_dir):
+    c = load(spark, sf_dir, "customer").select("c_custkey", pages.customer_record().alias("record"))
+    e = bronze.enrich(c, source_dataset="customers", source_resource_id="cust-res", source_system="tables")
+    return e.drop("record")
+
+
+@query(
+    "bronze_stringify",
+    """SELECT c_custkey, k AS field, v AS value FROM (
+  SELECT c_custkey, unnest(map_keys(m)) AS k, unnest(map_values(m)) AS v FROM (
+    SELECT c_custkey, MAP {'c_acctbal': CAST(c_acctbal AS VARCHAR), 'c_custkey': CAST(c_custkey AS VARCHAR),
+      'c_mktsegment': c_mktsegment, 'c_name': c_name, 'c_nationkey': CAST(c_nationkey AS VARCHAR)} AS m
+    FROM customer))""",
+)
+def bronze_stringify(spark, sf_dir):
+    """Typed row -> text record (``str(v)``; NULL stays NULL), one row per field."""
+    c = load(spark, sf_dir, "customer")
+    rec = bronze.columns_to_record(["c_acctbal", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"])
+    return c.select("c_custkey", F.explode(rec).alias("field", "value"))
+
+
+UPSERT_SQL = f"""WITH e AS (SELECT {pages.CUSTOMER_HASH_SQL} AS h, 'customers' AS ds, TIMESTAMP '2024-01-01 00:00:00' AS ts FROM customer),
+b0 AS (SELECT {pages.CUSTOMER_HASH_SQL} AS h, 'customers-refresh' AS ds, TIMESTAMP '2024-02-01 00:00:00' AS ts FROM customer WHERE c_mktsegment = 'BUILDING'
+       UNION ALL
+       SELECT {pages.SUPPLIER_HASH_SQL}, 'suppliers', TIMESTAMP '2024-02-01 00:00:00' FROM supplier),
+b AS (SELECT h, min(ds) AS ds, max(ts) AS ts FROM b0 GROUP BY h)
+SELECT coalesce(e.h, b.h) AS source_record_hash,
+  CASE WHEN e.h IS NOT NULL THEN e.ds ELSE b.ds END AS source_dataset,
+  greatest(e.ts, b.ts) AS ingested_at,
+  e.h IS NOT NULL AS was_present, b.h IS NOT NULL AS in_batch
+FROM e FULL OUTER JOIN b ON e.h = b.h"""
+
+
+@query("bronze_upsert", UPSERT_SQL)
+def bronze_upsert_q(spark, sf_dir):
+    c = load(spark, sf_dir, "customer")
+    s = load(spark, sf_dir, "supplier")
+    lineage = dict(source_resource_id="res", source_system="tables")
+    existing = bronze.enrich(c.select(pages.customer_record().alias("record")), source_dataset="customers", **lineage)
+    existing = existing.withColumn("ingested_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    existing = bronze.bronze_upsert(None, existing.withColumn("seq", F.lit(0)), seq=["seq"]).drop("was_present", "in_batch")
+    again = bronze.enrich(c.where(F.col("c_mktsegment") == "BUILDING").select(pages.customer_record().alias("record")),
+                          source_dataset="customers-refresh", **lineage)
+    new = bronze.enrich(s.select(pages.supplier_record().alias("record")), source_dataset="suppliers", **lineage)
+    batch = again.unionByName(new).withColumn("ingested_at", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    batch = batch.withColumn("seq", F.lit(1))
+    merged = bronze.bronze_upsert(existing, batch, seq=["seq"])
+    return merged.select("source_record_hash", "source_dataset", "ingested_at", "was_present", "in_batch")
+
+
+@query("silver_map", crop.CROP_SILVER_SQL)
+def silver_map_q(spark, sf_dir):
+    return crop.crop_silver(spark, sf_dir)
+
+
+_NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+SAFE_FLOAT_SQL = f"""SELECT l_orderkey, l_linenumber, t AS text,
+  CASE WHEN regexp_full_match(replace(regexp_replace(t, '^\\s+|\\s+$', '', 'g'), ',', ''), '{_NUM[1:-1]}')
+       THEN CAST(replace(regexp_replace(t, '^\\s+|\\s+$', '', 'g'), ',', '') AS DOUBLE) END AS value
+FROM (SELECT l_orderkey, l_linenumber,
+  CASE l_linenumber
+    WHEN 1 THEN format('{{:,.2f}}', l_extendedprice)
+    WHEN 2 THEN '  ' || CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) || ' '
+    WHEN 3 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'd'
+    WHEN 4 THEN ''
+    WHEN 5 THEN 'n/a'
+    WHEN 6 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '_000'
+    ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e2' END AS t
+  FROM lineitem) x"""
+
+
+@query("safe_float", SAFE_FLOAT_SQL)
+def safe_float_q(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem")
+    q = F.col("l_quantity").cast("bigint").cast("string")
+    t = (
+        F.when(F.col("l_linenumber") == 1, F.format_number("l_extendedprice", 2))
+        .when(F.col("l_linenumber") == 2, F.concat(F.lit("  "), F.col("l_extendedprice").cast("decimal(12,2)").cast("string"), F.lit(" ")))
+        .when(F.col("l_linenumber") == 3, F.concat(q, F.lit("d")))
+        .when(F.col("l_linenumber") == 4, F.lit(""))
+        .when(F.col("l_linenumber") == 5, F.lit("n/a"))
+        .when(F.col("l_linenumber") == 6, F.concat(q, F.lit("_000")))
+        .otherwise(F.concat(q, F.lit("e2")))
+    )
+    x = li.select("l_orderkey", "l_linenumber", t.alias("text"))
+    return x.select("l_orderkey", "l_linenumber", "text", safe_float(F.col("text")).alias("value"))
+
+
+@query(
+    "null_normalise",
+    """SELECT l_orderkey, l_linenumber, d AS discount, t AS tax FROM (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_discount = 0 THEN NULL ELSE l_discount END AS d,
+    CASE WHEN l_tax = 0 THEN NULL ELSE l_tax END AS t FROM lineitem) x
+WHERE d IS NOT NULL OR t IS NOT NULL""",
+)
+def null_normalise(spark, sf_dir):
+    """NaN -> NULL, then drop rows whose every value column is missing."""
+    li = load(spark, sf_dir, "lineitem")
+    nan = F.lit(float("nan"))
+    x = li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_discount") == 0, nan).otherwise(F.col("l_discount")).alias("discount"),
+        F.when(F.col("l_tax") == 0, nan).otherwise(F.col("l_tax")).alias("tax"),
+    )
+    x = x.select("l_orderkey", "l_linenumber", nan_to_null(F.col("discount")).alias("discount"),
+                 nan_to_null(F.col("tax")).alias("tax"))
+    return x.dropna(how="all", subset=["discount", "tax"])
+
+
+@query(
+    "redact_params",
+    f"""SELECT p.offset, k.key, CASE k.key WHEN 'api-key' THEN '***' WHEN 'format' THEN 'json'
+  WHEN 'offset' THEN CAST(p.offset AS VARCHAR) ELSE '100' END AS value
+FROM (SELECT DISTINCT {_PAGE_SQL} AS offset FROM orders) p, (VALUES ('api-key'), ('format'), ('offset'), ('limit')) k(key)""",
+)
+def redact_params_q(spark, sf_dir):
+    good, _ = records.split_error_pages(pages.orders_pages(spark, sf_dir))
+    return good.select("offset", F.explode(redact_params(F.col("request_params"))).alias("key", "value"))
+
+
+@query(
+    "request_url",
+    f"""SELECT DISTINCT {_PAGE_SQL} AS offset,
+  '{pages.BASE_URL}?offset=' || CAST(o_orderkey // 100 * 100 AS VARCHAR) || '&limit=100' AS request_url FROM orders""",
+)
+def request_url_q(spark, sf_dir):
+    good, _ = records.split_error_pages(pages.orders_pages(spark, sf_dir))
+    return good.select("offset", "request_url")
+
+
+@query("error_truncate", "SELECT doc_id, left(text, 2000) AS error_message FROM documents")
+def error_truncate_q(spark, sf_dir):
+    d = load(spark, sf_dir, "documents")
+    return d.select("doc_id", error_truncate(F.col("text")).alias("error_message"))

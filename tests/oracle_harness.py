@@ -105,7 +105,7 @@ def main(argv):
         try:
             info = compare(spark, con, k, registry.QUERIES[k], registry.ORACLE.get(k), sf_dir)
         except Exception as e:  # report and continue
-            info = {"key": k, "status": "ERROR", "error": repr(e)[:600]}
+            info = {"key": k, "status": "ERROR", "error": repr(e)[:300]}
         if info["status"] not in ("OK", "rows-only"):
             bad += 1
         print(info, flush=True)
