@@ -1 +1,99 @@
-"""(filled in below)"""
+"""HTML keys. Table and drop-down pages are rendered from customers, 100 per
+page (a bounded ``collect_list``); link keys read the driver's ``pages``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from granary.functions.urls import manifest_filename
+from granary.plans.registry import query
+from granary.plans.tables import load
+from granary.sources import html
+
+PER_PAGE = 100
+LINK_SUFFIXES = [",", "."]  # the driver pages link no .pdf/.csv; these suffixes do occur
+
+_HEAD = ("<tr><th>Customer</th><th>Customer</th><th>Balance</th><th>Unnamed: 3_level_0</th></tr>"
+         "<tr><th>Name</th><th>Key</th><th>USD</th><th>Segment</th></tr>")
+
+
+def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")
+    bal = F.col("c_acctbal").cast("decimal(12,2)").cast("string")
+    row = F.concat(F.lit("<tr><td> "), F.col("c_name"), F.lit(" </td><td>"), F.col("c_custkey").cast("string"),
+                   F.lit("</td><td>"), bal, F.lit("</td><td>"), F.col("c_mktsegment"), F.lit("</td></tr>"))
+    opt = F.concat(F.lit('<option value="'), F.col("c_custkey").cast("string"), F.lit('"  >'), F.col("c_name"),
+                   F.lit(" </option>"))
+    g = c.groupBy((F.col("c_custkey") / PER_PAGE).cast("bigint").alias("page_id")).agg(
+        F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("row"), opt.alias("opt")))).alias("rs"))
+    page = F.concat(
+        F.lit("<html><body><h1>Report</h1><table class=\"report\">"), F.lit(_HEAD),
+        F.array_join(F.transform("rs", lambda x: x.getField("row")), ""), F.lit("</table>"),
+        F.lit('<select id="fltrdistricts"><option value="9">Elsewhere</option></select>'),
+        F.lit('<select name="s" id="fltrstates"><option value="">Select</option>'),
+        F.array_join(F.transform("rs", lambda x: x.getField("opt")), ""),
+        F.lit("</select><table><tr><td>second table</td></tr></table></body></html>"),
+    )
+    return g.select("page_id", page.alias("html"))
+
+
+_CELLS = [("Customer_Name", "c_name"), ("Customer_Key", "CAST(c_custkey AS VARCHAR)"),
+          ("Balance_USD", "CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR)"), ("Segment", "c_mktsegment")]
+_HEADER_PARTS = {"Customer_Name": "['Customer', 'Name']", "Customer_Key": "['Customer', 'Key']",
+                 "Balance_USD": "['Balance', 'USD']", "Segment": "['Unnamed: 3_level_0', 'Segment']"}
+
+
+@query(
+    "html_table_rows",
+    "WITH c AS (SELECT *, c_custkey // 100 AS page_id, "
+    "CAST(row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS INTEGER) AS row_no FROM customer)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT page_id, row_no, {j} AS col_no, '{name}' AS column_name, {expr} AS value FROM c"
+        for j, (name, expr) in enumerate(_CELLS)
+    ),
+)
+def html_table_rows(spark, sf_dir):
+    cells = html.html_table_cells(customer_pages(spark, sf_dir))
+    return cells.select("page_id", "row_no", "col_no", "column_name", "value")
+
+
+@query(
+    "html_option_pairs",
+    "SELECT c_custkey // 100 AS page_id, c_custkey AS value, c_name AS label FROM customer",
+)
+def html_option_pairs(spark, sf_dir):
+    return html.html_option_pairs(customer_pages(spark, sf_dir))
+
+
+_HREFS_SQL = """SELECT page_id, url AS base, replace(unnest(regexp_extract_all(html, '<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)), '&amp;', '&') AS href FROM pages"""
+_SUFFIX_SQL = " OR ".join(f"ends_with(lower(href), '{s}')" for s in LINK_SUFFIXES)
+_JOIN_SQL = """CASE
+  WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.\\-]*:') THEN href
+  WHEN starts_with(href, '//') THEN regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9+.\\-]*):', 1) || ':' || href
+  WHEN starts_with(href, '/') THEN regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) || href
+  ELSE NULL END"""
+LINKS_SQL = f"SELECT page_id, href, {_JOIN_SQL} AS url FROM ({_HREFS_SQL}) h WHERE {_SUFFIX_SQL}"
+
+
+@query("html_link_discovery", LINKS_SQL)
+def html_link_discovery(spark, sf_dir):
+    return html.html_links(load(spark, sf_dir, "pages"), suffixes=LINK_SUFFIXES)
+
+
+@query("link_distinct", f"SELECT DISTINCT url FROM ({LINKS_SQL}) l")
+def link_distinct(spark, sf_dir):
+    return html.link_distinct(html.html_links(load(spark, sf_dir, "pages"), suffixes=LINK_SUFFIXES))
+
+
+@query(
+    "manifest_filename",
+    """SELECT page_id, url, CASE
+  WHEN contains(url, 'docs.google.com') AND contains(url, 'export?format=csv')
+    THEN regexp_extract(url, '/d/([^/]*)', 1) || '.csv'
+  WHEN split_part(string_split(url, '/')[-1], '?', 1) = '' THEN 'download_' || left(md5(url), 8)
+  ELSE split_part(string_split(url, '/')[-1], '?', 1) END AS filename FROM pages""",
+)
+def manifest_filename_q(spark, sf_dir):
+    p = load(spark, sf_dir, "pages")
+    return p.select("page_id", "url", manifest_filename(F.col("url")).alias("filename"))

@@ -1 +1,189 @@
-"""(filled in below)"""
+"""Sink and file-source keys: data is written to a fresh folder under the
+session's checkpoint directory and read back; the oracle is the SQL of what
+was written."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from granary.operators import bronze, graph, lineage, records
+from granary.plans import districts as d
+from granary.plans import pages
+from granary.plans.q_graph import EDGES_SQL as TRANSITION_EDGES_SQL
+from granary.plans.q_graph import transition_edges, SEQ
+from granary.plans.registry import query
+from granary.plans.tables import load
+from granary.session import scratch_path
+from granary.sinks import writers
+from granary.sources import files
+
+EXPORT_SQL = "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND event_type = 'click'"
+
+
+def _export(spark, sf_dir):
+    from granary.operators.exports import export_filter
+    return export_filter(load(spark, sf_dir, "events"), since="2024-01-05 00:00:00",
+                         where={"event_type": "click"}, ts_col="ts")
+
+
+@query("sink_csv", EXPORT_SQL)
+def sink_csv(spark, sf_dir):
+    df = _export(spark, sf_dir)
+    path = writers.write_csv(df, scratch_path(spark, "export-csv"))
+    return writers.read_csv(spark, path, df.schema)
+
+
+@query("sink_parquet", EXPORT_SQL)
+def sink_parquet(spark, sf_dir):
+    df = _export(spark, sf_dir)
+    path = writers.write_parquet(df, scratch_path(spark, "export-parquet"))
+    return spark.read.parquet(path)
+
+
+@query("sink_jsonl", EXPORT_SQL)
+def sink_jsonl(spark, sf_dir):
+    df = _export(spark, sf_dir)
+    path = writers.write_jsonl(df, scratch_path(spark, "export-jsonl"))
+    return writers.read_jsonl(spark, path, df.schema)
+
+
+@query("sink_arrow", EXPORT_SQL)
+def sink_arrow(spark, sf_dir):
+    df = _export(spark, sf_dir)
+    path = writers.write_arrow(df, scratch_path(spark, "export-arrow"))
+    return writers.read_arrow(spark, path, df.schema)
+
+
+@query(
+    "sink_timestamped_path",
+    "SELECT event_id, 'crop_statistics_raw_' || strftime(ts, '%Y%m%d_%H%M%S') || '.csv' AS file_name FROM events",
+)
+def sink_timestamped_path(spark, sf_dir):
+    ev = load(spark, sf_dir, "events")
+    return ev.select("event_id", writers.timestamped_name(F.col("ts"), "csv").alias("file_name"))
+
+
+_PAGES_SQL = f"""SELECT CAST(o_orderkey // 100 * 100 AS BIGINT) AS offset, 1 AS attempt FROM orders GROUP BY 1
+UNION ALL SELECT CAST(o_orderkey // 100 * 100 AS BIGINT), 0 FROM orders GROUP BY 1 HAVING max(o_totalprice) > {pages.ERROR_PRICE}"""
+
+
+@query(
+    "sink_raw_dated",
+    f"SELECT 'api' AS source_system, 'run-orders' AS run_id, 2024 AS y, 1 AS m, 1 AS d, offset, attempt FROM ({_PAGES_SQL}) p",
+)
+def sink_raw_dated(spark, sf_dir):
+    path = writers.write_raw_dated(pages.orders_pages(spark, sf_dir), scratch_path(spark, "raw"))
+    back = files.read_landed_pages(spark, path)
+    return back.select("source_system", "run_id", "y", "m", "d", "offset", "attempt")
+
+
+@query(
+    "src_landed_pages",
+    f"""SELECT {"CAST(o_orderkey // 100 * 100 AS BIGINT)"} AS offset, o_custkey, o_orderdate, t_orderkey AS o_orderkey,
+  o_orderpriority, o_orderstatus, o_totalprice FROM ({pages.ORDER_TEXT_SQL}) o""",
+)
+def src_landed_pages(spark, sf_dir):
+    path = writers.write_raw_dated(pages.orders_pages(spark, sf_dir), scratch_path(spark, "landed"))
+    landed = files.read_landed_pages(spark, path).where((F.col("y") == 2024) & (F.col("m") == 1))
+    good, _ = records.split_error_pages(landed)
+    r = records.explode_records(good, keep=["offset"])
+    return r.select("offset", *pages.record_columns(r))
+
+
+@query(
+    "sink_graph_node_link",
+    TRANSITION_EDGES_SQL + """SELECT source_district AS source, target_district AS target, event_type, effective_year,
+  source AS source_document FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_district, target_district ORDER BY user_id DESC, nts DESC, nid DESC) AS rn
+  FROM edges) x WHERE rn = 1""",
+)
+def sink_graph_node_link(spark, sf_dir):
+    e = transition_edges(spark, sf_dir)
+    nodes, links = graph.node_link(graph.graph_nodes(e, SEQ), graph.graph_edges(e, SEQ))
+    _n, lpath = writers.write_node_link(nodes, links, scratch_path(spark, "graph"))
+    return writers.read_jsonl(spark, lpath, links.schema)
+
+
+@query("sink_reports", d.EDGES_SQL)
+def sink_reports(spark, sf_dir):
+    events = d.all_events(spark, sf_dir)
+    edges = lineage.lineage_edges(events, d.aliases(spark, sf_dir))
+    out = writers.write_reports({"lineage_edges": edges, "district_evolution_master": lineage.district_master(events)},
+                                scratch_path(spark, "reports"))
+    return writers.read_csv(spark, out["lineage_edges"], edges.schema)
+
+
+def _land_event_files(spark, sf_dir):
+    """Write the three layouts as CSV files (plus a PDF entry and a missing
+    file in the manifest) the way a harvest leaves them."""
+    raw = scratch_path(spark, "event-files")
+    names = {"new_district": "new_districts", "split": "splits", "rename": "renames"}
+    for f in d.layout_frames(spark, sf_dir):
+        lay = lineage.layout_of(f.columns)
+        body = f.drop("source_document", "source_url")
+        tmp = f"{raw}/_{names[lay['name']]}"
+        body.write.mode("overwrite").option("header", True).csv(tmp)
+        # one listed file per layout: rename the single part into place
+        part = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv")
+                .load(tmp).select("path").collect()]
+        _concat_parts(spark, part, f"{raw}/{names[lay['name']]}.csv")
+    manifest = spark.createDataFrame(
+        [(f, u) for f, u in d.FILES if f != "orders.csv"] + [("report.pdf", "https://files.example/report.pdf"),
+                                                             ("missing.csv", "https://files.example/missing.csv")],
+        "filename string, url string")
+    return raw, manifest
+
+
+def _concat_parts(spark, parts: list[str], target: str) -> None:
+    """Join CSV part files into one file with a single header (Hadoop FS)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    tpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = tpath.getFileSystem(conf)
+    out = fs.create(tpath, True)
+    try:
+        first = True
+        for p in sorted(parts):
+            src = fs.open(jvm.org.apache.hadoop.fs.Path(p))
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(src, "UTF-8"))
+            line = reader.readLine()
+            n = 0
+            while line is not None:
+                if not (n == 0 and not first):
+                    out.write(bytearray((line + "\n").encode("utf-8")))
+                n += 1
+                line = reader.readLine()
+            reader.close()
+            first = False
+    finally:
+        out.close()
+
+
+@query("src_event_csv", f"SELECT * FROM ({d.LAYOUT_EVENTS_SQL}) e")
+def src_event_csv(spark, sf_dir):
+    raw, manifest = _land_event_files(spark, sf_dir)
+    return files.read_event_csvs(spark, manifest, raw, aliases=d.aliases(spark, sf_dir))
+
+
+@query("src_alias_map", f"SELECT n_nationkey, {d.clean_sql('n_name')} AS district FROM nation")
+def src_alias_map(spark, sf_dir):
+    a = d.aliases(spark, sf_dir)
+    n_alias = a.limit(100_001).count()
+    if n_alias > 100_000:
+        raise ValueError("alias map too large for a single JSON object")
+    obj = a.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("alias", "canonical")))).alias("value"))
+    path = scratch_path(spark, "aliases")
+    obj.coalesce(1).write.mode("overwrite").text(path)
+    back = files.read_alias_map(spark, path)
+    n = load(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("district"))
+    return lineage.clean_with_aliases(n, ["district"], back)
+
+
+@query("file_manifest")
+def file_manifest(spark, sf_dir):
+    """Checksum manifest of landed event files (no SQL oracle: file bytes)."""
+    raw, _ = _land_event_files(spark, sf_dir)
+    return files.file_manifest(spark, raw, glob="*.csv").where(~F.col("source_path").contains("/_"))
+
+
+__all__ = ["bronze"]
