@@ -69,7 +69,8 @@ UNION ALL SELECT CAST(o_orderkey // 100 * 100 AS BIGINT), 0 FROM orders GROUP BY
 
 @query(
     "sink_raw_dated",
-    f"SELECT 'api' AS source_system, 'run-orders' AS run_id, 2024 AS y, 1 AS m, 1 AS d, offset, attempt FROM ({_PAGES_SQL}) p",
+    f"""SELECT 'api' AS source_system, 'run-orders' AS run_id, 2024 AS y, 1 AS m, 1 AS d, p."offset", p.attempt
+FROM ({_PAGES_SQL}) p""",
 )
 def sink_raw_dated(spark, sf_dir):
     path = writers.write_raw_dated(pages.orders_pages(spark, sf_dir), scratch_path(spark, "raw"))
@@ -113,56 +114,41 @@ def sink_reports(spark, sf_dir):
     return writers.read_csv(spark, out["lineage_edges"], edges.schema)
 
 
+def list_files(spark, path: str) -> list[str]:
+    """Names of the files directly under ``path`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
+
+
 def _land_event_files(spark, sf_dir):
-    """Write the three layouts as CSV files (plus a PDF entry and a missing
-    file in the manifest) the way a harvest leaves them."""
+    """Write the three layouts as CSV files the way a harvest leaves them
+    (several files per layout), and a manifest listing every file plus a PDF
+    entry and a file that is missing."""
     raw = scratch_path(spark, "event-files")
     names = {"new_district": "new_districts", "split": "splits", "rename": "renames"}
+    listed = []
     for f in d.layout_frames(spark, sf_dir):
         lay = lineage.layout_of(f.columns)
-        body = f.drop("source_document", "source_url")
-        tmp = f"{raw}/_{names[lay['name']]}"
-        body.write.mode("overwrite").option("header", True).csv(tmp)
-        # one listed file per layout: rename the single part into place
-        part = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*.csv")
-                .load(tmp).select("path").collect()]
-        _concat_parts(spark, part, f"{raw}/{names[lay['name']]}.csv")
-    manifest = spark.createDataFrame(
-        [(f, u) for f, u in d.FILES if f != "orders.csv"] + [("report.pdf", "https://files.example/report.pdf"),
-                                                             ("missing.csv", "https://files.example/missing.csv")],
-        "filename string, url string")
+        folder = names[lay["name"]]
+        f.drop("source_document", "source_url").write.mode("overwrite").option("header", True).csv(f"{raw}/{folder}")
+        url = d.URL[f"{folder}.csv"]
+        listed += [(f"{folder}/{n}", url) for n in list_files(spark, f"{raw}/{folder}") if n.endswith(".csv")]
+    listed += [("report.pdf", "https://files.example/report.pdf"), ("missing.csv", "https://files.example/missing.csv")]
+    manifest = spark.createDataFrame(listed, "filename string, url string")
     return raw, manifest
 
 
-def _concat_parts(spark, parts: list[str], target: str) -> None:
-    """Join CSV part files into one file with a single header (Hadoop FS)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    tpath = jvm.org.apache.hadoop.fs.Path(target)
-    fs = tpath.getFileSystem(conf)
-    out = fs.create(tpath, True)
-    try:
-        first = True
-        for p in sorted(parts):
-            src = fs.open(jvm.org.apache.hadoop.fs.Path(p))
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(src, "UTF-8"))
-            line = reader.readLine()
-            n = 0
-            while line is not None:
-                if not (n == 0 and not first):
-                    out.write(bytearray((line + "\n").encode("utf-8")))
-                n += 1
-                line = reader.readLine()
-            reader.close()
-            first = False
-    finally:
-        out.close()
-
-
-@query("src_event_csv", f"SELECT * FROM ({d.LAYOUT_EVENTS_SQL}) e")
+EVENT_CSV_COLUMNS = ["state", "parent_district", "child_district", "event_type", "effective_date", "effective_year",
+                     "notification_date", "source_url", "remarks"]
+
+
+@query("src_event_csv", f"SELECT {', '.join(EVENT_CSV_COLUMNS)} FROM ({d.LAYOUT_EVENTS_SQL}) e")
 def src_event_csv(spark, sf_dir):
     raw, manifest = _land_event_files(spark, sf_dir)
-    return files.read_event_csvs(spark, manifest, raw, aliases=d.aliases(spark, sf_dir))
+    ev = files.read_event_csvs(spark, manifest, raw, aliases=d.aliases(spark, sf_dir))
+    return ev.select(*EVENT_CSV_COLUMNS)
 
 
 @query("src_alias_map", f"SELECT n_nationkey, {d.clean_sql('n_name')} AS district FROM nation")
@@ -183,7 +169,7 @@ def src_alias_map(spark, sf_dir):
 def file_manifest(spark, sf_dir):
     """Checksum manifest of landed event files (no SQL oracle: file bytes)."""
     raw, _ = _land_event_files(spark, sf_dir)
-    return files.file_manifest(spark, raw, glob="*.csv").where(~F.col("source_path").contains("/_"))
+    return files.file_manifest(spark, raw, glob="*.csv")
 
 
 __all__ = ["bronze"]

@@ -243,3 +243,15 @@ def export_filter(spark, sf_dir):
 def preview_rows(spark, sf_dir):
     from granary.operators.exports import preview
     return preview(load(spark, sf_dir, "orders"), n=5, n_cols=5, order_by=["o_orderkey"])
+
+
+@query(
+    "resume_anti_join",
+    JOBS_SQL + """SELECT run_id, offset_value FROM jobs
+WHERE offset_value NOT IN (SELECT l_orderkey * 100 FROM lineitem WHERE l_linestatus = 'F')""",
+)
+def resume_anti_join(spark, sf_dir):
+    """Planned jobs (run, offset) that no attempt has completed yet."""
+    planned = jobs(spark, sf_dir).select("run_id", "offset_value")
+    done = attempts(spark, sf_dir).where(F.col("status") == "completed").select("offset_value")
+    return planned.join(done, "offset_value", "left_anti")

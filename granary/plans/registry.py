@@ -30,5 +30,5 @@ def query(key: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from granary.plans import (  # noqa: F401
-        q_ingest, q_quality, q_schema, q_reshape, q_lineage, q_graph, q_ledger, q_html, q_io,
+        q_ingest, q_quality, q_schema, q_reshape, q_lineage, q_graph, q_ledger, q_html, q_io, q_stream,
     )

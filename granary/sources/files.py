@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators import lineage
+from granary.plans.tables import broadcast_if_small
 from granary.schemas import PAGE
 
 LANDED_PAGE = T.StructType(
@@ -67,14 +68,17 @@ def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
     """
     from py4j.protocol import Py4JJavaError  # noqa: F401  (errors surface as exceptions)
 
-    listed = [r["filename"] for r in manifest.select("filename").distinct().collect()]
+    listed = [r["filename"] for r in manifest.select("filename").distinct().collect()]  # file list
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(raw_dir.rstrip("/"))
+    qualified = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString()
     groups: dict[str, list[str]] = {}
     for name in sorted(listed):
         if not name.lower().endswith(".csv"):
             continue
         path = f"{raw_dir.rstrip('/')}/{name}"
         cols = _header(spark, path)
-        if cols is None:
+        if cols is None:  # missing or unreadable
             continue
         lay = lineage.layout_of(cols)
         if lay is not None:
@@ -86,8 +90,9 @@ def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
         if not paths:
             continue
         df = (spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-              .withColumn("source_document", F.col("_metadata.file_name")))
-        df = df.join(F.broadcast(m), "source_document", "left")
+              .withColumn("source_document",
+                          F.substring(F.col("_metadata.file_path"), len(qualified) + 2, 1 << 30)))
+        df = df.join(broadcast_if_small(m), "source_document", "left")  # one row per listed file
         frames.append(lineage.events_from_layout(df, lay, aliases))
     if not frames:
         from granary.schemas import EVENT
