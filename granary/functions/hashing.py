@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def sorted_map(m: Column) -> Column:
     """The same map with its entries in key order."""
-    return F.map_from_entries(F.array_sort(F.map_entries(m)))
+    return F.map_from_entries(F.sort_array(F.map_entries(m)))
 
 
 def canonical_json(m: Column) -> Column:

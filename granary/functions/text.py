@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Whitespace as Python's str.strip() sees it (incl. NBSP and other Unicode
 # spaces); Spark's trim() only removes ASCII spaces.
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Marker placed after non-letters while title-casing; input must not hold it.
+_MARK = "\u0002"
 
 
 def py_strip(c: Column) -> Column:
@@ -19,15 +21,13 @@ def title_case(c: Column) -> Column:
     """Python ``str.title()``: a letter is upper-cased when it follows a
     non-letter (or starts the string), every other letter is lower-cased.
 
-    Spark's ``initcap`` only restarts after a space (``O'brien``), so the text
-    is cut into tokens "letters then non-letters" and each token's first
-    character is upper-cased.
+    Spark's ``initcap`` only restarts after a space (``O'brien``). So a
+    marker and a space are inserted after every non-letter, ``initcap`` runs,
+    and the inserted pairs are removed again - all codegen'd string
+    functions, no per-row lambda.
     """
-    tokens = F.regexp_extract_all(F.lower(c), F.lit(r"(\p{L}*\P{L}*)"), 1)
-    cased = F.transform(
-        tokens, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30))
-    )
-    return F.when(c.isNull(), None).otherwise(F.array_join(cased, ""))
+    marked = F.regexp_replace(F.lower(c), r"(\P{L})", "$1" + _MARK + " ")
+    return F.replace(F.initcap(marked), F.lit(_MARK + " "), F.lit(""))
 
 
 def lookup(c: Column, mapping: dict[str, str]) -> Column:

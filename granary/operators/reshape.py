@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions.headers import export_rename, parse_wide_column
+from granary.functions.headers import export_rename_name, parse_wide_column, parse_wide_name
 from granary.functions.text import crop_label
 
 # Fixed values that must equal the reference's behaviour: identifier columns
@@ -31,11 +31,9 @@ def export_reorder(df: DataFrame, preferred: list[str] | None = None) -> DataFra
 
 
 def renamed_columns(spark: SparkSession, names: list[str]) -> list[str]:
-    """``Crop_Season_Metric`` -> ``Crop_Metric_Season`` for a list of names,
-    evaluated with the same expression used on name columns."""
-    meta = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "pos int, name string")
-    out = meta.select("pos", export_rename(F.col("name")).alias("new")).orderBy("pos").collect()
-    return [r["new"] for r in out]
+    """``Crop_Season_Metric`` -> ``Crop_Metric_Season`` for a list of names
+    (schema metadata, renamed where the plan is built)."""
+    return [export_rename_name(n) for n in names]
 
 
 def export_rename_columns(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -119,7 +117,11 @@ def wide_to_tidy(spark: SparkSession, df: DataFrame, ids: list[str] | None = Non
     """
     ids = [c for c in (ids or EXPORT_ID_COLUMNS) if c in df.columns]
     names = value_columns(df, ids)
-    meta = column_meta(spark, names, parser).collect()  # one row per column
+    if parser is parse_wide_column:  # names are schema: parse them here
+        meta = [{"original_col": n, "pos": i, **dict(zip(("Crop", "Metric", "Season"), parse_wide_name(n)))}
+                for i, n in enumerate(names)]
+    else:
+        meta = column_meta(spark, names, parser).collect()  # one row per column
     keys, metrics, groups = tidy_groups(meta)
 
     def metric_value(cols: list[str]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.numeric import safe_float
+from granary.functions.numeric import NUMBER_PATTERN, safe_float
 from granary.functions.text import py_strip
 
 # Fixed values that must equal the reference's behaviour:
@@ -39,26 +39,67 @@ def _sources_of(target: str) -> list[str]:
     return [k for k, v in SILVER_FIELD_MAP.items() if v == target]
 
 
-def silver_value(record: Column, target: str) -> Column:
-    """Value of one silver column from a record map.
+# Key separator for the lower-cased key list; record keys must not contain it.
+_SEP = "\u0001"
+
+
+def lowered_keys_reversed(record: Column) -> Column:
+    """Lower-cased record keys, last key first - built with codegen'd string
+    and array functions (no lambda), so the whole mapping stays in
+    whole-stage code generation."""
+    return F.reverse(F.split(F.lower(F.array_join(F.map_keys(record), _SEP)), _SEP))
+
+
+def silver_value(record: Column, target: str, rev_keys: Column | None = None) -> Column:
+    """Value of one silver column from a record map (single-column form).
 
     When several source keys map to ``target`` the last one in record order
     wins, even when its value is NULL. Measures go through ``safe_float``,
-    text is stripped.
+    text is stripped. :func:`silver_map` computes the same thing in stages.
     """
-    names = _sources_of(target)
-    hits = F.filter(F.map_entries(record), lambda e: F.lower(e.getField("key")).isin(names))
-    raw = F.try_element_at(hits, F.lit(-1)).getField("value")
+    rev = rev_keys if rev_keys is not None else lowered_keys_reversed(record)
+    nearest = _nearest(rev, target)
+    raw = F.element_at(F.map_values(record), (F.size(F.map_keys(record)) + 1 - nearest).cast("int"))
     if target in SILVER_MEASURES:
         return safe_float(raw)
     return py_strip(raw)
 
 
+def _nearest(rev: Column, target: str) -> Column:
+    """Distance from the end of the last key matching one of ``target``'s
+    source names (NULL when none matches)."""
+    found = [F.nullif(F.array_position(rev, F.lit(a)), F.lit(0)) for a in _sources_of(target)]
+    return found[0] if len(found) == 1 else F.least(*found)
+
+
 def silver_map(records: DataFrame, record_col: str = "record", keep: list[str] | None = None) -> DataFrame:
-    """Map each record to the eight silver columns (+ ``keep`` columns)."""
+    """Map each record to the eight silver columns (+ ``keep`` columns).
+
+    Built as a chain of narrow projections in which every intermediate
+    (reversed keys, match positions, raw text, cleaned text) is its own
+    column. An expression used twice is thus computed once, and the
+    generated code grows linearly with the number of columns instead of
+    duplicating subtrees (which made the fused stage too large to JIT).
+    """
     keep = keep if keep is not None else ["source_record_hash"]
+    targets = SILVER_TEXT + SILVER_MEASURES
     rec = F.col(record_col)
-    return records.select(
-        *[silver_value(rec, t).alias(t) for t in SILVER_TEXT + SILVER_MEASURES],
+    s1 = records.select(rec.alias("_rec"), lowered_keys_reversed(rec).alias("_rev"),
+                        F.size(F.map_keys(rec)).alias("_n"), *keep)
+    s2 = s1.select("_rec", "_n", *[_nearest(F.col("_rev"), t).alias(f"_p_{t}") for t in targets], *keep)
+    s3 = s2.select(
+        *[F.element_at(F.map_values("_rec"), (F.col("_n") + 1 - F.col(f"_p_{t}")).cast("int")).alias(f"_r_{t}")
+          for t in targets],
+        *keep,
+    )
+    s4 = s3.select(
+        *[py_strip(F.col(f"_r_{t}")).alias(t) for t in SILVER_TEXT],
+        *[F.replace(py_strip(F.col(f"_r_{t}")), F.lit(","), F.lit("")).alias(f"_t_{t}") for t in SILVER_MEASURES],
+        *keep,
+    )
+    return s4.select(
+        *SILVER_TEXT,
+        *[F.when(F.col(f"_t_{t}").rlike(NUMBER_PATTERN), F.col(f"_t_{t}").try_cast("double")).alias(t)
+          for t in SILVER_MEASURES],
         *keep,
     )
