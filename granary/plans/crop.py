@@ -35,7 +35,13 @@ RECORD_KEYS = [
 
 
 def _dec(c: Column, p: int = 12, s: int = 2) -> Column:
-    return c.cast(f"decimal({p},{s})").cast("string")
+    """Text of a 2-decimal number as a DECIMAL(p,2) prints it ("17.00",
+    "-0.05"), built from integer cents (cheaper than a decimal cast)."""
+    assert s == 2
+    cents = F.round(c * 100).cast("bigint")
+    a = F.abs(cents)
+    return F.concat(F.when(cents < 0, F.lit("-")).otherwise(F.lit("")), (a / 100).cast("bigint").cast("string"),
+                    F.lit("."), F.lpad((a % 100).cast("string"), 2, "0"))
 
 
 def crop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
