@@ -11,8 +11,26 @@ TABLES = [
 ]
 
 
+SPREAD_MIN_BYTES = 1024 * 1024
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a scan that arrives in fewer splits than the
+    cluster's parallelism (e.g. one file with one row group).
+
+    On large inputs the scan already has more splits than cores and nothing
+    changes; tiny tables (below ``SPREAD_MIN_BYTES``) are left alone.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) < SPREAD_MIN_BYTES:
+        return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
