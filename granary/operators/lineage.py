@@ -121,8 +121,12 @@ def lineage_edges(events: DataFrame, aliases: DataFrame | None = None, distinct:
         (et == MERGER_TYPE).alias("_merger"),
     )
     if aliases is not None:
-        merged = clean_with_aliases(e.where("_merger"), ["source_district"], aliases)
-        e = e.where(~F.col("_merger")).unionByName(merged)
+        # MERGER parents were cleaned above; their alias lookup is one
+        # conditional join over all edges (no split-and-union of the input)
+        a = broadcast_if_small(aliases.select(F.col("alias").alias("_alias"), F.col("canonical").alias("_canon")))
+        e = (e.join(a, F.col("_merger") & (F.col("source_district") == F.col("_alias")), "left")
+             .withColumn("source_district", F.coalesce(F.col("_canon"), F.col("source_district")))
+             .drop("_alias", "_canon"))
     e = e.drop("_merger")
     return e.dropDuplicates() if distinct else e
 
@@ -152,7 +156,8 @@ def _deletion_keys(name: Column) -> Column:
     return F.array_distinct(F.concat(F.array(name), dels))
 
 
-def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distance: int = 1) -> DataFrame:
+def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distance: int = 1,
+                       materialize: bool = True) -> DataFrame:
     """Check every edge's target district against a reference directory.
 
     Exact name -> match, score 1.0. Otherwise the closest directory name with
@@ -172,13 +177,25 @@ def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distan
             "event", "district", F.lit(False).alias("lgd_match"), F.lit(0.0).alias("confidence_score"),
             F.lit(NO_DIRECTORY_NOTE).alias("validation_notes"),
         )
+    if materialize:
+        # the edge labels feed four branches below; write them once to the
+        # shared checkpoint folder instead of re-deriving the edges in each
+        from granary.session import shared_dir
+        shared_dir(base.sparkSession)
+        base = base.checkpoint(eager=True)
     names = base.select("district").distinct().where(F.col("district").isNotNull())
     ref = directory.select(F.col("name").alias("ref_name")).distinct()
-    nk = names.select("district", F.explode(_deletion_keys(F.col("district"))).alias("k"))
+    # an exact name (distance 0) cannot be beaten: settle those with an
+    # equi-join and send only the rest through the fuzzy path
+    exact = names.join(ref, names.district == ref.ref_name, "left_semi")
+    rest = names.join(ref, names.district == ref.ref_name, "left_anti")
+    nk = rest.select("district", F.explode(_deletion_keys(F.col("district"))).alias("k"))
     rk = ref.select("ref_name", F.explode(_deletion_keys(F.col("ref_name"))).alias("k"))
     cand = nk.join(rk, "k").select("district", "ref_name").distinct()
     cand = cand.withColumn("d", F.levenshtein("district", "ref_name")).where(F.col("d") <= max_distance)
-    best = cand.groupBy("district").agg(F.min_by(F.struct("d", "ref_name"), F.struct("d", "ref_name")).alias("b"))
+    fuzzy = cand.groupBy("district").agg(F.min_by(F.struct("d", "ref_name"), F.struct("d", "ref_name")).alias("b"))
+    best = exact.select("district", F.struct(F.lit(0).alias("d"), F.col("district").alias("ref_name")).alias("b")) \
+        .unionByName(fuzzy)
     j = base.join(best, "district", "left")
     d = F.col("b.d")
     longest = F.greatest(F.length("district"), F.length(F.col("b.ref_name")))

@@ -59,19 +59,20 @@ def read_batches(spark: SparkSession, target: str, schema: T.StructType | None =
     return spark.read.parquet(target).drop("batch")
 
 
-def stream_ingest(stream: DataFrame, target: str, checkpoint: str, key: str = "source_record_hash"):
-    """Insert-if-absent by ``key``: a batch keeps one row per key (partial
-    aggregation) and only keys not already in the target."""
-    spark = stream.sparkSession
-
-    def merge(batch: DataFrame, _batch_id: int) -> DataFrame:
-        fresh = batch.dropDuplicates([key])
-        if _has_data(spark, target):
-            seen = spark.read.parquet(target).select(key)
-            fresh = fresh.join(seen, key, "left_anti")
-        return fresh
-
-    return write_batches(stream, target, checkpoint, merge)
+def stream_ingest(stream: DataFrame, target: str, checkpoint: str, key: str = "source_record_hash",
+                  existing: DataFrame | None = None):
+    """Insert-if-absent by ``key``.
+
+    Keys already seen by the stream are remembered in Spark's state store
+    (``dropDuplicates`` on the key: state is partitioned by key, kept in the
+    checkpoint and restored after a restart), so the target is never re-read.
+    Rows of a bronze table loaded before the stream started can be excluded
+    with ``existing`` (a stream-static anti-join on the key column only).
+    """
+    fresh = stream.dropDuplicates([key])
+    if existing is not None:
+        fresh = fresh.join(existing.select(key), key, "left_anti")
+    return write_batches(fresh, target, checkpoint)
 
 
 def stream_dedup(stream: DataFrame, key: str, event_time: str, delay: str = "1 day") -> DataFrame:

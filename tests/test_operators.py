@@ -153,6 +153,10 @@ def test_stream_ingest_rerun_adds_nothing(spark):
     s2 = ingest.file_stream(spark, land, df.schema).withColumn("source_record_hash", F.sha2(F.col("v"), 256))
     ingest.stream_ingest(s2, target, ckpt)  # same checkpoint: files already seen
     assert ingest.read_batches(spark, target).count() == first
+    df.write.mode("append").parquet(land)  # new files, keys already ingested
+    s3 = ingest.file_stream(spark, land, df.schema).withColumn("source_record_hash", F.sha2(F.col("v"), 256))
+    ingest.stream_ingest(s3, target, ckpt)  # keys remembered in the state store
+    assert ingest.read_batches(spark, target).count() == first
 
 
 def test_event_csv_skips_bad_entries(spark, tmp_path):
