@@ -25,10 +25,14 @@ def spread(df: DataFrame) -> DataFrame:
     On large inputs the scan already has more splits than cores and nothing
     changes; tiny tables (below ``SPREAD_MIN_BYTES``) are left alone.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < SPREAD_MIN_BYTES:
+    est = estimated_bytes(df)
+    if est is None or est < SPREAD_MIN_BYTES:
         return df
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:
         return df
     return df.repartition(target)
 
@@ -36,14 +40,19 @@ def spread(df: DataFrame) -> DataFrame:
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
+def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (from file sizes and
-    projections; an upper bound for plain scans). No job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    projections; an upper bound for plain scans). No job is run. ``None``
+    when the session exposes no plan statistics (e.g. a remote client)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast ``df`` only when its estimated size is at most ``max_bytes``;
     beyond the bound the join is left to the planner (sort-merge, or AQE's
     runtime switch when the real size turns out small)."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    est = estimated_bytes(df)
+    return F.broadcast(df) if est is not None and est <= max_bytes else df
