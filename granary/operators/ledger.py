@@ -84,7 +84,8 @@ def offset_plan(spark: SparkSession, total: int, limit: int, partitions: int | N
 def resume_plan(planned: DataFrame, jobs: DataFrame, run_id: str) -> DataFrame:
     """Planned offsets without a completed job in the run - covers retries of
     incomplete jobs, offsets beyond the frontier and gaps alike."""
-    done = jobs.where((F.col("run_id") == run_id) & (F.col("status") == "completed")).select("offset_value")
+    done = (jobs.where((F.col("run_id") == run_id) & (F.col("status") == "completed"))
+            .select("offset_value").distinct())  # a hot offset collapses map-side
     return planned.join(done, "offset_value", "left_anti")
 
 

@@ -51,7 +51,7 @@ def clean_with_aliases(df: DataFrame, cols: list[str], aliases: DataFrame | None
     out = df.withColumns({c: clean_name(F.col(f"`{c}`")) for c in cols})
     if aliases is None:
         return out
-    a = broadcast_if_small(aliases.select("alias", "canonical"))
+    a = broadcast_if_small(unique_aliases(aliases))
     for c in cols:
         m = a.select(F.col("alias").alias(f"_a_{c}"), F.col("canonical").alias(f"_c_{c}"))
         out = (out.join(m, F.col(f"`{c}`") == F.col(f"_a_{c}"), "left")
@@ -60,6 +60,12 @@ def clean_with_aliases(df: DataFrame, cols: list[str], aliases: DataFrame | None
     return out
 
 
+def unique_aliases(aliases: DataFrame) -> DataFrame:
+    """One canonical name per alias (the smallest when an alias repeats), so
+    the lookup join can never multiply rows."""
+    return aliases.groupBy("alias").agg(F.min("canonical").alias("canonical"))
+
+
 def events_from_layout(df: DataFrame, layout: dict, aliases: DataFrame | None = None,
                        file_col: str = "source_document", url_col: str = "source_url") -> DataFrame:
     """One layout's rows -> the 10-column event schema.
@@ -123,7 +129,8 @@ def lineage_edges(events: DataFrame, aliases: DataFrame | None = None, distinct:
     if aliases is not None:
         # MERGER parents were cleaned above; their alias lookup is one
         # conditional join over all edges (no split-and-union of the input)
-        a = broadcast_if_small(aliases.select(F.col("alias").alias("_alias"), F.col("canonical").alias("_canon")))
+        a = broadcast_if_small(unique_aliases(aliases).select(F.col("alias").alias("_alias"),
+                                                             F.col("canonical").alias("_canon")))
         e = (e.join(a, F.col("_merger") & (F.col("source_district") == F.col("_alias")), "left")
              .withColumn("source_district", F.coalesce(F.col("_canon"), F.col("source_district")))
              .drop("_alias", "_canon"))

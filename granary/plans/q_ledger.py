@@ -150,7 +150,7 @@ def job_ledger(spark, sf_dir):
 @query(
     "q_throughput_history",
     JOBS_SQL + """SELECT run_id, records_inserted, duration_seconds, throughput_per_second FROM (
-  SELECT run_id, sum(records_fetched) FILTER (WHERE status = 'completed') AS records_inserted,
+  SELECT run_id, CAST(sum(records_fetched) FILTER (WHERE status = 'completed') AS BIGINT) AS records_inserted,
     CAST(date_diff('second', min(started_at), max(completed_at)) AS DOUBLE) AS duration_seconds,
     round(sum(records_fetched) FILTER (WHERE status = 'completed') /
           CAST(date_diff('second', min(started_at), max(completed_at)) AS DOUBLE), 2) AS throughput_per_second,
@@ -172,7 +172,7 @@ def q_throughput_history(spark, sf_dir):
 RUN_METRICS_SQL = f"""WITH pg AS (
   SELECT o_orderkey // 100 AS page_id, count(*) AS n, max(o_totalprice) AS mx FROM orders GROUP BY 1)
 SELECT 'run-orders' AS run_id,
-  (SELECT sum(n) FROM pg) AS records_fetched,
+  CAST((SELECT sum(n) FROM pg) AS BIGINT) AS records_fetched,
   (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS records_inserted,
   (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS records_updated,
   (SELECT count(*) FROM pg WHERE mx > {pages.ERROR_PRICE}) AS records_failed,
@@ -252,5 +252,5 @@ WHERE offset_value NOT IN (SELECT l_orderkey * 100 FROM lineitem WHERE l_linesta
 def resume_anti_join(spark, sf_dir):
     """Planned jobs (run, offset) that no attempt has completed yet."""
     planned = jobs(spark, sf_dir).select("run_id", "offset_value")
-    done = attempts(spark, sf_dir).where(F.col("status") == "completed").select("offset_value")
+    done = attempts(spark, sf_dir).where(F.col("status") == "completed").select("offset_value").distinct()
     return planned.join(done, "offset_value", "left_anti")
