@@ -49,19 +49,16 @@ def orders_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-orders") -
         F.array_sort(F.collect_list(F.struct("o_orderkey", *["t_" + k[2:] for k in ORDER_KEYS]))).alias("rs"),
         F.max("o_totalprice").alias("mx"),
     )
-    ok = grouped.select(
-        "page_id", F.lit(1).alias("attempt"),
-        F.to_json(F.struct(
-            F.lit(DATASET_NAME).alias("title"), F.lit("ok").alias("status"), F.lit(str(total)).alias("total"),
-            fields.alias("field"), F.transform("rs", rec).alias("records"),
-        )).alias("raw_json"),
-    )
-    bad = grouped.where(F.col("mx") > ERROR_PRICE).select(
-        "page_id", F.lit(0).alias("attempt"),
-        F.to_json(F.struct(F.lit("error").alias("status"), F.lit("rate limited").alias("error"))).alias("raw_json"),
-    )
+    ok = F.struct(F.lit(1).alias("attempt"), F.to_json(F.struct(
+        F.lit(DATASET_NAME).alias("title"), F.lit("ok").alias("status"), F.lit(str(total)).alias("total"),
+        fields.alias("field"), F.transform("rs", rec).alias("records"),
+    )).alias("raw_json"))
+    bad = F.struct(F.lit(0).alias("attempt"), F.to_json(F.struct(
+        F.lit("error").alias("status"), F.lit("rate limited").alias("error"))).alias("raw_json"))
+    attempts = F.when(F.col("mx") > ERROR_PRICE, F.array(bad, ok)).otherwise(F.array(ok))
+    env = grouped.select("page_id", F.explode(attempts).alias("a")).select("page_id", "a.attempt", "a.raw_json")
     offset = (F.col("page_id") * PAGE_SIZE).cast("bigint")
-    return ok.unionByName(bad).select(
+    return env.select(
         F.lit("api").alias("source_system"), F.lit(RESOURCE_ID).alias("resource_id"), F.lit(run_id).alias("run_id"),
         offset.alias("offset"), F.lit(PAGE_SIZE).alias("limit"),
         request_url(BASE_URL, offset, F.lit(PAGE_SIZE)).alias("request_url"),
