@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions.urls import request_url
-from granary.operators import bronze
 from granary.plans.tables import load
 
 PAGE_SIZE = 100
@@ -109,5 +108,3 @@ SUPPLIER_MAP_SQL = ("MAP {'s_acctbal': CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS
                     "'s_nationkey': CAST(s_nationkey AS VARCHAR), 's_suppkey': CAST(s_suppkey AS VARCHAR)}")
 CUSTOMER_HASH_SQL = f"sha256(to_json({CUSTOMER_MAP_SQL}))"
 SUPPLIER_HASH_SQL = f"sha256(to_json({SUPPLIER_MAP_SQL}))"
-
-__all__ = ["orders_pages", "bronze"]

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from granary.operators import bronze, graph, lineage, records
+from granary.operators import graph, lineage, records
 from granary.plans import districts as d
 from granary.plans import pages
 from granary.plans.q_graph import EDGES_SQL as TRANSITION_EDGES_SQL
@@ -171,5 +171,3 @@ def file_manifest(spark, sf_dir):
     raw, _ = _land_event_files(spark, sf_dir)
     return files.file_manifest(spark, raw, glob="*.csv")
 
-
-__all__ = ["bronze"]

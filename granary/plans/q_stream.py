@@ -3,8 +3,6 @@ stream runs with ``availableNow`` and the written batches are read back."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from granary.functions.hashing import record_hash
 from granary.operators import bronze
 from granary.plans.crop import crop_silver
@@ -57,5 +55,3 @@ def stream_dq(spark, sf_dir):
     ingest.write_batches(ingest.stream_dq(ingest.file_stream(spark, land, silver.schema)), target, ckpt)
     return ingest.read_batches(spark, target)
 
-
-__all__ = ["F"]

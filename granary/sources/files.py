@@ -66,8 +66,6 @@ def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
     its file name, which is joined back to the manifest for the URL.
     The loop runs over the manifest's file list (metadata), not over rows.
     """
-    from py4j.protocol import Py4JJavaError  # noqa: F401  (errors surface as exceptions)
-
     listed = [r["filename"] for r in manifest.select("filename").distinct().collect()]  # file list
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(raw_dir.rstrip("/"))
