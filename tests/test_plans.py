@@ -73,3 +73,21 @@ def test_html_parse_is_the_only_python_step(spark):
     pairs = html.html_option_pairs(customer_pages(spark, SMALL))
     assert not any(n in _plan(pairs) for n in PYTHON_NODES)
     assert F is not None
+
+
+def test_writer_rules_aggregate_map_side(spark):
+    from granary.operators import graph
+    from granary.plans.q_graph import SEQ, transition_edges
+    from granary.plans.q_ledger import _ATTEMPT_ORDER, attempts
+    from granary.operators import ledger
+    e = transition_edges(spark, SMALL)
+    for df in (graph.graph_nodes(e, SEQ), graph.graph_edges(e, SEQ),
+               ledger.job_ledger(attempts(spark, SMALL), _ATTEMPT_ORDER), crop.crop_bronze(spark, SMALL)):
+        p = _plan(df)
+        assert "partial_min_by" in p or "partial_max_by" in p  # combined before the shuffle
+
+
+def test_successor_is_range_partitioned(spark):
+    from granary.plans.q_graph import transition_edges
+    p = _plan(transition_edges(spark, SMALL))
+    assert "rangepartitioning(user_id" in p
