@@ -173,3 +173,19 @@ def test_event_csv_skips_bad_entries(spark, tmp_path):
     got = sorted((r["event_type"], r["parent_district"], r["child_district"], r["effective_year"], r["source_url"])
                  for r in ev)
     assert got == [("RENAME", "X", "Y", "1991", "u2"), ("SPLIT", "Old One", "New One", "2001", "u1")]
+
+
+def test_jsonl_keeps_nulls_and_utf8(spark):
+    df = spark.createDataFrame([(1, None, "Ärzte é"), (2, "x", None)], "id int, a string, b string")
+    path = writers.write_jsonl(df.coalesce(1), scratch_path(spark, "test-jsonl"))
+    lines = sorted(r["value"] for r in spark.read.text(path).collect())
+    assert lines == ['{"id":1,"a":null,"b":"Ärzte é"}', '{"id":2,"a":"x","b":null}']
+    back = writers.read_jsonl(spark, path, df.schema)
+    assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_csv_roundtrip_keeps_microseconds(spark):
+    df = spark.createDataFrame([(1, 'a,"b"')], "id int, s string").withColumn(
+        "ts", F.lit("2024-01-02 03:04:05.123456").cast("timestamp_ntz"))
+    path = writers.write_csv(df, scratch_path(spark, "test-csv"))
+    assert writers.read_csv(spark, path, df.schema).collect() == df.collect()
