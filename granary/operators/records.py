@@ -43,11 +43,18 @@ def page_total(env: Column) -> Column:
     return F.coalesce(env.getField("total").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def is_error_page(raw_json: Column, env: Column) -> Column:
-    """A page is an error when ``status != 'ok'`` and key ``error`` exists."""
-    not_ok = env.getField("status").isNull() | (env.getField("status") != "ok")
+def is_error_page(raw_json: Column, env: Column | None = None) -> Column:
+    """A page is an error when ``status != 'ok'`` (or missing) and the key
+    ``error`` exists.
+
+    Evaluated on the raw text with ``get_json_object`` / ``json_object_keys``,
+    which only tokenise the envelope: routing pages never builds their record
+    maps, so the full parse happens once, for the pages that are kept.
+    """
+    status = F.get_json_object(raw_json, "$.status")
     has_error = F.array_contains(F.json_object_keys(raw_json), "error")
-    return F.when(not_ok, F.coalesce(has_error, F.lit(False))).otherwise(F.lit(False))
+    # a NULL (missing) status fails the test and falls through, like != 'ok'
+    return F.when(status == "ok", F.lit(False)).otherwise(F.coalesce(has_error, F.lit(False)))
 
 
 def is_empty_html(html: Column) -> Column:
@@ -56,13 +63,9 @@ def is_empty_html(html: Column) -> Column:
 
 
 def split_error_pages(pages: DataFrame, json_col: str = "raw_json") -> tuple[DataFrame, DataFrame]:
-    """Route pages to (good, quarantine) by the error rule.
-
-    Note: Catalyst pushes the routing filter below the projection that parses
-    the envelope, so the JSON is parsed once in the filter and once for the
-    output (see docs/PLANS.md, ``ingest_batch``); an open item.
-    """
-    p = _ensure_env(pages).withColumn("_is_error", is_error_page(F.col(json_col), F.col("env")))
-    good = p.filter(~F.col("_is_error")).drop("_is_error")
-    bad = p.filter(F.col("_is_error")).drop("_is_error")
-    return good, bad
+    """Route pages to (good, quarantine) by the error rule. The rule reads
+    the raw text only; each side parses its envelopes once, when used."""
+    flag = is_error_page(F.col(json_col))
+    good = pages.filter(~flag)
+    bad = pages.filter(flag)
+    return parse_envelope(good, json_col), parse_envelope(bad, json_col)
