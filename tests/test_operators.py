@@ -189,3 +189,28 @@ def test_csv_roundtrip_keeps_microseconds(spark):
         "ts", F.lit("2024-01-02 03:04:05.123456").cast("timestamp_ntz"))
     path = writers.write_csv(df, scratch_path(spark, "test-csv"))
     assert writers.read_csv(spark, path, df.schema).collect() == df.collect()
+
+
+def test_bronze_upsert_hot_hash(spark):
+    # one record repeated for a third of the batch: merged to one row, first writer kept
+    rows = [("hot" if i % 3 == 0 else f"h{i}", f"ds{i}", "r", "s", i) for i in range(3000)]
+    b = spark.createDataFrame(rows, "source_record_hash string, source_dataset string, source_resource_id string, "
+                                    "source_system string, seq int") \
+        .withColumn("ingested_at", F.lit("2024-01-01").cast("timestamp_ntz")) \
+        .withColumn("record", F.create_map(F.lit("k"), F.col("source_record_hash")))
+    out = bronze.bronze_upsert(None, b.repartition(16), seq=["seq"])
+    got = {r["source_record_hash"]: r["source_dataset"] for r in out.collect()}
+    assert len(got) == 1 + 2000 and got["hot"] == "ds0"
+
+
+def test_graph_nodes_first_writer_source_before_target(spark):
+    edges = spark.createDataFrame(
+        [("B", "A", "T", "2000", "s2", "e2", 2), ("A", "B", "T", "2000", "s1", "e1", 1),
+         ("C", "A", "T", "2000", "s3", "e3", 1)],
+        "source_district string, target_district string, event_type string, effective_year string, "
+        "state string, source string, seq int")
+    nodes = {r["district"]: r["source"] for r in graph.graph_nodes(edges, ["seq"]).collect()}
+    # seq 1 has two edges in input order A->B then C->A; ties on seq break on the end (source first)
+    assert nodes["B"] == "e1" and nodes["C"] == "e3"
+    last = {(r["source_district"], r["target_district"]): r["source"] for r in graph.graph_edges(edges, ["seq"]).collect()}
+    assert last == {("B", "A"): "e2", ("A", "B"): "e1", ("C", "A"): "e3"}
