@@ -3,6 +3,8 @@ alias map, and a checksum manifest of downloaded files."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,8 @@ from granary.operators import lineage
 from granary.plans.tables import broadcast_if_small
 from granary.schemas import PAGE
 
+HEADER_PROBES = 16  # concurrent header reads when sorting files by layout
+
 LANDED_PAGE = T.StructType(
     [f for f in PAGE.fields] + [T.StructField("attempt", T.IntegerType())]
 )
@@ -71,11 +75,11 @@ def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
     base = jvm.org.apache.hadoop.fs.Path(raw_dir.rstrip("/"))
     qualified = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString()
     groups: dict[str, list[str]] = {}
-    for name in sorted(listed):
-        if not name.lower().endswith(".csv"):
-            continue
-        path = f"{raw_dir.rstrip('/')}/{name}"
-        cols = _header(spark, path)
+    paths = [f"{raw_dir.rstrip('/')}/{n}" for n in sorted(listed) if n.lower().endswith(".csv")]
+    # header probes read one line each; they run as concurrent small jobs
+    with ThreadPoolExecutor(max_workers=HEADER_PROBES) as pool:
+        headers = list(pool.map(lambda p: _header(spark, p), paths))
+    for path, cols in zip(paths, headers):
         if cols is None:  # missing or unreadable
             continue
         lay = lineage.layout_of(cols)
