@@ -153,14 +153,25 @@ def district_master(events: DataFrame) -> DataFrame:
     )
 
 
-def _deletion_keys(name: Column) -> Column:
-    """The name and every string made by deleting one of its characters."""
-    n = F.length(name)
-    dels = F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.concat(F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, F.lit(1 << 30))),
+def _one_deletions(k: Column) -> Column:
+    """Every string made by deleting one character of ``k``."""
+    return F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(k), F.lit(1))),
+        lambda i: F.concat(F.substring(k, F.lit(1), i - 1), F.substring(k, i + 1, F.lit(1 << 30))),
     )
-    return F.array_distinct(F.concat(F.array(name), dels))
+
+
+def _deletion_keys(name: Column, depth: int = 1) -> Column:
+    """The name and every string made by deleting up to ``depth`` characters.
+
+    Two names within Levenshtein distance ``depth`` always share one of these
+    keys (symmetric deletion), so an equi-join on them finds every such pair.
+    Names sharing a key number at most |alphabet|^depth x (length + 1)^depth.
+    """
+    keys = F.array(name)
+    for _ in range(depth):
+        keys = F.array_distinct(F.flatten(F.transform(keys, lambda k: F.concat(F.array(k), _one_deletions(k)))))
+    return keys
 
 
 def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distance: int = 1,
@@ -168,13 +179,13 @@ def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distan
     """Check every edge's target district against a reference directory.
 
     Exact name -> match, score 1.0. Otherwise the closest directory name with
-    Levenshtein distance <= ``max_distance`` (only 1 is supported: candidates
-    come from an equi-join on one-deletion keys, which finds every such pair
-    and never pairs all names of a block); score = 1 - d / longer length.
+    Levenshtein distance <= ``max_distance`` (candidates come from an
+    equi-join on deletion keys, which finds every such pair and never pairs
+    all names of a block); score = 1 - d / longer length.
     No directory -> no match, score 0.0.
     """
-    if max_distance != 1:
-        raise ValueError("only max_distance=1 is supported")
+    if max_distance < 1:
+        raise ValueError("max_distance must be at least 1")
     base = edges.select(
         event_label(F.col("event_type"), F.col("effective_year")).alias("event"),
         F.col("target_district").alias("district"),
@@ -196,8 +207,8 @@ def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distan
     # equi-join and send only the rest through the fuzzy path
     exact = names.join(ref, names.district == ref.ref_name, "left_semi")
     rest = names.join(ref, names.district == ref.ref_name, "left_anti")
-    nk = rest.select("district", F.explode(_deletion_keys(F.col("district"))).alias("k"))
-    rk = ref.select("ref_name", F.explode(_deletion_keys(F.col("ref_name"))).alias("k"))
+    nk = rest.select("district", F.explode(_deletion_keys(F.col("district"), max_distance)).alias("k"))
+    rk = ref.select("ref_name", F.explode(_deletion_keys(F.col("ref_name"), max_distance)).alias("k"))
     cand = nk.join(rk, "k").select("district", "ref_name").distinct()
     cand = cand.withColumn("d", F.levenshtein("district", "ref_name")).where(F.col("d") <= max_distance)
     fuzzy = cand.groupBy("district").agg(F.min_by(F.struct("d", "ref_name"), F.struct("d", "ref_name")).alias("b"))

@@ -4,6 +4,8 @@ key holding a third of the rows."""
 import itertools
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -86,7 +88,8 @@ def _lev(a, b):
     return prev[-1]
 
 
-def test_reference_validate_matches_brute_force(spark):
+@pytest.mark.parametrize("dist", [1, 2])
+def test_reference_validate_matches_brute_force(spark, dist):
     rnd = random.Random(11)
     alphabet = "abc"
     ref = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(2, 5))) for _ in range(40)})
@@ -96,10 +99,10 @@ def test_reference_validate_matches_brute_force(spark):
                                   "effective_year string, state string, source string")
     directory = spark.createDataFrame([(n,) for n in ref], "name string")
     got = {r["district"]: (r["lgd_match"], r["confidence_score"]) for r in
-           lineage.reference_validate(edges, directory).collect()}
+           lineage.reference_validate(edges, directory, max_distance=dist).collect()}
     for t in targets:
         best = min(((_lev(t, n), n) for n in ref), default=(99, None))
-        if best[0] <= 1:
+        if best[0] <= dist:
             want = (True, 1.0 - best[0] / max(len(t), len(best[1])))
         else:
             want = (False, 0.0)
