@@ -168,8 +168,8 @@ def _deletion_keys(name: Column, depth: int = 1) -> Column:
     keys (symmetric deletion), so an equi-join on them finds every such pair.
     Names sharing a key number at most |alphabet|^depth x (length + 1)^depth.
     """
-    keys = F.array(name)
-    for _ in range(depth):
+    keys = F.array_distinct(F.concat(F.array(name), _one_deletions(name)))
+    for _ in range(depth - 1):
         keys = F.array_distinct(F.flatten(F.transform(keys, lambda k: F.concat(F.array(k), _one_deletions(k)))))
     return keys
 
