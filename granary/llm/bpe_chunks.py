@@ -35,9 +35,6 @@ CACHE_BYTES = 48 << 20  # of chunk text; the cache starts anew beyond it
 WINDOW = 16
 LETTERS_BELOW = chr(0x530)  # Latin, Greek and Cyrillic: letters in every version of Unicode
 
-RESULT = "ids array<int>, decoded binary"
-
-
 @lru_cache(maxsize=2)
 def codec(path: str):
     """(encoder of ordinary text, bytes by id, special tokens by string) of a tokenizers file."""
@@ -178,29 +175,14 @@ def encoder(path: str, mean: int = CHUNK_BYTES):
     return encode
 
 
-def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``ids`` (array<int>) and ``decoded`` (the ids' bytes joined). ``vocabulary`` is
-    a byte-level BPE file of the tokenizers library, readable on every executor."""
-
-    @F.pandas_udf(RESULT)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary)
-        table = codec(vocabulary)[1]
-        for texts in batches:
-            ids = [encode(t) for t in texts]
-            yield pd.DataFrame({
-                "ids": ids,
-                "decoded": [b"".join(map(table.__getitem__, x)) for x in ids],
-            })
-
-    return pick(docs, id_col, text_col).select(F.col(id_col), run(F.col(text_col)).alias("r")).select(
-        id_col, "r.ids", "r.decoded")
-
+def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """Per row: id, n_tokens, ids (array<int>, if wanted), ids_sha256 (of the decimal ids joined by
+    commas) and decoded_sha256 (of the ids' bytes joined, which is the decoded text in UTF-8).
+    ``vocabulary`` is a byte-level BPE file of the tokenizers library, readable on every executor."""
 
-def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``encode_texts`` reduced in the task to n_tokens, ids_sha256 and decoded_sha256."""
+    ids_type = "ids array<int>, " if with_ids else ""
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf(f"n_tokens long, {ids_type}ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         from hashlib import sha256
 
@@ -208,15 +190,14 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
         table = codec(vocabulary)[1]
         names = [str(i) for i in range(len(table))]
         for texts in batches:
-            rows = []
+            out: dict[str, list] = {"n_tokens": [], **({"ids": []} if with_ids else {}), "ids_sha256": [], "decoded_sha256": []}
             for t in texts:
                 ids = encode(t)
-                rows.append((
-                    len(ids),
-                    sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
-                    sha256(b"".join(map(table.__getitem__, ids))).hexdigest(),
-                ))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return pick(docs, id_col, text_col).select(F.col(id_col), run(F.col(text_col)).alias("r")).select(
-        id_col, "r.*")
+                out["n_tokens"].append(len(ids))
+                if with_ids:
+                    out["ids"].append(np.array(ids, np.int32))
+                out["ids_sha256"].append(sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
+                out["decoded_sha256"].append(sha256(b"".join(map(table.__getitem__, ids))).hexdigest())
+            yield pd.DataFrame(out)
+
+    return pick(docs, id_col, text_col).select(F.col(id_col), run(F.col(text_col)).alias("r")).select(id_col, "r.*")

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe_chunks, decontaminate, licenses
-from granary.llm.common import table
+from granary.llm import (
+    bpe_chunks, decontaminate, language_id, licenses, line_rules, quality_net, simhash, style_tree, suffix_dedup, url_filter,
+)
+from granary.llm.common import share, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -24,6 +26,43 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash.components(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_net.fit(docs, table(spark, sf_dir, "labels"), learn_from=lambda c: share(c, 5, (1, 2, 3, 4)))
+    got = docs.select("doc_id", share(F.col("doc_id"), 5, (0,)).alias("held_out"), quality_net.score_column(F.col("text"), model).alias("score"))
+    return got.withColumn("predicted", (F.col("score") >= quality_net.THRESHOLD).cast("int"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.filter(share(F.col("doc_id"), 3, (0, 2))))
+    got = language_id.identify(docs, model)
+    return got.select("doc_id", share(F.col("doc_id"), 3, (1,)).alias("held_out"), "lang_pred", "score")
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = line_rules.fit(docs, table(spark, sf_dir, "labels"), learn_from=lambda c: share(c, 5, (1, 2, 3, 4)))
+    return line_rules.judge(docs, field)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.select(
@@ -32,14 +71,20 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = style_tree.extract(table(spark, sf_dir, "pages"))
+    return got.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_chunks.digests(table(spark, sf_dir, "documents"), vocabulary_path())
+    return bpe_chunks.encode_texts(table(spark, sf_dir, "documents"), vocabulary_path(), with_ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_license_scan": op1_license_scan,
-    "op8_decontaminate": op8_decontaminate,
-    "op10_bpe": op10_bpe,
+    f.__name__: f for f in (
+        op1_license_scan, op2_simhash, op3_quality, op4_language, op5_suffix_dedup, op6_line_rules, op7_url_filter,
+        op8_decontaminate, op9_main_text, op10_bpe,
+    )
 }
 
 ORACLE: dict[str, str] = {}
