@@ -40,30 +40,6 @@ def export_rename(name: Column) -> Column:
     ).otherwise(name)
 
 
-def parse_wide_name(name: str) -> tuple[str, str, str]:
-    """Plan-time twin of :func:`parse_wide_column` for a column name held in
-    the schema (names are metadata, so they are parsed where the plan is
-    built). Returns (Crop, Metric, Season); 'Unknown' x3 when unmatched."""
-    import re
-
-    m = re.search(BROAD_METRIC_PATTERN, name)
-    if not m:
-        return "Unknown", "Unknown", "Unknown"
-    crop, rest = name[: m.start()], name[m.start() + 1:]
-    for s in SEASONS:
-        if rest.endswith("_" + s):
-            return crop, rest[: -(len(s) + 1)], s
-    return crop, rest, FALLBACK_SEASON
-
-
-def export_rename_name(name: str) -> str:
-    """Plan-time twin of :func:`export_rename` for one column name."""
-    import re
-
-    m = re.match(EXPORT_SEASON_PATTERN, name)
-    return f"{m.group(1)}_{m.group(3)}_{m.group(2)}" if m else name
-
-
 def _season_of(rest: Column) -> Column:
     out = F.lit(None).cast("string")
     for s in reversed(SEASONS):

@@ -21,3 +21,24 @@ def safe_float(c: Column) -> Column:
 def nan_to_null(c: Column) -> Column:
     """Floating NaN becomes a real NULL."""
     return F.when(~F.isnan(c), c)
+
+
+def py_float_text(c: Column) -> Column:
+    """A double as Python prints it: the shortest digits, in plain form for exponents from -4 to 15,
+    else as ``d.ddde+XX``. Spark goes over to ``1.0E7`` much earlier."""
+    s = c.cast("string")
+    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    body = F.regexp_replace(s, "^-", "")
+    digits = F.replace(F.regexp_replace(F.substring_index(body, "E", 1), r"\.0$", ""), F.lit("."), F.lit(""))
+    exp = F.substring_index(body, "E", -1).try_cast("int")
+    whole = F.rpad(F.substring(digits, F.lit(1), exp + 1), exp + 1, F.lit("0"))
+    rest = F.substring(digits, exp + 2, F.lit(64))
+    large = F.concat(whole, F.lit("."), F.when(rest == "", F.lit("0")).otherwise(rest))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    tail = F.substring(digits, F.lit(2), F.lit(64))
+    power = F.concat(
+        F.substring(digits, F.lit(1), F.lit(1)), F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)),
+        F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(exp).cast("string"), 2, "0"))
+    shifted = F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power)
+    named = F.when(s == "NaN", F.lit("nan")).when(s == "Infinity", F.lit("inf")).when(s == "-Infinity", F.lit("-inf"))
+    return F.coalesce(named, F.when(s.contains("E"), F.concat(sign, shifted)).otherwise(s))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.hashing import record_hash
+from granary.functions.numeric import py_float_text
 
 LINEAGE_COLUMNS = ["source_record_hash", "source_dataset", "source_resource_id", "source_system", "ingested_at"]
 # Prefix given to payload keys that collide with a lineage column (trap T9).
@@ -18,6 +19,20 @@ def stringify(record: Column) -> Column:
     return F.transform_values(record, lambda k, v: v.cast("string"))
 
 
+def row_record(df: DataFrame, cols: list[str]) -> Column:
+    """A row's columns as a text record, each value as Python's ``str`` prints it; NULL stays NULL."""
+    kinds = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        if kinds[c] in ("double", "float"):
+            return py_float_text(F.col(c).cast("double"))
+        if kinds[c] == "boolean":
+            return F.initcap(F.col(c).cast("string"))
+        return F.col(c).cast("string")
+
+    return F.create_map(*[x for c in cols for x in (F.lit(c), text(c))])
+
+
 def columns_to_record(cols: list[str]) -> Column:
     """Typed columns -> ``map<string,string>`` record, keys in the given order."""
     return F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("string"))])

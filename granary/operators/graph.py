@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.session import shared_dir
+
 CIRCULAR = "CIRCULAR_LINEAGE"
 MISSING_YEAR = "MISSING_YEAR"
-CHECKPOINT_EVERY = 4
 
 
 def graph_nodes(edges: DataFrame, seq: list[str]) -> DataFrame:
@@ -38,35 +39,68 @@ def graph_edges(edges: DataFrame, seq: list[str]) -> DataFrame:
     ).select("source_district", "target_district", "a.event_type", "a.effective_year", "a.source")
 
 
-def _checkpoint(df: DataFrame, i: int) -> DataFrame:
-    # Reliable checkpoint into spark.checkpoint.dir: cuts the plan lineage of
-    # the iteration and survives executor loss.
-    if i % CHECKPOINT_EVERY == 0:
-        from granary.session import shared_dir
-        shared_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into spark.checkpoint.dir: cuts the lineage of an
+    iteration, so no round works out the one before again."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _chains(e: DataFrame) -> DataFrame:
+    """Edges (src, tgt) with ``chain``: the first inner node of the unbranched
+    path that the edge belongs to, NULL for an edge between other nodes.
+
+    An inner node has one edge in and one out. Each points at its predecessor
+    while that is an inner node too; pointers double until they stand still,
+    so a path of n edges takes log2(n) rounds. On a closed ring of inner nodes
+    pointers never stand still; the rounds are bounded by the number of nodes.
+    """
+    into = e.groupBy("tgt").agg(F.count(F.lit(1)).alias("n_in"), F.min("src").alias("pred"))
+    out = e.groupBy("src").agg(F.count(F.lit(1)).alias("n_out"))
+    inner = into.where("n_in = 1").join(out.where("n_out = 1"), F.col("tgt") == F.col("src")).select(F.col("tgt").alias("node"), "pred")
+    names = inner.select(F.col("node").alias("pred"), F.lit(True).alias("inner"))
+    up = _checkpoint(inner.join(names, "pred", "left").select(
+        "node", F.when(F.col("inner"), F.col("pred")).otherwise(F.col("node")).alias("up")))
+    rounds = max(1, up.count()).bit_length() + 1
+    for _ in range(rounds):
+        step = up.select(F.col("node").alias("up"), F.col("up").alias("over"))
+        new = _checkpoint(up.join(step, "up").select("node", F.col("over").alias("up"), (F.col("over") != F.col("up")).alias("moved")))
+        up = new.select("node", "up")
+        if new.where("moved").isEmpty():
+            break
+    # the edge out of an inner node, and the edge into a path's first node, belong to the path
+    by_src = up.select(F.col("node").alias("src"), F.col("up").alias("chain_out"))
+    by_tgt = up.select(F.col("node").alias("tgt"), F.col("up").alias("chain_in"))
+    return e.join(by_src, "src", "left").join(by_tgt, "tgt", "left").select(
+        "src", "tgt", F.coalesce("chain_out", "chain_in").alias("chain"))
 
 
 def cyclic_core(edges: DataFrame) -> DataFrame:
-    """Distinct (src, tgt) pairs that can lie on a cycle: repeatedly keep an
-    edge only if its source has an incoming and its target an outgoing edge.
+    """Distinct (src, tgt) pairs that can lie on a cycle.
+
+    Unbranched paths are first drawn together into one edge each, then an edge
+    stays only while its source has an edge in and its target one out. So a
+    long chain goes in one round; rounds grow with the depth of branching.
     An empty result proves the graph acyclic."""
-    e = edges.select(F.col("source_district").alias("src"), F.col("target_district").alias("tgt")).distinct()
-    e = _checkpoint(e, 0)
-    prev = e.count()
-    i = 0
-    while True:
-        i += 1
-        has_in = e.select(F.col("tgt").alias("src")).distinct()
-        has_out = e.select(F.col("src").alias("tgt")).distinct()
-        e2 = e.join(has_in, "src", "left_semi").join(has_out, "tgt", "left_semi").select("src", "tgt")
-        e2 = _checkpoint(e2, i)
-        n = e2.count()
-        e = e2
-        if n == prev:
-            return e
-        prev = n
+    e = _checkpoint(edges.select(F.col("source_district").alias("src"), F.col("target_district").alias("tgt")).distinct())
+    marked = _checkpoint(_chains(e))
+    whole = marked.where(F.col("chain").isNull()).select("src", "tgt", F.lit(None).cast("string").alias("chain"))
+    inside = marked.where(F.col("chain").isNotNull())
+    starts = inside.join(inside.select(F.col("tgt").alias("src"), "chain"), ["src", "chain"], "left_anti").select("src", "chain")
+    ends = inside.join(inside.select(F.col("src").alias("tgt"), "chain"), ["tgt", "chain"], "left_anti").select("tgt", "chain")
+    rings = inside.select("chain").distinct().join(starts.select("chain").distinct(), "chain", "left_anti")
+    g = _checkpoint(whole.unionByName(starts.join(ends, "chain").select("src", "tgt", "chain")))
+    left = g.count()
+    while left:
+        has_in = g.select(F.col("tgt").alias("src")).distinct()
+        has_out = g.select(F.col("src").alias("tgt")).distinct()
+        g = _checkpoint(g.join(has_in, "src", "left_semi").join(has_out, "tgt", "left_semi").select("src", "tgt", "chain"))
+        before, left = left, g.count()
+        if left == before:
+            break
+    stay = g.where(F.col("chain").isNotNull()).select("chain").union(rings.select("chain")).distinct()
+    return _checkpoint(g.where(F.col("chain").isNull()).select("src", "tgt").unionByName(
+        inside.join(stay, "chain", "left_semi").select("src", "tgt")))
 
 
 def simple_cycles(edges: DataFrame, max_length: int | None = None) -> DataFrame:
@@ -94,7 +128,7 @@ def simple_cycles(edges: DataFrame, max_length: int | None = None) -> DataFrame:
         ext = paths.join(e.select(F.col("src").alias("last"), "tgt"), "last").where(
             (F.col("tgt") > F.col("root")) & ~F.array_contains(F.col("nodes"), F.col("tgt"))
         ).select("root", F.col("tgt").alias("last"), F.array_append("nodes", F.col("tgt")).alias("nodes"))
-        ext = _checkpoint(ext, length)
+        ext = _checkpoint(ext)
         if ext.isEmpty():
             break
         length += 1
@@ -107,9 +141,17 @@ def simple_cycles(edges: DataFrame, max_length: int | None = None) -> DataFrame:
     return out
 
 
+def quoted(c) -> F.Column:
+    """A text as Python prints it inside a list: single quotes, or double ones if it holds a single
+    quote and no double one; backslashes and, where needed, single quotes are escaped."""
+    safe = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    single = F.concat(F.lit("'"), F.replace(safe, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(c.contains("'") & ~c.contains('"'), F.concat(F.lit('"'), safe, F.lit('"'))).otherwise(single)
+
+
 def cycle_text(cycle) -> F.Column:
     """Python list text of a cycle: ['a', 'b']."""
-    return F.concat(F.lit("['"), F.array_join(cycle, "', '"), F.lit("']"))
+    return F.concat(F.lit("["), F.array_join(F.transform(cycle, quoted), ", "), F.lit("]"))
 
 
 def cycle_issues(edges: DataFrame, max_length: int | None = None) -> DataFrame:

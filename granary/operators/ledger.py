@@ -59,19 +59,29 @@ def run_ledger(jobs: DataFrame) -> DataFrame:
     )
 
 
-def latest_incomplete_run(runs: DataFrame) -> DataFrame:
-    """Newest run whose status is not completed (ties: larger run_id)."""
+def latest_incomplete_run(runs: DataFrame, fresh_id: str | None = None) -> DataFrame:
+    """Newest run whose status is not completed (ties: larger run_id). Where
+    there is none, one row for a run to start: ``fresh_id`` (a new UUID when
+    not given), without a start time."""
+    fresh = F.lit(fresh_id) if fresh_id is not None else F.expr("uuid()")
+    kind = runs.schema["started_at"].dataType
     return runs.where(F.col("status") != "completed").agg(
         F.max_by(F.struct("run_id", "started_at"), F.struct("started_at", "run_id")).alias("r")
-    ).where(F.col("r").isNotNull()).select("r.run_id", "r.started_at")
+    ).select(F.coalesce("r.run_id", fresh).alias("run_id"), F.col("r.started_at").cast(kind).alias("started_at"))
 
 
-def resume_frontier(jobs: DataFrame, limit: int | Column) -> DataFrame:
-    """Per run: max offset + limit (0 for a run without jobs)."""
+def resume_frontier(jobs: DataFrame, limit: int | Column, runs: DataFrame | None = None) -> DataFrame:
+    """Per run: max offset + limit; 0 for a run of ``runs`` without jobs."""
     lim = limit if isinstance(limit, Column) else F.lit(limit)
-    return jobs.groupBy("run_id").agg(
-        F.coalesce(F.max("offset_value") + lim, F.lit(0)).cast("bigint").alias("next_offset")
-    )
+    last = jobs.groupBy("run_id").agg((F.max("offset_value") + lim).alias("next_offset"))
+    if runs is not None:
+        last = runs.select("run_id").distinct().join(last, "run_id", "left")
+    return last.select("run_id", F.coalesce("next_offset", F.lit(0)).cast("bigint").alias("next_offset"))
+
+
+def elapsed_seconds(start: Column, end: Column) -> Column:
+    """Seconds between two times, with their fraction."""
+    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
 
 
 def offset_plan(spark: SparkSession, total: int, limit: int, partitions: int | None = None) -> DataFrame:
@@ -89,6 +99,12 @@ def resume_plan(planned: DataFrame, jobs: DataFrame, run_id: str) -> DataFrame:
     return planned.join(done, "offset_value", "left_anti")
 
 
+def unfinished(planned: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Planned (run_id, offset_value) without a completed attempt in the same run."""
+    done = attempts.where(F.col("status") == "completed").select("run_id", "offset_value").distinct()
+    return planned.join(done, ["run_id", "offset_value"], "left_anti")
+
+
 def manifest_skip(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     """Download decision per listed URL.
 
@@ -126,7 +142,7 @@ def run_metrics(page_rows: DataFrame, merge_rows: DataFrame) -> DataFrame:
         F.count_if(F.col("in_batch") & ~F.col("was_present")).alias("records_inserted"),
         F.count_if(F.col("in_batch") & F.col("was_present")).alias("records_updated"),
         F.count_if(F.col("is_error")).alias("records_failed"),
-        F.timestamp_diff("SECOND", F.min("fetched_at"), F.max("fetched_at")).cast("double").alias("elapsed"),
+        elapsed_seconds(F.min("fetched_at"), F.max("fetched_at")).alias("elapsed"),
     )
     return a.select(
         "run_id", "records_fetched", "records_inserted", "records_updated", "records_failed",

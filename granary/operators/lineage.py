@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from granary.functions.hashing import district_id
 from granary.functions.text import blank_to_null, clean_name, decade_start, event_label, py_strip, title_case
-from granary.plans.tables import broadcast_if_small
 
 # Fixed values that must equal the reference's behaviour.
 # Event CSV layouts, checked in this order; the first whose two marker
@@ -51,7 +50,7 @@ def clean_with_aliases(df: DataFrame, cols: list[str], aliases: DataFrame | None
     out = df.withColumns({c: clean_name(F.col(f"`{c}`")) for c in cols})
     if aliases is None:
         return out
-    a = broadcast_if_small(unique_aliases(aliases))
+    a = unique_aliases(aliases)
     for c in cols:
         m = a.select(F.col("alias").alias(f"_a_{c}"), F.col("canonical").alias(f"_c_{c}"))
         out = (out.join(m, F.col(f"`{c}`") == F.col(f"_a_{c}"), "left")
@@ -129,8 +128,8 @@ def lineage_edges(events: DataFrame, aliases: DataFrame | None = None, distinct:
     if aliases is not None:
         # MERGER parents were cleaned above; their alias lookup is one
         # conditional join over all edges (no split-and-union of the input)
-        a = broadcast_if_small(unique_aliases(aliases).select(F.col("alias").alias("_alias"),
-                                                             F.col("canonical").alias("_canon")))
+        a = unique_aliases(aliases).select(F.col("alias").alias("_alias"),
+                                                             F.col("canonical").alias("_canon"))
         e = (e.join(a, F.col("_merger") & (F.col("source_district") == F.col("_alias")), "left")
              .withColumn("source_district", F.coalesce(F.col("_canon"), F.col("source_district")))
              .drop("_alias", "_canon"))

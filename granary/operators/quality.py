@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.functions.numeric import py_float_text
+
 # Fixed values that must equal the reference's behaviour.
 NULL_CHECK_COLUMNS = ["state_name", "district_name", "crop_name", "year"]
 NEGATIVE_CHECK_COLUMNS = ["area_hectare", "production_tonnes", "yield_ton_per_hectare"]
@@ -28,12 +30,6 @@ def _issue(cond: Column, hash_col: str, field: str, issue_type: str, detail: Col
     )
 
 
-def _py_float_text(c: Column) -> Column:
-    # Python prints integral floats with ".0" and others in shortest form;
-    # Spark's double->string agrees below 1e7, which covers the measures here.
-    return c.cast("string")
-
-
 def null_issues(hash_col: str = "source_record_hash") -> list[Column]:
     return [
         _issue(F.col(c).isNull(), hash_col, c, "null_value", F.lit(f"{c} is null"), "warning")
@@ -44,7 +40,7 @@ def null_issues(hash_col: str = "source_record_hash") -> list[Column]:
 def negative_issues(hash_col: str = "source_record_hash") -> list[Column]:
     return [
         _issue(F.col(c) < 0, hash_col, c, "negative_value",
-               F.concat(F.lit(f"{c} = "), _py_float_text(F.col(c))), "error")
+               F.concat(F.lit(f"{c} = "), py_float_text(F.col(c))), "error")
         for c in NEGATIVE_CHECK_COLUMNS
     ]
 

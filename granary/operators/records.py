@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.functions.text import error_truncate
 from granary.schemas import ENVELOPE
 
 
@@ -62,10 +63,32 @@ def is_empty_html(html: Column) -> Column:
     return html.contains("No Data Found") | ~html.contains("table")
 
 
+def page_reason(raw: Column) -> Column:
+    """Why a page is set aside, else NULL: ``malformed`` (neither a JSON object
+    nor an HTML page; also a cut-off one or NULL), ``error`` (the envelope says
+    so), ``empty`` (an HTML answer without data)."""
+    is_html = F.coalesce(F.lower(F.ltrim(raw)).startswith("<"), F.lit(False))
+    keys = F.json_object_keys(raw)
+    return (
+        F.when(is_html, F.when(is_empty_html(raw), F.lit("empty")))
+        .when(keys.isNull(), F.lit("malformed"))
+        .when(is_error_page(raw), F.lit("error"))
+    )
+
+
 def split_error_pages(pages: DataFrame, json_col: str = "raw_json") -> tuple[DataFrame, DataFrame]:
-    """Route pages to (good, quarantine) by the error rule. The rule reads
-    the raw text only; each side parses its envelopes once, when used."""
-    flag = is_error_page(F.col(json_col))
-    good = pages.filter(~flag)
-    bad = pages.filter(flag)
+    """Route pages to (good, quarantine); quarantined pages have a ``reason``.
+    The rule reads the raw text only; each side parses its envelopes once,
+    when used."""
+    marked = pages.withColumn("reason", page_reason(F.col(json_col)))
+    good = marked.where(F.col("reason").isNull()).drop("reason")
+    bad = marked.where(F.col("reason").isNotNull())
     return parse_envelope(good, json_col), parse_envelope(bad, json_col)
+
+
+def failed_jobs(quarantine: DataFrame, json_col: str = "raw_json") -> DataFrame:
+    """Quarantined pages as job rows: what failed, and its error text."""
+    said = F.coalesce(F.get_json_object(F.col(json_col), "$.error"), F.lit(""))
+    text = F.when(F.col("reason") == "error", said).otherwise(F.concat(F.col("reason"), F.lit(" page")))
+    return quarantine.select("run_id", F.col("offset").alias("offset_value"), "attempt", "reason",
+                             F.lit("failed").alias("status"), error_truncate(text).alias("error_message"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions.headers import export_rename_name, parse_wide_column, parse_wide_name
+from granary.functions.headers import export_rename, parse_wide_column
 from granary.functions.text import crop_label
 
 # Fixed values that must equal the reference's behaviour: identifier columns
@@ -19,7 +19,6 @@ EXPORT_ID_COLUMNS = [
     "id", "State", "District", "Year", "source_record_hash", "source_dataset",
     "source_resource_id", "source_system", "ingested_at",
 ]
-MAX_META_ROWS = 10_000  # a name table is broadcast only below this many columns
 
 
 def export_reorder(df: DataFrame, preferred: list[str] | None = None) -> DataFrame:
@@ -31,9 +30,11 @@ def export_reorder(df: DataFrame, preferred: list[str] | None = None) -> DataFra
 
 
 def renamed_columns(spark: SparkSession, names: list[str]) -> list[str]:
-    """``Crop_Season_Metric`` -> ``Crop_Metric_Season`` for a list of names
-    (schema metadata, renamed where the plan is built)."""
-    return [export_rename_name(n) for n in names]
+    """``Crop_Season_Metric`` -> ``Crop_Metric_Season`` for a list of names: the
+    column expression, run over a frame of the names (one row per column)."""
+    frame = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "pos int, name string")
+    rows = frame.select("pos", export_rename(F.col("name")).alias("name")).collect()
+    return [r["name"] for r in sorted(rows)]
 
 
 def export_rename_columns(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -61,18 +62,24 @@ def wide_to_long(df: DataFrame, ids: list[str], values: list[str] | None = None,
     return cast.unpivot(ids, values, var, value)
 
 
-def melt_meta_join(long: DataFrame, meta: DataFrame, n_columns: int, on: str = "original_col") -> DataFrame:
+def melt_meta_join(long: DataFrame, meta: DataFrame, on: str = "original_col") -> DataFrame:
     """Left join of long rows with the per-column metadata.
 
-    The metadata has one row per value column (``n_columns``), a bound known
-    from the schema, so it is broadcast when below ``MAX_META_ROWS``.
+    The metadata has one row per value column, so the planner broadcasts it
+    as long as the schema is of an ordinary width.
     """
-    m = F.broadcast(meta) if n_columns <= MAX_META_ROWS else meta
-    return long.join(m, on, "left")
+    return long.join(meta, on, "left")
+
+
+def metric_names(meta: DataFrame) -> list[str]:
+    """The metrics that the columns' names hold, from a pass over the column catalogue."""
+    rows = meta.where(F.col("Metric") != "Unknown").select("Metric").distinct().collect()
+    return sorted(r["Metric"] for r in rows)
 
 
 def pivot_metrics(long_meta: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    """(keys, Crop, Season) x Metric -> first non-NULL value.
+    """(keys, Crop, Season) x Metric -> first non-NULL value. ``metrics`` comes
+    from :func:`metric_names`, so no metric is left out.
 
     "First" follows the export's column order (``pos``), as the pandas pivot
     with ``aggfunc='first'`` does over melted rows, so ``min_by(Value, pos)``
@@ -117,11 +124,7 @@ def wide_to_tidy(spark: SparkSession, df: DataFrame, ids: list[str] | None = Non
     """
     ids = [c for c in (ids or EXPORT_ID_COLUMNS) if c in df.columns]
     names = value_columns(df, ids)
-    if parser is parse_wide_column:  # names are schema: parse them here
-        meta = [{"original_col": n, "pos": i, **dict(zip(("Crop", "Metric", "Season"), parse_wide_name(n)))}
-                for i, n in enumerate(names)]
-    else:
-        meta = column_meta(spark, names, parser).collect()  # one row per column
+    meta = column_meta(spark, names, parser).collect()  # one row per column
     keys, metrics, groups = tidy_groups(meta)
 
     def metric_value(cols: list[str]) -> Column:

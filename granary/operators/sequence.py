@@ -6,6 +6,10 @@ finishes. Here rows are first range-partitioned on (key, order...), which
 splits a hot key across many partitions; ``lead`` then runs per
 (key, partition) and the missing successor of each partition's last row is
 taken from a small per-(key, partition) summary (one row each).
+
+Range bounds are sampled anew each time a ranged frame is computed, so the
+rows and their partition numbers are written once (a reliable checkpoint) and
+both branches read that.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.session import shared_dir
+
 
 def successor_pairs(df: DataFrame, key: str, order: list[str], payload: list[str],
                     num_partitions: int | None = None) -> DataFrame:
@@ -25,6 +31,8 @@ def successor_pairs(df: DataFrame, key: str, order: list[str], payload: list[str
     cols = order + [c for c in payload if c not in order]
     row = F.struct(*[F.col(c) for c in cols])
     ranged = df.repartitionByRange(n, key, *order).select(key, row.alias("r"), F.spark_partition_id().alias("_pid"))
+    shared_dir(df.sparkSession)
+    ranged = ranged.checkpoint()
     w = Window.partitionBy(key, "_pid").orderBy(*[F.col("r." + c) for c in order])
     inner = ranged.select(key, F.col("r").alias("prev"), F.lead("r").over(w).alias("next")).where(F.col("next").isNotNull())
     ord_struct = F.struct(*[F.col("r." + c) for c in order])

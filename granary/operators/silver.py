@@ -39,6 +39,26 @@ def _sources_of(target: str) -> list[str]:
     return [k for k, v in SILVER_FIELD_MAP.items() if v == target]
 
 
+def silver_select(rows: DataFrame, fields: list[str], keep: list[str] | None = None) -> DataFrame:
+    """The silver columns of rows whose fields are columns of their own, in record order.
+
+    The same rule as :func:`silver_map` (of several fields for one target the
+    last wins, also when NULL), decided from the names when the plan is
+    built. So only the fields in use are read; a silver column that a query
+    leaves out isn't worked out.
+    """
+    last = {SILVER_FIELD_MAP[f.lower()]: f for f in fields if f.lower() in SILVER_FIELD_MAP}
+
+    def value(target: str) -> Column:
+        if target not in last:
+            return F.lit(None).cast("double" if target in SILVER_MEASURES else "string")
+        c = F.col(f"`{last[target]}`")
+        return safe_float(c) if target in SILVER_MEASURES else py_strip(c)
+
+    keep = keep if keep is not None else ["source_record_hash"]
+    return rows.select(*[value(t).alias(t) for t in SILVER_TEXT + SILVER_MEASURES], *keep)
+
+
 # Key separator for the lower-cased key list; record keys must not contain it.
 _SEP = "\u0001"
 

@@ -8,7 +8,8 @@ l_shipdate, area_ = l_quantity, production_ = l_extendedprice,
 yield = l_extendedprice / l_quantity truncated to 0.01. All lineitem columns
 travel along so every record is distinct. Faults are derived from the row's
 own discount/tax values (no row is dropped): NULL crop, padded crop, NULL or
-malformed or ranged year, negative area, NULL district.
+malformed or ranged year, negative area (some very large or very small),
+NULL district.
 Numbers are rendered as DECIMAL(p,2) text ("17.00") so the text, and so the
 hash, is identical in every engine.
 """
@@ -18,13 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.functions.hashing import record_hash
 from granary.operators import bronze, records, silver
-from granary.plans.tables import broadcast_if_small, load
+from granary.plans.tables import load
 
 RESOURCE_ID = "crop-apy"
 DATASET_NAME = "District-wise, season-wise crop production statistics"
 SOURCE_SYSTEM = "tables"
-PAGE_DIV = 20  # orders per page -> at most 20 * 7 lines per envelope
+PAGE_DIV = 20  # orders per page
+PAGE_LINES = 4  # an envelope holds the lines of 20 orders whose numbers fall into one group of 4
 BASE_URL = "https://source.example/resource/crop-apy"
 
 RECORD_KEYS = [
@@ -49,8 +52,8 @@ def crop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     part = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = broadcast_if_small(load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = broadcast_if_small(load(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (
         li.join(part, li.l_partkey == part.p_partkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
@@ -71,7 +74,11 @@ def crop_fields(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
                          F.lpad((v % 100).cast("string"), 2, "0"))
     return lines.select(
         (F.col("l_orderkey") / PAGE_DIV).cast("bigint").alias("page_id"),
-        F.when(F.col("l_discount") == 0.07, _dec(-F.col("l_quantity"))).otherwise(_dec(F.col("l_quantity"))).alias("area_"),
+        (F.col("l_linenumber") / PAGE_LINES).cast("bigint").alias("page_part"),
+        F.when(F.col("l_discount") == 0.07, _dec(-F.col("l_quantity")))
+        .when(F.col("l_discount") == 0.08, F.concat(F.lit("-"), (cents * 7).cast("string"), F.lit(".5")))
+        .when(F.col("l_discount") == 0.1, F.concat(F.lit("-0.000"), qty.cast("string")))
+        .otherwise(_dec(F.col("l_quantity"))).alias("area_"),
         F.when(F.col("l_discount") == 0.03, F.lit(None).cast("string"))
         .when(F.col("l_discount") == 0.04, F.concat(F.lit("  "), F.col("p_brand"), F.lit(" ")))
         .otherwise(F.col("p_brand")).alias("crop"),
@@ -110,12 +117,12 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001") -> Da
     """Landed page envelopes (PAGE schema) - one per page, plus a failed
     attempt (status=error, no records) before pages holding a very large line.
 
-    Each envelope gathers at most ``PAGE_DIV`` orders' lines, so the
-    ``collect_list`` per page is bounded whatever the table size. Both kinds
-    of envelope come out of the same per-page aggregation.
+    Line numbers count within an order, so an envelope (``PAGE_DIV`` orders and
+    ``PAGE_LINES`` line numbers) gathers at most 80 lines, however long an
+    order is. Both kinds of envelope come out of the same aggregation.
     """
     f = crop_fields(crop_lines(spark, sf_dir), extra=["l_extendedprice"])
-    recs = f.select("page_id", "l_extendedprice", bronze.columns_to_record(RECORD_KEYS).alias("record"))
+    recs = f.select("page_id", "page_part", "l_extendedprice", bronze.columns_to_record(RECORD_KEYS).alias("record"))
     # dataset size as the source reports it: the source table's row count,
     # answered from Parquet footers (no pass over the data)
     total = load(spark, sf_dir, "lineitem").count()
@@ -124,7 +131,7 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001") -> Da
                  F.lit("double" if k in ("area_", "production_", "yield") else "keyword").alias("type"))
         for k in ["state_name", "district_name", "crop_year", "season", "crop", "area_", "production_", "yield"]
     ])
-    grouped = recs.groupBy("page_id").agg(F.collect_list("record").alias("records"),
+    grouped = recs.groupBy("page_id", "page_part").agg(F.collect_list("record").alias("records"),
                                           F.max("l_extendedprice").alias("mx"))
     ok = F.struct(F.lit(1).alias("attempt"), F.to_json(F.struct(
         F.lit(DATASET_NAME).alias("title"), F.lit("ok").alias("status"),
@@ -167,15 +174,14 @@ def crop_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crop_silver(spark: SparkSession, sf_dir: str, through_pages: bool = False) -> DataFrame:
-    """Silver rows. By default the records are hashed straight from the
-    table rows (same result as the page round trip, without the envelope
-    shuffle); ``through_pages=True`` runs the full landed-page chain."""
+    """Silver rows. By default straight from the table rows by an ordered
+    select (same result as the page round trip); ``through_pages=True`` runs
+    the full landed-page chain with record maps."""
     if through_pages:
-        b = crop_bronze(spark, sf_dir)
-    else:
-        b = bronze.enrich(crop_records(spark, sf_dir), source_dataset=DATASET_NAME,
-                          source_resource_id=RESOURCE_ID, source_system=SOURCE_SYSTEM)
-    return silver.silver_map(b)
+        return silver.silver_map(crop_bronze(spark, sf_dir))
+    f = crop_fields(crop_lines(spark, sf_dir))
+    f = f.withColumn("source_record_hash", record_hash(bronze.columns_to_record(RECORD_KEYS)))
+    return silver.silver_select(f, RECORD_KEYS)
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -184,6 +190,8 @@ CROP_FIELDS_SQL = """
 SELECT
   CAST(l_orderkey // 20 AS BIGINT) AS page_id,
   CASE WHEN l_discount = 0.07 THEN CAST(CAST(-l_quantity AS DECIMAL(12,2)) AS VARCHAR)
+       WHEN l_discount = 0.08 THEN '-' || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * 7 AS VARCHAR) || '.5'
+       WHEN l_discount = 0.1 THEN '-0.000' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
        ELSE CAST(CAST(l_quantity AS DECIMAL(12,2)) AS VARCHAR) END AS area_,
   CASE WHEN l_discount = 0.03 THEN NULL
        WHEN l_discount = 0.04 THEN '  ' || p_brand || ' '

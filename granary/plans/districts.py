@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.text import title_case
 from granary.operators import lineage
-from granary.plans.tables import broadcast_if_small, load
+from granary.plans.tables import load
 
 FILES = [("new_districts.csv", "https://files.example/new_districts.csv"),
          ("splits.csv", "https://files.example/splits.csv"),
@@ -29,8 +29,8 @@ URL = dict(FILES)
 
 
 def _geo(spark, sf_dir):
-    nation = broadcast_if_small(load(spark, sf_dir, "nation"))
-    region = broadcast_if_small(load(spark, sf_dir, "region"))
+    nation = load(spark, sf_dir, "nation")
+    region = load(spark, sf_dir, "region")
     return nation, region
 
 

@@ -1,6 +1,7 @@
 """Graph keys over event-type transitions: for each user, an edge from each
 event's type to the type of the user's next event (ts, event_id order).
-Five types give a dense little graph with many circuits."""
+Five types (one renamed so that it holds an apostrophe) give a dense little
+graph with many circuits."""
 
 from __future__ import annotations
 
@@ -16,7 +17,8 @@ SEQ = ["seq_user", "seq_ts", "seq_id"]
 
 
 def transition_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    name = F.when(F.col("event_type") == "click", F.lit("o'click")).otherwise(F.col("event_type"))
+    ev = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", name.alias("event_type"), "value")
     p = successor_pairs(ev, "user_id", ["ts", "event_id"], ["event_type", "value"])
     return p.select(
         F.col("prev.event_type").alias("source_district"),
@@ -33,7 +35,7 @@ def transition_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 EDGES_SQL = """WITH t AS (
   SELECT user_id, event_type AS src, lead(event_type) OVER w AS tgt, lead(ts) OVER w AS nts,
          lead(event_id) OVER w AS nid, lead(value) OVER w AS nval
-  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+  FROM (SELECT * REPLACE (CASE WHEN event_type = 'click' THEN 'o''click' ELSE event_type END AS event_type) FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 edges AS (
   SELECT src AS source_district, tgt AS target_district, 'TRANSITION' AS event_type,
     CASE WHEN nval < 1.0 THEN NULL ELSE CAST(year(nts) AS VARCHAR) END AS effective_year,
@@ -54,7 +56,12 @@ cycles AS (
   UNION ALL SELECT [src] FROM e WHERE src = tgt)
 """
 
-CYCLE_ISSUES_SQL = "SELECT 'CIRCULAR_LINEAGE' AS issue_type, '[''' || array_to_string(cycle, ''', ''') || ''']' AS details FROM cycles"
+# a name that holds an apostrophe is printed in double quotes
+CYCLE_ISSUES_SQL = (
+    "SELECT 'CIRCULAR_LINEAGE' AS issue_type, '[' || array_to_string(list_transform(cycle, "
+    "lambda x: CASE WHEN contains(x, chr(39)) THEN chr(34) || x || chr(34) ELSE chr(39) || x || chr(39) END), ', ') "
+    "|| ']' AS details FROM cycles"
+)
 MISSING_SQL = "SELECT 'MISSING_YEAR' AS issue_type, source_district || ' -> ' || target_district AS details FROM edges WHERE effective_year IS NULL"
 
 

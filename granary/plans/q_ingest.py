@@ -103,14 +103,16 @@ def lineage_enrich(spark, sf_dir):
     "bronze_stringify",
     """SELECT c_custkey, k AS field, v AS value FROM (
   SELECT c_custkey, unnest(map_keys(m)) AS k, unnest(map_values(m)) AS v FROM (
-    SELECT c_custkey, MAP {'c_acctbal': CAST(c_acctbal AS VARCHAR), 'c_custkey': CAST(c_custkey AS VARCHAR),
+    SELECT c_custkey, MAP {'c_acctbal': CAST(c_acctbal AS VARCHAR), 'c_credit': CAST(c_acctbal * 10000 AS VARCHAR),
+      'c_rate': CAST(c_acctbal / 16777216 AS VARCHAR), 'c_custkey': CAST(c_custkey AS VARCHAR),
       'c_mktsegment': c_mktsegment, 'c_name': c_name, 'c_nationkey': CAST(c_nationkey AS VARCHAR)} AS m
     FROM customer))""",
 )
 def bronze_stringify(spark, sf_dir):
     """Typed row -> text record (``str(v)``; NULL stays NULL), one row per field."""
-    c = load(spark, sf_dir, "customer")
-    rec = bronze.columns_to_record(["c_acctbal", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"])
+    c = load(spark, sf_dir, "customer").withColumn("c_credit", F.col("c_acctbal") * 10000)
+    c = c.withColumn("c_rate", F.col("c_acctbal") / 16777216)
+    rec = bronze.row_record(c, ["c_acctbal", "c_credit", "c_rate", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"])
     return c.select("c_custkey", F.explode(rec).alias("field", "value"))
 
 

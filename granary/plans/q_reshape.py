@@ -106,7 +106,7 @@ def melt_meta_join(spark, sf_dir):
     e = _export(spark, sf_dir)
     names = reshape.value_columns(e, wide.IDS)
     meta = reshape.column_meta(spark, names).drop("pos")
-    return reshape.melt_meta_join(reshape.wide_to_long(e, wide.IDS), meta, len(names))
+    return reshape.melt_meta_join(reshape.wide_to_long(e, wide.IDS), meta)
 
 
 def _tidy_sql(label: bool) -> str:
@@ -131,8 +131,8 @@ def pivot_metrics(spark, sf_dir):
     e = _export(spark, sf_dir)
     names = reshape.value_columns(e, wide.IDS)
     meta = reshape.column_meta(spark, names)
-    lm = reshape.melt_meta_join(reshape.wide_to_long(e, wide.IDS), meta, len(names))
-    return reshape.pivot_metrics(lm, wide.IDS, wide.METRICS)
+    lm = reshape.melt_meta_join(reshape.wide_to_long(e, wide.IDS), meta)
+    return reshape.pivot_metrics(lm, wide.IDS, reshape.metric_names(meta))
 
 
 @query("drop_all_null_metrics", _tidy_sql(label=False))

@@ -1,9 +1,8 @@
-"""Loading the driver tables and guarded broadcast."""
+"""Loading the driver tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -11,48 +10,7 @@ TABLES = [
 ]
 
 
-SPREAD_MIN_BYTES = 1024 * 1024
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a scan that arrives in fewer splits than the
-    cluster's parallelism (e.g. one file with one row group).
-
-    On large inputs the scan already has more splits than cores and nothing
-    changes; tiny tables (below ``SPREAD_MIN_BYTES``) are left alone.
-    """
-    est = estimated_bytes(df)
-    if est is None or est < SPREAD_MIN_BYTES:
-        return df
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:
-        return df
-    return df.repartition(target)
-
-
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (from file sizes and
-    projections; an upper bound for plain scans). No job is run. ``None``
-    when the session exposes no plan statistics (e.g. a remote client)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when its estimated size is at most ``max_bytes``;
-    beyond the bound the join is left to the planner (sort-merge, or AQE's
-    runtime switch when the real size turns out small)."""
-    est = estimated_bytes(df)
-    return F.broadcast(df) if est is not None and est <= max_bytes else df
+    """A table as it lies: its splits are the scan's. Which side of a join is broadcast is left to
+    the planner and, at run time, to AQE (``spark.sql.autoBroadcastJoinThreshold``)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -7,6 +7,7 @@ session this module builds is the one used by tests and ``bench.py``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,8 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at storage every
-    executor can reach. Only when the session has none (local tests) do we set
-    one ourselves, under the system temp folder.
+    executor can reach. A session that has none gets one under the system temp
+    folder if its master is local (tests); on a cluster that folder would be
+    one machine's disk, so the call fails.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
         conf = spark.conf.get("spark.checkpoint.dir", None)
         if conf:
             sc.setCheckpointDir(conf)
+        elif not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         else:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="granary-ckpt-"))
         current = sc.getCheckpointDir()

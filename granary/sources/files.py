@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators import lineage
-from granary.plans.tables import broadcast_if_small
 from granary.schemas import PAGE
 
 HEADER_PROBES = 16  # concurrent header reads when sorting files by layout
@@ -94,7 +93,7 @@ def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
         df = (spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
               .withColumn("source_document",
                           F.substring(F.col("_metadata.file_path"), len(qualified) + 2, 1 << 30)))
-        df = df.join(broadcast_if_small(m), "source_document", "left")  # one row per listed file
+        df = df.join(m, "source_document", "left")  # one row per listed file
         frames.append(lineage.events_from_layout(df, lay, aliases))
     if not frames:
         from granary.schemas import EVENT

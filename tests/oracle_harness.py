@@ -98,7 +98,7 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     registry.load_all()
-    spark = local_session(8)
+    spark = local_session(int(os.environ.get("HARNESS_CORES", "8")))
     con = duck(sf_dir)
     bad = 0
     for k in keys or sorted(registry.QUERIES):
