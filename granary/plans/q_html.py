@@ -14,15 +14,17 @@ from granary.sources import html
 PER_PAGE = 100
 LINK_SUFFIXES = [",", "."]  # the driver pages link no .pdf/.csv; these suffixes do occur
 
-_HEAD = ("<tr><th>Customer</th><th>Customer</th><th>Balance</th><th>Unnamed: 3_level_0</th></tr>"
-         "<tr><th>Name</th><th>Key</th><th>USD</th><th>Segment</th></tr>")
+# the header spans rows and columns; so do cells of customers with a negative balance
+_HEAD = ('<tr><th colspan="2">Customer</th><th>Balance</th><th rowspan="2">Segment</th></tr>'
+         "<tr><th>Name</th><th>Key</th><th>USD</th></tr>")
 
 
 def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
     bal = F.col("c_acctbal").cast("decimal(12,2)").cast("string")
     row = F.concat(F.lit("<tr><td> "), F.col("c_name"), F.lit(" </td><td>"), F.col("c_custkey").cast("string"),
-                   F.lit("</td><td>"), bal, F.lit("</td><td>"), F.col("c_mktsegment"), F.lit("</td></tr>"))
+                   F.when(F.col("c_acctbal") < 0, F.concat(F.lit('</td><td colspan="2">'), bal))
+                   .otherwise(F.concat(F.lit("</td><td>"), bal, F.lit("</td><td>"), F.col("c_mktsegment"))), F.lit("</td></tr>"))
     opt = F.concat(F.lit('<option value="'), F.col("c_custkey").cast("string"), F.lit('"  >'), F.col("c_name"),
                    F.lit(" </option>"))
     g = c.groupBy((F.col("c_custkey") / PER_PAGE).cast("bigint").alias("page_id")).agg(
@@ -39,9 +41,8 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CELLS = [("Customer_Name", "c_name"), ("Customer_Key", "CAST(c_custkey AS VARCHAR)"),
-          ("Balance_USD", "CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR)"), ("Segment", "c_mktsegment")]
-_HEADER_PARTS = {"Customer_Name": "['Customer', 'Name']", "Customer_Key": "['Customer', 'Key']",
-                 "Balance_USD": "['Balance', 'USD']", "Segment": "['Unnamed: 3_level_0', 'Segment']"}
+          ("Balance_USD", "CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR)"),
+          ("Segment", "CASE WHEN c_acctbal < 0 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) ELSE c_mktsegment END")]
 
 
 @query(

@@ -1,9 +1,12 @@
 """``arrow`` format: a Python data source that writes and reads Arrow IPC
 files (Feather v2). Spark has no built-in Arrow file format.
 
-Writing: each task streams its Arrow batches into one ``part-*.arrow``
-file. Reading: one input partition per file. Files are addressed through
-``pyarrow.fs`` so local paths and cluster file systems both work.
+Writing: each task streams its Arrow batches into one ``part-*.arrow`` file
+under ``_attempt-*``; only the files of the tasks that Spark counts are moved
+to the target when the job commits (with overwrite, in place of the old ones),
+so a retried or speculative task leaves nothing to read. Reading: one input
+partition per file. Files are addressed through ``pyarrow.fs``; give paths
+with a scheme on a cluster (``writers.write_arrow`` does).
 """
 
 from __future__ import annotations
@@ -53,16 +56,17 @@ class ArrowWriter(DataSourceArrowWriter):
     def __init__(self, path: str, overwrite: bool):
         self.path = path
         self.overwrite = overwrite
+        self.attempt = f"_attempt-{uuid.uuid4().hex}"
 
     def write(self, iterator):
         import pyarrow as pa
         from pyspark import TaskContext
 
         fs, base = _fs(self.path)
-        fs.create_dir(base, recursive=True)
+        fs.create_dir(f"{base}/{self.attempt}", recursive=True)
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
-        name = f"{base}/part-{pid:05d}-{uuid.uuid4().hex}.arrow"
+        name = f"{base}/{self.attempt}/part-{pid:05d}-{uuid.uuid4().hex}.arrow"
         rows = 0
         writer = None
         with fs.open_output_stream(name) as sink:
@@ -73,22 +77,29 @@ class ArrowWriter(DataSourceArrowWriter):
                 rows += batch.num_rows
             if writer is not None:
                 writer.close()
-        if writer is None:
-            fs.delete_file(name)
-            return _Written("", 0)
-        return _Written(name, rows)
+        return _Written(name if rows else "", rows)
 
     def commit(self, messages):
-        pass
+        import pyarrow.fs as pafs
 
-    def abort(self, messages):
-        fs, _ = _fs(self.path)
+        fs, base = _fs(self.path)
+        fs.create_dir(base, recursive=True)
+        old = [i.path for i in fs.get_file_info(pafs.FileSelector(base)) if i.path.endswith(".arrow")] if self.overwrite else []
         for m in messages:
-            if m is not None and getattr(m, "file", ""):
-                try:
-                    fs.delete_file(m.file)
-                except OSError:
-                    pass
+            if m is not None and m.file:
+                fs.move(m.file, f"{base}/{m.file.rsplit('/', 1)[1]}")
+        for path in old:
+            fs.delete_file(path)
+        self._clear(fs, base)
+
+    def abort(self, messages):
+        self._clear(*_fs(self.path))
+
+    def _clear(self, fs, base):
+        import pyarrow.fs as pafs
+
+        if fs.get_file_info(f"{base}/{self.attempt}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{base}/{self.attempt}")
 
 
 class ArrowReader(DataSourceReader):
@@ -127,16 +138,7 @@ class ArrowDataSource(DataSource):
         return ArrowReader(self.options["path"], schema)
 
     def writer(self, schema, overwrite):
-        path = self.options["path"]
-        if overwrite:  # runs once, before any task writes
-            import pyarrow.fs as pafs
-
-            fs, base = _fs(path)
-            if fs.get_file_info(base).type == pafs.FileType.Directory:
-                for i in fs.get_file_info(pafs.FileSelector(base)):
-                    if i.path.endswith(".arrow"):
-                        fs.delete_file(i.path)
-        return ArrowWriter(path, overwrite)
+        return ArrowWriter(self.options["path"], overwrite)
 
 
 def register(spark) -> None:

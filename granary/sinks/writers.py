@@ -21,8 +21,10 @@ EXPORT_PREFIX = "crop_statistics_raw_"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """CSV with header; padding is kept, an empty text is ``""``, NULL is nothing."""
     (df.write.mode(mode).option("header", True).option("timestampNTZFormat", TS_NTZ_FORMAT)
-     .option("escape", '"').csv(path))
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(path))
     return path
 
 
@@ -41,13 +43,19 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 def write_arrow(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Arrow IPC files (Feather v2), one per task, via the Python data source."""
     register_arrow(df.sparkSession)
-    df.write.format("arrow").mode(mode).save(path)
+    df.write.format("arrow").mode(mode).save(qualified(df.sparkSession, path))
     return path
 
 
+# What an unquoted empty field reads as before it becomes NULL; no text holds it.
+_CSV_NULL = "\u0000"
+
+
 def read_csv(spark, path: str, schema) -> DataFrame:
+    """What :func:`write_csv` wrote, value for value: also texts with line
+    breaks (a file is then read by one task; writers make one file per task)."""
     return (spark.read.schema(schema).option("header", True).option("timestampNTZFormat", TS_NTZ_FORMAT)
-            .option("escape", '"').csv(path))
+            .option("escape", '"').option("multiLine", True).option("nullValue", _CSV_NULL).option("emptyValue", "").csv(path))
 
 
 def read_jsonl(spark, path: str, schema) -> DataFrame:
@@ -56,7 +64,15 @@ def read_jsonl(spark, path: str, schema) -> DataFrame:
 
 def read_arrow(spark, path: str, schema) -> DataFrame:
     register_arrow(spark)
-    return spark.read.format("arrow").schema(schema).load(path)
+    return spark.read.format("arrow").schema(schema).load(qualified(spark, path))
+
+
+def qualified(spark, path: str) -> str:
+    """The path with its file system; one without a scheme is on the default file system, not on
+    each executor's own disk."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def timestamped_name(ts, extension: str) -> F.Column:

@@ -3,17 +3,15 @@ alias map, and a checksum manifest of downloaded files."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators import lineage
 from granary.schemas import PAGE
 
-HEADER_PROBES = 16  # concurrent header reads when sorting files by layout
-
 LANDED_PAGE = T.StructType(
     [f for f in PAGE.fields] + [T.StructField("attempt", T.IntegerType())]
 )
@@ -30,72 +28,129 @@ def read_landed_pages(spark: SparkSession, path: str, schema: T.StructType = LAN
             .withColumn("file_path", F.col("_metadata.file_path")))
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """filename, sha256, size and modification time of every file under
-    ``path`` - read by executors, hashed with Spark's ``sha2``."""
+def file_manifest(spark: SparkSession, path: str, glob: str | None = None, listing: DataFrame | None = None) -> DataFrame:
+    """One row per file under ``path``: filename (relative to it), checksum
+    (SHA-256), size, modification time; from ``listing`` (filename, source_url,
+    download_date) the URL the file came from and when it was fetched.
+
+    Files are read by executors as whole binary values, so a single file must
+    fit a JVM array (2 GB); there is no limit on their number.
+    """
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.option("recursiveFileLookup", "true").load(path)
-    return df.select(
-        F.element_at(F.split("path", "/"), -1).alias("filename"),
+    out = df.select(
+        _relative(F.col("path"), _qualified(spark, path)).alias("filename"),
         F.col("path").alias("source_path"),
         F.sha2("content", 256).alias("checksum"),
         F.col("length").alias("file_size"),
         F.col("modificationTime").cast("string").alias("last_modified"),
     )
+    if listing is None:
+        return out
+    by = listing.groupBy("filename").agg(F.max_by("source_url", "download_date").alias("source_url"),
+                                         F.max("download_date").alias("download_date"))
+    return out.join(by, "filename", "left")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString()
 
 
-def read_alias_map(spark: SparkSession, path: str) -> DataFrame:
-    """Alias JSON object (name -> canonical name) as a two-column table."""
-    txt = spark.read.option("wholetext", True).text(path)
+def _relative(file: Column, base: str) -> Column:
+    """A file's path below ``base``; URIs differ in the slashes after the scheme."""
+    bare = F.regexp_replace(file, "^([a-z0-9]+):/+", "$1:/")
+    start = re.sub("^([a-z0-9]+):/+", r"\1:/", base)
+    return F.substring(bare, F.lit(len(start) + 2), F.length(bare))
+
+
+def read_alias_map(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Alias JSON (name -> canonical name) as a two-column table: one object
+    per file, or with ``multi_line=False`` one object per line, which is how
+    a table of any size is written by its tasks."""
+    txt = spark.read.option("wholetext", multi_line).text(path)
     return txt.select(F.explode(F.from_json("value", "map<string,string>")).alias("alias", "canonical"))
 
 
-def _header(spark: SparkSession, file: str) -> list[str] | None:
-    try:
-        return spark.read.option("header", True).csv(file).columns
-    except Exception:  # unreadable file: skipped, the others go on
-        return None
+def _listed_lines(spark: SparkSession, manifest: DataFrame, raw_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(listed CSV files, their lines with file name and position)."""
+    listed = manifest.where(F.lower("filename").endswith(".csv")).groupBy("filename").agg(F.min("url").alias("url"))
+    text = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]").text(raw_dir)
+            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("at")))
+    lines = text.select(_relative(F.col("file"), _qualified(spark, raw_dir)).alias("filename"), "value", "block", "at")
+    return listed, lines.join(listed, "filename")
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """(filename, header line, its position): the first line of each file, from one pass over all files."""
+    first = lines.where(F.col("block") == 0).groupBy("filename").agg(
+        F.min_by("value", "at").alias("header"), F.min("at").alias("header_at"))
+    return first.withColumn("header", F.regexp_replace("header", "^\uFEFF", ""))
+
+
+def _layout_name(names: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for lay in reversed(lineage.LAYOUTS):  # the first that fits wins
+        fits = F.array_contains(names, lay["markers"][0]) & F.array_contains(names, lay["markers"][1])
+        out = F.when(fits, F.lit(lay["name"])).otherwise(out)
+    return out
+
+
+def _fields(line: Column, width: int) -> Column:
+    """The fields of a CSV line as an array of ``width`` texts."""
+    names = [f"c{i}" for i in range(width)]
+    row = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"escape": '"'})
+    return F.array(*[row.getField(n) for n in names])
+
+
+def _width(headers: DataFrame) -> int:
+    """Fields of the widest header (commas plus one; a bound on the real number)."""
+    row = headers.agg(F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))))).first()
+    return (row[0] or 0) + 1
 
 
 def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
                     aliases: DataFrame | None = None) -> DataFrame:
-    """Events from every CSV listed in the manifest (filename, url).
-
-    Non-CSV entries are skipped, missing or unreadable files are skipped
-    without stopping the others. Files are grouped by layout (first match on
-    the header) and each group is read as one Spark CSV scan; every row keeps
-    its file name, which is joined back to the manifest for the URL.
-    The loop runs over the manifest's file list (metadata), not over rows.
+    """Events from every CSV file listed in the manifest (filename, url).
+
+    Every file is read by its own header: files of one layout may order their
+    columns differently or hold further ones. All headers come from one
+    distributed pass; each line then finds its fields by its file's header.
+    The layout is the first whose markers the header holds. Files that give
+    no events are listed by :func:`event_csv_rejects`; entries of other kinds
+    are skipped. A value may not hold a line break.
     """
-    listed = [r["filename"] for r in manifest.select("filename").distinct().collect()]  # file list
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(raw_dir.rstrip("/"))
-    qualified = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(base).toString()
-    groups: dict[str, list[str]] = {}
-    paths = [f"{raw_dir.rstrip('/')}/{n}" for n in sorted(listed) if n.lower().endswith(".csv")]
-    # header probes read one line each; they run as concurrent small jobs
-    with ThreadPoolExecutor(max_workers=HEADER_PROBES) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p), paths))
-    for path, cols in zip(paths, headers):
-        if cols is None:  # missing or unreadable
-            continue
-        lay = lineage.layout_of(cols)
-        if lay is not None:
-            groups.setdefault(lay["name"], []).append(path)
-    m = manifest.select(F.col("filename").alias("source_document"), F.col("url").alias("source_url"))
+    _, lines = _listed_lines(spark, manifest, raw_dir)
+    headers = _headers(lines)
+    width = _width(headers)
+    headers = headers.withColumn("names", _fields(F.col("header"), width)).withColumn("layout", _layout_name(F.col("names")))
+    rows = lines.join(headers.drop("header"), "filename").where((F.col("at") != F.col("header_at")) & (F.col("value") != ""))
+    rows = rows.select("layout", "names", F.col("filename").alias("source_document"), F.col("url").alias("source_url"),
+                       _fields(F.col("value"), width).alias("fields"))
+
+    def field(name: str, absent: str | None) -> Column:
+        at = F.array_position("names", F.lit(name)).cast("int")
+        return F.when(at > 0, F.element_at("fields", F.greatest(at, F.lit(1)))).otherwise(F.lit(absent)).alias(name)
+
     frames = []
     for lay in lineage.LAYOUTS:
-        paths = groups.get(lay["name"])
-        if not paths:
-            continue
-        df = (spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-              .withColumn("source_document",
-                          F.substring(F.col("_metadata.file_path"), len(qualified) + 2, 1 << 30)))
-        df = df.join(m, "source_document", "left")  # one row per listed file
-        frames.append(lineage.events_from_layout(df, lay, aliases))
-    if not frames:
-        from granary.schemas import EVENT
-        return spark.createDataFrame([], EVENT)
+        mine = rows.where(F.col("layout") == lay["name"]).select(
+            field(lineage.STATE_COLUMN, ""), field(lay["parent"], None), field(lay["child"], None), field(lay["year"], None),
+            "source_document", "source_url")
+        frames.append(lineage.events_from_layout(mine, lay, aliases))
     return lineage.event_union(frames)
+
+
+def event_csv_rejects(spark: SparkSession, manifest: DataFrame, raw_dir: str) -> DataFrame:
+    """(filename, reason) of listed CSV files without events: ``missing or
+    empty`` (no line was read) or ``unknown layout``."""
+    listed, lines = _listed_lines(spark, manifest, raw_dir)
+    headers = _headers(lines)
+    known = _layout_name(_fields(F.col("header"), _width(headers)))
+    j = listed.join(headers.select("filename", "header", known.alias("layout")), "filename", "left")
+    return j.where(F.col("layout").isNull()).select(
+        "filename", F.when(F.col("header").isNull(), F.lit("missing or empty")).otherwise(F.lit("unknown layout")).alias("reason"))

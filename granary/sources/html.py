@@ -28,8 +28,40 @@ OPTION_PAIR = r'<option value="(\d+)"[^>]*>([^<]+)</option>'
 ANCHOR_HREF = r"""<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 
 
+def _span(value: str | None) -> int:
+    """A span attribute; anything but a number from 1 to 1000 counts as 1."""
+    return int(value) if value and value.strip().isdigit() and 0 < int(value) <= 1000 else 1
+
+
+def expand_spans(rows: list[list[tuple[bool, str, int, int]]]) -> list[list[tuple[bool, str]]]:
+    """Every cell in each row and column that it spans."""
+    out: list[list[tuple[bool, str]]] = []
+    open_: dict[int, tuple[int, tuple[bool, str]]] = {}  # column -> (rows to go, cell)
+    for row in rows:
+        line: list[tuple[bool, str]] = []
+        after: dict[int, tuple[int, tuple[bool, str]]] = {}
+
+        def carried() -> None:
+            while len(line) in open_:
+                left, cell = open_[len(line)]
+                if left > 1:
+                    after[len(line)] = (left - 1, cell)
+                line.append(cell)
+
+        for is_th, text, down, across in row:
+            carried()
+            for _ in range(across):
+                if down > 1:
+                    after[len(line)] = (down - 1, (is_th, text))
+                line.append((is_th, text))
+        carried()
+        out.append(line)
+        open_ = after
+    return out
+
+
 class _FirstTable(HTMLParser):
-    """Collects the cells of the first <table> as (is_header, text) rows."""
+    """Collects the cells of the first <table> as (is_header, text, rows, columns) rows."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -38,6 +70,7 @@ class _FirstTable(HTMLParser):
         self.rows: list[list[tuple[bool, str]]] = []
         self._cell: list[str] | None = None
         self._is_th = False
+        self._span = (1, 1)
 
     def handle_starttag(self, tag, attrs):
         if self.done:
@@ -48,12 +81,13 @@ class _FirstTable(HTMLParser):
             self.rows.append([])
         elif self.depth == 1 and tag in ("td", "th") and self.rows:
             self._cell, self._is_th = [], tag == "th"
+            self._span = tuple(_span(dict(attrs).get(k)) for k in ("rowspan", "colspan"))
 
     def handle_endtag(self, tag):
         if self.done:
             return
         if tag in ("td", "th") and self._cell is not None:
-            self.rows[-1].append((self._is_th, "".join(self._cell).strip()))
+            self.rows[-1].append((self._is_th, "".join(self._cell).strip(), *self._span))
             self._cell = None
         elif tag == "table":
             self.depth -= 1
@@ -67,11 +101,12 @@ class _FirstTable(HTMLParser):
 
 def parse_first_table(html: str):
     """(header rows, data rows) of the first table; leading all-<th> rows
-    form the (possibly multi-row) header."""
+    form the (possibly multi-row) header. Cells stand in every row and column
+    that their rowspan and colspan cover."""
     p = _FirstTable()
     p.feed(html or "")
     p.close()
-    rows = [r for r in p.rows if r]
+    rows = [r for r in expand_spans(p.rows) if r]
     n_head = 0
     while n_head < len(rows) and all(is_th for is_th, _ in rows[n_head]):
         n_head += 1
@@ -82,15 +117,16 @@ def parse_first_table(html: str):
 
 def _table_batches(batches):
     for pdf in batches:
-        out = []
-        for pid, html in zip(pdf["page_id"], pdf["html"]):
+        for pid, html in zip(pdf["page_id"], pdf["html"]):  # one frame per page
+            out = []
             head, body = parse_first_table(html)
             width = max([len(r) for r in head + body] or [0])
             for i, row in enumerate(body):
                 for j in range(width):
                     parts = [h[j] if j < len(h) else "" for h in head] or [str(j)]
                     out.append((int(pid), i, j, parts, row[j] if j < len(row) else None))
-        yield pd.DataFrame(out, columns=["page_id", "row_no", "col_no", "header_parts", "value"])
+            if out:
+                yield pd.DataFrame(out, columns=["page_id", "row_no", "col_no", "header_parts", "value"])
 
 
 def html_table_cells(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
