@@ -25,6 +25,27 @@ def record_hash(m: Column) -> Column:
     return F.sha2(canonical_json(m), 256)
 
 
+def ascii_json(text: Column) -> Column:
+    """JSON text with every character from U+0080 on as lower-case ``\\uXXXX`` (two of them beyond
+    U+FFFF), the way Python's ``json.dumps`` prints it by default."""
+
+    def code(n: Column) -> Column:
+        return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(n), 4, "0")))
+
+    def one(c: Column) -> Column:
+        n = F.ascii(c)
+        pair = F.concat(code(F.lit(0xD800) + F.shiftright(n - 0x10000, 10)), code(F.lit(0xDC00) + (n - 0x10000) % 1024))
+        return F.when(n < 128, c).when(n < 0x10000, code(n)).otherwise(pair)
+
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.array_join(F.transform(F.split(text, ""), one), "")).otherwise(text)
+
+
+def record_hash_compat(m: Column) -> Column:
+    """The fingerprint of a text record as other tools compute it from
+    ``json.dumps(record, sort_keys=True, separators=(",", ":"))``."""
+    return F.sha2(ascii_json(canonical_json(m)), 256)
+
+
 def struct_hash(*cols: str) -> Column:
     """SHA-256 of a typed row: columns in sorted name order, nulls kept."""
     names = sorted(cols)

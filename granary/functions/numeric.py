@@ -38,7 +38,7 @@ def py_float_text(c: Column) -> Column:
     tail = F.substring(digits, F.lit(2), F.lit(64))
     power = F.concat(
         F.substring(digits, F.lit(1), F.lit(1)), F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)),
-        F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(exp).cast("string"), 2, "0"))
+        F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")), F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(exp).cast("string"))
     shifted = F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power)
     named = F.when(s == "NaN", F.lit("nan")).when(s == "Infinity", F.lit("inf")).when(s == "-Infinity", F.lit("-inf"))
     return F.coalesce(named, F.when(s.contains("E"), F.concat(sign, shifted)).otherwise(s))

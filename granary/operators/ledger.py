@@ -150,3 +150,17 @@ def run_metrics(page_rows: DataFrame, merge_rows: DataFrame) -> DataFrame:
         F.when(F.col("elapsed") > 0, F.round(F.col("records_inserted") / F.col("elapsed"), 2))
         .otherwise(F.lit(0.0)).alias("throughput_per_second"),
     )
+
+
+def batch_metrics(page_rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """:func:`run_metrics` of one batch whose merge is already counted: ``counts``
+    has run_id, ``new`` and ``old`` hashes."""
+    p = page_rows.groupBy("run_id").agg(
+        F.coalesce(F.sum(F.when(~F.col("is_error"), F.col("n_records"))), F.lit(0)).cast("bigint").alias("records_fetched"),
+        F.count_if("is_error").alias("records_failed"),
+        elapsed_seconds(F.min("fetched_at"), F.max("fetched_at")).alias("elapsed"))
+    j = p.join(counts, "run_id", "left").fillna(0, ["new", "old"])
+    return j.select(
+        "run_id", "records_fetched", F.col("new").alias("records_inserted"), F.col("old").alias("records_updated"),
+        "records_failed", F.round("elapsed", 2).alias("duration_seconds"),
+        F.when(F.col("elapsed") > 0, F.round(F.col("new") / F.col("elapsed"), 2)).otherwise(F.lit(0.0)).alias("throughput_per_second"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,10 +98,13 @@ def issue_count(rules: list[str] | None = None, hash_col: str = "source_record_h
 
 
 def validation_run_summary(silver: DataFrame, rules: list[str] | None = None,
-                           hash_col: str = "source_record_hash") -> DataFrame:
-    """One row: records checked, issues found, final status; a single scan
+                           hash_col: str = "source_record_hash", started_at: Column | None = None) -> DataFrame:
+    """One row: when the run started and ended, records checked, issues found, final status; a single scan
     with partial aggregation (no join between the record and issue sides)."""
     return silver.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.coalesce(F.sum(issue_count(rules, hash_col)), F.lit(0)).cast("bigint").alias("issues_found"),
-    ).withColumn("status", F.lit("completed"))
+    ).select(
+        (F.lit(dt.datetime.now(dt.timezone.utc)) if started_at is None else started_at).cast("timestamp").alias("started_at"),
+        F.current_timestamp().alias("completed_at"),  # when the query that scans the rows runs
+        "total_records", "issues_found", F.lit("completed").alias("status"))

@@ -113,7 +113,11 @@ def crop_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 ERROR_PRICE = 104500.0  # pages holding a line above this first fail once
 
 
-def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001") -> DataFrame:
+CUT_PRICE = 104000.0  # pages holding a line above this (and no error) first come cut off
+LATE = "note"  # a field that only some pages' records have
+
+
+def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001", faults: bool = False) -> DataFrame:
     """Landed page envelopes (PAGE schema) - one per page, plus a failed
     attempt (status=error, no records) before pages holding a very large line.
 
@@ -122,7 +126,11 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001") -> Da
     order is. Both kinds of envelope come out of the same aggregation.
     """
     f = crop_fields(crop_lines(spark, sf_dir), extra=["l_extendedprice"])
-    recs = f.select("page_id", "page_part", "l_extendedprice", bronze.columns_to_record(RECORD_KEYS).alias("record"))
+    record = bronze.columns_to_record(RECORD_KEYS)
+    if faults:
+        wide = F.map_concat(record, F.create_map(F.lit(LATE), F.concat(F.lit("late "), F.col("l_linenumber"))))
+        record = F.when(F.col("page_id") % 7 == 3, wide).otherwise(record)
+    recs = f.select("page_id", "page_part", "l_extendedprice", record.alias("record"))
     # dataset size as the source reports it: the source table's row count,
     # answered from Parquet footers (no pass over the data)
     total = load(spark, sf_dir, "lineitem").count()
@@ -141,8 +149,14 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001") -> Da
         F.lit("error").alias("status"), F.lit("upstream timeout").alias("error"), F.lit(str(total)).alias("total"),
     )).alias("raw_json"))
     attempts = F.when(F.col("mx") > ERROR_PRICE, F.array(bad, ok)).otherwise(F.array(ok))
-    env = grouped.select("page_id", F.explode(attempts).alias("a")).select("page_id", "a.attempt", "a.raw_json")
+    if faults:
+        cut = F.struct(F.lit(0).alias("attempt"), F.left(ok.getField("raw_json"), F.lit(60)).alias("raw_json"))
+        attempts = F.when((F.col("mx") > CUT_PRICE) & (F.col("mx") <= ERROR_PRICE), F.array(cut, ok)).otherwise(attempts)
+    env = grouped.select("page_id", "page_part", F.explode(attempts).alias("a")).select("page_id", "page_part", "a.attempt", "a.raw_json")
     offset = F.col("page_id") * PAGE_DIV
+    fetched = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    if faults:
+        fetched = fetched + F.make_dt_interval(secs=(F.col("page_id") % 1000 / 1000).cast("decimal(18,6)"))
     return env.select(
         F.lit(SOURCE_SYSTEM).alias("source_system"),
         F.lit(RESOURCE_ID).alias("resource_id"),
@@ -153,7 +167,7 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001") -> Da
         F.create_map(F.lit("api-key"), F.lit("secret-key"), F.lit("format"), F.lit("json"),
                      F.lit("offset"), offset.cast("string"), F.lit("limit"), F.lit(str(PAGE_DIV))).alias("request_params"),
         "raw_json",
-        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("fetched_at"),
+        fetched.alias("fetched_at"),
         "attempt",
     )
 
@@ -229,6 +243,10 @@ CROP_HASH_SQL = (
 
 _STRIP = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 
+_LATE_MAP = ", ".join(f"'{k}': {k}" for k in sorted([*RECORD_KEYS, "note"]))
+LATE_HASH_SQL = f"CASE WHEN note IS NULL THEN {CROP_HASH_SQL} ELSE sha256(to_json(MAP {{{_LATE_MAP}}})) END"
+LATE_FIELDS_SQL = f"""SELECT *, CASE WHEN page_id % 7 = 3 THEN 'late ' || l_linenumber END AS note FROM ({CROP_FIELDS_SQL}) c"""
+
 CROP_SILVER_SQL = f"""
 SELECT
   {_STRIP.format(c='state_name')} AS state_name,

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from granary.functions.hashing import record_hash
+from granary.functions.hashing import record_hash, record_hash_compat
 from granary.functions.numeric import nan_to_null, safe_float
 from granary.functions.text import error_truncate
 from granary.functions.urls import redact_params
-from granary.operators import bronze, records
+from granary.operators import bronze, ingest, records
 from granary.plans import crop, pages
 from granary.plans.registry import query
 from granary.plans.tables import load
@@ -63,20 +63,84 @@ def page_error_filter(spark, sf_dir):
     return bad.select("offset", "attempt", F.col("env.status").alias("status"), F.col("env.error").alias("error"))
 
 
-INGEST_SQL = f"""SELECT {crop.CROP_HASH_SQL} AS source_record_hash, '{crop.DATASET_NAME}' AS source_dataset,
-  '{crop.RESOURCE_ID}' AS source_resource_id, '{crop.SOURCE_SYSTEM}' AS source_system,
-  TIMESTAMP '2024-01-01 00:00:00' AS ingested_at,
-  {", ".join(crop.RECORD_KEYS)}
-FROM ({crop.CROP_FIELDS_SQL}) f"""
+_PAGES_CTE = f"""WITH late AS ({crop.LATE_FIELDS_SQL}),
+h AS (SELECT *, {crop.LATE_HASH_SQL} AS hash,
+  TIMESTAMP '2024-01-01 00:00:00' + to_milliseconds(page_id % 1000) AS fetched FROM late),
+pg AS (SELECT l_orderkey // {crop.PAGE_DIV} AS page_id, l_linenumber // {crop.PAGE_LINES} AS part, count(*) AS n,
+  max(l_extendedprice) AS mx FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
+"""
+
+INGEST_SQL = _PAGES_CTE + f"""SELECT hash AS source_record_hash, '{crop.DATASET_NAME}' AS source_dataset,
+  '{crop.RESOURCE_ID}' AS source_resource_id, CASE WHEN l_linestatus = 'F' THEN 'earlier' ELSE '{crop.SOURCE_SYSTEM}' END AS source_system,
+  fetched AS ingested_at, {", ".join(crop.RECORD_KEYS)}, note, CAST(NULL AS VARCHAR) AS n_name FROM h
+UNION ALL
+SELECT sha256(to_json(MAP {{'n_name': n_name}})), '{crop.DATASET_NAME}', '{crop.RESOURCE_ID}', 'earlier', TIMESTAMP '2023-06-01 00:00:00',
+  {", ".join("NULL" for _ in crop.RECORD_KEYS)}, NULL, n_name FROM nation"""
+
+
+def _crop_ingest(spark, sf_dir) -> ingest.Ingested:
+    """Pages with faults into a bronze table that holds the records of
+    finished lines (ingested by an earlier system) and records that this batch
+    doesn't have; the catalogue knows the usual fields."""
+    pages_ = crop.crop_pages(spark, sf_dir, faults=True)
+    names = {"dataset": crop.DATASET_NAME, "resource": crop.RESOURCE_ID}
+    earlier, _ = ingest.page_records(pages_, system="earlier", **names)
+    earlier = earlier.where(F.col("record").getItem("l_linestatus") == "F").withColumn(
+        "ingested_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
+    old = load(spark, sf_dir, "nation").select(bronze.columns_to_record(["n_name"]).alias("record"))
+    old = bronze.enrich(old, source_dataset=crop.DATASET_NAME, source_resource_id=crop.RESOURCE_ID, source_system="earlier")
+    for c in ("offset", "attempt", "record_no"):
+        old = old.withColumn(c, F.lit(0))
+    old = old.withColumn("ingested_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
+    both = earlier.select(*old.columns).unionByName(old)
+    existing = bronze.bronze_upsert(None, both, seq=["offset", "attempt", "record_no"]).drop("was_present", "in_batch")
+    catalogue = spark.createDataFrame(
+        [(crop.RESOURCE_ID, f, "keyword", "2023-06-01 00:00:00") for f in [*crop.RECORD_KEYS, "n_name"]],
+        "dataset_id string, field_name string, field_type string, discovered_at string",
+    ).withColumn("discovered_at", F.col("discovered_at").cast("timestamp_ntz"))
+    return ingest.ingest(pages_, existing, catalogue, system=crop.SOURCE_SYSTEM, **names)
 
 
 @query("ingest_batch", INGEST_SQL)
 def ingest_batch(spark, sf_dir):
-    """Landed pages -> quarantine errors -> records -> hash -> merge -> bronze
-    table with one text column per catalogued field."""
-    b = crop.ingest(crop.crop_pages(spark, sf_dir))
-    b = b.drop("was_present", "in_batch")
-    return bronze.promote_record(b, crop.RECORD_KEYS)
+    """Landed pages -> routing -> records -> hash -> merge into an existing
+    table -> one text column per catalogued field, late ones included."""
+    return _crop_ingest(spark, sf_dir).table
+
+
+@query("ingest_rejects", _PAGES_CTE + f"""SELECT page_id * {crop.PAGE_DIV} AS offset_value, 0 AS attempt,
+  CASE WHEN mx > {crop.ERROR_PRICE} THEN 'error' ELSE 'malformed' END AS reason, 'failed' AS status,
+  CASE WHEN mx > {crop.ERROR_PRICE} THEN 'upstream timeout' ELSE 'malformed page' END AS error_message
+FROM pg WHERE mx > {crop.CUT_PRICE}""")
+def ingest_rejects(spark, sf_dir):
+    return _crop_ingest(spark, sf_dir).rejects.drop("run_id")
+
+
+@query("ingest_catalogue", _PAGES_CTE + f"""SELECT '{crop.RESOURCE_ID}' AS dataset_id, f AS field_name, 'keyword' AS field_type,
+  TIMESTAMP '2023-06-01 00:00:00' AS discovered_at FROM (SELECT unnest({[*crop.RECORD_KEYS, "n_name"]}) AS f)
+UNION ALL SELECT '{crop.RESOURCE_ID}', 'note', 'unknown', arg_min(fetched, page_id) FROM h WHERE note IS NOT NULL HAVING count(*) > 0""")
+def ingest_catalogue(spark, sf_dir):
+    return _crop_ingest(spark, sf_dir).catalogue
+
+
+@query("ingest_metrics", _PAGES_CTE + f""", m AS (SELECT (SELECT date_diff('microsecond', min(fetched), max(fetched)) / 1e6 FROM h) AS s,
+  (SELECT count(*) FROM h WHERE l_linestatus <> 'F') AS new)
+SELECT 'run-0001' AS run_id, CAST((SELECT sum(n) FROM pg) AS BIGINT) AS records_fetched, new AS records_inserted,
+  (SELECT count(*) FROM h WHERE l_linestatus = 'F') AS records_updated, (SELECT count(*) FROM pg WHERE mx > {crop.CUT_PRICE}) AS records_failed,
+  round(s, 2) AS duration_seconds, CASE WHEN s > 0 THEN round(new / s, 2) ELSE 0.0 END AS throughput_per_second FROM m""")
+def ingest_metrics(spark, sf_dir):
+    return _crop_ingest(spark, sf_dir).metrics
+
+
+HTML_PAGES_SQL = "SELECT page_id, 'empty' AS reason FROM pages WHERE html IS NOT NULL AND (contains(html, 'No Data Found') OR NOT contains(html, 'table'))"
+
+
+@query("page_html_empty", HTML_PAGES_SQL)
+def page_html_empty(spark, sf_dir):
+    """HTML answers without data are set aside by the same routing as JSON pages."""
+    p = load(spark, sf_dir, "pages").select("page_id", F.col("html").alias("raw_json"))
+    _, bad = records.split_error_pages(p)
+    return bad.where(F.col("reason") == "empty").select("page_id", "reason")
 
 
 @query(
@@ -88,6 +152,17 @@ def record_hash_q(spark, sf_dir):
     return c.select("c_custkey", record_hash(pages.customer_record()).alias("record_hash"))
 
 
+@query(
+    "record_hash_compat",
+    """SELECT p_partkey, sha256('{"label":"' || replace(p_type, 'E', '\\u00e9') || '","name":"' || p_name || '"}') AS record_hash FROM part""",
+)
+def record_hash_compat_q(spark, sf_dir):
+    """The hash that escapes non-ASCII characters; every E of the type is made an é here."""
+    p = load(spark, sf_dir, "part")
+    rec = F.create_map(F.lit("name"), F.col("p_name"), F.lit("label"), F.replace(F.col("p_type"), F.lit("E"), F.lit("é")))
+    return p.select("p_partkey", record_hash_compat(rec).alias("record_hash"))
+
+
 @query(
     "lineage_enrich",
     f"""SELECT c_custkey, 'customers' AS source_dataset, 'cust-res' AS source_resource_id,

@@ -109,7 +109,8 @@ def q_issue_summary(spark, sf_dir):
 @query(
     "validation_run_summary",
     SILVER_CTE + f"SELECT (SELECT count(*) FROM s) AS total_records, "
-    f"(SELECT count(*) FROM ({DQ_ALL_SQL}) i) AS issues_found, 'completed' AS status",
+    f"(SELECT count(*) FROM ({DQ_ALL_SQL}) i) AS issues_found, 'completed' AS status, true AS in_order",
 )
 def validation_run_summary(spark, sf_dir):
-    return quality.validation_run_summary(crop_silver(spark, sf_dir))
+    r = quality.validation_run_summary(crop_silver(spark, sf_dir))
+    return r.select("total_records", "issues_found", "status", (F.col("started_at") <= F.col("completed_at")).alias("in_order"))

@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators import quality
+from granary.operators.bronze import bronze_upsert
+from granary.operators.ingest import page_records
+from granary.operators.records import failed_jobs
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Streaming read of a landing folder with an explicit schema."""
-    r = spark.readStream.format(fmt).schema(schema)
+    r = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(path)
@@ -36,8 +39,9 @@ def _has_data(spark: SparkSession, path: str) -> bool:
 def write_batches(df: DataFrame, target: str, checkpoint: str,
                   transform: Callable[[DataFrame, int], DataFrame] | None = None,
                   available_now: bool = True):
-    """Run ``df`` to the end of the available input; every micro-batch goes
-    (after ``transform``) to ``target/batch=<id>``. Returns the query."""
+    """Every micro-batch goes (after ``transform``) to ``target/batch=<id>``.
+    With ``available_now`` the call returns when the available input is done;
+    otherwise it returns the running query at once."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch, batch_id) if transform else batch
@@ -46,10 +50,18 @@ def write_batches(df: DataFrame, target: str, checkpoint: str,
     w = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     q = w.start()
-    q.awaitTermination()
+    if available_now:
+        q.awaitTermination()
     return q
 
 
+def _earlier(spark: SparkSession, target: str, batch_id: int, columns: list[str]) -> DataFrame | None:
+    """Columns of the batches before ``batch_id``: a batch that is run again must not see its own rows."""
+    if not _has_data(spark, target):
+        return None
+    return spark.read.parquet(target).where(F.col("batch") < batch_id).select(*columns)
+
+
 def read_batches(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     """All batches written so far (``batch`` column dropped)."""
     if not _has_data(spark, target):
@@ -59,27 +71,53 @@ def read_batches(spark: SparkSession, target: str, schema: T.StructType | None =
     return spark.read.parquet(target).drop("batch")
 
 
-def stream_ingest(stream: DataFrame, target: str, checkpoint: str, key: str = "source_record_hash",
-                  existing: DataFrame | None = None):
-    """Insert-if-absent by ``key``.
+def stream_ingest(pages: DataFrame, target: str, checkpoint: str, *, dataset: str, resource: str, system: str,
+                  available_now: bool = True):
+    """Landed page files into bronze: insert, or refresh on repeat, by record hash.
+
+    A micro-batch's pages are routed and its records reduced to one row per
+    hash, written under its batch number; quarantined pages go to
+    ``<target>-rejects`` in the same way. A repeat in a later batch is written
+    again: :func:`read_merged` takes lineage from the first batch, payload and
+    ``ingested_at`` from the last. So a batch costs what its own rows cost,
+    no state is kept, and a batch that is run again replaces its folder.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> DataFrame:
+        batch = batch.persist()
+        recs, bad = page_records(batch, dataset=dataset, resource=resource, system=system)
+        failed_jobs(bad).write.mode("overwrite").parquet(f"{target}-rejects/batch={batch_id}")
+        merged = bronze_upsert(None, recs, seq=["fetched_at", "offset", "attempt", "record_no"])
+        return merged.drop("was_present", "in_batch")
+
+    return write_batches(pages, target, checkpoint, each, available_now)
+
+
+def read_merged(spark: SparkSession, target: str) -> DataFrame:
+    """Bronze as of now: per hash the first batch's lineage, the last batch's record and the latest
+    ``ingested_at`` (partial aggregates, so a hot hash is reduced before the shuffle)."""
+    rows = spark.read.parquet(target)
+    lineage = F.struct("source_dataset", "source_resource_id", "source_system")
+    return rows.groupBy("source_record_hash").agg(
+        F.min_by(lineage, "batch").alias("l"), F.max("ingested_at").alias("ingested_at"), F.max_by("record", "batch").alias("record"),
+    ).select("source_record_hash", "l.*", "ingested_at", "record")
+
+
+def stream_dedup(stream: DataFrame, target: str, checkpoint: str, key: str, available_now: bool = True):
+    """Each ``key`` once, however late and however far apart its repeats.
 
-    Keys already seen by the stream are remembered in Spark's state store
-    (``dropDuplicates`` on the key: state is partitioned by key, kept in the
-    checkpoint and restored after a restart), so the target is never re-read.
-    Rows of a bronze table loaded before the stream started can be excluded
-    with ``existing`` (a stream-static anti-join on the key column only).
+    A batch is reduced to one row per key and loses the keys that earlier
+    batches have written (an anti-join on the key column of the target). No
+    row is late: nothing depends on event time or on how files fall into
+    batches, and no state grows in memory.
     """
-    fresh = stream.dropDuplicates([key])
-    if existing is not None:
-        fresh = fresh.join(existing.select(key), key, "left_anti")
-    return write_batches(fresh, target, checkpoint)
 
+    def each(batch: DataFrame, batch_id: int) -> DataFrame:
+        fresh = batch.dropDuplicates([key])
+        earlier = _earlier(batch.sparkSession, target, batch_id, [key])
+        return fresh if earlier is None else fresh.join(earlier.distinct(), key, "left_anti")
 
-def stream_dedup(stream: DataFrame, key: str, event_time: str, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of ``key`` seen within the watermark delay. The
-    watermark column must be a TIMESTAMP, so an NTZ time is cast first."""
-    s = stream.withColumn("_wm", F.col(event_time).cast("timestamp"))
-    return s.withWatermark("_wm", delay).dropDuplicatesWithinWatermark([key]).drop("_wm")
+    return write_batches(stream, target, checkpoint, each, available_now)
 
 
 def stream_dq(stream: DataFrame, rules: list[str] | None = None) -> DataFrame:

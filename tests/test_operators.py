@@ -122,8 +122,9 @@ def test_tidy_narrow_equals_pivot(spark):
     ids = ["id", "State", "District", "Year"]
     narrow = reshape.wide_to_tidy(spark, df, ids, label=False)
     names = reshape.value_columns(df, ids)
-    lm = reshape.melt_meta_join(reshape.wide_to_long(df, ids), reshape.column_meta(spark, names), len(names))
-    metrics = sorted({"Area_Hectare", "Production_Tonnes", "Yield_Tonne_Hectare"})
+    lm = reshape.melt_meta_join(reshape.wide_to_long(df, ids), reshape.column_meta(spark, names))
+    metrics = reshape.metric_names(reshape.column_meta(spark, names))
+    assert metrics == ["Area_Hectare", "Production_Tonnes", "Yield_Tonne_Hectare"]
     piv = reshape.pivot_metrics(lm, ids, metrics)
     cols = ids + ["Crop", "Season"] + metrics
     a = sorted(tuple(r) for r in narrow.select(*cols).collect())
@@ -144,38 +145,73 @@ def test_arrow_roundtrip(spark):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
-def test_stream_ingest_rerun_adds_nothing(spark):
-    df = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("v"))
+def test_stream_dedup_keeps_every_key_whatever_the_batches(spark):
+    """Events far apart in time, repeated in later files, one file per micro-batch; a rerun adds nothing."""
+    df = spark.range(0, 500).select((F.col("id") % 200).alias("k"), F.expr("timestamp'2024-01-01' + make_dt_interval(id * 40)").alias("ts"))
     land = scratch_path(spark, "test-land")
-    df.write.parquet(land)
+    df.orderBy("ts").coalesce(1).repartition(5).write.parquet(land)
     target, ckpt = scratch_path(spark, "test-target"), scratch_path(spark, "test-ckpt")
-    s = ingest.file_stream(spark, land, df.schema).withColumn("source_record_hash", F.sha2(F.col("v"), 256))
-    ingest.stream_ingest(s, target, ckpt)
-    first = ingest.read_batches(spark, target).count()
-    assert first == 7  # insert-if-absent on the hash
-    s2 = ingest.file_stream(spark, land, df.schema).withColumn("source_record_hash", F.sha2(F.col("v"), 256))
-    ingest.stream_ingest(s2, target, ckpt)  # same checkpoint: files already seen
-    assert ingest.read_batches(spark, target).count() == first
-    df.write.mode("append").parquet(land)  # new files, keys already ingested
-    s3 = ingest.file_stream(spark, land, df.schema).withColumn("source_record_hash", F.sha2(F.col("v"), 256))
-    ingest.stream_ingest(s3, target, ckpt)  # keys remembered in the state store
-    assert ingest.read_batches(spark, target).count() == first
+    for _ in range(2):
+        ingest.stream_dedup(ingest.file_stream(spark, land, df.schema, max_files_per_trigger=1), target, ckpt, "k")
+        got = ingest.read_batches(spark, target)
+        assert got.count() == got.select("k").distinct().count() == 200
+
+
+def test_stream_ingest_refreshes_and_sets_rejects_aside(spark):
+    from granary.sources.files import LANDED_PAGE
+
+    def page(offset, text, day):
+        return ("api", "res", "run", offset, 10, "u", {}, text, f"2024-01-0{day}T00:00:00.000000", 1)
+
+    ok = '{"status":"ok","records":[{"k":"%s"}]}'
+    rows = [[page(0, ok % "a", 1)], [page(10, ok % "b", 1)], [page(20, '{"status":"ok","rec', 1)], [page(0, ok % "a", 2)]]
+    land, target, ckpt = (scratch_path(spark, n) for n in ("test-pages", "test-bronze", "test-pages-ckpt"))
+    names = [f.name for f in LANDED_PAGE.fields]
+    schema = ", ".join(f"{f.name} {'string' if f.name == 'fetched_at' else f.dataType.simpleString()}" for f in LANDED_PAGE.fields)
+
+    def run(batch):
+        spark.createDataFrame(batch, schema).select(*names).coalesce(1).write.mode("append").json(land)
+        stream = ingest.file_stream(spark, land, LANDED_PAGE, "json", 1, {"timestampNTZFormat": writers.TS_NTZ_FORMAT})
+        ingest.stream_ingest(stream, target, ckpt, dataset="d", resource="res", system="api")
+
+    for batch in rows:
+        run(batch)
+    got = {r["record"]["k"]: str(r["ingested_at"])[:10] for r in ingest.read_merged(spark, target).collect()}
+    assert got == {"a": "2024-01-02", "b": "2024-01-01"}
+    rejects = [(r["offset_value"], r["reason"], r["status"]) for r in spark.read.parquet(f"{target}-rejects").collect()]
+    assert rejects == [(20, "malformed", "failed")]
+
+
+def test_running_stream_is_returned(spark):
+    land = scratch_path(spark, "test-live")
+    spark.range(3).write.parquet(land)
+    q = ingest.write_batches(ingest.file_stream(spark, land, spark.range(1).schema), scratch_path(spark, "live-out"),
+                             scratch_path(spark, "live-ckpt"), available_now=False)
+    try:
+        assert q.isActive
+    finally:
+        q.stop()
 
 
 def test_event_csv_skips_bad_entries(spark, tmp_path):
-    from granary.sources.files import read_event_csvs
+    from granary.sources.files import event_csv_rejects, read_event_csvs
     raw = tmp_path / "raw"
     raw.mkdir()
     (raw / "a.csv").write_text("State/UT,District-Before,District-After,Year\nS,old one,new one,2001\n")
     (raw / "b.csv").write_text("State/UT,Old Name,New Name,Decade\nS,x,y,1991-2001\n")
     (raw / "c.csv").write_text("Some,Other\n1,2\n")
     (raw / "d.pdf").write_text("%PDF")
+    # the layout of a.csv in another order and with a further column
+    (raw / "e.csv").write_text('Sl No,Year,District-After,District-Before,State/UT\n7,2002,"child, two",parent two,T\n')
     manifest = spark.createDataFrame([("a.csv", "u1"), ("b.csv", "u2"), ("c.csv", "u3"), ("d.pdf", "u4"),
-                                      ("gone.csv", "u5")], "filename string, url string")
+                                      ("e.csv", "u6"), ("gone.csv", "u5")], "filename string, url string")
     ev = read_event_csvs(spark, manifest, str(raw)).collect()
     got = sorted((r["event_type"], r["parent_district"], r["child_district"], r["effective_year"], r["source_url"])
                  for r in ev)
-    assert got == [("RENAME", "X", "Y", "1991", "u2"), ("SPLIT", "Old One", "New One", "2001", "u1")]
+    assert got == [("RENAME", "X", "Y", "1991", "u2"), ("SPLIT", "Old One", "New One", "2001", "u1"),
+                   ("SPLIT", "Parent Two", "Child, Two", "2002", "u6")]
+    rejects = event_csv_rejects(spark, manifest, str(raw)).collect()
+    assert sorted(map(tuple, rejects)) == [("c.csv", "unknown layout"), ("gone.csv", "missing or empty")]
 
 
 def test_jsonl_keeps_nulls_and_utf8(spark):
@@ -187,6 +223,26 @@ def test_jsonl_keeps_nulls_and_utf8(spark):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
+def test_csv_roundtrip_keeps_texts(spark):
+    rows = [(1, "  padded "), (2, ""), (3, None), (4, 'line\nbreak,"q"'), (5, "x")]
+    df = spark.createDataFrame(rows, "id int, s string")
+    path = writers.write_csv(df, scratch_path(spark, "test-csv-text"))
+    assert sorted(map(tuple, writers.read_csv(spark, path, df.schema).collect())) == rows
+
+
+def test_arrow_reads_only_committed_files(spark):
+    df = spark.range(0, 50)
+    path = writers.write_arrow(df, scratch_path(spark, "test-arrow-commit"))
+    local = path.removeprefix("file:")
+    import os
+    os.makedirs(f"{local}/_attempt-x")
+    with open(f"{local}/_attempt-x/part-0.arrow", "w") as f:
+        f.write("half a file of a lost task")
+    assert writers.read_arrow(spark, path, df.schema).count() == 50
+    writers.write_arrow(spark.range(0, 7), path)
+    assert writers.read_arrow(spark, path, df.schema).count() == 7
+
+
 def test_csv_roundtrip_keeps_microseconds(spark):
     df = spark.createDataFrame([(1, 'a,"b"')], "id int, s string").withColumn(
         "ts", F.lit("2024-01-02 03:04:05.123456").cast("timestamp_ntz"))
@@ -217,3 +273,90 @@ def test_graph_nodes_first_writer_source_before_target(spark):
     assert nodes["B"] == "e1" and nodes["C"] == "e3"
     last = {(r["source_district"], r["target_district"]): r["source"] for r in graph.graph_edges(edges, ["seq"]).collect()}
     assert last == {("B", "A"): "e2", ("A", "B"): "e1", ("C", "A"): "e3"}
+
+
+EDGE = "source_district string, target_district string"
+
+
+def test_long_chain_is_proved_acyclic_in_few_rounds(spark, monkeypatch):
+    n = 1000
+    rows = [(f"n{i:05d}", f"n{i + 1:05d}") for i in range(n)]
+    calls = []
+    plain = graph._checkpoint
+    monkeypatch.setattr(graph, "_checkpoint", lambda df: calls.append(1) or plain(df))
+    assert graph.cyclic_core(spark.createDataFrame(rows, EDGE)).count() == 0
+    assert len(calls) <= 20
+
+
+def test_cyclic_core_keeps_rings_and_branches(spark):
+    ring = [("r1", "r2"), ("r2", "r3"), ("r3", "r1")]  # inner nodes only
+    fork = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("x", "a"), ("s", "s")]
+    core = {tuple(r) for r in graph.cyclic_core(spark.createDataFrame(ring + fork, EDGE)).collect()}
+    assert core == set(ring) | {("a", "b"), ("b", "c"), ("c", "a"), ("s", "s")}
+
+
+def test_cycle_text_quotes_like_python(spark):
+    names = ["B", "O'Brien", 'say "x"', "both ' and \"", "back\\slash"]
+    df = spark.createDataFrame([(names,)], "c array<string>")
+    assert df.select(graph.cycle_text(F.col("c"))).first()[0] == str(names)
+
+
+def test_successor_pairs_without_exchange_reuse(spark):
+    rows = [(0 if i % 3 == 0 else i % 40, (i * 7919) % 5000, i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "user_id long, ts long, event_id long")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        pairs = successor_pairs(df, "user_id", ["ts", "event_id"], [], num_partitions=16)
+        for _ in range(2):
+            got = {(r["prev"]["event_id"], r["next"]["event_id"]) for r in pairs.collect()}
+            order = sorted(rows)
+            assert got == {(a[2], b[2]) for a, b in zip(order, order[1:]) if a[0] == b[0]}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_html_spans():
+    from granary.sources.html import parse_first_table
+
+    head, body = parse_first_table(
+        "<table><tr><th rowspan=2>State</th><th colspan=2>Rice</th></tr><tr><th>Area</th><th>Yield</th></tr>"
+        "<tr><td rowspan=2>A</td><td>1</td><td>2</td></tr><tr><td>3</td><td>4</td></tr><tr><td>B</td><td colspan=2>5</td></tr></table>")
+    assert head == [["State", "Rice", "Rice"], ["State", "Area", "Yield"]]
+    assert body == [["A", "1", "2"], ["A", "3", "4"], ["B", "5", "5"]]
+
+
+def test_page_reasons(spark):
+    from granary.operators.records import page_reason
+
+    pages = ['{"status":"ok","records":[]}', '{"status":"error","error":"x"}', "not json", '{"status":"ok","reco', None,
+             "<html>No Data Found</html>", "<html><table></table></html>"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, p string")
+    got = [r[0] for r in df.orderBy("i").select(page_reason(F.col("p"))).collect()]
+    assert got == [None, "error", "malformed", "malformed", "malformed", "empty", None]
+
+
+def test_runs_without_jobs(spark):
+    from granary.operators import ledger
+
+    jobs = spark.createDataFrame([("r1", 300)], "run_id string, offset_value long")
+    runs = spark.createDataFrame([("r1",), ("r2",)], "run_id string")
+    assert {tuple(r) for r in ledger.resume_frontier(jobs, 100, runs).collect()} == {("r1", 400), ("r2", 0)}
+    done = spark.createDataFrame([("r1", "completed", None)], "run_id string, status string, started_at timestamp")
+    assert [tuple(r) for r in ledger.latest_incomplete_run(done, "fresh").collect()] == [("fresh", None)]
+
+
+def test_checkpoint_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    from granary import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        session.shared_dir(Session())

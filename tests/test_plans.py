@@ -1,8 +1,6 @@
 """Physical-plan checks: pushdown, pruning, broadcast guards, no Python in
 the expression hot paths, and the shuffle-free reshape."""
 
-from pyspark.sql import functions as F
-
 from granary.operators import lineage, quality, reshape
 from granary.operators.exports import export_filter
 from granary.plans import crop, districts, wide
@@ -72,7 +70,6 @@ def test_html_parse_is_the_only_python_step(spark):
     assert "MapInPandas" in _plan(cells)
     pairs = html.html_option_pairs(customer_pages(spark, SMALL))
     assert not any(n in _plan(pairs) for n in PYTHON_NODES)
-    assert F is not None
 
 
 def test_writer_rules_aggregate_map_side(spark):
@@ -87,7 +84,19 @@ def test_writer_rules_aggregate_map_side(spark):
         assert "partial_min_by" in p or "partial_max_by" in p  # combined before the shuffle
 
 
-def test_successor_is_range_partitioned(spark):
+def test_state_count_reads_join_keys_only(spark):
+    from granary.plans.q_quality import q_records_per_state
+
+    p = _plan(q_records_per_state(spark, SMALL))
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in p
+    assert "RoundRobin" not in p
+
+
+def test_no_round_robin_over_a_scan(spark):
+    for df in (load(spark, SMALL, "lineitem"), crop.crop_lines(spark, SMALL), districts.layout_events(spark, SMALL)):
+        assert "RoundRobin" not in _plan(df)
+
+
+def test_successors_are_written_once(spark):
     from granary.plans.q_graph import transition_edges
-    p = _plan(transition_edges(spark, SMALL))
-    assert "rangepartitioning(user_id" in p
+    assert "rangepartitioning" not in _plan(transition_edges(spark, SMALL))  # reads the checkpoint
