@@ -55,11 +55,12 @@ def _tags(entries: dict[str, str]) -> list[tuple]:
 def rules() -> list[tuple[str, int, str, str]]:
     """(keyword, priority, label, pattern) in order; keywords are parts of the space-padded text."""
     v = {n: rf"{VER}{n.replace('.', ' ')}" for n in ("1.0", "1.1", "1.2", "1.3", "2.0", "2.1", "2.5", "3.0", "4.0")}
-    n = {k: rf"{VER}{k}(?: 0)?" for k in ("1", "2", "3")}
+    whole = r"(?: 0)?(?! [1-9](?: |$))"  # "2" isn't found in "2 1"
+    n = {k: rf"{VER}{k}{whole}" for k in ("1", "2", "3")}
     out: list[tuple[str, int, str, str]] = []
     out += _versioned("gpl", " gnu ", rf"gnu general public {L}", n)
     out += _versioned("lgpl", " gnu ", rf"gnu (?:lesser|library) general public {L}",
-                      {"2": rf"{VER}2(?: 0)?", "2.1": rf"{VER}2 1", "3": rf"{VER}3(?: 0)?"})
+                      {"2": n["2"], "2.1": rf"{VER}2 1", "3": n["3"]})
     out += _versioned("agpl", " gnu ", rf"gnu affero general public {L}", {k: n[k] for k in ("1", "3")})
     out += _versioned("gfdl", " gnu ", rf"gnu free documentation {L}", {k: v[k] for k in ("1.1", "1.2", "1.3")})
     out += _versioned("apache", " apache ", rf"apache (?:software )?{L}", {k: v[k] for k in ("1.0", "1.1", "2.0")})
@@ -106,8 +107,8 @@ def rules() -> list[tuple[str, int, str, str]]:
         (" gpl", 2, "gpl-2", r"gpl ?v?2(?: 0)?(?: only| or later)?"), (" gpl", 2, "gpl-3", r"gpl ?v?3(?: 0)?(?: only| or later)?"),
         (" gpl", 1, "gpl", r"gpl"), (" lgpl", 2, "lgpl-2.1", r"lgpl ?v?2 1"), (" lgpl", 2, "lgpl-3", r"lgpl ?v?3(?: 0)?"),
         (" lgpl", 1, "lgpl", r"lgpl"), (" agpl", 2, "agpl-3", r"agpl ?v?3(?: 0)?"), (" agpl", 1, "agpl", r"agpl"),
-        (" gnu ", 3, "gpl", rf"{GRANT} {UNDER}gnu general public {L}"), (" gnu ", 2, "lgpl", rf"gnu (?:lesser|library) general public {L}"),
-        (" gnu ", 2, "agpl", rf"gnu affero general public {L}"), (" gnu ", 2, "gfdl", rf"gnu free documentation {L}"),
+        (" gnu ", 3, "gpl", rf"{GRANT} {UNDER}gnu general public {L}"), (" gnu ", 1, "lgpl", rf"gnu (?:lesser|library) general public {L}"),
+        (" gnu ", 1, "agpl", rf"gnu affero general public {L}"), (" gnu ", 1, "gfdl", rf"gnu free documentation {L}"),
         (" gnu ", 3, "gpl-2-or-later", r"gnu general public license as published by the free software foundation either version 2 of the license or (?:at your option )?any later version"),
         (" gnu ", 3, "gpl-3-or-later", r"gnu general public license as published by the free software foundation either version 3 of the license or (?:at your option )?any later version"),
         (" apache ", 3, "apache", rf"{GRANT} {UNDER}apache (?:software )?{L}"), (" apache ", 2, "apache-2.0", r"apache (?:license )?v?2(?: 0)?"),
@@ -122,7 +123,7 @@ def rules() -> list[tuple[str, int, str, str]]:
         (" bsd ", 2, "bsd-4-clause", rf"(?:bsd 4 clause|4 clause bsd|original bsd)(?: {L})?"),
         (" bsd ", 3, "bsd", rf"{GRANT} {UNDER}(?:[234] clause |new |simplified )?bsd(?: [234] clause)?(?: style)? {L}"),
         (" mozilla ", 1, "mpl", rf"mozilla public {L}"), (" mpl ", 2, "mpl-2.0", r"mpl (?:v ?)?2 0"), (" mpl ", 2, "mpl-1.1", r"mpl (?:v ?)?1 1"),
-        (" eclipse ", 1, "epl", rf"eclipse public {L}"), (" eclipse ", 2, "edl-1.0", rf"eclipse distribution {L}"),
+        (" eclipse ", 1, "epl", rf"eclipse public {L}"), (" eclipse ", 1, "edl-1.0", rf"eclipse distribution {L}"),
         (" european ", 1, "eupl", rf"european union public {L}"), (" artistic ", 1, "artistic", rf"artistic {L}"),
         (" boost ", 1, "bsl-1.0", rf"boost software {L}"), (" zlib ", 1, "zlib", rf"zlib(?: libpng)? {L}"),
         (" unlicense", 1, "unlicense", r"unlicensed?"), (" unencumbered ", 3, "unlicense", r"this is free and unencumbered software released into the public domain"),

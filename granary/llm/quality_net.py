@@ -148,7 +148,7 @@ class Network:
     def __init__(self, x: np.ndarray, y: np.ndarray, check: np.ndarray):
         """``check`` marks the rows kept for the temperature."""
         self.prior = float((y.sum() + 1) / (len(y) + 2))
-        self.fitted = 0 < y.sum() < len(y)
+        self.fitted = bool(0 < y.sum() < len(y))
         if not self.fitted:
             return
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-6

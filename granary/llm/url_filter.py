@@ -28,6 +28,7 @@ from granary.llm.common import pick
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 BUCKETS = 1 << 16
 LONGEST = 20
+PART_WEIGHT = 0.005
 THRESHOLD = 0.5
 SMOOTH = 0.1
 #: words whose urls are examples of what to block
@@ -46,6 +47,10 @@ COMMON = (
 ).split()
 
 
+_BLOCKED = frozenset(BLOCKED)
+_LISTED = frozenset((*BLOCKED, *COMMON))
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     at = F.locate("://", F.coalesce(url, F.lit("")))
     rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
@@ -72,10 +77,10 @@ def bucket(word: str) -> int:
 def unigram_costs(urls: DataFrame) -> np.ndarray:
     """Negative log probabilities by bucket of a word, from all parts of all hosts and paths."""
     parts = urls.select(F.explode(F.split(F.lower(F.concat_ws("/", "host", "path")), "[^a-z]+")).alias("w")).filter("w <> ''")
-    counts = np.full(BUCKETS, 1e-3)
+    counts = np.full(BUCKETS, 1e-3)  # a part of a name that's a word is rarer than the words it is made of
     got = parts.groupBy(F.pmod(F.crc32(F.col("w").cast("binary")), F.lit(BUCKETS)).cast("int").alias("b")).count()
     for row in got.collect():  # BUCKETS rows at most
-        counts[row["b"]] += np.log1p(row["count"])
+        counts[row["b"]] += PART_WEIGHT * np.log1p(row["count"])
     for word in (*BLOCKED, *COMMON):
         counts[bucket(word)] += 50
     return -np.log(counts / counts.sum())
@@ -92,7 +97,9 @@ class Segmenter:
         best, back = [0.0] + [float("inf")] * len(name), [0] * (len(name) + 1)
         for j in range(1, len(name) + 1):
             for i in range(max(0, j - LONGEST), j):
-                cost = best[i] + self.costs[bucket(name[i:j])] + 2.0 / (j - i)
+                word = name[i:j]
+                # words outside the lists cost more the longer they are, so compounds come apart
+                cost = best[i] + self.costs[bucket(word)] + 2.0 / (j - i) + (0.0 if word in _LISTED else 0.5 * (j - i))
                 if cost < best[j]:
                     best[j], back[j] = cost, i
         out, j = [], len(name)
@@ -135,7 +142,6 @@ def class_counts(urls: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.nda
     return totals[:, BUCKETS], totals[:, :BUCKETS]
 
 
-_BLOCKED = frozenset(BLOCKED)
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
