@@ -1,11 +1,11 @@
 """Headline benchmark: runs the main workloads on ``$BENCH_SF_DIR`` with
 ``local[$BENCH_CPUS]`` and prints one JSON line.
 
-Each query is executed once, to completion, with the ``noop`` sink (every row
-is produced, nothing is collected to the driver). Before the first query a
+Each query is executed ``$BENCH_RUNS`` times (three), to completion, with the
+``noop`` sink (every row is produced, nothing is collected to the driver); the
+median counts. Before the first query a
 tiny job starts the session's executors and JVM so that start-up is not
-billed to whichever query happens to run first; query plans themselves are
-still compiled cold.
+billed to whichever query happens to run first.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -47,10 +48,13 @@ def main() -> None:
     spark.range(0, 100_000, 1, cpus).selectExpr("sum(id)").collect()  # session warm-up
     times: dict[str, float] = {}
     for name in only or HEADLINE:
-        t0 = time.time()
-        df = registry.QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+        runs = []
+        for _ in range(int(os.environ.get("BENCH_RUNS", "3"))):
+            t0 = time.time()
+            df = registry.QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            runs.append(time.time() - t0)
+        times[name] = round(statistics.median(runs), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total",

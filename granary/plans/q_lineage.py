@@ -129,7 +129,7 @@ def event_manifest_join(spark, sf_dir):
     ev = d.all_events(spark, sf_dir).select("state", "parent_district", "child_district", "event_type",
                                             "source_document")
     manifest = spark.createDataFrame(d.FILES, "filename string, url string")
-    j = ev.join(F.broadcast(manifest), ev.source_document == manifest.filename)  # one row per listed file
+    j = ev.join(manifest, ev.source_document == manifest.filename)  # one row per listed file
     return j.select("state", "parent_district", "child_district", "event_type", "filename", "url")
 
 
