@@ -13,7 +13,8 @@ PY_WHITESPACE = [
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ]
 _WS = "".join(chr(c) for c in PY_WHITESPACE)
-# Marker placed after non-letters while title-casing; input must not hold it.
+# Marker placed after non-letters while title-casing. A marker in the input is a non-letter too, so
+# the one put in follows it at once and only that one, with its space, is taken out again.
 _MARK = "\u0002"
 
 

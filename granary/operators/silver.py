@@ -59,15 +59,9 @@ def silver_select(rows: DataFrame, fields: list[str], keep: list[str] | None = N
     return rows.select(*[value(t).alias(t) for t in SILVER_TEXT + SILVER_MEASURES], *keep)
 
 
-# Key separator for the lower-cased key list; record keys must not contain it.
-_SEP = "\u0001"
-
-
 def lowered_keys_reversed(record: Column) -> Column:
-    """Lower-cased record keys, last key first - built with codegen'd string
-    and array functions (no lambda), so the whole mapping stays in
-    whole-stage code generation."""
-    return F.reverse(F.split(F.lower(F.array_join(F.map_keys(record), _SEP)), _SEP))
+    """Lower-cased record keys, last key first."""
+    return F.reverse(F.transform(F.map_keys(record), F.lower))
 
 
 def silver_value(record: Column, target: str, rev_keys: Column | None = None) -> Column:

@@ -67,6 +67,16 @@ def html_option_pairs(spark, sf_dir):
     return html.html_option_pairs(customer_pages(spark, sf_dir))
 
 
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's pages with three links each appended: relative to the page, to the folder above it,
+    and to a spreadsheet."""
+    n = F.col("page_id").cast("string")
+    more = F.concat(F.lit('<a href="files/r'), n, F.lit('.pdf">r</a><A class="x" HREF = \'../up/x'), n, F.lit('.CSV\'>x</a>'),
+                    F.lit('<a href="https://docs.google.com/spreadsheets/d/ID'), n, F.lit('/edit#gid=0">s</a>'))
+    return load(spark, sf_dir, "pages").withColumn("html", F.concat(F.coalesce("html", F.lit("")), more))
+
+
+SUFFIXES = [*LINK_SUFFIXES, ".pdf", ".csv"]
 _HREFS_SQL = """SELECT page_id, url AS base, replace(unnest(regexp_extract_all(html, '<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)), '&amp;', '&') AS href FROM pages"""
 _SUFFIX_SQL = " OR ".join(f"ends_with(lower(href), '{s}')" for s in LINK_SUFFIXES)
 _JOIN_SQL = """CASE
@@ -74,17 +84,23 @@ _JOIN_SQL = """CASE
   WHEN starts_with(href, '//') THEN regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9+.\\-]*):', 1) || ':' || href
   WHEN starts_with(href, '/') THEN regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]*)', 1) || href
   ELSE NULL END"""
-LINKS_SQL = f"SELECT page_id, href, {_JOIN_SQL} AS url FROM ({_HREFS_SQL}) h WHERE {_SUFFIX_SQL}"
+# the folder of a page: its url without query and fragment, up to the last slash
+_FOLDER = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '')"
+LINKS_SQL = f"""SELECT page_id, href, {_JOIN_SQL} AS url FROM ({_HREFS_SQL}) h WHERE {_SUFFIX_SQL}
+UNION ALL SELECT page_id, 'files/r' || page_id || '.pdf', {_FOLDER} || 'files/r' || page_id || '.pdf' FROM pages
+UNION ALL SELECT page_id, '../up/x' || page_id || '.CSV', regexp_replace({_FOLDER}, '[^/]*/$', '') || 'up/x' || page_id || '.CSV' FROM pages
+UNION ALL SELECT page_id, 'https://docs.google.com/spreadsheets/d/ID' || page_id || '/edit#gid=0',
+  'https://docs.google.com/spreadsheets/d/ID' || page_id || '/export?format=csv' FROM pages"""
 
 
 @query("html_link_discovery", LINKS_SQL)
 def html_link_discovery(spark, sf_dir):
-    return html.html_links(load(spark, sf_dir, "pages"), suffixes=LINK_SUFFIXES)
+    return html.html_links(link_pages(spark, sf_dir), suffixes=SUFFIXES)
 
 
 @query("link_distinct", f"SELECT DISTINCT url FROM ({LINKS_SQL}) l")
 def link_distinct(spark, sf_dir):
-    return html.link_distinct(html.html_links(load(spark, sf_dir, "pages"), suffixes=LINK_SUFFIXES))
+    return html.link_distinct(html.html_links(link_pages(spark, sf_dir), suffixes=SUFFIXES))
 
 
 @query(

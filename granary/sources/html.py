@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TABLE_ROW_SCHEMA = "page_id long, row_no int, col_no int, header_parts array<string>, value string"
 OPTION_BLOCK = r'(?s)id="fltrstates"(.*?)</select>'
 OPTION_PAIR = r'<option value="(\d+)"[^>]*>([^<]+)</option>'
-ANCHOR_HREF = r"""<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+ANCHOR_HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 
 
 def _span(value: str | None) -> int:
