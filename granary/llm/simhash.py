@@ -1,8 +1,9 @@
 """SimHash near-duplicates: all links within 4 bits, found by Golay-code keys.
 
 Texts become 64-bit fingerprints; equal fingerprints are merged first, with partial aggregates, so a
-group of exact copies is one node however large. Each node gets about 29 keys (see ``golay``): nodes
-within 4 bits share one. Links are then found in two steps that together lose no component:
+group of exact copies is one node however large. Each node gets about a hundred keys (see ``golay``):
+nodes within 4 bits share one. Keys of a single node, nearly all, go first. Links are then found in two
+steps that together lose no component:
 
 1. In each key's bucket every node is compared with three nodes of the bucket, picked by different
    orders. This joins the bulk of a dense group without looking at its pairs.
@@ -77,12 +78,13 @@ def fingerprint_components(nodes: DataFrame, max_bits: int = golay.MAX_BITS) ->
         return pd.Series(list(golay.keys(fps.to_numpy(np.int64).view(np.uint64))))
 
     keyed = nodes.select("fp", F.explode(F.array_distinct(keys("fp"))).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    keyed = checkpointed(keyed.join(shared, "key", "left_semi"))
 
     # step 1: every node against three nodes of its bucket
     some = keyed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
         *[F.min(F.col("fp").bitwiseXOR(F.lit(s))).alias(f"m{i}") for i, s in enumerate(SALTS)],
-    ).filter("n > 1").select("key", F.array(*[F.col(f"m{i}").bitwiseXOR(F.lit(s)) for i, s in enumerate(SALTS)]).alias("picks"))
+    ).select("key", F.array(*[F.col(f"m{i}").bitwiseXOR(F.lit(s)) for i, s in enumerate(SALTS)]).alias("picks"))
     near = F.array_distinct(F.filter("picks", lambda p: (p != F.col("fp")) & (F.bit_count(p.bitwiseXOR(F.col("fp"))) <= max_bits)))
     first = keyed.join(some, "key").select(F.col("fp").alias("a"), near.alias("near")).filter(F.size("near") > 0)
     roots = checkpointed(connected(first.select("a", F.explode("near").alias("b")).distinct()))
