@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granary.llm import (
     bpe_chunks, decontaminate, language_id, licenses, line_rules, quality_net, simhash, style_tree, suffix_dedup, url_filter,
 )
-from granary.llm.common import share, table
+from granary.llm.common import pick, share, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -32,21 +32,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
     model = quality_net.fit(docs, table(spark, sf_dir, "labels"), learn_from=lambda c: share(c, 5, (1, 2, 3, 4)))
     got = docs.select("doc_id", share(F.col("doc_id"), 5, (0,)).alias("held_out"), quality_net.score_column(F.col("text"), model).alias("score"))
     return got.withColumn("predicted", (F.col("score") >= quality_net.THRESHOLD).cast("int"))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     model = language_id.fit(docs.filter(share(F.col("doc_id"), 3, (0, 2))))
     got = language_id.identify(docs, model)
     return got.select("doc_id", share(F.col("doc_id"), 3, (1,)).alias("held_out"), "lang_pred", "score")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = suffix_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = suffix_dedup.removed(pick(table(spark, sf_dir, "documents"), "doc_id", "text"))
     return got.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
@@ -54,7 +54,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
     field = line_rules.fit(docs, table(spark, sf_dir, "labels"), learn_from=lambda c: share(c, 5, (1, 2, 3, 4)))
     return line_rules.judge(docs, field)
 
