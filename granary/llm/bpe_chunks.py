@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from granary.llm.common import pick
 
 CHUNK_BYTES = 2048  # mean size; a power of two
-CACHE_BYTES = 48 << 20  # of chunk text; the cache starts anew beyond it
+CACHE_BYTES = 4 << 20  # of chunk text; the cache starts anew beyond it
+AT_ONCE = 200  # texts whose ids a task holds before it hands them on
 WINDOW = 16
 LETTERS_BELOW = chr(0x530)  # Latin, Greek and Cyrillic: letters in every version of Unicode
 
@@ -110,13 +111,16 @@ class ChunkEncoder:
         self.cache: dict[bytes, tuple] = {}
         self.held = 0
 
+    def plain(self, text: str) -> np.ndarray:
+        return np.array(self.enc.encode_ordinary(text), np.int32)
+
     def chunk(self, data: bytes) -> tuple:
         """(ids, first sure place, last sure place, tokens before each); the places are -1 if there are
         none, or if the chunk's own tokens have no boundary at them."""
         got = self.cache.get(data)
         if got is None:
             text = data.decode("utf-8")
-            ids = self.enc.encode_ordinary(text)
+            ids = self.plain(text)
             got = (ids, -1, -1, 0, 0)
             p, q = _first_sure(text), _last_sure(text)
             if p > 0:
@@ -137,40 +141,40 @@ class ChunkEncoder:
             self.held += len(data)
         return got
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> list[np.ndarray]:
+        """The text's ids, in parts."""
         data = text.encode("utf-8")
-        out: list[int] = []
+        out: list[np.ndarray] = []
         start, done = 0, 0  # chunk's start; bytes whose tokens are in out
         for end in cuts(data, self.mean):
             ids, first, last, k_first, k_last = self.chunk(data[start:end])
             if first >= 0:  # else the open stretch runs on into the next chunk
                 if start == 0:
-                    out += ids[:k_last]
+                    out.append(ids[:k_last])
                 else:
-                    out += self.enc.encode_ordinary(data[done:start + first].decode("utf-8"))
-                    out += ids[k_first:k_last]
+                    out.append(self.plain(data[done:start + first].decode("utf-8")))
+                    out.append(ids[k_first:k_last])
                 done = start + last
             start = end
         if done < len(data):
-            out += self.enc.encode_ordinary(data[done:].decode("utf-8"))
+            out.append(self.plain(data[done:].decode("utf-8")))
         return out
 
 
 def encoder(path: str, mean: int = CHUNK_BYTES):
-    """text -> ids, exactly as the tokenizers library without added special tokens."""
+    """text -> ids (int32), exactly as the tokenizers library without added special tokens."""
     enc, table, special = codec(path)
     chunks = ChunkEncoder(enc, table, mean)
     marks = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
-    def encode(text: str | None) -> list[int]:
-        if not text:
-            return []
-        if marks is None or not any(s in text for s in special):
-            return chunks.encode(text)
-        out: list[int] = []
-        for part in marks.split(text):
-            out += [special[part]] if part in special else chunks.encode(part) if part else []
-        return out
+    def encode(text: str | None) -> np.ndarray:
+        parts: list[np.ndarray] = [np.empty(0, np.int32)]
+        if text and (marks is None or not any(s in text for s in special)):
+            parts += chunks.encode(text)
+        elif text:
+            for part in marks.split(text):
+                parts += [np.array([special[part]], np.int32)] if part in special else chunks.encode(part) if part else []
+        return np.concatenate(parts)
 
     return encode
 
@@ -189,15 +193,17 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
         encode = encoder(vocabulary)
         table = codec(vocabulary)[1]
         names = [str(i) for i in range(len(table))]
-        for texts in batches:
-            out: dict[str, list] = {"n_tokens": [], **({"ids": []} if with_ids else {}), "ids_sha256": [], "decoded_sha256": []}
-            for t in texts:
-                ids = encode(t)
-                out["n_tokens"].append(len(ids))
-                if with_ids:
-                    out["ids"].append(np.array(ids, np.int32))
-                out["ids_sha256"].append(sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                out["decoded_sha256"].append(sha256(b"".join(map(table.__getitem__, ids))).hexdigest())
-            yield pd.DataFrame(out)
+        for batch in batches:
+            for at in range(0, len(batch), AT_ONCE):
+                out: dict[str, list] = {"n_tokens": [], **({"ids": []} if with_ids else {}), "ids_sha256": [], "decoded_sha256": []}
+                for t in batch.iloc[at:at + AT_ONCE]:
+                    ids = encode(t)
+                    plain = ids.tolist()
+                    out["n_tokens"].append(len(plain))
+                    if with_ids:
+                        out["ids"].append(ids)
+                    out["ids_sha256"].append(sha256(",".join(map(names.__getitem__, plain)).encode()).hexdigest())
+                    out["decoded_sha256"].append(sha256(b"".join(map(table.__getitem__, plain))).hexdigest())
+                yield pd.DataFrame(out)
 
     return pick(docs, id_col, text_col).select(F.col(id_col), run(F.col(text_col)).alias("r")).select(id_col, "r.*")
