@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import bpe_chunks, decontaminate, quality_net, simhash, suffix_dedup
-from granary.llm.common import packed, share, table, unpacked
+from granary.llm.common import packed, share, small_batches, table, unpacked
 from granary.llm.queries import vocabulary_path
 from granary.session import scratch_path
 
@@ -26,11 +26,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that are found elsewhere too."""
+    small_batches(spark)
     return suffix_dedup.remove_repeats(docs)
 
 
@@ -41,6 +43,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the documents."""
+    small_batches(spark)
     return bpe_chunks.encode_texts(docs, vocabulary_path())
 
 

@@ -8,7 +8,20 @@ from pyspark.sql import functions as F
 from granary.session import shared_dir
 
 
+#: Rows of whole texts that a Python worker gets at once: the session's usual 10,000 are tens of MB, held
+#: several times over by the JVM and by each of an executor's workers.
+TEXTS_AT_ONCE = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``TEXTS_AT_ONCE`` rows, if they are larger or unlimited."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXTS_AT_ONCE:
+        spark.conf.set(key, str(TEXTS_AT_ONCE))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -53,7 +53,7 @@ class Tokens:
         else:
             shape = 4
         got = shape * WORDS + zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) % WORDS
-        if len(self.known) > 400_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         self.known[token] = got
         return got
