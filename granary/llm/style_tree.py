@@ -256,5 +256,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for html, paths in batches:
             yield pd.Series([main_text(h, set() if p is None else set(p.tolist())) for h, p in zip(html, paths)], dtype=object)
 
-    rows = rows.join(low, "host", "left")
+    # without any noise path there's nothing to bring to the pages, so they stay where they are
+    rows = rows.withColumn("low", F.lit(None).cast("array<long>")) if low.isEmpty() else rows.join(low, "host", "left")
     return rows.select(F.col("id_").alias(id_col), F.col("url_").alias(url_col), text("html", "low").alias("text"))
