@@ -10,7 +10,7 @@ from granary.session import shared_dir
 
 #: Rows of whole texts that a Python worker gets at once: the session's usual 10,000 are tens of MB, held
 #: several times over by the JVM and by each of an executor's workers.
-TEXTS_AT_ONCE = 500
+TEXTS_AT_ONCE = 200
 
 
 def small_batches(spark: SparkSession) -> None:

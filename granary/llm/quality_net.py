@@ -38,7 +38,7 @@ HIDDEN = 16
 STEPS = 500
 THRESHOLD = 0.3
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-_AT_ONCE = 400_000
+_AT_ONCE = 150_000
 
 
 class Tokens:
@@ -53,7 +53,7 @@ class Tokens:
         else:
             shape = 4
         got = shape * WORDS + zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) % WORDS
-        if len(self.known) > 100_000:
+        if len(self.known) > 50_000:
             self.known.clear()
         self.known[token] = got
         return got

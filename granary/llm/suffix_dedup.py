@@ -41,7 +41,7 @@ from granary.llm.common import checkpointed, packed, unpacked
 
 LENGTH = 200
 TRIGGER = 8
-CHUNK_ROWS = 300_000
+CHUNK_ROWS = 100_000
 SPANS = "array<struct<start:long,end:long>>"
 _ROWS = "core long, hull long, key long, pos long, mult int"
 _LOW = np.uint64(0xFFFFFFFF)
