@@ -24,7 +24,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from granary.llm import golay
 from granary.llm.common import checkpointed, packed, pick, unpacked
@@ -121,14 +120,19 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              max_bits: int = golay.MAX_BITS) -> DataFrame:
-    """The documents' rows, one of each component: that of the least id; of rows that repeat this id,
-    one. Rows without an id stay where their component has no id at all (one of them)."""
-    found = components(docs, id_col, text_col, shingle, max_bits)
-    keep = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("keep")).distinct()
-    keep = keep.withColumn("k", F.xxhash64("keep"))
-    rows = packed(docs, id_col).withColumn("k", F.xxhash64(id_col))
-    rows = rows.join(keep, (rows["k"] == keep["k"]) & rows[id_col].eqNullSafe(keep["keep"]), "left_semi")
-    # an id is one row as a rule; rows that repeat it are few, so a window by id is small
-    one = Window.partitionBy("k", id_col).orderBy(F.xxhash64("whole"))
-    rows = rows.withColumn("nth", F.row_number().over(one)).filter("nth = 1")
-    return unpacked(rows, docs)
+    """The documents' rows, one of each component: that of the least id, or any if no row of the component
+    has an id. Among rows of that id the least row hash decides; ids may be null, repeat or be shared by
+    different components."""
+    columns = [F.col(f"whole.f{i}") for i in range(len(docs.columns))]
+    # a hash skips nulls, so which columns are null is part of the row's key; equal keys are copies of a row
+    nulls = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in columns])
+    rows = packed(docs, id_col, text_col).toDF("whole", "id", "text").withColumns({
+        "h1": F.xxhash64(nulls, "whole"), "h2": F.xxhash64(F.lit(1), nulls, "whole")})
+    small = checkpointed(rows.select("id", "h1", "h2", fingerprint_column(F.col("text"), shingle).alias("fp")))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")
+    nodes = checkpointed(small.groupBy("fp").agg(F.min(order).alias("first")))
+    best = nodes.join(fingerprint_components(nodes.select("fp"), max_bits), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    keep = best.select("first.h1", "first.h2")
+    # copies of a row are merged before they are shuffled, however many there are
+    single = rows.groupBy("h1", "h2").agg(F.first("whole").alias("whole"))
+    return unpacked(single.join(keep, ["h1", "h2"], "left_semi"), docs)

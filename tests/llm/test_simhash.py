@@ -115,6 +115,17 @@ def test_null_ids(spark):
     assert sorted(str(r["doc_id"]) for r in simhash.keep_one(d).collect()) == ["3", "None"]
 
 
+def test_keep_one_counts_rows_not_ids(spark):
+    """Ids that are null, or shared by different texts, lose no component; nulls in other places are other rows."""
+    schema = "doc_id long, text string, lang string, source string"
+    rows = [(None, "p q r s t", "en", "s"), (3, "p q r s t", "en", "s")]
+    rows += [(None, f"text number {i} stands here alone {i * i}", "en", "s") for i in range(6)] * 2
+    rows += [(5, "one text of the id five", None, "s"), (5, "quite another one with this id", None, "s")] * 3
+    rows += [(8, None, "word", "s"), (8, "word", None, "s")]
+    got = sorted(r["text"] or "" for r in simhash.keep_one(spark.createDataFrame(rows, schema).repartition(3)).collect())
+    assert got == sorted({r[1] or "" for r in rows})
+
+
 def test_connected_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (4, 6), (9, 9), (7, 1)] + [(100, i) for i in range(101, 160)] + [(i, i + 1) for i in range(200, 240)]
     got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
