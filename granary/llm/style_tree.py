@@ -22,6 +22,7 @@ as pages of their own. Unclosed and stray tags are allowed.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -35,7 +36,6 @@ from granary.llm.url_filter import host_and_path
 
 MIN_PAGES = 5
 THRESHOLD = 0.25
-MAX_DEPTH = 200
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -59,6 +59,7 @@ _NOISE = re.compile(
     r"widget|login|signup|search|toolbar|skip)(?:$|[\s_-])", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+_HOLDERS = ("ul", "ol", "dl", "table", "select", "div", "article", "section")
 _SPACE = re.compile(r"\s+")
 
 
@@ -74,8 +75,19 @@ def parse(html: str) -> Node:
     """A tolerant tree: unclosed paragraphs, list items and cells close themselves."""
     root = Node("#", 0, False)
     stack = [root]
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack elements of a name are
+    blocks = [0]  # for each place of the stack, that of the nearest block at or below it
     at, n = 0, len(html)
     digest = xxhash.xxh3_64_intdigest
+
+    def last(names) -> int:
+        return max((places[x][-1] for x in names if places[x]), default=0)
+
+    def cut(k: int) -> None:
+        while len(stack) > k:
+            places[stack.pop().name].pop()
+            blocks.pop()
+
     while at < n:
         m = _TOKEN.match(html, at)
         at = m.end()
@@ -87,26 +99,16 @@ def parse(html: str) -> Node:
             continue
         name = name.lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    del stack[k:]
-                    break
-                if stack[k].name in _MAIN and name in _TEXTS:
-                    break
+            k = last((name,))
+            if k and not (name in _TEXTS and last(_MAIN) > k):
+                cut(k)
             continue
-        if name in _BLOCK:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == "p":
-                    del stack[k:]
-                    break
-                if stack[k].name in _BLOCK:
-                    break
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in _CLOSES.get(name, ()):
-                del stack[k:]
-                break
-            if stack[k].name in ("ul", "ol", "dl", "table", "select", "div", "article", "section") or name not in _CLOSES:
-                break
+        if name in _BLOCK and stack[blocks[-1]].name == "p":
+            cut(blocks[-1])
+        if name in _CLOSES:
+            k = last(_CLOSES[name])
+            if k > last(_HOLDERS):
+                cut(k)
         attributes = m[3]
         look = ""
         hidden = False
@@ -122,7 +124,7 @@ def parse(html: str) -> Node:
                 else:
                     hidden |= value.lower() in ("true", "hidden", "")
         top = stack[-1]
-        path = digest(f"{top.path}/{name}.{re.sub('[0-9]+', '', look)}") if len(stack) < MAX_DEPTH else top.path
+        path = digest(f"{top.path}/{name}.{re.sub('[0-9]+', '', look)}")
         node = Node(name, path, name in _NEVER or hidden)
         top.children.append(node)
         raw = _RAW.get(name)
@@ -130,8 +132,9 @@ def parse(html: str) -> Node:
             end = raw.search(html, at)
             at = end.end() if end else n
         elif name not in _VOID and not attributes.rstrip().endswith("/"):
-            if len(stack) < MAX_DEPTH:
-                stack.append(node)
+            places[name].append(len(stack))
+            blocks.append(len(stack) if name in _BLOCK else blocks[-1])
+            stack.append(node)
     return root
 
 
@@ -192,31 +195,26 @@ def _blocks(top: Node, low, inside: bool) -> list[str]:
         if text:
             blocks.append(text)
 
-    def walk(node: Node) -> None:
-        for c in node.children:
-            if isinstance(c, str):
-                run.append(c)
-                continue
-            if c.name in ("br", "hr", "wbr"):
-                run.append("" if c.name == "wbr" else " ")
-                continue
-            if c.noise or (c.name == "header" and not inside):
-                if c.name in _BLOCK:
-                    close()
-                continue
-            signed = c.path - (1 << 64) if c.path >= 1 << 63 else c.path
-            if signed in low and not (inside and c.name in _TEXTS):
-                if c.name in _BLOCK:
-                    close()
-                continue
-            if c.name in _BLOCK:
-                close()
-                walk(c)
+    todo = [(iter(top.children), False)]  # by hand, as pages may be nested deeper than calls can be
+    while todo:
+        c = next(todo[-1][0], None)
+        if c is None:
+            if todo.pop()[1]:
                 close()
-            else:
-                walk(c)
-
-    walk(top)
+            continue
+        if isinstance(c, str):
+            run.append(c)
+            continue
+        if c.name in ("br", "hr", "wbr"):
+            run.append("" if c.name == "wbr" else " ")
+            continue
+        block = c.name in _BLOCK
+        if block:
+            close()
+        signed = c.path - (1 << 64) if c.path >= 1 << 63 else c.path
+        if c.noise or (c.name == "header" and not inside) or (signed in low and not (inside and c.name in _TEXTS)):
+            continue
+        todo.append((iter(c.children), block))
     close()
     return blocks
 

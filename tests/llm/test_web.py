@@ -85,6 +85,18 @@ def test_odd_pages():
     assert main_text("<p>" + "long " * 100_000 + "</p>").count("long") == 100_000
 
 
+def test_no_depth_is_too_deep():
+    """Text after, and noise below, hundreds of nested elements."""
+    for depth in (250, 3000, 60_000):
+        down, up = "<div>" * depth, "</div>" * depth
+        page = f"<p>Out</p><div id=w><article><p>A</p>{down}<nav>noise</nav><p>deep</p>{up}<p>B</p></article></div><p>Out</p>"
+        assert main_text(page) == "A deep B"
+        assert main_text(f"<p>Out</p>{down}<article><p>A</p></article>{up}<p>Out</p>") == "A"
+    # unclosed elements and stray end tags take linear time
+    assert main_text("<p>a" + "<b>" * 50_000 + "x</i></td><hr>" * 50_000).count("x") == 50_000
+    assert main_text("<p><article>" + "<b>" * 50_000 + "x</p>" * 50_000).count("x") == 50_000
+
+
 def test_style_tree_removes_what_a_host_repeats(spark):
     """Boxes without a telling name: the same on each page of a host, so of no importance; the text differs."""
     rows = [(f"http://one.example/{i}", f"<div class='box'>Welcome to our place</div><div class='body'><p>Story {i} of {i * i}</p></div>"
