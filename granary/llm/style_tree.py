@@ -9,8 +9,9 @@ low entropy, so low importance:
     content      = 1 - mean over the node's texts of log_m(pages that have the text)
 
 Nodes on at least ``MIN_PAGES`` pages whose importance is below ``THRESHOLD`` are noise; a page loses
-their branches. Elements that are never the article (scripts, menus, forms, ...) go by name, class or
-role on every page, also on hosts with one page. Inside an article the tree removes containers only,
+their branches. Elements that are never the article (scripts, menus, forms, ...) go by name, role or a
+whole word of class or id on every page, also on hosts with one page; class and id never mark html, body,
+main, article or what holds the page's article. Inside an article the tree removes containers only,
 not paragraphs: copies of an article on a host don't make its text noise.
 
 Counts are partial aggregates by host, path and text, so a host with a third of all pages is spread
@@ -52,11 +53,14 @@ _NEVER = frozenset(
     "audio video nav footer aside menu dialog".split())
 _TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 b i em strong a span u s small sub sup q cite code br blockquote pre li dd dt td th".split())
 _MAIN = ("article", "main")
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|sidebar|side|footer|header|masthead|topbar|ad|ads|advert|adverts|advertisement|sponsor|"
-    r"sponsored|promo|banner|cookie|cookies|consent|gdpr|notice|notices|alert|newsletter|subscribe|popup|modal|overlay|comment|"
-    r"comments|respond|replies|reply|disqus|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|pagination|pager|"
-    r"widget|login|signup|search|toolbar|skip)(?:$|[\s_-])", re.I)
+# whole words of class and id; a word with a dash or the like is left to the tree's importance
+_NOISE = frozenset(
+    "nav navbar navigation menu sidebar footer masthead topbar ad ads advert adverts advertisement sponsor sponsored promo "
+    "banner cookie cookies cookie-notice cookie-banner cookie-consent consent gdpr newsletter subscribe popup modal comments "
+    "respond replies disqus share sharing social related recommended breadcrumb breadcrumbs pagination pager login signup "
+    "toolbar".split())
+_PAGE = frozenset("html body main article".split())  # never noise by class or id, nor is what holds an article
+_CONTENT = frozenset("content main article post entry story".split())  # nor are elements that say so
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _HOLDERS = ("ul", "ol", "dl", "table", "select", "div", "article", "section")
@@ -77,6 +81,7 @@ def parse(html: str) -> Node:
     stack = [root]
     places: dict[str, list[int]] = defaultdict(list)  # where in the stack elements of a name are
     blocks = [0]  # for each place of the stack, that of the nearest block at or below it
+    named: list[int] = []  # where in the stack elements are that are noise by class or id only
     at, n = 0, len(html)
     digest = xxhash.xxh3_64_intdigest
 
@@ -87,6 +92,8 @@ def parse(html: str) -> Node:
         while len(stack) > k:
             places[stack.pop().name].pop()
             blocks.pop()
+        while named and named[-1] >= k:
+            named.pop()
 
     while at < n:
         m = _TOKEN.match(html, at)
@@ -120,18 +127,28 @@ def parse(html: str) -> Node:
                     hidden |= value.strip().lower() in _ROLES
                 elif kind in ("class", "id"):
                     look += " " + value
-                    hidden |= bool(_NOISE.search(value))
                 else:
                     hidden |= value.lower() in ("true", "hidden", "")
         top = stack[-1]
         path = digest(f"{top.path}/{name}.{re.sub('[0-9]+', '', look)}")
-        node = Node(name, path, name in _NEVER or hidden)
+        hidden |= name in _NEVER
+        called = False
+        if look and not hidden and name not in _PAGE:
+            words = set(look.lower().split())
+            called = not words.isdisjoint(_NOISE) and words.isdisjoint(_CONTENT)
+        node = Node(name, path, hidden or called)
         top.children.append(node)
+        if name in _MAIN and not hidden and not last(_MAIN):
+            for k in named:
+                stack[k].noise = False
+            named.clear()
         raw = _RAW.get(name)
         if raw is not None:
             end = raw.search(html, at)
             at = end.end() if end else n
         elif name not in _VOID and not attributes.rstrip().endswith("/"):
+            if called:
+                named.append(len(stack))
             places[name].append(len(stack))
             blocks.append(len(stack) if name in _BLOCK else blocks[-1])
             stack.append(node)

@@ -97,6 +97,17 @@ def test_no_depth_is_too_deep():
     assert main_text("<p><article>" + "<b>" * 50_000 + "x</p>" * 50_000).count("x") == 50_000
 
 
+def test_layout_classes_do_not_wipe_the_article():
+    for page in ("<body class='single no-sidebar'>%s</body>", "<body class='sidebar'>%s</body>", "<main class='with-sidebar'>%s</main>",
+                 "<article class='post has-comments'>%s</article>", "<article class='related'>%s</article>", "<main id='ad'>%s</main>",
+                 "<div id='content' class='widget'>%s</div>", "<div class='content sidebar'>%s</div>",
+                 "<div class='modal'><div id='social'><article>%s</article></div></div>"):
+        assert main_text(page % "<div class='entry-header'><h1>Head</h1></div><p>Text</p><div class='share'>Share</div>") == "Head Text"
+    # what stands inside an article and holds another still goes
+    assert main_text("<article><p>Text</p><div class='comments'><article>I like it</article></div></article>") == "Text"
+    assert main_text("<div class='sidebar'>a</div><p>Text</p><div id='Footer'>b</div><div role='search'>c</div>") == "Text"
+
+
 def test_style_tree_removes_what_a_host_repeats(spark):
     """Boxes without a telling name: the same on each page of a host, so of no importance; the text differs."""
     rows = [(f"http://one.example/{i}", f"<div class='box'>Welcome to our place</div><div class='body'><p>Story {i} of {i * i}</p></div>"
