@@ -16,8 +16,8 @@ not paragraphs: copies of an article on a host don't make its text noise.
 
 Counts are partial aggregates by host, path and text, so a host with a third of all pages is spread
 over tasks; what returns to the pages is one list of noise paths for a host, in a join that Spark can
-split. Null and empty pages have an empty text; a null url counts as the host ''. Repeated rows count
-as pages of their own. Unclosed and stray tags are allowed.
+split. Null and empty pages have an empty text; a null url counts as the host ''. Rows of a host with the same
+html count as one page, so copies of a page don't make its text noise; each has its text. Unclosed and stray tags are allowed.
 """
 
 from __future__ import annotations
@@ -237,15 +237,20 @@ def _blocks(top: Node, low, inside: bool) -> list[str]:
 
 
 def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, threshold: float = THRESHOLD) -> DataFrame:
-    """(host, low): for each host with such nodes, the paths of low importance. ``pages`` has host, html."""
+    """(host, low): for each host with such nodes, the paths of low importance. ``pages`` has host, html and,
+    if copies count as one page, ``copies``: how many rows are copies of this one, itself included."""
 
     @F.pandas_udf("array<struct<path:long,kind:long,feature:long>>")
     def observe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for pages_ in batches:
             yield pd.Series([[{"path": p, "kind": k, "feature": f} for p, k, f in observations(h)] for h in pages_])
 
-    seen = pages.select("host", F.explode(observe("html")).alias("o")).select("host", "o.path", "o.kind", "o.feature")
-    counts = seen.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("k"))
+    once = "copies" in pages.columns
+    weight = ["copies"] if once else []
+    seen = pages.select("host", *weight, F.explode(observe("html")).alias("o")).select("host", *weight, "o.path", "o.kind", "o.feature")
+    # the shares of a page's copies add up to one but for rounding
+    n = F.round(F.sum(1 / F.col("copies"))) if once else F.count(F.lit(1))
+    counts = seen.groupBy("host", "path", "kind", "feature").agg(n.alias("k"))
     of = lambda kind, value: F.when(F.col("kind") == kind, value)
     nodes = counts.groupBy("host", "path").agg(
         F.sum(of(0, F.col("k"))).alias("m"), F.avg(of(1, F.log("k"))).alias("shared"),
@@ -260,11 +265,21 @@ def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, threshold: float =
     return low.groupBy("host").agg(F.collect_set("path").alias("low"))
 
 
+def with_copies(pages: DataFrame) -> DataFrame:
+    """host, html and ``copies``: how many rows of the host have this html. Only numbers are shuffled, and
+    none is brought back where no page is repeated."""
+    rows = pages.select("host", "html", F.xxhash64("html").alias("h1"), F.xxhash64(F.lit(1), "html").alias("h2"))
+    repeated = checkpointed(rows.groupBy("host", "h1", "h2").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"))
+    if repeated.isEmpty():
+        return pages.select("host", "html", F.lit(1).alias("copies"))
+    return rows.join(repeated, ["host", "h1", "h2"], "left").select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row: id, url, text."""
     rows = pick(pages, id_col, url_col, html_col).toDF("id_", "url_", "html")
     rows = rows.withColumn("host", host_and_path(F.col("url_"))[0])
-    low = checkpointed(noise_paths(rows.select("host", "html")))
+    low = checkpointed(noise_paths(with_copies(rows.select("host", "html"))))
 
     @F.pandas_udf("string")
     def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

@@ -124,6 +124,18 @@ def test_copies_of_an_article_stay(spark):
     assert {r["text"] for r in got} == {main_text(ARTICLE)} and len(got) == 20
 
 
+def test_copies_of_a_page_count_once(spark):
+    """Pages built of divs, with and without an article, all rows of a host being copies of one or two."""
+    plain = "<div class='body'><div>Story %s</div><p>More of %s</p></div>"
+    rows = [("http://one.example/a", plain % (1, 1))] * 8
+    rows += [(f"http://two.example/{i}", f"<article>{plain % (i % 2, i % 2)}</article>") for i in range(14)]
+    rows += [(f"http://three.example/{i}", "<div class='box'>Welcome</div>" + plain % (i, i)) for i in range(6)] * 3
+    got = {r["page_id"]: r["text"] for r in style_tree.extract(pages_of(spark, rows)).collect()}
+    assert [got[i] for i in range(8)] == ["Story 1 More of 1"] * 8
+    assert [got[8 + i] for i in range(14)] == [f"Story {i % 2} More of {i % 2}" for i in range(14)]
+    assert [got[22 + i] for i in range(18)] == [f"Story {i % 6} More of {i % 6}" for i in range(18)]
+
+
 def test_entropies_match_a_plain_count(spark):
     import math
     from collections import Counter
