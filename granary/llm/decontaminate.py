@@ -5,8 +5,10 @@ length of the longest match that ends at each word is tracked. A match of ``wind
 or a match of a whole item of fewer words, marks its words as hit.
 
 Test items go into one automaton as long as their words number at most ``block_words``; beyond that
-they are cut into blocks by item, each with an automaton of its own, and every block sees all
-documents. So what a task holds is bounded whatever the size of the benchmark.
+Spark deals them out to blocks of about so many words, longer items in overlapping pieces. The driver passes
+the blocks on one at a time, as broadcasts that lie on disk. A task takes some documents at a time
+(``HELD_CHARS``) and runs the blocks' automata over them in turn, with one automaton in memory. So what
+a task or the driver holds is bounded whatever the size of the benchmark; the time grows with the blocks.
 
 Null and empty texts have no words and no hits; items without words match nothing; an empty benchmark
 hits nothing. Repeated items count by item_id. Repeated documents give repeated rows.
@@ -16,16 +18,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import WORD_BYTES, packed, pick, plain_words, unpacked
+from granary.llm.common import WORD_BYTES, checkpointed, packed, pick, plain_words, unpacked
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
+HELD_CHARS = 16_000_000
 MAX_COVERAGE = 0.8
 
 
@@ -148,19 +153,54 @@ class SuffixAutomaton:
         return out, found
 
 
-def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[list[tuple]]:
-    """Items as lists of (item_id, words), cut into blocks of about ``block_words`` words. Rows come one
-    partition at a time; a block is what an executor holds."""
-    out: list[list[tuple]] = [[]]
+def pieces(text: str | None, window: int, block_words: int) -> list[str]:
+    """The item's words joined by spaces; beyond ``block_words`` in pieces that hold each window whole."""
+    words = plain_words(text)
+    step = max(block_words, window)
+    if len(words) <= step:
+        return [b" ".join(words).decode()] if words else []
+    return [b" ".join(words[a:a + step + window - 1]).decode() for a in range(0, len(words) - window + 1, step)]
+
+
+def blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[Broadcast]:
+    """Broadcasts of lists of (item_id, words as a text), of about ``block_words`` words each; the driver holds
+    one of them at a time."""
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([pieces(t, window, block_words) for t in texts], dtype=object)
+
+    spark = benchmark.sparkSession
+    items = pick(benchmark, "item_id", "text").select("item_id", F.explode(cut("text")).alias("text")).distinct()
+    items = checkpointed(items)  # copies of an item say nothing new
+    n_words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
+    n = -(-(items.agg(F.sum(n_words)).first()[0] or 0) // block_words)
+    if n <= 1:
+        return [spark.sparkContext.broadcast([tuple(r) for r in items.collect()])] if n else []
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+    items = items.repartition(n, "block").sortWithinPartitions("block")
+    return [spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
+            for _, rows in groupby(items.toLocalIterator(), key=lambda r: r["block"])]
+
+
+def _automaton(part: Broadcast, window: int) -> SuffixAutomaton:
+    made = SuffixAutomaton([(i, t.encode().split(b" ")) for i, t in part.value], window)
+    vars(part).pop("_value", None)  # the block stays on disk only
+    return made
+
+
+def _groups(batches: Iterator[pd.Series], chars: int) -> Iterator[list]:
+    """The texts of several batches at a time, of about ``chars`` characters."""
+    held: list = []
     n = 0
-    for row in pick(benchmark, "item_id", "text").toLocalIterator():
-        words = plain_words(row["text"])
-        if n and n + len(words) > block_words:
-            out.append([])
-            n = 0
-        out[-1].append((row["item_id"], words))
-        n += len(words)
-    return out
+    for texts in batches:
+        held += texts.tolist()
+        n += sum(len(t) for t in texts if t)
+        if n >= chars:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -173,25 +213,24 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def matches(parts: list[list[tuple]], window: int = WINDOW):
+def matches(parts: list[Broadcast], window: int = WINDOW, held_chars: int = HELD_CHARS):
     """Column function: text -> struct(n_words, n_hit, items, spans of words)."""
 
     @F.pandas_udf("n_words long, n_hit long, items array<long>, spans array<struct<start:int,end:int>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automata = [SuffixAutomaton(p, window) for p in parts]
-        for texts in batches:
-            rows = []
-            for t in texts:
-                words = plain_words(t)
-                spans: list[tuple[int, int]] = []
-                items: set = set()
-                for a in automata:
-                    got, found = a.spans(words)
-                    spans += got
-                    items |= found
-                spans = _merge(spans)
-                rows.append((len(words), sum(b - a for a, b in spans), sorted(items, key=str),
-                             [{"start": a, "end": b} for a, b in spans]))
+        only = _automaton(parts[0], window) if len(parts) == 1 else None
+        for texts in _groups(batches, 0 if only or not parts else held_chars):
+            spans: list[list] = [[] for _ in texts]
+            items: list[set] = [set() for _ in texts]
+            for part in parts:
+                automaton = only or _automaton(part, window)
+                for k, t in enumerate(texts):
+                    got, found = automaton.spans(plain_words(t))
+                    spans[k] = _merge(spans[k] + got)
+                    items[k] |= found
+                del automaton  # before the next one is built
+            rows = [(len(plain_words(t)), sum(b - a for a, b in x), sorted(i, key=str), [{"start": a, "end": b} for a, b in x])
+                    for t, x, i in zip(texts, spans, items)]
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
     return run
@@ -200,7 +239,7 @@ def matches(parts: list[list[tuple]], window: int = WINDOW):
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per row: id, n_words, n_hit, items (ids of the items with windows in it), spans (in words)."""
-    run = matches(blocks(benchmark, block_words), window)
+    run = matches(blocks(benchmark, window, block_words), window)
     return pick(docs, id_col, text_col).select(F.col(id_col), run(F.col(text_col)).alias("r")).select(id_col, "r.*")
 
 
@@ -228,8 +267,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
                          block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents' rows with hit spans taken out of the text; a document of which more than
     ``max_coverage`` of the words are hit goes altogether. n_chars follows the text if there."""
-    parts = blocks(benchmark, block_words)
-    automaton_run = matches(parts, window)
+    automaton_run = matches(blocks(benchmark, window, block_words), window)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -5,7 +5,8 @@ counts of its words and signs; Viterbi decoding picks the likeliest sequence. A
 least ``MIN_SHARE`` of its words stand in content lines and the base rules don't fail it.
 
 The field is trained here: the lines of at most ``MAX_SAMPLE`` labelled documents (those of least
-hash) take their document's quality label, and the log likelihood of these sequences is maximised. It
+hash; of a document with more than ``MAX_LINES`` its first and last pieces, the others evenly between)
+take their document's quality label, and the log likelihood of these sequences is maximised. It
 learns from the rows that the quality labels may be learnt from. Without labels of both kinds every
 line is content.
 
@@ -32,6 +33,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_SHARE = 0.5
 MAX_SAMPLE = 3000
+MAX_LINES = 128
 PIECE = 64
 FEATURES = 12
 CONTENT = 1
@@ -173,6 +175,13 @@ def content_share(text: str, field: Field) -> float:
     return float(sizes[field.viterbi(x) == CONTENT].sum() / sizes.sum()) if len(sizes) else 1.0
 
 
+def sample_lines(x: np.ndarray, limit: int = MAX_LINES) -> np.ndarray:
+    """All lines, or ``limit`` in pieces of ``PIECE`` spread evenly: what the driver gets of a document."""
+    if len(x) <= limit:
+        return x
+    return np.concatenate([x[a:a + PIECE] for a in np.linspace(0, len(x) - PIECE, limit // PIECE).astype(int)])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         learn_from=None, max_sample: int = MAX_SAMPLE) -> Field:
     known = pick(labels, id_col, label_col).filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -187,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     @F.pandas_udf("array<array<double>>")
     def lines(texts: pd.Series) -> pd.Series:
-        return pd.Series([[list(map(float, r)) for r in line_features(t or "")[0]] for t in texts])
+        return pd.Series([[list(map(float, r)) for r in sample_lines(line_features(t or "")[0])] for t in texts])
 
     got = rows.join(F.broadcast(sample), id_col).select("order", "y", lines(text_col).alias("x"))
     got = got.orderBy("order", F.xxhash64("x")).limit(max_sample).collect()

@@ -140,3 +140,16 @@ def test_field_learns_from_labels(spark, docs, labels):
     assert np.mean([g["kept"] or g["base_failed"] for g in good]) > 0.97
     assert np.mean([b["kept"] for b in bad]) < 0.3
     assert line_rules.fit(docs, labels.limit(0)).emit.any() == False  # noqa: E712
+
+
+def test_the_sample_is_bounded_in_lines(spark, monkeypatch):
+    texts = ["good line here\n" * 5000, "bad 1 2 3\n" * 5000]
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    sizes = []
+    monkeypatch.setattr(line_rules.Field, "fit", lambda self, x, y: sizes.extend(map(len, x)) or self)
+    line_rules.fit(docs_of(spark, texts), labels)
+    assert sizes == [line_rules.MAX_LINES] * 2
+    x = np.arange(1000)[:, None]
+    some = line_rules.sample_lines(x)[:, 0]
+    assert some[0] == 0 and some[-1] == 999 and len(set(some.tolist())) == line_rules.MAX_LINES
+    assert line_rules.sample_lines(x[:100]) is not None and len(line_rules.sample_lines(x[:100])) == 100

@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,34 @@ def test_blocks_of_items_give_the_same(spark):
     assert all(r["n_hit"] == 0 and r["items"] == [] for r in none.values())
 
 
+def test_one_automaton_at_a_time(spark, monkeypatch):
+    """Blocks are small, also those of one long item, and a task never holds two automata."""
+    rnd = random.Random(11)
+    items = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.choice([2, 5, 12, 90]))) for _ in range(60)]
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(300)) + " " + rnd.choice(items) for _ in range(12)]
+    parts = decontaminate.blocks(items_of(spark, items + items[:20]), 4, 25)
+    assert len(parts) > 20 and all(len(t.split()) <= 28 for p in parts for _, t in p.value)
+    alive, most = [0], [0]
+
+    class Counted(decontaminate.SuffixAutomaton):
+        def __init__(self, *args):
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+            super().__init__(*args)
+
+        def __del__(self):
+            alive[0] -= 1
+
+    monkeypatch.setattr(decontaminate, "SuffixAutomaton", Counted)
+    got = pd.concat(decontaminate.matches(parts, 4, 1000).func(iter([pd.Series(texts[:5]), pd.Series(texts[5:])])))
+    monkeypatch.undo()
+    assert most[0] == 1
+    want = [brute(plain_words(t), [(i, plain_words(x)) for i, x in enumerate(items + items[:20])], 4) for t in texts]
+    assert list(zip(got["n_hit"], got["items"])) == want
+    rows = by_id(decontaminate.contamination(docs_of(spark, texts), items_of(spark, items + items[:20]), window=4, block_words=25))
+    assert [(rows[i]["n_hit"], rows[i]["items"]) for i in range(len(texts))] == want
+
+
 def test_items_digest(spark):
     df = spark.createDataFrame([([3, 10, 2],), ([],)], "items array<long>")
     got = [r[0] for r in df.select(decontaminate.items_digest(F.col("items"))).collect()]
