@@ -76,7 +76,8 @@ def rules() -> list[tuple[str, int, str, str]]:
     out += _versioned("osl", " open ", rf"open software {L}", {k: v[k] for k in ("1.0", "1.1", "2.0", "2.1", "3.0")})
     out += _versioned("odbl", " open ", rf"open (?:data commons open )?database {L}", {"1.0": v["1.0"]})
     out += _versioned("lppl", " latex ", rf"latex project public {L}", {k: v[k] for k in ("1.0", "1.1", "1.2")})
-    out += _versioned("ms-pl", " microsoft ", rf"microsoft public {L}", {"1": "(?:ms pl)?"})
+    out += [(" microsoft ", 3, "ms-pl-1", rf"{GRANT} {UNDER}microsoft public {L}(?: ms pl)?"),
+            (" microsoft ", 2, "ms-pl-1", rf"microsoft public {L}(?: ms pl)?")]
     out += _versioned("psf", " python ", rf"python software foundation {L}", {"2": n["2"]})
     out += _versioned("upl", " universal ", rf"universal permissive {L}", {"1.0": v["1.0"]})
     out += _versioned("zpl", " zope ", rf"zope public {L}", {k: v[k] for k in ("1.1", "2.0", "2.1")})
@@ -118,7 +119,8 @@ def rules() -> list[tuple[str, int, str, str]]:
         (" permission ", 3, "isc", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
         (" isc ", 1, "isc", rf"isc {L}"), (" isc ", 3, "isc", rf"{GRANT} {UNDER}isc {L}"),
         (" redistribution ", 3, "bsd", r"redistribution and use in source and binary forms with or without modification are permitted"),
-        (" bsd ", 1, "bsd", rf"bsd(?: style)? {L}"), (" bsd ", 2, "bsd-2-clause", rf"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: {L})?"),
+        (" bsd ", 1, "bsd", rf"bsd(?: style)? {L}"), (" bsd ", 2, "bsd-2-clause", rf"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: {L})?"),
+        (" freebsd ", 2, "bsd-2-clause", rf"freebsd(?: {L})?"),
         (" bsd ", 2, "bsd-3-clause", rf"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: {L})?"),
         (" bsd ", 2, "bsd-4-clause", rf"(?:bsd 4 clause|4 clause bsd|original bsd)(?: {L})?"),
         (" bsd ", 3, "bsd", rf"{GRANT} {UNDER}(?:[234] clause |new |simplified )?bsd(?: [234] clause)?(?: style)? {L}"),
@@ -141,7 +143,7 @@ def rules() -> list[tuple[str, int, str, str]]:
         (" polyform ", 1, "polyform", rf"polyform [^ ]+(?: [^ ]+)? {L}"), (" commons ", 1, "commons-clause", r"commons clause"),
         (" open ", 1, "odc-by", rf"open data commons attribution {L}"), (" government ", 1, "ogl", rf"open government {L}"),
         (" cecill", 1, "cecill", rf"cecill(?: [bc])?(?: {L})?"), (" mulan ", 1, "mulan", rf"mulan (?:permissive|public) (?:software )?{L}"),
-        (" intel ", 1, "intel", rf"intel open source {L}"), (" qt ", 1, "qpl", rf"q(?:t)? public {L}"), (" ibm ", 1, "ipl", rf"ibm public {L}"),
+        (" intel ", 1, "intel", rf"intel open source {L}"), (" q ", 1, "qpl", rf"q public {L}"), (" qt ", 1, "qpl", rf"qt public {L}"), (" ibm ", 1, "ipl", rf"ibm public {L}"),
         (" sun ", 1, "spl", rf"sun public {L}"), (" nokia ", 1, "nokia", rf"nokia open source {L}"), (" apple ", 1, "apsl", rf"apple public source {L}"),
         (" netscape ", 1, "npl", rf"netscape public {L}"), (" lucent ", 1, "lpl", rf"lucent public {L}"), (" dual ", 2, "dual", r"dual licensed under"),
         (" open ", 1, "osl", rf"open software {L}"), (" academic ", 1, "afl", rf"academic free {L}"), (" sil ", 1, "ofl", rf"sil open font {L}"),

@@ -47,6 +47,46 @@ def test_rules_are_many_and_suppress_what_they_contain(spark):
     assert [got[i]["score"] for i in range(len(texts))] == [0.95, 0.95, 1.0, 0.85, 0.0, 0.95]
 
 
+def samples(pattern, rnd):
+    """A text that the pattern matches, with random alternatives."""
+    from re import _constants as c, _parser
+
+    def draw(nodes):
+        out = ""
+        for op, arg in nodes:
+            if op is c.LITERAL:
+                out += chr(arg)
+            elif op is c.IN:
+                kind, value = arg[0]
+                out += "7" if kind is c.CATEGORY else "x" if kind is c.NEGATE else chr(rnd.choice(arg)[1])
+            elif op is c.NOT_LITERAL:
+                out += "x"
+            elif op is c.BRANCH:
+                out += draw(rnd.choice(arg[1]))
+            elif op is c.SUBPATTERN:
+                out += draw(arg[3])
+            elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+                out += "".join(draw(arg[2]) for _ in range(rnd.randint(arg[0], min(arg[1], arg[0] + 1))))
+            else:
+                assert op is c.ASSERT_NOT, op
+        return out
+
+    return draw(_parser.parse(pattern))
+
+
+def test_matches_of_each_rule_hold_its_keyword(spark):
+    rnd = random.Random(9)
+    gate = re.compile(licenses._gate([r[0] for r in licenses.rules()]))
+    for key, _, label, rx in licenses.rules():
+        for text in {samples(rx, rnd) for _ in range(40)}:
+            assert re.search(licenses._whole(rx), text), (rx, text)
+            assert key in f" {text} " and gate.search(text), (key, text)
+    texts = ["under the Q Public License here", "the FreeBSD license", "Microsoft Public License", "Licensed under the Microsoft Public License (Ms-PL)."]
+    got = by_id(licenses.scan(docs_of(spark, texts)))
+    assert [got[i]["labels"] for i in range(4)] == ["qpl", "bsd-2-clause", "ms-pl-1", "ms-pl-1"]
+    assert [got[i]["score"] for i in range(4)] == [0.6, 0.85, 0.85, 0.95]
+
+
 def test_no_python_in_the_plan_and_empty_table(spark):
     df = licenses.scan(docs_of(spark, ["mit license"]).limit(0))
     assert df.collect() == []
