@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import (
-    bpe_chunks, decontaminate, language_id, licenses, line_rules, quality_net, simhash, style_tree, suffix_dedup, url_filter,
+    bpe_chunks, bpe_tree, decontaminate, language_id, licenses, line_rules, periodic_runs, quality_net, simhash, style_tree,
+    suffix_dedup, url_filter,
 )
 from granary.llm.common import pick, share, table
 
 VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -80,10 +82,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.encode_texts(table(spark, sf_dir, "documents"), vocabulary_path(), with_ids=False)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return bpe_tree.encode_texts(docs, vocabulary_path(RANKS), public_tokenizers.PATTERN, with_ids=False)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.find_runs(docs, change=periodic_runs.planted, with_runs=False).drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_simhash, op3_quality, op4_language, op5_suffix_dedup, op6_line_rules, op7_url_filter,
-        op8_decontaminate, op9_main_text, op10_bpe,
+        op8_decontaminate, op9_main_text, op10_bpe, op11_byte_bpe, op13_periodic_runs,
     )
 }
 
