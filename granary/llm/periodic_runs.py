@@ -124,13 +124,13 @@ def find_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", change=None, with_runs: bool = True,
 ) -> DataFrame:
     """Per row: id, n_words, n_runs, ``runs`` and ``collapsed`` (the text with one period of each run, joined by
-    one space; both if wanted), start, length and period of the longest run (ties: the smallest start, then
-    period; null if there is none), runs_sha256 and collapsed_sha256. ``change(words, id)`` may edit the words
+    one space; both if wanted), start, length, period and exponent_milli (1000 * length / period,
+    rounded down) of the longest run (ties: the smallest start, then period; null if there is none), runs_sha256 and collapsed_sha256. ``change(words, id)`` may edit the words
     first. Words are what lies between ASCII white space."""
 
     real = f"runs {RUNS}, collapsed string, " if with_runs else ""
 
-    @F.pandas_udf(f"n_words long, n_runs long, {real}start long, length long, period long, runs_sha256 string, collapsed_sha256 string")
+    @F.pandas_udf(f"n_words long, n_runs long, {real}start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string")
     def search(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for ids, texts in batches:
             out = []
@@ -142,12 +142,13 @@ def find_runs(
                 keep = kept_places(len(words), found) if found else None
                 rest = b" ".join(words if keep is None else [words[i] for i in np.flatnonzero(keep).tolist()])
                 best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+                power = 1000 * best[1] // best[2] if found else None
                 listed = "".join(f"{s},{m},{p}\n" for s, m, p in found)
                 both = ([{"start": s, "length": m, "period": p} for s, m, p in found], rest.decode("utf-8")) if with_runs else ()
-                out.append((len(words), len(found), *both, *best, sha256(listed.encode()).hexdigest(), sha256(rest).hexdigest()))
-            names = ["n_words", "n_runs", *(["runs", "collapsed"] if with_runs else []), "start", "length", "period", "runs_sha256", "collapsed_sha256"]
+                out.append((len(words), len(found), *both, *best, power, sha256(listed.encode()).hexdigest(), sha256(rest).hexdigest()))
+            names = ["n_words", "n_runs", *(["runs", "collapsed"] if with_runs else []), "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
             frame = pd.DataFrame(out, columns=names)
-            yield frame.astype({c: "Int64" for c in ("start", "length", "period")})
+            yield frame.astype({c: "Int64" for c in ("start", "length", "period", "exponent_milli")})
 
     # the id goes in as text, so that no number becomes a float where some are null
     rows = pick(docs, id_col, text_col)

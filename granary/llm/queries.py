@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import (
-    bpe_chunks, bpe_tree, decontaminate, language_id, licenses, line_rules, periodic_runs, quality_net, simhash, style_tree,
+    bpe_chunks, bpe_tree, conversation_repair, decontaminate, language_id, licenses, line_rules, periodic_runs, quality_net, simhash, style_tree,
     suffix_dedup, url_filter,
 )
 from granary.llm.common import pick, share, table
@@ -89,6 +89,11 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_texts(docs, vocabulary_path(RANKS), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, copies_col="copies", with_text=False)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return periodic_runs.find_runs(docs, change=periodic_runs.planted, with_runs=False).drop("n_words")
@@ -97,7 +102,8 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_simhash, op3_quality, op4_language, op5_suffix_dedup, op6_line_rules, op7_url_filter,
-        op8_decontaminate, op9_main_text, op10_bpe, op11_byte_bpe, op13_periodic_runs,
+        op8_decontaminate, op9_main_text, op10_bpe, op11_byte_bpe, op12_conversation_repair,
+        op13_periodic_runs,
     )
 }
 
