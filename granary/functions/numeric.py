@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,10 +14,14 @@ from granary.functions.text import py_strip
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
+def number_of(text: Column) -> Column:
+    """A double from text that is a number from end to end, else NULL; the text expression is used once."""
+    return F.regexp_extract(text, NUMBER_PATTERN, 0).try_cast("double")
+
+
 def safe_float(c: Column) -> Column:
     """None/blank -> NULL; thousands commas removed; parse or NULL."""
-    s = F.replace(py_strip(c.cast("string")), F.lit(","), F.lit(""))
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    return number_of(F.replace(py_strip(c.cast("string")), F.lit(","), F.lit("")))
 
 
 def nan_to_null(c: Column) -> Column:
@@ -23,22 +29,35 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _shifted(s: Column) -> Column:
+    """``d.dddE<n>`` in Python's form."""
+
+    def of(mantissa: Column, exp: Column) -> Column:
+        digits = F.replace(F.regexp_replace(mantissa, r"\.0$", ""), F.lit("."), F.lit(""))
+        return _let(digits, lambda d: by_digits(d, exp))
+
+    def by_digits(digits: Column, exp: Column) -> Column:
+        rest = F.substring(digits, exp + 2, F.lit(64))
+        large = F.concat(F.substring(F.rpad(digits, exp + 1, F.lit("0")), F.lit(1), exp + 1), F.lit("."), F.when(rest == "", F.lit("0")).otherwise(rest))
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+        tail = F.substring(digits, F.lit(2), F.lit(64))
+        power = F.concat(
+            F.left(digits, F.lit(1)), F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)),
+            F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(exp).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exp).cast("string"))), F.lit("0")))
+        return F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power)
+
+    body = F.ltrim(s, F.lit("-"))
+    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, _let(F.split(body, "E"), lambda p: of(p[0], p[1].cast("int"))))
+
+
 def py_float_text(c: Column) -> Column:
     """A double as Python prints it: the shortest digits, in plain form for exponents from -4 to 15,
-    else as ``d.ddde+XX``. Spark goes over to ``1.0E7`` much earlier."""
-    s = c.cast("string")
-    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    body = F.regexp_replace(s, "^-", "")
-    digits = F.replace(F.regexp_replace(F.substring_index(body, "E", 1), r"\.0$", ""), F.lit("."), F.lit(""))
-    exp = F.substring_index(body, "E", -1).try_cast("int")
-    whole = F.rpad(F.substring(digits, F.lit(1), exp + 1), exp + 1, F.lit("0"))
-    rest = F.substring(digits, exp + 2, F.lit(64))
-    large = F.concat(whole, F.lit("."), F.when(rest == "", F.lit("0")).otherwise(rest))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-    tail = F.substring(digits, F.lit(2), F.lit(64))
-    power = F.concat(
-        F.substring(digits, F.lit(1), F.lit(1)), F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)),
-        F.when(exp < 0, F.lit("e-")).otherwise(F.lit("e+")), F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(exp).cast("string"))
-    shifted = F.when((exp >= 0) & (exp < 16), large).when((exp < 0) & (exp >= -4), small).otherwise(power)
-    named = F.when(s == "NaN", F.lit("nan")).when(s == "Infinity", F.lit("inf")).when(s == "-Infinity", F.lit("-inf"))
-    return F.coalesce(named, F.when(s.contains("E"), F.concat(sign, shifted)).otherwise(s))
+    else as ``d.ddde+XX``. Spark goes over to ``1.0E7`` much earlier; only such values are rewritten."""
+    named = F.create_map(*[F.lit(x) for x in ("NaN", "nan", "Infinity", "inf", "-Infinity", "-inf")])
+    return _let(c.cast("string"), lambda s: F.when(s.contains("E"), _shifted(s)).otherwise(F.coalesce(F.try_element_at(named, s), s)))

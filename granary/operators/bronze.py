@@ -3,11 +3,12 @@ schema (field catalogue, new-field detection, evolution)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from granary.functions.hashing import record_hash
 from granary.functions.numeric import py_float_text
+from granary.sinks.keyed_table import KeyedTable
 
 LINEAGE_COLUMNS = ["source_record_hash", "source_dataset", "source_resource_id", "source_system", "ingested_at"]
 # Prefix given to payload keys that collide with a lineage column (trap T9).
@@ -66,8 +67,9 @@ def bronze_upsert(existing: DataFrame | None, batch: DataFrame, *, seq: list[str
 
     The batch is pre-aggregated per hash (map-side partial aggregation, so a
     hot hash never lands whole on one task), then full-outer joined with the
-    existing table on the hash. If ``existing`` is bucketed by the hash the join
-    does not shuffle it.
+    existing rows on the hash. :func:`merge_into` is the form that changes a
+    stored table: it passes the touched slots of a table bucketed by the hash,
+    which the join does not shuffle.
     """
     order = F.struct(*[F.col(c) for c in seq])
     b = batch.groupBy("source_record_hash").agg(
@@ -112,6 +114,23 @@ def bronze_upsert(existing: DataFrame | None, batch: DataFrame, *, seq: list[str
     )
 
 
+def merge_into(table: KeyedTable, batch: DataFrame, *, seq: list[str], record_col: str = "record", mark: int | None = None) -> dict:
+    """:func:`bronze_upsert` into a table in place: only the slots that the
+    batch's hashes fall into are read, joined (without an exchange of the base)
+    and written. Returns the counts of ``new`` and ``old`` hashes of the batch,
+    observed on that write."""
+    watch = Observation()
+
+    def combine(base: DataFrame | None, rows: DataFrame) -> DataFrame:
+        return bronze_upsert(base, rows, seq=seq, record_col=record_col).observe(
+            watch, F.count_if(F.col("in_batch") & ~F.col("was_present")).alias("new"),
+            F.count_if(F.col("in_batch") & F.col("was_present")).alias("old"))
+
+    before = table.snapshot().slots
+    after = table.merge(batch, combine, mark)
+    return dict(watch.get) if after.slots != before else {"new": 0, "old": 0}
+
+
 def observed_fields(records: DataFrame, record_col: str = "record", by: list[str] | None = None) -> DataFrame:
     """Union of keys over all records (distinct; partial aggregation)."""
     by = by or []

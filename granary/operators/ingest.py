@@ -1,58 +1,125 @@
 """The ingest chain over landed pages: routing, records, catalogue, evolved
-bronze, metrics and rejects, from one set of pages."""
+bronze, metrics and rejects, from one pass over the pages."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.operators import bronze, ledger, records
-from granary.session import shared_dir
+from granary.session import scratch_path, shared_dir
+from granary.sinks.keyed_table import BUCKETS, SLOTS, KeyedTable
+
+_TEXT = T.StringType()
+BRONZE = T.StructType(
+    [T.StructField(c, T.TimestampNTZType() if c == "ingested_at" else _TEXT) for c in bronze.LINEAGE_COLUMNS]
+    + [T.StructField("record", T.MapType(_TEXT, _TEXT))])
 
 
 @dataclass
 class Ingested:
-    bronze: DataFrame  # lineage columns, the record map, was_present / in_batch
+    bronze: KeyedTable  # lineage columns and the record map, one row per hash
     catalogue: DataFrame  # dataset_id, field_name, field_type, discovered_at
     table: DataFrame  # bronze with one text column per catalogued field
     rejects: DataFrame  # a failed job per quarantined page
     metrics: DataFrame  # one row per run
 
 
+def bronze_table(spark: SparkSession, path: str, slots: int = SLOTS, buckets: int = BUCKETS) -> KeyedTable:
+    """The bronze table in ``path``: bucketed by the record hash, merged into slot by slot."""
+    return KeyedTable(spark, path, BRONZE, "source_record_hash", slots, buckets)
+
+
+def _with_lineage(recs: DataFrame, dataset: str, resource: str, system: str) -> DataFrame:
+    recs = bronze.enrich(recs, source_dataset=dataset, source_resource_id=resource, source_system=system)
+    return recs.withColumn("ingested_at", F.col("fetched_at"))
+
+
 def page_records(pages: DataFrame, *, dataset: str, resource: str, system: str) -> tuple[DataFrame, DataFrame]:
     """(records with lineage columns, quarantined pages)."""
     good, bad = records.split_error_pages(pages)
     recs = records.explode_records(good, keep=["run_id", "offset", "attempt", "fetched_at"])
-    recs = bronze.enrich(recs, source_dataset=dataset, source_resource_id=resource, source_system=system)
-    return recs.withColumn("ingested_at", F.col("fetched_at")), bad
+    return _with_lineage(recs, dataset, resource, system), bad
+
+
+def _per_run(column: Column, name: str) -> tuple[Column, Column]:
+    return F.min(column).alias(f"min_{name}"), F.max(column).alias(f"max_{name}")
 
 
-def ingest(pages: DataFrame, existing: DataFrame | None, catalogue: DataFrame, *, dataset: str, resource: str,
-           system: str, seq: list[str] | None = None) -> Ingested:
-    """Pages into an existing bronze table.
+@dataclass
+class Landed:
+    records: DataFrame  # run_id, offset, attempt, fetched_at, record_no, record, lineage columns
+    rejects: DataFrame  # quarantined pages: run_id, offset, attempt, fetched_at, reason, raw_json
+    seen: dict  # pages, failed, records, min_/max_ of run_id and fetched_at
+
+
+def land(pages: DataFrame, *, dataset: str, resource: str, system: str) -> Landed:
+    """Pages routed, parsed, hashed and written once; the counts are observed on that write."""
+    watch = Observation()
+    routed = pages.select("run_id", "offset", "attempt", "fetched_at", "raw_json", records.page_reason(F.col("raw_json")).alias("reason"))
+    env = records.parse_envelope(routed.withColumn("text", F.when(F.col("reason").isNull(), F.col("raw_json"))), "text")
+    env = env.withColumn("records", F.col("env.records"))
+    env = env.withColumn("reason", F.coalesce("reason", records.records_reason(F.col("raw_json"), F.col("records"))))
+    env = env.observe(
+        watch, F.count(F.lit(1)).alias("pages"), F.count_if(F.col("reason").isNotNull()).alias("failed"),
+        F.coalesce(F.sum(F.when(F.col("reason").isNull(), F.size("records"))), F.lit(0)).alias("records"),
+        *_per_run(F.col("run_id"), "run_id"), *_per_run(F.col("fetched_at"), "fetched_at"))
+    rows = env.select(
+        "run_id", "offset", "attempt", "fetched_at", "reason", F.when(F.col("reason").isNotNull(), F.col("raw_json")).alias("raw_json"),
+        F.posexplode_outer(F.when(F.col("reason").isNull(), F.col("records"))).alias("record_no", "record"))
+    path = scratch_path(pages.sparkSession, "records")
+    _with_lineage(rows, dataset, resource, system).write.parquet(path)
+    written = pages.sparkSession.read.parquet(path)
+    keep = ["run_id", "offset", "attempt", "fetched_at"]
+    return Landed(
+        written.where(F.col("record").isNotNull()).drop("reason", "raw_json"),
+        written.where(F.col("reason").isNotNull()).select(*keep, "reason", "raw_json"), watch.get)
+
+
+def ingest(pages: DataFrame, table: KeyedTable, catalogue: DataFrame, *, dataset: str, resource: str, system: str,
+           seq: list[str] | None = None) -> Ingested:
+    """Pages into a bronze table.
 
     Malformed, failed and empty pages are set aside as failed jobs. New fields
     enter the catalogue with the time of the first page that has them, and the
-    table is widened by them; rows from before have NULL there. The merged
-    records are checkpointed, as catalogue, table and metrics all read them.
+    table is widened by them; rows from before have NULL there. The pages are
+    read and parsed once; the merge rewrites the touched slots only. A batch's
+    counts are observed on these two writes; only for a batch of several runs
+    are they grouped from the written records.
     """
     seq = seq or ["offset", "attempt", "record_no"]
-    recs, bad = page_records(pages, dataset=dataset, resource=resource, system=system)
-    found = recs.select(
+    landed = land(pages, dataset=dataset, resource=resource, system=system)
+    spark = pages.sparkSession
+    found = landed.records.select(
         F.lit(resource).alias("dataset_id"), F.explode(F.map_keys("record")).alias("field_name"),
         F.col("fetched_at").alias("discovered_at"), *seq)
-    shared_dir(pages.sparkSession)
+    shared_dir(spark)
     widened = bronze.catalogue_upsert(catalogue, found, seq=seq).checkpoint()
-    merged = bronze.bronze_upsert(existing, recs, seq=seq).checkpoint()
+    before = table.snapshot()
+    merged = bronze.merge_into(table, landed.records, seq=seq)
     fields = [r["field_name"] for r in widened.where(F.col("dataset_id") == resource).select("field_name").collect()]
-    table = bronze.promote_record(merged.drop("was_present", "in_batch"), fields)  # fields: one per column
-    page_rows = records.parse_envelope(pages).select(
-        "run_id", F.coalesce(F.size("env.records"), F.lit(0)).cast("bigint").alias("n_records"),
-        records.page_reason(F.col("raw_json")).isNotNull().alias("is_error"), "fetched_at")
+    wide = bronze.promote_record(table.read(), fields)  # fields: one per column
+    seen = landed.seen
+    if seen["min_run_id"] == seen["max_run_id"]:
+        metrics = ledger.observed_metrics(spark, seen, merged)
+    else:
+        metrics = ledger.batch_metrics(_page_rows(landed), _run_counts(landed.records, table.read(at=before)))
+    return Ingested(table, widened, wide, records.failed_jobs(landed.rejects), metrics)
+
+
+def _page_rows(landed: Landed) -> DataFrame:
+    """Rows for :func:`ledger.batch_metrics`: what each run's written records and rejects add up to. A page
+    without records counts by its failure only."""
+    good = landed.records.groupBy("run_id", "fetched_at").agg(F.count(F.lit(1)).alias("n_records"))
+    good = good.select("run_id", "n_records", F.lit(False).alias("is_error"), "fetched_at")
+    return good.unionByName(landed.rejects.select("run_id", F.lit(0).cast("bigint").alias("n_records"), F.lit(True).alias("is_error"), "fetched_at"))
+
+
+def _run_counts(recs: DataFrame, before: DataFrame) -> DataFrame:
     hashes = recs.select("run_id", "source_record_hash").distinct()
-    counts = hashes.join(merged.select("source_record_hash", "was_present"), "source_record_hash").groupBy("run_id").agg(
-        F.count_if(~F.col("was_present")).alias("new"), F.count_if("was_present").alias("old"))
-    metrics = ledger.batch_metrics(page_rows, counts)
-    return Ingested(merged, widened, table, records.failed_jobs(bad), metrics)
+    known = before.select("source_record_hash", F.lit(True).alias("known"))
+    return hashes.join(known, "source_record_hash", "left").groupBy("run_id").agg(
+        F.count_if(F.col("known").isNull()).alias("new"), F.count_if(F.col("known").isNotNull()).alias("old"))

@@ -125,6 +125,11 @@ def manifest_skip(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     return j.select(*listing.columns, F.coalesce(skip, F.lit(False)).alias("skip"))
 
 
+RUN_METRICS = (
+    "run_id string, records_fetched bigint, records_inserted bigint, records_updated bigint, records_failed bigint, "
+    "duration_seconds double, throughput_per_second double")
+
+
 def run_metrics(page_rows: DataFrame, merge_rows: DataFrame) -> DataFrame:
     """Per run: fetched, inserted, updated, failed, duration and throughput.
 
@@ -152,6 +157,19 @@ def run_metrics(page_rows: DataFrame, merge_rows: DataFrame) -> DataFrame:
     )
 
 
+def observed_metrics(spark: SparkSession, pages: dict, merged: dict) -> DataFrame:
+    """:func:`run_metrics` of a batch of one run from the counts observed on its two writes (``Landed.seen``
+    and what ``merge_into`` returns); no row is read again. A batch without pages has no run and no row."""
+    if not pages["pages"]:
+        return spark.createDataFrame([], RUN_METRICS)
+    elapsed = (pages["max_fetched_at"] - pages["min_fetched_at"]).total_seconds()
+    one = (pages["min_run_id"], pages["records"], merged["new"], merged["old"], pages["failed"])
+    return spark.createDataFrame([(*one, elapsed)], RUN_METRICS.replace("duration_seconds double, throughput_per_second double", "elapsed double")).select(
+        "run_id", "records_fetched", "records_inserted", "records_updated", "records_failed",
+        F.round("elapsed", 2).alias("duration_seconds"),
+        F.when(F.col("elapsed") > 0, F.round(F.col("records_inserted") / F.col("elapsed"), 2)).otherwise(F.lit(0.0)).alias("throughput_per_second"))
+
+
 def batch_metrics(page_rows: DataFrame, counts: DataFrame) -> DataFrame:
     """:func:`run_metrics` of one batch whose merge is already counted: ``counts``
     has run_id, ``new`` and ``old`` hashes."""

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.numeric import py_float_text
+from granary.functions.text import py_strip
 
 # Fixed values that must equal the reference's behaviour.
 NULL_CHECK_COLUMNS = ["state_name", "district_name", "crop_name", "year"]
@@ -19,91 +23,87 @@ DIGIT_PATTERN = r"(?U)\d"
 RULES = ["null", "negative", "year", "malformed_name"]
 
 
-def _issue(cond: Column, hash_col: str, field: str, issue_type: str, detail: Column, severity: str) -> Column:
-    return F.when(
-        cond,
-        F.struct(
-            F.col(hash_col).alias("record_hash"),
-            F.lit(field).alias("field_name"),
-            F.lit(issue_type).alias("issue_type"),
-            detail.alias("issue_detail"),
-            F.lit(severity).alias("severity"),
-        ),
-    )
+@dataclass(frozen=True)
+class Check:
+    """One rule on one column: a row breaks it where ``broken``; ``number`` or ``text`` is what the detail quotes."""
 
+    broken: Column
+    field: str
+    issue_type: str
+    severity: str
+    number: Column | None = None
+    text: Column | None = None
 
-def null_issues(hash_col: str = "source_record_hash") -> list[Column]:
-    return [
-        _issue(F.col(c).isNull(), hash_col, c, "null_value", F.lit(f"{c} is null"), "warning")
-        for c in NULL_CHECK_COLUMNS
-    ]
 
+def null_checks() -> list[Check]:
+    return [Check(F.col(c).isNull(), c, "null_value", "warning") for c in NULL_CHECK_COLUMNS]
 
-def negative_issues(hash_col: str = "source_record_hash") -> list[Column]:
-    return [
-        _issue(F.col(c) < 0, hash_col, c, "negative_value",
-               F.concat(F.lit(f"{c} = "), py_float_text(F.col(c))), "error")
-        for c in NEGATIVE_CHECK_COLUMNS
-    ]
 
+def negative_checks() -> list[Check]:
+    return [Check(F.col(c) < 0, c, "negative_value", "error", number=F.col(c)) for c in NEGATIVE_CHECK_COLUMNS]
 
-def year_issues(hash_col: str = "source_record_hash") -> list[Column]:
-    yr = F.col("year")
-    stripped = F.regexp_replace(yr, r"(?U)^\s+|\s+$", "")
-    bad = yr.isNotNull() & ~stripped.rlike(YEAR_PATTERN)
-    return [_issue(bad, hash_col, "year", "invalid_year", F.concat(F.lit("year = '"), yr, F.lit("'")), "warning")]
 
+def year_checks() -> list[Check]:
+    year = F.col("year")
+    return [Check(~py_strip(year).rlike(YEAR_PATTERN), "year", "invalid_year", "warning", text=year)]
 
-def malformed_name_issues(hash_col: str = "source_record_hash") -> list[Column]:
-    return [
-        _issue(F.col(c).isNotNull() & (F.col(c) != "") & F.col(c).rlike(DIGIT_PATTERN), hash_col, c,
-               "malformed_name", F.concat(F.lit(f"{c} = '"), F.col(c), F.lit("' contains digits")), "info")
-        for c in NAME_CHECK_COLUMNS
-    ]
+
+def malformed_name_checks() -> list[Check]:
+    return [Check(F.col(c).rlike(DIGIT_PATTERN), c, "malformed_name", "info", text=F.col(c)) for c in NAME_CHECK_COLUMNS]
+
+
+_CHECKS = {"null": null_checks, "negative": negative_checks, "year": year_checks, "malformed_name": malformed_name_checks}
 
 
-_RULE_BUILDERS = {
-    "null": null_issues,
-    "negative": negative_issues,
-    "year": year_issues,
-    "malformed_name": malformed_name_issues,
-}
+def checks(rules: list[str] | None = None) -> list[Check]:
+    return [c for r in rules or RULES for c in _CHECKS[r]()]
+
+
+def _detail(issue: str) -> Column:
+    """What an issue says, from the value it quotes."""
+    i = F.col(issue)
+    kind, field, text = i["issue_type"], i["field_name"], i["text"]
+    return (
+        F.when(kind == "null_value", F.concat(field, F.lit(" is null")))
+        .when(kind == "negative_value", F.concat(field, F.lit(" = "), py_float_text(i["number"])))
+        .when(kind == "invalid_year", F.concat(field, F.lit(" = '"), text, F.lit("'")))
+        .otherwise(F.concat(field, F.lit(" = '"), text, F.lit("' contains digits")))
+    )
 
 
 def issues(silver: DataFrame, rules: list[str] | None = None, hash_col: str = "source_record_hash") -> DataFrame:
     """All selected rules over all rows; issues of a row keep rule order.
 
-    Narrow transformation only (no shuffle): a conditional array per row,
-    NULLs filtered, exploded.
+    Narrow transformations only (no shuffle). Rows that break no rule go
+    first, before anything that only issues need (the record hash, the quoted
+    numbers) is worked out; the detail text is written once per issue, after
+    the explode.
     """
-    return silver.select(F.explode(issue_array(rules, hash_col)).alias("i")).select("i.*")
-
-
-def issue_array(rules: list[str] | None = None, hash_col: str = "source_record_hash") -> Column:
-    """The row's issues as an array of structs (rule order, NULLs removed)."""
-    rules = rules or RULES
-    cands = [c for r in rules for c in _RULE_BUILDERS[r](hash_col)]
-    return F.filter(F.array(*cands), lambda x: x.isNotNull())
+    chosen = checks(rules)
+    some = reduce(or_, [F.coalesce(c.broken, F.lit(False)) for c in chosen])
+    found = [
+        F.when(c.broken, F.struct(
+            F.lit(c.field).alias("field_name"), F.lit(c.issue_type).alias("issue_type"), F.lit(c.severity).alias("severity"),
+            (F.lit(None).cast("double") if c.number is None else c.number).alias("number"),
+            (F.lit(None).cast("string") if c.text is None else c.text).alias("text")))
+        for c in chosen
+    ]
+    rows = silver.where(some).select(F.col(hash_col).alias("record_hash"), F.explode(F.array_compact(F.array(*found))).alias("i"))
+    return rows.select("record_hash", "i.field_name", "i.issue_type", _detail("i").alias("issue_detail"), "i.severity")
 
 
-def issue_count(rules: list[str] | None = None, hash_col: str = "source_record_hash") -> Column:
+def issue_count(rules: list[str] | None = None) -> Column:
     """Number of issues of the row: the rule conditions added up (no issue
     structs are built)."""
-    rules = rules or RULES
-    conds = [c for r in rules for c in _RULE_BUILDERS[r](hash_col)]
-    total = F.lit(0)
-    for c in conds:
-        total = total + F.when(c.isNotNull(), 1).otherwise(0)
-    return total
+    return reduce(add, [F.coalesce(c.broken, F.lit(False)).cast("int") for c in checks(rules)])
 
 
-def validation_run_summary(silver: DataFrame, rules: list[str] | None = None,
-                           hash_col: str = "source_record_hash", started_at: Column | None = None) -> DataFrame:
+def validation_run_summary(silver: DataFrame, rules: list[str] | None = None, started_at: Column | None = None) -> DataFrame:
     """One row: when the run started and ended, records checked, issues found, final status; a single scan
     with partial aggregation (no join between the record and issue sides)."""
     return silver.agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.coalesce(F.sum(issue_count(rules, hash_col)), F.lit(0)).cast("bigint").alias("issues_found"),
+        F.coalesce(F.sum(issue_count(rules)), F.lit(0)).cast("bigint").alias("issues_found"),
     ).select(
         (F.lit(dt.datetime.now(dt.timezone.utc)) if started_at is None else started_at).cast("timestamp").alias("started_at"),
         F.current_timestamp().alias("completed_at"),  # when the query that scans the rows runs

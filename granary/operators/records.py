@@ -76,14 +76,21 @@ def page_reason(raw: Column) -> Column:
     )
 
 
+def records_reason(raw: Column, parsed: Column) -> Column:
+    """``records`` if the envelope has a member of that name which is no list of objects (also NULL), else
+    NULL; ``parsed`` is what :func:`parse_envelope` made of it. Without the member a page has no records."""
+    return F.when(F.array_contains(F.json_object_keys(raw), "records") & parsed.isNull(), F.lit("records"))
+
+
 def split_error_pages(pages: DataFrame, json_col: str = "raw_json") -> tuple[DataFrame, DataFrame]:
     """Route pages to (good, quarantine); quarantined pages have a ``reason``.
-    The rule reads the raw text only; each side parses its envelopes once,
-    when used."""
-    marked = pages.withColumn("reason", page_reason(F.col(json_col)))
+    The rule reads the raw text only, but for ``records`` of the wrong type,
+    which the parsed envelope shows."""
+    marked = parse_envelope(pages.withColumn("reason", page_reason(F.col(json_col))), json_col)
+    marked = marked.withColumn("reason", F.coalesce("reason", records_reason(F.col(json_col), F.col("env.records"))))
     good = marked.where(F.col("reason").isNull()).drop("reason")
     bad = marked.where(F.col("reason").isNotNull())
-    return parse_envelope(good, json_col), parse_envelope(bad, json_col)
+    return good, bad
 
 
 def failed_jobs(quarantine: DataFrame, json_col: str = "raw_json") -> DataFrame:

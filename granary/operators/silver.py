@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.numeric import NUMBER_PATTERN, safe_float
+from granary.functions.numeric import number_of, safe_float
 from granary.functions.text import py_strip
 
 # Fixed values that must equal the reference's behaviour:
@@ -113,7 +113,6 @@ def silver_map(records: DataFrame, record_col: str = "record", keep: list[str] |
     )
     return s4.select(
         *SILVER_TEXT,
-        *[F.when(F.col(f"_t_{t}").rlike(NUMBER_PATTERN), F.col(f"_t_{t}").try_cast("double")).alias(t)
-          for t in SILVER_MEASURES],
+        *[number_of(F.col(f"_t_{t}")).alias(t) for t in SILVER_MEASURES],
         *keep,
     )

@@ -19,9 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions.hashing import record_hash
+from granary.functions.hashing import record_hash, struct_hash
 from granary.operators import bronze, records, silver
-from granary.plans.tables import load
+from granary.plans.tables import load, spread
 
 RESOURCE_ID = "crop-apy"
 DATASET_NAME = "District-wise, season-wise crop production statistics"
@@ -38,18 +38,14 @@ RECORD_KEYS = [
 
 
 def _dec(c: Column, p: int = 12, s: int = 2) -> Column:
-    """Text of a 2-decimal number as a DECIMAL(p,2) prints it ("17.00",
-    "-0.05"), built from integer cents (cheaper than a decimal cast)."""
-    assert s == 2
-    cents = F.round(c * 100).cast("bigint")
-    a = F.abs(cents)
-    return F.concat(F.when(cents < 0, F.lit("-")).otherwise(F.lit("")), (a / 100).cast("bigint").cast("string"),
-                    F.lit("."), F.lpad((a % 100).cast("string"), 2, "0"))
+    """Text of a number as a DECIMAL(p,s) prints it ("17.00", "-0.05"). One cast, so that the generated
+    method of a whole record stays small enough to be compiled."""
+    return c.cast(f"decimal({p},{s})").cast("string")
 
 
 def crop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its part, supplier, nation and region."""
-    li = load(spark, sf_dir, "lineitem")
+    li = spread(load(spark, sf_dir, "lineitem"))
     part = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -70,8 +66,7 @@ def crop_fields(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     qty = F.col("l_quantity").cast("bigint")
     v = F.floor(cents / qty).cast("bigint")
-    yield_txt = F.concat((v / 100).cast("bigint").cast("string"), F.lit("."),
-                         F.lpad((v % 100).cast("string"), 2, "0"))
+    yield_txt = _dec(v.cast("decimal(14,0)") / 100, 14)
     return lines.select(
         (F.col("l_orderkey") / PAGE_DIV).cast("bigint").alias("page_id"),
         (F.col("l_linenumber") / PAGE_LINES).cast("bigint").alias("page_part"),
@@ -110,6 +105,16 @@ def crop_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("page_id", bronze.columns_to_record(RECORD_KEYS).alias("record"))
 
 
+def page_rows(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """What the pages hold, a row for each record; with ``faults`` some pages' records have a late field."""
+    f = crop_fields(crop_lines(spark, sf_dir), extra=["l_extendedprice"])
+    record = bronze.columns_to_record(RECORD_KEYS)
+    if faults:
+        wide = F.map_concat(record, F.create_map(F.lit(LATE), F.concat(F.lit("late "), F.col("l_linenumber"))))
+        record = F.when(F.col("page_id") % 7 == 3, wide).otherwise(record)
+    return f.select("page_id", "page_part", "l_extendedprice", "l_linestatus", record.alias("record"))
+
+
 ERROR_PRICE = 104500.0  # pages holding a line above this first fail once
 
 
@@ -125,12 +130,7 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001", fault
     ``PAGE_LINES`` line numbers) gathers at most 80 lines, however long an
     order is. Both kinds of envelope come out of the same aggregation.
     """
-    f = crop_fields(crop_lines(spark, sf_dir), extra=["l_extendedprice"])
-    record = bronze.columns_to_record(RECORD_KEYS)
-    if faults:
-        wide = F.map_concat(record, F.create_map(F.lit(LATE), F.concat(F.lit("late "), F.col("l_linenumber"))))
-        record = F.when(F.col("page_id") % 7 == 3, wide).otherwise(record)
-    recs = f.select("page_id", "page_part", "l_extendedprice", record.alias("record"))
+    recs = page_rows(spark, sf_dir, faults)
     # dataset size as the source reports it: the source table's row count,
     # answered from Parquet footers (no pass over the data)
     total = load(spark, sf_dir, "lineitem").count()
@@ -187,14 +187,15 @@ def crop_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest(crop_pages(spark, sf_dir))
 
 
-def crop_silver(spark: SparkSession, sf_dir: str, through_pages: bool = False) -> DataFrame:
-    """Silver rows. By default straight from the table rows by an ordered
-    select (same result as the page round trip); ``through_pages=True`` runs
-    the full landed-page chain with record maps."""
-    if through_pages:
-        return silver.silver_map(crop_bronze(spark, sf_dir))
+def crop_silver(spark: SparkSession, sf_dir: str, by_map: bool = False) -> DataFrame:
+    """Silver rows, straight from the table rows. By default by an ordered
+    select, as their fields are known; ``by_map=True`` goes through record maps
+    of any fields (the same result)."""
+    if by_map:
+        recs = crop_records(spark, sf_dir)
+        return silver.silver_map(recs.withColumn("source_record_hash", record_hash(F.col("record"))))
     f = crop_fields(crop_lines(spark, sf_dir))
-    f = f.withColumn("source_record_hash", record_hash(bronze.columns_to_record(RECORD_KEYS)))
+    f = f.withColumn("source_record_hash", struct_hash(*RECORD_KEYS))
     return silver.silver_select(f, RECORD_KEYS)
 
 

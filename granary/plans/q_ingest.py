@@ -13,6 +13,7 @@ from granary.operators import bronze, ingest, records
 from granary.plans import crop, pages
 from granary.plans.registry import query
 from granary.plans.tables import load
+from granary.session import scratch_path
 
 _PAGE_SQL = "CAST(o_orderkey // 100 * 100 AS BIGINT)"
 
@@ -82,23 +83,18 @@ def _crop_ingest(spark, sf_dir) -> ingest.Ingested:
     """Pages with faults into a bronze table that holds the records of
     finished lines (ingested by an earlier system) and records that this batch
     doesn't have; the catalogue knows the usual fields."""
-    pages_ = crop.crop_pages(spark, sf_dir, faults=True)
     names = {"dataset": crop.DATASET_NAME, "resource": crop.RESOURCE_ID}
-    earlier, _ = ingest.page_records(pages_, system="earlier", **names)
-    earlier = earlier.where(F.col("record").getItem("l_linestatus") == "F").withColumn(
-        "ingested_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
+    earlier = crop.page_rows(spark, sf_dir, faults=True).where(F.col("l_linestatus") == "F").select("record")
     old = load(spark, sf_dir, "nation").select(bronze.columns_to_record(["n_name"]).alias("record"))
-    old = bronze.enrich(old, source_dataset=crop.DATASET_NAME, source_resource_id=crop.RESOURCE_ID, source_system="earlier")
-    for c in ("offset", "attempt", "record_no"):
-        old = old.withColumn(c, F.lit(0))
-    old = old.withColumn("ingested_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz"))
-    both = earlier.select(*old.columns).unionByName(old)
-    existing = bronze.bronze_upsert(None, both, seq=["offset", "attempt", "record_no"]).drop("was_present", "in_batch")
+    both = bronze.enrich(earlier.unionByName(old), source_dataset=crop.DATASET_NAME, source_resource_id=crop.RESOURCE_ID, source_system="earlier")
+    both = both.withColumn("ingested_at", F.lit("2023-06-01 00:00:00").cast("timestamp_ntz")).withColumn("seq", F.lit(0))
+    table = ingest.bronze_table(spark, scratch_path(spark, "bronze-crop"), slots=8)
+    bronze.merge_into(table, both, seq=["seq"])
     catalogue = spark.createDataFrame(
         [(crop.RESOURCE_ID, f, "keyword", "2023-06-01 00:00:00") for f in [*crop.RECORD_KEYS, "n_name"]],
         "dataset_id string, field_name string, field_type string, discovered_at string",
     ).withColumn("discovered_at", F.col("discovered_at").cast("timestamp_ntz"))
-    return ingest.ingest(pages_, existing, catalogue, system=crop.SOURCE_SYSTEM, **names)
+    return ingest.ingest(crop.crop_pages(spark, sf_dir, faults=True), table, catalogue, system=crop.SOURCE_SYSTEM, **names)
 
 
 @query("ingest_batch", INGEST_SQL)
@@ -205,24 +201,30 @@ FROM e FULL OUTER JOIN b ON e.h = b.h"""
 
 @query("bronze_upsert", UPSERT_SQL)
 def bronze_upsert_q(spark, sf_dir):
+    """A batch merged into a stored table; the flags come from the snapshots before and after."""
     c = load(spark, sf_dir, "customer")
     s = load(spark, sf_dir, "supplier")
     lineage = dict(source_resource_id="res", source_system="tables")
-    existing = bronze.enrich(c.select(pages.customer_record().alias("record")), source_dataset="customers", **lineage)
-    existing = existing.withColumn("ingested_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    existing = bronze.bronze_upsert(None, existing.withColumn("seq", F.lit(0)), seq=["seq"]).drop("was_present", "in_batch")
-    again = bronze.enrich(c.where(F.col("c_mktsegment") == "BUILDING").select(pages.customer_record().alias("record")),
-                          source_dataset="customers-refresh", **lineage)
-    new = bronze.enrich(s.select(pages.supplier_record().alias("record")), source_dataset="suppliers", **lineage)
-    batch = again.unionByName(new).withColumn("ingested_at", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
-    batch = batch.withColumn("seq", F.lit(1))
-    merged = bronze.bronze_upsert(existing, batch, seq=["seq"])
-    return merged.select("source_record_hash", "source_dataset", "ingested_at", "was_present", "in_batch")
+
+    def rows(df, record, dataset, day):
+        rec = bronze.enrich(df.select(record.alias("record")), source_dataset=dataset, **lineage)
+        return rec.withColumn("ingested_at", F.lit(f"2024-0{day}-01 00:00:00").cast("timestamp_ntz")).withColumn("seq", F.lit(day))
+
+    table = ingest.bronze_table(spark, scratch_path(spark, "bronze-customers"), slots=8)
+    bronze.merge_into(table, rows(c, pages.customer_record(), "customers", 1), seq=["seq"])
+    before = table.snapshot()
+    again = rows(c.where(F.col("c_mktsegment") == "BUILDING"), pages.customer_record(), "customers-refresh", 2)
+    batch = again.unionByName(rows(s, pages.supplier_record(), "suppliers", 2))
+    bronze.merge_into(table, batch, seq=["seq"])
+    known = table.read(at=before).select("source_record_hash", F.lit(True).alias("known"))
+    return table.read().join(known, "source_record_hash", "left").select(
+        "source_record_hash", "source_dataset", "ingested_at", F.col("known").isNotNull().alias("was_present"),
+        (F.col("ingested_at") >= F.lit("2024-02-01").cast("timestamp_ntz")).alias("in_batch"))
 
 
 @query("silver_map", crop.CROP_SILVER_SQL)
 def silver_map_q(spark, sf_dir):
-    return crop.crop_silver(spark, sf_dir)
+    return crop.crop_silver(spark, sf_dir, by_map=True)
 
 
 _NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
