@@ -71,14 +71,22 @@ def bronze_upsert(existing: DataFrame | None, batch: DataFrame, *, seq: list[str
     stored table: it passes the touched slots of a table bucketed by the hash,
     which the join does not shuffle.
     """
+    return _join(existing, _reduced(batch, seq, record_col), record_col)
+
+
+def _reduced(batch: DataFrame, seq: list[str], record_col: str) -> DataFrame:
+    """One row per hash: the first row's lineage, the last one's record, the latest time."""
     order = F.struct(*[F.col(c) for c in seq])
-    b = batch.groupBy("source_record_hash").agg(
+    return batch.groupBy("source_record_hash").agg(
         F.min_by(
             F.struct("source_dataset", "source_resource_id", "source_system"), order
         ).alias("first"),
         F.max("ingested_at").alias("b_ingested_at"),
         F.max_by(F.col(record_col), order).alias("b_record"),
     )
+
+
+def _join(existing: DataFrame | None, b: DataFrame, record_col: str) -> DataFrame:
     if existing is None:
         return b.select(
             "source_record_hash",
@@ -117,17 +125,17 @@ def bronze_upsert(existing: DataFrame | None, batch: DataFrame, *, seq: list[str
 def merge_into(table: KeyedTable, batch: DataFrame, *, seq: list[str], record_col: str = "record", mark: int | None = None) -> dict:
     """:func:`bronze_upsert` into a table in place: only the slots that the
     batch's hashes fall into are read, joined (without an exchange of the base)
-    and written. Returns the counts of ``new`` and ``old`` hashes of the batch,
+    and written. The batch is reduced to a row per hash first. Returns the counts of ``new`` and ``old`` hashes of the batch,
     observed on that write."""
     watch = Observation()
 
     def combine(base: DataFrame | None, rows: DataFrame) -> DataFrame:
-        return bronze_upsert(base, rows, seq=seq, record_col=record_col).observe(
+        return _join(base, rows, record_col).observe(
             watch, F.count_if(F.col("in_batch") & ~F.col("was_present")).alias("new"),
             F.count_if(F.col("in_batch") & F.col("was_present")).alias("old"))
 
     before = table.snapshot().slots
-    after = table.merge(batch, combine, mark)
+    after = table.merge(_reduced(batch, seq, record_col), combine, mark)
     return dict(watch.get) if after.slots != before else {"new": 0, "old": 0}
 
 

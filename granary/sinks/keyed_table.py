@@ -6,6 +6,9 @@ merged slots are appended under a version of their own, and one small file then
 slot. That file is the commit: readers follow the newest one, so a merge that dies halfway leaves files that
 nobody lists, and earlier snapshots stay readable until :meth:`KeyedTable.vacuum`. Writers take turns: of two
 that start from one snapshot, the second fails.
+
+Small batches may be added as deltas first, each a folder named by the same file, and folded into the slots
+together later: a batch then costs its own rows, and a reader opens the slots and the few deltas since.
 """
 
 from __future__ import annotations
@@ -23,14 +26,15 @@ from pyspark.sql import types as T
 from granary.session import scratch_path
 
 SLOTS, BUCKETS = 32, 8
-_FOLDER = "_snapshots"  # Spark's file listing passes over names with an underscore
+_FOLDER, _DELTAS = "_snapshots", "_deltas"  # Spark's file listing passes over names with an underscore
 
 
 @dataclass
 class Snapshot:
     number: int = 0
     slots: dict[int, str] = field(default_factory=dict)  # slot -> live version
-    mark: int | None = None  # the writer's own, for example the last batch it holds
+    mark: int | None = None  # the last batch that the slots hold
+    deltas: dict[int, str] = field(default_factory=dict)  # later batch -> its folder
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -75,13 +79,14 @@ class KeyedTable:
         told = json.loads(row.value)
         if (told["slots_in_all"], told["buckets"]) != (self.slots, self.buckets):
             raise ValueError(f"{self.path} has {told['slots_in_all']} slots and {told['buckets']} buckets")
-        return Snapshot(known[-1], {int(k): v for k, v in told["slots"].items()}, told["mark"])
+        slots, deltas = ({int(k): v for k, v in told[name].items()} for name in ("slots", "deltas"))
+        return Snapshot(known[-1], slots, told["mark"], deltas)
 
     def _commit(self, new: Snapshot) -> None:
         final = f"{self.path}/{_FOLDER}/{new.number:012d}.json"
         jvm, to, fs = _hadoop(self.spark, final)
         draft = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_FOLDER}/.{uuid.uuid4().hex}")
-        text = json.dumps({"slots": new.slots, "mark": new.mark, "slots_in_all": self.slots, "buckets": self.buckets})
+        text = json.dumps({"slots": new.slots, "mark": new.mark, "deltas": new.deltas, "slots_in_all": self.slots, "buckets": self.buckets})
         out = fs.create(draft, False)
         out.write(bytearray(text.encode()))
         out.close()
@@ -108,14 +113,15 @@ class KeyedTable:
 
     def merge(
         self, batch: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame], mark: int | None = None,
-        batch_key: str | None = None,
     ) -> Snapshot:
         """Fold a batch in. ``combine(base, batch)`` gives the new rows of the touched slots, one per key, where
-        ``base`` holds their rows (None: they have none). The batch is written first, so that it is worked out
-        once and decides the touched slots; there are at most ``slots`` of them."""
+        ``base`` holds their rows (None: they have none). The batch, with few rows per key, is written first, so
+        that it is worked out once and decides the touched slots (at most ``slots``); then it is dealt to as
+        many tasks as there are buckets, whatever the session's number of shuffle partitions, so that the join
+        finds both sides in place."""
         before = self.snapshot()
         draft = scratch_path(self.spark, "merge")
-        batch.withColumn("_slot", F.pmod(F.xxhash64(F.col(batch_key or self.key)), F.lit(self.slots)).cast("int")).write.parquet(draft)
+        batch.withColumn("_slot", self.slot_of()).write.parquet(draft)
         staged = self.spark.read.parquet(draft)
         touched = sorted(r["_slot"] for r in staged.select("_slot").distinct().collect())
         slots = dict(before.slots)
@@ -123,31 +129,62 @@ class KeyedTable:
             held = [s for s in touched if s in before.slots]
             base = self.read(held, before) if held else None
             version = f"{before.number + 1:08d}-{uuid.uuid4().hex[:12]}"
-            out = combine(base, staged.drop("_slot"))
-            if base is None:
-                out = out.repartition(self.buckets, self.key)
+            out = combine(base, staged.drop("_slot").repartition(self.buckets, self.key))
             out.select(*self.columns, F.lit(version).alias("_version"), self.slot_of().alias("_slot")).write.insertInto(self.name)
             slots.update(dict.fromkeys(touched, version))
-        new = Snapshot(before.number + 1, slots, before.mark if mark is None else mark)
+        new = Snapshot(before.number + 1, slots, before.mark if mark is None else mark, {b: f for b, f in before.deltas.items() if mark is None or b > mark})
+        self._commit(new)
+        return new
+
+    # deltas
+
+    def add_delta(self, rows: DataFrame, batch: int) -> Snapshot:
+        """Rows of a batch beside the slots. A batch that comes again replaces its delta; one that the slots hold
+        already changes nothing."""
+        before = self.snapshot()
+        if before.mark is not None and batch <= before.mark:
+            return before
+        name = f"{batch:012d}-{uuid.uuid4().hex[:12]}"
+        rows.withColumn("_batch", F.lit(batch).cast("long")).write.parquet(f"{self.path}/{_DELTAS}/{name}")
+        new = Snapshot(before.number + 1, before.slots, before.mark, {**before.deltas, batch: name})
         self._commit(new)
         return new
 
-    def vacuum(self) -> int:
-        """Drop the slots that the newest snapshot doesn't list, and older snapshots; how many slots went."""
+    def deltas(self, at: Snapshot | None = None) -> DataFrame | None:
+        """Rows of the live deltas with ``_batch``, None if there is none."""
+        names = sorted((at or self.snapshot()).deltas.values())
+        return self.spark.read.parquet(*[f"{self.path}/{_DELTAS}/{n}" for n in names]) if names else None
+
+    def fold(self, combine: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Snapshot:
+        """Merge all deltas into the slots."""
         now = self.snapshot()
+        held = self.deltas(now)
+        return now if held is None else self.merge(held, combine, max(now.deltas))
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Drop all but the newest ``keep`` snapshots, and the slots and deltas that none of these lists; how
+        many went. Don't run it beside a writer."""
+        known = sorted(int(n[:-5]) for n in folders(self.spark, f"{self.path}/{_FOLDER}") if n.endswith(".json") and not n.startswith("."))
+        kept = [self.snapshot(n) for n in known[-keep:]]
+        live = {(v, s) for snap in kept for s, v in snap.slots.items()}
+        names = {n for snap in kept for n in snap.deltas.values()}
         gone = 0
-        for name in folders(self.spark, self.path):
-            if not name.startswith("_version="):
-                continue
-            version = name.split("=", 1)[1]
-            for part in folders(self.spark, f"{self.path}/{name}"):
-                if part.startswith("_slot=") and now.slots.get(int(part.split("=")[1])) != version:
-                    self.spark.sql(f"ALTER TABLE `{self.name}` DROP IF EXISTS PARTITION (`_version`='{version}', `_slot`={part.split('=')[1]})")
-                    _, at, fs = _hadoop(self.spark, f"{self.path}/{name}/{part}")
-                    fs.delete(at, True)
+        for folder in folders(self.spark, self.path):
+            version = folder.removeprefix("_version=")
+            for part in folders(self.spark, f"{self.path}/{folder}") if version != folder else []:
+                slot = part.removeprefix("_slot=")
+                if slot != part and (version, int(slot)) not in live:
+                    self.spark.sql(f"ALTER TABLE `{self.name}` DROP IF EXISTS PARTITION (`_version`='{version}', `_slot`={slot})")
+                    self._delete(f"{folder}/{part}")
                     gone += 1
-        for name in folders(self.spark, f"{self.path}/{_FOLDER}"):
-            if name.endswith(".json") and not name.startswith(".") and int(name[:-5]) < now.number:
-                _, at, fs = _hadoop(self.spark, f"{self.path}/{_FOLDER}/{name}")
-                fs.delete(at, False)
+        for name in folders(self.spark, f"{self.path}/{_DELTAS}"):
+            if name not in names:
+                self._delete(f"{_DELTAS}/{name}")
+                gone += 1
+        for n in known[:-keep]:
+            self._delete(f"{_FOLDER}/{n:012d}.json")
         return gone
+
+    def _delete(self, below: str) -> None:
+        _, at, fs = _hadoop(self.spark, f"{self.path}/{below}")
+        fs.delete(at, True)
