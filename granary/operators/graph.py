@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,99 +47,222 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: up to so many edges (drawn together) one task labels the components; beyond it rounds over the cluster do
+SMALL_CORE = 1_000_000
+
+
 def _chains(e: DataFrame) -> DataFrame:
-    """Edges (src, tgt) with ``chain``: the first inner node of the unbranched
-    path that the edge belongs to, NULL for an edge between other nodes.
+    """Edges (src, tgt) with ``chain``, the first inner node of the unbranched path that the edge belongs to, or
+    ``ring``, the least node of the closed ring of inner nodes; both NULL for an edge between other nodes.
 
     An inner node has one edge in and one out. Each points at its predecessor
     while that is an inner node too; pointers double until they stand still,
-    so a path of n edges takes log2(n) rounds. On a closed ring of inner nodes
-    pointers never stand still; the rounds are bounded by the number of nodes.
+    so a path of n edges takes log2(n) rounds. On a ring they never do: after
+    log2 of the number of inner nodes, each has looked all around for the least.
     """
     into = e.groupBy("tgt").agg(F.count(F.lit(1)).alias("n_in"), F.min("src").alias("pred"))
     out = e.groupBy("src").agg(F.count(F.lit(1)).alias("n_out"))
     inner = into.where("n_in = 1").join(out.where("n_out = 1"), F.col("tgt") == F.col("src")).select(F.col("tgt").alias("node"), "pred")
     names = inner.select(F.col("node").alias("pred"), F.lit(True).alias("inner"))
-    up = _checkpoint(inner.join(names, "pred", "left").select(
-        "node", F.when(F.col("inner"), F.col("pred")).otherwise(F.col("node")).alias("up")))
-    rounds = max(1, up.count()).bit_length() + 1
-    for _ in range(rounds):
-        step = up.select(F.col("node").alias("up"), F.col("up").alias("over"))
-        new = _checkpoint(up.join(step, "up").select("node", F.col("over").alias("up"), (F.col("over") != F.col("up")).alias("moved")))
-        up = new.select("node", "up")
-        if new.where("moved").isEmpty():
+    first = inner.join(names, "pred", "left").select(
+        "node", F.when(F.col("inner"), F.col("pred")).otherwise(F.col("node")).alias("up"), F.col("node").alias("least"))
+    up = _checkpoint(first.withColumn("moved", F.lit(True)))
+    for _ in range(max(1, up.count()).bit_length() + 1):
+        step = up.select(F.col("node").alias("up"), F.col("up").alias("over"), F.col("least").alias("other"))
+        up = _checkpoint(up.join(step, "up").select(
+            "node", F.col("over").alias("up"), F.least("least", "other").alias("least"), (F.col("over") != F.col("up")).alias("moved")))
+        if up.where("moved").isEmpty():
             break
     # the edge out of an inner node, and the edge into a path's first node, belong to the path
-    by_src = up.select(F.col("node").alias("src"), F.col("up").alias("chain_out"))
-    by_tgt = up.select(F.col("node").alias("tgt"), F.col("up").alias("chain_in"))
+    chain, ring = F.when(~F.col("moved"), F.col("up")), F.when(F.col("moved"), F.col("least"))
+    by_src = up.select(F.col("node").alias("src"), chain.alias("chain_out"), ring.alias("ring"))
+    by_tgt = up.select(F.col("node").alias("tgt"), chain.alias("chain_in"))
     return e.join(by_src, "src", "left").join(by_tgt, "tgt", "left").select(
-        "src", "tgt", F.coalesce("chain_out", "chain_in").alias("chain"))
+        "src", "tgt", F.coalesce("chain_out", "chain_in").alias("chain"), "ring")
 
 
-def cyclic_core(edges: DataFrame) -> DataFrame:
-    """Distinct (src, tgt) pairs that can lie on a cycle.
-
-    Unbranched paths are first drawn together into one edge each, then an edge
-    stays only while its source has an edge in and its target one out. So a
-    long chain goes in one round; rounds grow with the depth of branching.
-    An empty result proves the graph acyclic."""
-    e = _checkpoint(edges.select(F.col("source_district").alias("src"), F.col("target_district").alias("tgt")).distinct())
+def _drawn(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``e`` with its chains and rings, the edges that are left when each chain is one edge: src, tgt, chain)."""
     marked = _checkpoint(_chains(e))
-    whole = marked.where(F.col("chain").isNull()).select("src", "tgt", F.lit(None).cast("string").alias("chain"))
+    whole = marked.where(F.col("chain").isNull() & F.col("ring").isNull()).select("src", "tgt", F.lit(None).cast("string").alias("chain"))
     inside = marked.where(F.col("chain").isNotNull())
     starts = inside.join(inside.select(F.col("tgt").alias("src"), "chain"), ["src", "chain"], "left_anti").select("src", "chain")
     ends = inside.join(inside.select(F.col("src").alias("tgt"), "chain"), ["tgt", "chain"], "left_anti").select("tgt", "chain")
-    rings = inside.select("chain").distinct().join(starts.select("chain").distinct(), "chain", "left_anti")
-    g = _checkpoint(whole.unionByName(starts.join(ends, "chain").select("src", "tgt", "chain")))
-    left = g.count()
-    while left:
-        has_in = g.select(F.col("tgt").alias("src")).distinct()
-        has_out = g.select(F.col("src").alias("tgt")).distinct()
-        g = _checkpoint(g.join(has_in, "src", "left_semi").join(has_out, "tgt", "left_semi").select("src", "tgt", "chain"))
-        before, left = left, g.count()
-        if left == before:
+    open_ = starts.join(ends, "chain").select("src", "tgt", "chain")
+    # a chain from a node back to itself starts nowhere: the edge into its first inner node tells the node
+    closed = inside.join(starts, "chain", "left_anti").where(F.col("tgt") == F.col("chain")).select("src", F.col("src").alias("tgt"), "chain")
+    return marked, _checkpoint(whole.unionByName(open_).unionByName(closed))
+
+
+def _label_small(batches):
+    """Strongly connected components of all the edges, by one depth-first search with its own stack."""
+    edges = pd.concat([b for b in batches] or [pd.DataFrame({"src": [], "tgt": []})])
+    after: dict = {}
+    for a, b in zip(edges["src"], edges["tgt"]):
+        after.setdefault(a, []).append(b)
+        after.setdefault(b, [])
+    order: dict = {}
+    low: dict = {}
+    held: list = []
+    label: dict = {}
+    for root in after:
+        if root in order:
+            continue
+        work = [(root, iter(after[root]))]
+        order[root] = low[root] = len(order)
+        held.append(root)
+        while work:
+            node, rest = work[-1]
+            for nxt in rest:
+                if nxt not in order:
+                    order[nxt] = low[nxt] = len(order)
+                    held.append(nxt)
+                    work.append((nxt, iter(after[nxt])))
+                    break
+                if nxt not in label:
+                    low[node] = min(low[node], order[nxt])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[node])
+                if low[node] == order[node]:
+                    members = []
+                    while not members or members[-1] != node:
+                        members.append(held.pop())
+                    label.update(dict.fromkeys(members, min(members)))
+    yield pd.DataFrame({"node": list(label), "component": list(label.values())}, dtype="object")
+
+
+def _spread_labels(start: DataFrame, edges: DataFrame, column: str) -> DataFrame:
+    """(node, label): the least label that comes to a node along ``edges`` (src, tgt)."""
+    now = _checkpoint(start)
+    while True:
+        over = edges.join(now.select(F.col("node").alias("src"), F.col(column).alias("other")), "src").groupBy("tgt").agg(F.min("other").alias("other"))
+        new = _checkpoint(now.join(over.withColumnRenamed("tgt", "node"), "node", "left").select(
+            "node", F.least(column, "other").alias(column), (F.col("other") < F.col(column)).alias("moved")))
+        if new.where("moved").isEmpty():
+            return new.drop("moved")
+        now = new.drop("moved")
+
+
+def components(edges: DataFrame, small: int = SMALL_CORE) -> DataFrame:
+    """(node, component) of the strongly connected components with an edge inside, named by their least node.
+
+    Nodes without an edge in or out are cut off first. What is left is labelled
+    by one task if it has at most ``small`` edges. Beyond that, rounds over the
+    cluster: the least name that reaches a node colours it, what reaches back to
+    the name inside its colour is a component, and the rest goes round again.
+    """
+    e = edges.select("src", "tgt").distinct()
+    found = None
+    while True:
+        left = e.count()
+        while True:  # cut off ends while that takes a tenth away
+            into, out = e.select(F.col("tgt").alias("src")).distinct(), e.select(F.col("src").alias("tgt")).distinct()
+            e = _checkpoint(e.join(into, "src", "left_semi").join(out, "tgt", "left_semi"))
+            now = e.count()
+            if not now or now > 0.9 * left:
+                break
+            left = now
+        if not now:
             break
-    stay = g.where(F.col("chain").isNotNull()).select("chain").union(rings.select("chain")).distinct()
-    return _checkpoint(g.where(F.col("chain").isNull()).select("src", "tgt").unionByName(
-        inside.join(stay, "chain", "left_semi").select("src", "tgt")))
+        if now <= small:
+            new = e.coalesce(1).mapInPandas(_label_small, "node string, component string")
+        else:
+            nodes = e.select(F.col("src").alias("node")).union(e.select("tgt")).distinct()
+            colour = _spread_labels(nodes.select("node", F.col("node").alias("component")), e, "component")
+            same = e.join(colour.select(F.col("node").alias("src"), "component"), "src").join(
+                colour.select(F.col("node").alias("tgt"), F.col("component").alias("other")), "tgt").where("component = other")
+            back = _checkpoint(same.select(F.col("tgt").alias("src"), F.col("src").alias("tgt")))
+            # 0 at the namesake spreads backwards inside each colour
+            seen = _spread_labels(colour.select("node", (F.col("node") != F.col("component")).cast("int").alias("far")), back, "far")
+            new = seen.where("far = 0").join(colour, "node").select("node", "component")
+        new = _checkpoint(new)
+        found = new if found is None else found.unionByName(new)
+        if now <= small:
+            break
+        e = _checkpoint(e.join(new.select(F.col("node").alias("src")), "src", "left_anti").join(new.select(F.col("node").alias("tgt")), "tgt", "left_anti"))
+    if found is None:
+        return e.select(F.col("src").alias("node"), F.col("tgt").alias("component"))
+    return found
+
 
+def cyclic_core(edges: DataFrame, small: int = SMALL_CORE) -> DataFrame:
+    """Distinct (src, tgt) pairs that lie on a cycle: those inside a strongly connected component.
 
-def simple_cycles(edges: DataFrame, max_length: int | None = None) -> DataFrame:
+    Unbranched paths are first drawn together into one edge each, so neither a
+    long chain nor many separate rings take rounds of their own. An empty
+    result proves the graph acyclic."""
+    e = _checkpoint(edges.select(F.col("source_district").alias("src"), F.col("target_district").alias("tgt")).distinct())
+    marked, g = _drawn(e)
+    names = components(g, small)
+    inside = _checkpoint(g.join(names.select(F.col("node").alias("src"), "component"), "src").join(
+        names.select(F.col("node").alias("tgt"), F.col("component").alias("other")), "tgt").where("component = other"))
+    stay = inside.where(F.col("chain").isNotNull()).select("chain").distinct()
+    plain = inside.where(F.col("chain").isNull()).select("src", "tgt")
+    chained = marked.where(F.col("chain").isNotNull()).join(stay, "chain", "left_semi").select("src", "tgt")
+    return _checkpoint(plain.unionByName(chained).unionByName(marked.where(F.col("ring").isNotNull()).select("src", "tgt")))
+
+
+def _walk(edges: pd.DataFrame) -> pd.DataFrame:
+    """The nodes of one chain or ring in order; a ring starts at its least node."""
+    after = dict(zip(edges["src"], edges["tgt"]))
+    starts = set(after) - set(edges["tgt"])
+    name = edges["chain"].iloc[0]
+    node = name if pd.isna(edges["head"].iloc[0]) else edges["head"].iloc[0]
+    node = starts.pop() if starts else node
+    nodes = [node]
+    for _ in range(len(edges)):
+        node = after[node]
+        nodes.append(node)
+    return pd.DataFrame({"chain": [name], "nodes": [nodes]})
+
+
+def simple_cycles(edges: DataFrame, max_length: int | None = None, small: int = SMALL_CORE) -> DataFrame:
     """Every elementary circuit (self-loops included), each reported once as
     an array of nodes starting at its smallest node.
 
-    Paths grow one edge per round from each root, only through nodes greater
-    than the root and not yet on the path; a path closes when an edge leads
-    back to the root. The number of circuits can be exponential in the core
-    size; ``max_length`` bounds path length and the call fails (never
-    truncates) if open paths remain at that length.
+    Only edges inside strongly connected components count. A component that is
+    one ring is walked as it is (its circuit is a result row of its nodes). In
+    the others, unbranched paths are one edge, and paths grow by one such edge
+    per round from each node, only through nodes greater than that and not
+    yet on the path, closing where an edge leads back. The number of circuits
+    can be exponential in the core size; ``max_length`` bounds the length and the
+    call fails (never truncates) if a longer circuit or an open path remains.
     """
-    core = cyclic_core(edges)
+    core = cyclic_core(edges, small)
     loops = core.where(F.col("src") == F.col("tgt")).select(F.array("src").alias("cycle"))
-    e = core.where(F.col("src") != F.col("tgt"))
+    marked, g = _drawn(_checkpoint(core.where(F.col("src") != F.col("tgt"))))
+    closed = g.where(F.col("src") == F.col("tgt")).select("chain", F.col("src").alias("head"))
+    named = marked.where(F.col("chain").isNotNull() | F.col("ring").isNotNull())
+    walks = _checkpoint(named.select("src", "tgt", F.coalesce("chain", "ring").alias("chain")).join(closed, "chain", "left")
+                        .groupBy("chain").applyInPandas(_walk, "chain string, nodes array<string>"))
+    rings = walks.join(marked.where(F.col("ring").isNotNull()).select(F.col("ring").alias("chain")).distinct(), "chain", "left_semi")
+    # an edge's step: the nodes after its source
+    e = _checkpoint(g.join(walks, "chain", "left").select(
+        "src", "tgt", F.coalesce(F.slice("nodes", 2, F.size("nodes") - 1), F.array("tgt")).alias("step")))
+    self_closed = e.where(F.col("src") == F.col("tgt"))
+    e = e.where(F.col("src") != F.col("tgt"))
     paths = e.where(F.col("tgt") > F.col("src")).select(
-        F.col("src").alias("root"), F.col("tgt").alias("last"), F.array("src", "tgt").alias("nodes")
-    )
-    closing = e.select(F.col("src").alias("last"), F.col("tgt").alias("root"))
-    found = [loops]
-    length = 2
-    limit = max_length
-    while True:
-        found.append(paths.join(closing, ["root", "last"], "left_semi").select(F.col("nodes").alias("cycle")))
-        ext = paths.join(e.select(F.col("src").alias("last"), "tgt"), "last").where(
-            (F.col("tgt") > F.col("root")) & ~F.array_contains(F.col("nodes"), F.col("tgt"))
-        ).select("root", F.col("tgt").alias("last"), F.array_append("nodes", F.col("tgt")).alias("nodes"))
-        ext = _checkpoint(ext)
-        if ext.isEmpty():
-            break
-        length += 1
-        if limit is not None and length > limit:
-            raise RuntimeError(f"open paths remain at max_length={limit}; refusing to truncate cycles")
-        paths = ext
-    out = found[0]
-    for f in found[1:]:
+        F.col("src").alias("root"), F.col("tgt").alias("last"), F.array("src", "tgt").alias("ends"), F.concat(F.array("src"), "step").alias("nodes"))
+    found = [rings.select(F.slice("nodes", 1, F.size("nodes") - 1).alias("cycle")), self_closed.select(F.col("step").alias("cycle"))]
+    closing = e.select(F.col("src").alias("last"), F.col("tgt").alias("root"), "step")
+    steps = e.select(F.col("src").alias("last"), F.col("tgt").alias("next"), "step")
+    paths = _checkpoint(paths)
+    while not paths.isEmpty():
+        found.append(paths.join(closing, ["root", "last"]).select(F.concat("nodes", F.slice("step", 1, F.size("step") - 1)).alias("cycle")))
+        longer = paths.join(steps, "last").where((F.col("next") > F.col("root")) & ~F.array_contains(F.col("ends"), F.col("next")))
+        longer = longer.select("root", F.col("next").alias("last"), F.array_append("ends", F.col("next")).alias("ends"), F.concat("nodes", "step").alias("nodes"))
+        paths = _checkpoint(longer)
+        if max_length is not None and not paths.where(F.size("nodes") > max_length).isEmpty():
+            raise RuntimeError(f"open paths remain at max_length={max_length}; refusing to truncate cycles")
+    out = loops
+    for f in found:
         out = out.unionByName(f)
-    return out
+    if max_length is not None and not out.where(F.size("cycle") > max_length).isEmpty():
+        raise RuntimeError(f"circuits longer than max_length={max_length}; refusing to truncate cycles")
+    at = F.array_position("cycle", F.array_min("cycle")).cast("int")
+    return out.select(F.concat(F.slice("cycle", at, F.size("cycle")), F.slice("cycle", F.lit(1), at - 1)).alias("cycle"))
 
 
 def quoted(c) -> F.Column:
