@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from granary.llm.common import WORD_BYTES, checkpointed, packed, pick, plain_words, unpacked
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 150_000  # about 0.1 GB of automaton in each Python worker
 HELD_CHARS = 16_000_000
 MAX_COVERAGE = 0.8
 

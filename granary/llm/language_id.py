@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from granary.llm.common import pick
 
 BUCKETS = 1 << 14
-ROUNDS = 8
-MOST = 4
+#: EM goes on while a round adds more than GAIN + FLAT * |log likelihood| to some document's log likelihood
+GAIN, FLAT = 0.01, 1e-5
 PENALTY = 3.0
 SMOOTH = 0.5
 
@@ -87,12 +87,14 @@ def _mixture(like: np.ndarray, n: np.ndarray, starts: np.ndarray, owner: np.ndar
     """EM for many documents at once: (proportions, log likelihoods) within the ``allowed`` languages."""
     share = allowed / allowed.sum(1, keepdims=True)
     total = np.add.reduceat(n, starts)[:, None]
-    for _ in range(ROUNDS):
-        part = like * share[owner]
+    fitted, part = None, like * share[owner]
+    while True:
         part *= (n / np.maximum(part.sum(1), 1e-30))[:, None]
         share = np.add.reduceat(part, starts, axis=0) / total
-    fitted = np.add.reduceat(n * np.log(np.maximum((like * share[owner]).sum(1), 1e-30)), starts)
-    return share, fitted
+        part = like * share[owner]
+        before, fitted = fitted, np.add.reduceat(n * np.log(np.maximum(part.sum(1), 1e-30)), starts)
+        if before is not None and (fitted - before <= GAIN + FLAT * np.abs(fitted)).all():
+            return share, fitted
 
 
 def predict(texts: list[str | None], names: list[str], logp: np.ndarray, penalty: float = PENALTY) -> tuple[list[str], list[float]]:
@@ -117,7 +119,7 @@ def predict(texts: list[str | None], names: list[str], logp: np.ndarray, penalty
         chosen, best = single.argmax(1), single.max(1)
         open_ = np.flatnonzero(full - price > best)
         rank = np.argsort(-share, axis=1, kind="stable")
-        for size in range(2, min(MOST, len(names)) + 1):
+        for size in range(2, len(names) + 1):
             if not len(open_):
                 break
             mine = np.isin(owner, open_)

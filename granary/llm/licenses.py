@@ -202,7 +202,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = F.array(*[F.lit(k) for k in names])
     base = pick(docs, id_col, text_col).select(
         F.col(id_col).alias("id"),
-        F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), SEPARATORS, " ")).alias("norm"))
+        F.trim(F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), SEPARATORS, " ")).alias("norm"))
     n_words = F.when(F.col("norm") == "", 0).otherwise(F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
     all_rules = _rule_array(ordered)
 

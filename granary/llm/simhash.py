@@ -76,9 +76,10 @@ def fingerprint_components(nodes: DataFrame, max_bits: int = golay.MAX_BITS) ->
     def keys(fps: pd.Series) -> pd.Series:
         return pd.Series(list(golay.keys(fps.to_numpy(np.int64).view(np.uint64))))
 
-    # a node becomes a hundred rows: deal the nodes out to all tasks, however few bytes they are
+    # a node becomes a hundred rows: deal the nodes out to all tasks, however few bytes they are (by a hash of
+    # fp: a frame that lies by fp already would stay as it lies)
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = nodes.repartition(parts, "fp").select("fp", F.explode(F.array_distinct(keys("fp"))).alias("key"))
+    keyed = nodes.repartition(parts, F.xxhash64("fp")).select("fp", F.explode(F.array_distinct(keys("fp"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     keyed = checkpointed(keyed.join(shared, "key", "left_semi"))
 
