@@ -22,9 +22,12 @@ _HEAD = ('<tr><th colspan="2">Customer</th><th>Balance</th><th rowspan="2">Segme
 def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
     bal = F.col("c_acctbal").cast("decimal(12,2)").cast("string")
-    row = F.concat(F.lit("<tr><td> "), F.col("c_name"), F.lit(" </td><td>"), F.col("c_custkey").cast("string"),
+    # a third of the rows lack their end tags, another third hold a table in a cell
+    inner = F.when(F.col("c_custkey") % 3 == 1, F.lit("<table><tr><th>old<td>x</table>")).otherwise(F.lit(""))
+    row = F.concat(F.lit("<tr><td> "), inner, F.col("c_name"), F.lit(" </td><td>"), F.col("c_custkey").cast("string"),
                    F.when(F.col("c_acctbal") < 0, F.concat(F.lit('</td><td colspan="2">'), bal))
                    .otherwise(F.concat(F.lit("</td><td>"), bal, F.lit("</td><td>"), F.col("c_mktsegment"))), F.lit("</td></tr>"))
+    row = F.when(F.col("c_custkey") % 3 == 0, F.regexp_replace(row, "</t[dr]>", "")).otherwise(row)
     opt = F.concat(F.lit('<option value="'), F.col("c_custkey").cast("string"), F.lit('"  >'), F.col("c_name"),
                    F.lit(" </option>"))
     g = c.groupBy((F.col("c_custkey") / PER_PAGE).cast("bigint").alias("page_id")).agg(

@@ -161,14 +161,15 @@ def list_files(spark, path: str) -> list[str]:
 def _land_event_files(spark, sf_dir):
     """Write the three layouts as CSV files the way a harvest leaves them, and
     a manifest listing every file plus a PDF entry, a file of no known layout
-    and one that is missing. The first layout comes in two files groups: one in
-    the usual column order, one in another order with a further column."""
+    and one that is missing. The first layout comes in two groups of files: one in
+    the usual column order, one in another order with a further column, whose
+    values hold commas, quotes and line breaks."""
     raw = scratch_path(spark, "event-files")
     names = {"new_district": "new_districts", "split": "splits", "rename": "renames"}
     listed = []
 
     def land(frame, folder: str, url: str) -> None:
-        frame.write.mode("overwrite").option("header", True).csv(f"{raw}/{folder}")
+        frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{raw}/{folder}")
         listed.extend((f"{folder}/{n}", url) for n in list_files(spark, f"{raw}/{folder}") if n.endswith(".csv"))
 
     for f in d.layout_frames(spark, sf_dir):
@@ -179,7 +180,7 @@ def _land_event_files(spark, sf_dir):
         if lay["name"] == "new_district":
             other = F.crc32(F.col("New District").cast("binary")) % 2 == 0
             land(f.where(~other), folder, url)
-            land(f.where(other).select(F.lit("7").alias("Sl No"), "New District", "Old districts", "Year", "State/UT"),
+            land(f.where(other).select(F.lit('7, "seven"\n(7)\n').alias("Sl No"), "New District", "Old districts", "Year", "State/UT"),
                  f"{folder}_reordered", url)
         else:
             land(f, folder, url)

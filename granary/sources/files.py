@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators import lineage
 from granary.schemas import PAGE
+from granary.session import scratch_path
 
 LANDED_PAGE = T.StructType(
     [f for f in PAGE.fields] + [T.StructField("attempt", T.IntegerType())]
@@ -75,20 +76,53 @@ def read_alias_map(spark: SparkSession, path: str, multi_line: bool = True) -> D
     return txt.select(F.explode(F.from_json("value", "map<string,string>")).alias("alias", "canonical"))
 
 
-def _listed_lines(spark: SparkSession, manifest: DataFrame, raw_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(listed CSV files, their lines with file name and position)."""
+def _listed_records(spark: SparkSession, manifest: DataFrame, raw_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(listed CSV files, their records: filename, url, start, record).
+
+    A record ends at a line break outside quotes, wherever the file is split:
+    a line starts one if the quotes before it in the file are even in number.
+    Sums of quotes per split (one row each) and then within a split tell that.
+    The lines are read once and written with their place (file, split, number),
+    which everything after goes by. Records of several lines are put together
+    by their first line's place; ``record`` is NULL in a file whose last quote
+    is open.
+    """
     listed = manifest.where(F.lower("filename").endswith(".csv")).groupBy("filename").agg(F.min("url").alias("url"))
-    text = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]").text(raw_dir)
+    text = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]").option("lineSep", "\n").text(raw_dir)
             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                     F.monotonically_increasing_id().alias("at")))
-    lines = text.select(_relative(F.col("file"), _qualified(spark, raw_dir)).alias("filename"), "value", "block", "at")
-    return listed, lines.join(listed, "filename")
-
-
-def _headers(lines: DataFrame) -> DataFrame:
-    """(filename, header line, its position): the first line of each file, from one pass over all files."""
-    first = lines.where(F.col("block") == 0).groupBy("filename").agg(
-        F.min_by("value", "at").alias("header"), F.min("at").alias("header_at"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    path = scratch_path(spark, "event-lines")
+    text.select(_relative(F.col("file"), _qualified(spark, raw_dir)).alias("filename"), "block", "at", "value", quotes.alias("n")).join(
+        listed, "filename").write.parquet(path)
+    lines = spark.read.parquet(path)
+    own = Window.partitionBy("filename", "block").orderBy("at")
+    before = F.coalesce(F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = lines.groupBy("filename", "block").agg(F.sum("n").alias("of_split"))
+    by_split = Window.partitionBy("filename").orderBy("block")
+    splits = splits.select(
+        "filename", "block", (F.sum("of_split").over(by_split) - F.col("of_split")).alias("earlier"),
+        (F.sum("of_split").over(Window.partitionBy("filename")) % 2 == 1).alias("open"))
+    placed = lines.withColumn("before", before).join(splits, ["filename", "block"])
+    placed = placed.withColumn("starts", (F.col("before") + F.col("earlier")) % 2 == 0)
+    here = F.struct("block", "at")
+    alone = placed.where(F.col("starts") & ((F.col("n") % 2 == 0) | F.col("open"))).select(
+        "filename", "url", here.alias("start"), F.when(~F.col("open"), F.col("value")).alias("record"))
+    several = placed.where(~F.col("open") & ~(F.col("starts") & (F.col("n") % 2 == 0)))
+    # the split that a record starts in, for lines of the next ones
+    last = several.where("starts").groupBy("filename", "block").agg(F.max(here).alias("last")).join(splits.select("filename", "block"), ["filename", "block"], "right")
+    carried = last.select("filename", "block", F.last("last", ignorenulls=True).over(by_split.rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    start = F.coalesce(F.last(F.when(F.col("starts"), here), ignorenulls=True).over(own), F.col("carried"))
+    several = several.join(carried, ["filename", "block"]).withColumn("start", start)
+    joined = several.groupBy("filename", "url", "start").agg(F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("parts")).select(
+        "filename", "url", "start", F.array_join(F.col("parts.value"), "\n").alias("record"))
+    return listed, alone.unionByName(joined).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+
+
+def _headers(records: DataFrame) -> DataFrame:
+    """(filename, header, its place): the first record of each file that isn't blank."""
+    first = records.where(F.col("record").isNull() | (F.col("record") != "")).groupBy("filename").agg(
+        F.min_by("record", "start").alias("header"), F.min("start").alias("header_at"))
     return first.withColumn("header", F.regexp_replace("header", "^\uFEFF", ""))
 
 
@@ -103,7 +137,7 @@ def _layout_name(names: Column) -> Column:
 def _fields(line: Column, width: int) -> Column:
     """The fields of a CSV line as an array of ``width`` texts."""
     names = [f"c{i}" for i in range(width)]
-    row = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"escape": '"'})
+    row = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"escape": '"', "multiLine": "true"})
     return F.array(*[row.getField(n) for n in names])
 
 
@@ -122,15 +156,15 @@ def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
     distributed pass; each line then finds its fields by its file's header.
     The layout is the first whose markers the header holds. Files that give
     no events are listed by :func:`event_csv_rejects`; entries of other kinds
-    are skipped. A value may not hold a line break.
+    are skipped. Quoted values may hold line breaks.
     """
-    _, lines = _listed_lines(spark, manifest, raw_dir)
+    _, lines = _listed_records(spark, manifest, raw_dir)
     headers = _headers(lines)
     width = _width(headers)
     headers = headers.withColumn("names", _fields(F.col("header"), width)).withColumn("layout", _layout_name(F.col("names")))
-    rows = lines.join(headers.drop("header"), "filename").where((F.col("at") != F.col("header_at")) & (F.col("value") != ""))
+    rows = lines.join(headers.drop("header"), "filename").where((F.col("start") != F.col("header_at")) & (F.col("record") != ""))
     rows = rows.select("layout", "names", F.col("filename").alias("source_document"), F.col("url").alias("source_url"),
-                       _fields(F.col("value"), width).alias("fields"))
+                       _fields(F.col("record"), width).alias("fields"))
 
     def field(name: str, absent: str | None) -> Column:
         at = F.array_position("names", F.lit(name)).cast("int")
@@ -147,10 +181,10 @@ def read_event_csvs(spark: SparkSession, manifest: DataFrame, raw_dir: str,
 
 def event_csv_rejects(spark: SparkSession, manifest: DataFrame, raw_dir: str) -> DataFrame:
     """(filename, reason) of listed CSV files without events: ``missing or
-    empty`` (no line was read) or ``unknown layout``."""
-    listed, lines = _listed_lines(spark, manifest, raw_dir)
+    empty`` (no line was read), ``open quote`` or ``unknown layout``."""
+    listed, lines = _listed_records(spark, manifest, raw_dir)
     headers = _headers(lines)
     known = _layout_name(_fields(F.col("header"), _width(headers)))
-    j = listed.join(headers.select("filename", "header", known.alias("layout")), "filename", "left")
-    return j.where(F.col("layout").isNull()).select(
-        "filename", F.when(F.col("header").isNull(), F.lit("missing or empty")).otherwise(F.lit("unknown layout")).alias("reason"))
+    j = listed.join(headers.select("filename", "header", "header_at", known.alias("layout")), "filename", "left")
+    reason = F.when(F.col("header_at").isNull(), "missing or empty").when(F.col("header").isNull(), "open quote").otherwise("unknown layout")
+    return j.where(F.col("layout").isNull()).select("filename", reason.alias("reason"))

@@ -61,43 +61,72 @@ def expand_spans(rows: list[list[tuple[bool, str, int, int]]]) -> list[list[tupl
 
 
 class _FirstTable(HTMLParser):
-    """Collects the cells of the first <table> as (is_header, text, rows, columns) rows."""
+    """Collects the cells of the first <table> as (is_header, text, rows, columns) rows.
+
+    End tags of cells and rows may be missing: a cell ends where the next cell,
+    row or section starts and at the table's or page's end, and a cell without
+    a row opens one. A table inside a cell is a table of its own: its rows and
+    text don't count, what follows it still belongs to the cell.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.depth = 0
         self.done = False
-        self.rows: list[list[tuple[bool, str]]] = []
+        self.rows: list[list[tuple[bool, str, int, int]]] = []
         self._cell: list[str] | None = None
         self._is_th = False
         self._span = (1, 1)
+        self._in_row = False
+
+    def _end_cell(self) -> None:
+        if self._cell is not None:
+            self.rows[-1].append((self._is_th, "".join(self._cell).strip(), *self._span))
+            self._cell = None
+
+    def _end_row(self) -> None:
+        self._end_cell()
+        self._in_row = False
 
     def handle_starttag(self, tag, attrs):
         if self.done:
             return
         if tag == "table":
             self.depth += 1
-        elif self.depth == 1 and tag == "tr":
-            self.rows.append([])
-        elif self.depth == 1 and tag in ("td", "th") and self.rows:
+        elif self.depth == 1 and tag in ("tr", "thead", "tbody", "tfoot"):
+            self._end_row()
+            if tag == "tr":
+                self.rows.append([])
+                self._in_row = True
+        elif self.depth == 1 and tag in ("td", "th"):
+            self._end_cell()
+            if not self._in_row:
+                self.rows.append([])
+                self._in_row = True
             self._cell, self._is_th = [], tag == "th"
             self._span = tuple(_span(dict(attrs).get(k)) for k in ("rowspan", "colspan"))
 
     def handle_endtag(self, tag):
-        if self.done:
+        if self.done or not self.depth:
             return
-        if tag in ("td", "th") and self._cell is not None:
-            self.rows[-1].append((self._is_th, "".join(self._cell).strip(), *self._span))
-            self._cell = None
-        elif tag == "table":
+        if tag == "table":
             self.depth -= 1
-            if self.depth == 0:
+            if not self.depth:
+                self._end_row()
                 self.done = True
+        elif self.depth == 1 and tag in ("td", "th"):
+            self._end_cell()
+        elif self.depth == 1 and tag in ("tr", "thead", "tbody", "tfoot"):
+            self._end_row()
 
     def handle_data(self, data):
-        if self._cell is not None:
+        if self._cell is not None and self.depth == 1:
             self._cell.append(data)
 
+    def close(self):
+        super().close()
+        self._end_row()
+
 
 def parse_first_table(html: str):
     """(header rows, data rows) of the first table; leading all-<th> rows

@@ -203,15 +203,26 @@ def test_event_csv_skips_bad_entries(spark, tmp_path):
     (raw / "d.pdf").write_text("%PDF")
     # the layout of a.csv in another order and with a further column
     (raw / "e.csv").write_text('Sl No,Year,District-After,District-Before,State/UT\n7,2002,"child, two",parent two,T\n')
-    manifest = spark.createDataFrame([("a.csv", "u1"), ("b.csv", "u2"), ("c.csv", "u3"), ("d.pdf", "u4"),
+    # values with line breaks, in a file that is read in several splits; an open quote
+    (raw / "f.csv").write_text('\nState/UT,District-Before,District-After,Year\r\nT,"p\nq, ""r""",c,2003\r\n' + "\r\n".join(f'U,"p{i}\n\nx",d{i},2004' for i in range(400)) + "\r\n")
+    (raw / "g.csv").write_text('State/UT,District-Before,District-After,Year\nT,"p,c,2003\nT,q,r,2004\n')
+    manifest = spark.createDataFrame([("f.csv", "u7"), ("g.csv", "u8"), ("a.csv", "u1"), ("b.csv", "u2"), ("c.csv", "u3"), ("d.pdf", "u4"),
                                       ("e.csv", "u6"), ("gone.csv", "u5")], "filename string, url string")
-    ev = read_event_csvs(spark, manifest, str(raw)).collect()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        ev = read_event_csvs(spark, manifest, str(raw)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    many = {(r["parent_district"].lower(), r["child_district"].lower()) for r in ev if r["source_url"] == "u7"}
+    assert many == {('p\nq, "r"', "c")} | {(f"p{i}\n\nx", f"d{i}") for i in range(400)}
+    ev = [r for r in ev if r["source_url"] != "u7"]
     got = sorted((r["event_type"], r["parent_district"], r["child_district"], r["effective_year"], r["source_url"])
                  for r in ev)
     assert got == [("RENAME", "X", "Y", "1991", "u2"), ("SPLIT", "Old One", "New One", "2001", "u1"),
                    ("SPLIT", "Parent Two", "Child, Two", "2002", "u6")]
     rejects = event_csv_rejects(spark, manifest, str(raw)).collect()
-    assert sorted(map(tuple, rejects)) == [("c.csv", "unknown layout"), ("gone.csv", "missing or empty")]
+    assert sorted(map(tuple, rejects)) == [("c.csv", "unknown layout"), ("g.csv", "open quote"), ("gone.csv", "missing or empty")]
 
 
 def test_jsonl_keeps_nulls_and_utf8(spark):
