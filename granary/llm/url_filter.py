@@ -1,13 +1,16 @@
 """URL filter: rules first, then segmented host names scored by naive Bayes.
 
 Host names are split at signs, then each part is segmented into words by Viterbi over a unigram model:
-the counts of all parts of hosts and paths in the table, in a hashed table of fixed size, and of a
-short fixed word list. Tokens of host and path are scored by multinomial naive Bayes. Its classes are
-learnt from the whole table: a url whose tokens hold a word of ``BLOCKED`` is an example of what to
-block, any other of what to allow; so tokens that keep such company count too.
-
-Null urls and urls without ``://`` have an empty host and path; no rule fits them and they are judged
-by the prior (allowed, as a rule). An empty table learns nothing and allows. Repeated rows repeat.
+the counts of the words of all pages' texts and, with less weight, of the parts of hosts and paths, in a
+hashed table of fixed size, and of the words of the labelled names. Tokens of host and path are scored by
+multinomial naive Bayes. It starts from ``EXAMPLES``, names labelled by hand, which a first model learns; that
+model labels the table's urls, and the judging model learns each class half from the examples and half from
+all urls so labelled (self-training, one round). So no word blocks by itself: a name with one doubtful word among ordinary ones
+is allowed, and words that keep doubtful company in the table count too.
+
+A word of the model has at most ``LONGEST`` letters; a longer run of letters is several tokens. Null urls and urls
+without ``://`` have an empty host and path; no rule fits them and they are judged by the prior (allowed). An empty table learns
+nothing and allows. Null texts have no words. Repeated rows repeat.
 """
 
 from __future__ import annotations
@@ -29,26 +32,37 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 BUCKETS = 1 << 16
 LONGEST = 20
 PART_WEIGHT = 0.005
+TEXT_WEIGHT = 0.02
 THRESHOLD = 0.5
 SMOOTH = 0.1
-#: words whose urls are examples of what to block
-BLOCKED = (
-    "ads adult banner bet bets betting bingo bonus cash casino cheap clickbait crack deals escort farm "
-    "free gamble gambling hack jackpot keygen loan loans lottery money pharma pharmacy pill pills poker "
-    "porn prize replica sex slots spam torrent track tracker tracking viagra virus warez win winner xxx"
-).split()
-#: ordinary words, so that names split where people would
+LIKELY = float(np.log(0.1 / 0.9))  # log odds of block before anything is known
+#: names labelled by hand, as words: fixed training data
+EXAMPLES = {
+    "block": (
+        "free casino", "casino win", "win casino bonus", "casino slots online", "slots jackpot", "jackpot spins", "poker bonus", "poker cash",
+        "online betting", "free bets", "bets tips", "sports betting odds", "bet now", "bingo win cash", "lottery winner", "lottery prize win",
+        "cheap pills", "pills online", "cheap pharmacy", "pharmacy pills", "viagra pills", "cheap viagra", "pharma cheap", "replica cheap",
+        "cash loan", "payday loan", "fast cash loans", "loans bonus", "gamble online", "gambling win", "adult sex", "sex porn", "porn xxx",
+        "free porn", "adult xxx", "escort sex", "torrent crack", "crack keygen", "keygen warez", "free warez", "hack crack", "virus spam",
+        "ads tracker", "ads banner", "banner track", "track ads", "tracking pixel", "click track", "clickbait ads", "spam farm", "free prize",
+        "cheap replica", "bonus cash", "deals cheap cash",
+    ),
+    "allow": (
+        "free garden guide", "free library", "free school books", "free music lessons", "cheap travel guide", "track and field club",
+        "running track", "race track news", "farm shop", "farm life", "family farm", "organic farm food", "prize for science", "book prize",
+        "win at work", "winter sport", "holiday deals travel", "money and work", "adult education", "adult learning school", "virus research lab",
+        "city library", "garden club", "music school", "travel blog", "food market", "sport club", "health guide", "home garden design",
+        "history of art", "photo studio", "news online", "local news", "school project", "science forum", "book club", "open project",
+        "learn design", "house and home", "video studio", "story time", "team sport", "car market", "job market", "city map", "the daily post",
+        "my blog", "web design", "tech news", "world news", "tour guide", "press media", "community forum", "trade school", "day tour",
+    ),
+}
+#: further ordinary words, so that names split where people would
 COMMON = (
-    "a about all an and art at best big blog book buy by car city club com day design eco edu en farm "
-    "first food for forum free game garden go good guide health help home house how in info is it job "
-    "lab learn life list local map market media my net new news now of on one online open org our page "
-    "photo play post press project school shop site social solutions sport store story studio team tech "
-    "the time to today top tour trade travel tv up us video web wiki work world your"
+    "a about all an best big business buy by com edu en first for game go good help hour how in info international is it items list net "
+    "new of on one org our page plan play site social solutions store to today top tv up us video wiki you your"
 ).split()
-
-
-_BLOCKED = frozenset(BLOCKED)
-_LISTED = frozenset((*BLOCKED, *COMMON))
+_LISTED = frozenset([w for names in EXAMPLES.values() for n in names for w in n.split()] + COMMON)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -74,14 +88,25 @@ def bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-def unigram_costs(urls: DataFrame) -> np.ndarray:
-    """Negative log probabilities by bucket of a word, from all parts of all hosts and paths."""
-    parts = urls.select(F.explode(F.split(F.lower(F.concat_ws("/", "host", "path")), "[^a-z]+")).alias("w")).filter("w <> ''")
-    counts = np.full(BUCKETS, 1e-3)  # a part of a name that's a word is rarer than the words it is made of
-    got = parts.groupBy(F.pmod(F.crc32(F.col("w").cast("binary")), F.lit(BUCKETS)).cast("int").alias("b")).count()
+def _by_bucket(words: DataFrame) -> np.ndarray:
+    """Counts of the words ``w`` by bucket."""
+    counts = np.zeros(BUCKETS)
+    got = words.groupBy(F.pmod(F.crc32(F.col("w").cast("binary")), F.lit(BUCKETS)).cast("int").alias("b")).count()
     for row in got.collect():  # BUCKETS rows at most
-        counts[row["b"]] += PART_WEIGHT * np.log1p(row["count"])
-    for word in (*BLOCKED, *COMMON):
+        counts[row["b"]] = row["count"]
+    return counts
+
+
+def unigram_costs(urls: DataFrame, texts: DataFrame | None) -> np.ndarray:
+    """Negative log probabilities by bucket of a word: from all words of ``texts`` (column ``html``) and all
+    parts of all hosts and paths; the labelled names' words have a count of their own."""
+    parts = urls.select(F.explode(F.split(F.lower(F.concat_ws("/", "host", "path")), "[^a-z]+")).alias("w")).filter("w <> ''")
+    counts = 1e-3 + PART_WEIGHT * np.log1p(_by_bucket(parts))  # a part of a name that's a word is rarer than its words
+    if texts is not None:
+        plain = F.lower(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<(script|style)\b.*?</\1\s*>|<[^>]*>", " "))
+        words = texts.select(F.explode(F.split(plain, r"[^\p{L}]+")).alias("w")).filter(F.length("w").between(2, LONGEST))
+        counts += TEXT_WEIGHT * np.log1p(_by_bucket(words))
+    for word in sorted(_LISTED):
         counts[bucket(word)] += 50
     return -np.log(counts / counts.sum())
 
@@ -117,49 +142,71 @@ class Segmenter:
         return out
 
 
-def class_counts(urls: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(urls by class, token counts by class and bucket); class 1 is block."""
+def _shares(counts: np.ndarray) -> np.ndarray:
+    """Smoothed token probabilities by class."""
+    seen = max(1, int((counts.sum(0) > 0).sum()))
+    return (counts + SMOOTH) / (counts.sum(1, keepdims=True) + SMOOTH * seen)
+
+
+def first_weights() -> np.ndarray:
+    """Log odds of block by bucket, from the examples alone."""
+    share = _shares(labelled_counts())
+    return np.log(share[1] / share[0])
+
+
+def final_weights(counts: np.ndarray) -> np.ndarray:
+    """Log odds of block by bucket, half from the examples and half from the table's urls; a class without any
+    url has what all urls have."""
+    own = np.where(counts.sum(1, keepdims=True) > 0, counts, counts.sum(0))
+    share = _shares(labelled_counts()) + _shares(own)
+    return np.log(share[1] / share[0])
+
+
+def labelled_counts() -> np.ndarray:
+    """Token counts of EXAMPLES by class and bucket; a name may be host or path."""
+    counts = np.zeros((2, BUCKETS))
+    for y, label in enumerate(("allow", "block")):
+        for word in " ".join(EXAMPLES[label]).split():
+            for mark in ("h:", "p:"):
+                counts[y, bucket(mark + word)] += 1
+    return counts
+
+
+def class_counts(urls: DataFrame, costs: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Token counts of all urls by bucket and the class that a model gives them; class 1 is block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(costs)
-        totals = np.zeros((2, BUCKETS + 1), np.int64)
+        totals = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = segmenter.tokens(host, path)
-                y = int(any(t[2:] in _BLOCKED for t in found))
-                totals[y, BUCKETS] += 1
-                for t in found:
-                    totals[y, bucket(t)] += 1
+                at = [bucket(t) for t in segmenter.tokens(host, path)]
+                np.add.at(totals[int(LIKELY + weight[at].sum() > 0)], at, 1)
         y, b = np.nonzero(totals)
         if len(y):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(y.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(totals[y, b])], names=["y", "b", "n"])
 
     got = urls.select("host", "path").mapInArrow(count, "y int, b int, n long").groupBy("y", "b").agg(F.sum("n").alias("n"))
-    totals = np.zeros((2, BUCKETS + 1))
+    totals = np.zeros((2, BUCKETS))
     for row in got.collect():  # 2 x BUCKETS rows at most
         totals[row["y"], row["b"]] = row["n"]
-    return totals[:, BUCKETS], totals[:, :BUCKETS]
-
-
+    return totals
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
+def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", rules=RULES) -> DataFrame:
     """Per row: id, host, path, rule, verdict, block_score (naive Bayes' probability of block)."""
     host, path = host_and_path(F.col("url_"))
     urls = pick(pages, id_col, url_col).toDF("id_", "url_").select("id_", host.alias("host"), path.alias("path"))
-    costs = unigram_costs(urls)
-    urls_by, tokens_by = class_counts(urls, costs)
-    prior = float(np.log((urls_by[1] + 0.5) / (urls_by[0] + 1.0)))
-    seen = max(1, int((tokens_by.sum(0) > 0).sum()))
-    weight = np.log((tokens_by + SMOOTH) / (tokens_by.sum(1, keepdims=True) + SMOOTH * seen))
-    weight = (weight[1] - weight[0]) if urls_by.min() > 0 else np.zeros(BUCKETS)
+    texts = pick(pages, html_col).toDF("html") if html_col else None
+    costs = unigram_costs(urls, texts)
+    weight = final_weights(class_counts(urls, costs, first_weights()))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         segmenter = Segmenter(costs)
         for hosts, paths in batches:
-            logit = [prior + sum(weight[bucket(t)] for t in segmenter.tokens(h, p)) for h, p in zip(hosts, paths)]
+            logit = [LIKELY + weight[[bucket(t) for t in segmenter.tokens(h, p)]].sum() for h, p in zip(hosts, paths)]
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(logit, float), -30, 30))))
 
     rows = urls.select("id_", "host", "path", rule_for(F.col("host"), F.col("path"), rules).alias("r"), score("host", "path").alias("block_score"))

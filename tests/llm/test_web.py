@@ -54,6 +54,16 @@ def test_names_are_segmented_and_scored(spark):
     assert url_filter.judge(pages_of(spark, [("http://a.example/b", "")]).limit(0)).collect() == []
 
 
+def test_company_decides_not_a_word(spark):
+    """Names without signs are split; a doubtful word among ordinary ones doesn't block."""
+    hosts = {"freegardenguide": "allow", "freelibrary": "allow", "trackandfieldclub": "allow", "familyfarm": "allow", "adultlearningschool": "allow",
+             "freecasinobonus": "block", "cheappillsonline": "block", "cashloans": "block", "adstracker": "block", "citylibrary": "allow"}
+    rows = url_filter.judge(pages_of(spark, [(f"http://{n}.example.com/x", "<p>words of a text</p>") for n in hosts])).collect()
+    assert {r["host"].split(".")[0]: r["verdict"] for r in rows} == hosts
+    segmenter = url_filter.Segmenter(url_filter.unigram_costs(spark.createDataFrame([], "host string, path string"), None))
+    assert segmenter.split("freegardenguide") == ("free", "garden", "guide") and segmenter.split("adstracker") == ("ads", "tracker")
+
+
 def test_viterbi_split():
     import numpy as np
 
