@@ -9,9 +9,11 @@ low entropy, so low importance:
     content      = 1 - mean over the node's texts of log_m(pages that have the text)
 
 Nodes on at least ``MIN_PAGES`` pages whose importance is below ``THRESHOLD`` are noise; a page loses
-their branches. Elements that are never the article (scripts, menus, forms, ...) go by name, role or a
-whole word of class or id on every page, also on hosts with one page; class and id never mark html, body,
-main, article or what holds the page's article. Inside an article the tree removes containers only,
+their branches. All elements but scripts and the like are in the tree, whatever they are called, so it finds the
+menus and footers of a host by itself (``by_name=False`` leaves it at that). Elements that are never the article (scripts, menus, forms, ...) also go by name, role or a
+whole word of class or id on every page, on hosts with one page too, as do compounds with a part of ``_PARTS``
+(comments-area, cookie-bar); class and id never mark html, body,
+main, article or what holds the page's article. What goes by name needn't be brought to the pages. Inside an article the tree removes containers only,
 not paragraphs: copies of an article on a host don't make its text noise.
 
 Counts are partial aggregates by host, path and text, so a host with a third of all pages is spread
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from granary.llm.common import checkpointed, pick
 from granary.llm.url_filter import host_and_path
 
-MIN_PAGES = 5
+MIN_PAGES = 3
 THRESHOLD = 0.25
 
 _TOKEN = re.compile(
@@ -59,6 +61,9 @@ _NOISE = frozenset(
     "banner cookie cookies cookie-notice cookie-banner cookie-consent consent gdpr newsletter subscribe popup modal comments "
     "respond replies disqus share sharing social related recommended breadcrumb breadcrumbs pagination pager login signup "
     "toolbar".split())
+# parts of compound words that say reader comments, notices or adverts
+_PARTS = frozenset("comment comments cookie cookies consent gdpr ad ads advert adverts advertisement adsbygoogle sponsor sponsored newsletter disqus".split())
+_STATES = frozenset("no not has with without hide is can enable".split())  # such a compound tells of a state or a layout
 _PAGE = frozenset("html body main article".split())  # never noise by class or id, nor is what holds an article
 _CONTENT = frozenset("content main article post entry story".split())  # nor are elements that say so
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
@@ -75,8 +80,14 @@ class Node:
         self.children: list = []  # nodes and strings
 
 
-def parse(html: str) -> Node:
-    """A tolerant tree: unclosed paragraphs, list items and cells close themselves."""
+def _compound(word: str) -> bool:
+    parts = re.split("[-_]+", word)
+    return not _PARTS.isdisjoint(parts) and _STATES.isdisjoint(parts) and _CONTENT.isdisjoint(parts)
+
+
+def parse(html: str, by_name: bool = True) -> Node:
+    """A tolerant tree: unclosed paragraphs, list items and cells close themselves. Without ``by_name``
+    only elements that hold no text of the page are noise."""
     root = Node("#", 0, False)
     stack = [root]
     places: dict[str, list[int]] = defaultdict(list)  # where in the stack elements of a name are
@@ -135,7 +146,9 @@ def parse(html: str) -> Node:
         called = False
         if look and not hidden and name not in _PAGE:
             words = set(look.lower().split())
-            called = not words.isdisjoint(_NOISE) and words.isdisjoint(_CONTENT)
+            called = words.isdisjoint(_CONTENT) and (not words.isdisjoint(_NOISE) or any(map(_compound, words)))
+        if not by_name:
+            hidden, called = name in _RAW or name == "head", False
         node = Node(name, path, hidden or called)
         top.children.append(node)
         if name in _MAIN and not hidden and not last(_MAIN):
@@ -160,31 +173,33 @@ def _own_text(node: Node) -> str:
 
 
 def observations(html: str | None) -> list[tuple[int, int, int]]:
-    """(path, kind, feature) of a page, each once. Kind 0: the node stands here; 1: a text of its own;
-    2: a sequence of children."""
+    """(path, kind, feature) of a page, each once. Kind 0: the node stands here (feature 1: and doesn't go by
+    name, nor with an element around it); 1: a text of its own; 2: a sequence of children."""
     out: set[tuple[int, int, int]] = set()
-    todo = [parse(html)] if html else []
+    todo = [(parse(html), False)] if html else []
     digest = xxhash.xxh3_64_intdigest
     while todo:
-        node = todo.pop()
+        node, named = todo.pop()
+        named |= node.noise
         kids = [c for c in node.children if not isinstance(c, str)]
-        if not node.noise and node.name != "#":
-            out.add((node.path, 0, 0))
+        if node.name in _RAW or node.name == "head":
+            continue
+        if node.name != "#":
+            out.add((node.path, 0, int(not named)))
             text = _own_text(node)
             if text:
                 out.add((node.path, 1, digest(text.encode("utf-8", "surrogatepass"))))
             if kids:
                 out.add((node.path, 2, digest(" ".join(k.name for k in kids).encode())))
-        if not node.noise:
-            todo += kids
+        todo += [(k, named) for k in kids]
     return [tuple(x - (1 << 64) if x >= 1 << 63 else x for x in row) for row in out]
 
 
-def main_text(html: str | None, low: frozenset | set = frozenset()) -> str:
+def main_text(html: str | None, low: frozenset | set = frozenset(), by_name: bool = True) -> str:
     """The text of the article, or of the page if it has none, without noise and ``low`` paths."""
     if not html:
         return ""
-    root = parse(html)
+    root = parse(html, by_name)
     mains: list[Node] = []
     todo = [root]
     while todo:
@@ -236,8 +251,9 @@ def _blocks(top: Node, low, inside: bool) -> list[str]:
     return blocks
 
 
-def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, threshold: float = THRESHOLD) -> DataFrame:
-    """(host, low): for each host with such nodes, the paths of low importance. ``pages`` has host, html and,
+def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, threshold: float = THRESHOLD, unnamed: bool = False) -> DataFrame:
+    """(host, low): for each host with such nodes, the paths of low importance; with ``unnamed`` only those that
+    don't go by name on every page. ``pages`` has host, html and,
     if copies count as one page, ``copies``: how many rows are copies of this one, itself included."""
 
     @F.pandas_udf("array<struct<path:long,kind:long,feature:long>>")
@@ -253,9 +269,9 @@ def noise_paths(pages: DataFrame, min_pages: int = MIN_PAGES, threshold: float =
     counts = seen.groupBy("host", "path", "kind", "feature").agg(n.alias("k"))
     of = lambda kind, value: F.when(F.col("kind") == kind, value)
     nodes = counts.groupBy("host", "path").agg(
-        F.sum(of(0, F.col("k"))).alias("m"), F.avg(of(1, F.log("k"))).alias("shared"),
+        F.sum(of(0, F.col("k"))).alias("m"), F.max(of(0, F.col("feature"))).alias("open"), F.avg(of(1, F.log("k"))).alias("shared"),
         F.sum(of(2, F.col("k") * F.log("k"))).alias("styles"), F.sum(of(2, F.col("k"))).alias("styled"))
-    nodes = nodes.filter(F.col("m") >= min_pages)
+    nodes = nodes.filter((F.col("m") >= min_pages) & (F.col("open") >= int(unnamed)))
     log_m = F.log("m")
     content = 1 - F.col("shared") / log_m
     presentation = (F.log("styled") - F.col("styles") / F.col("styled")) / log_m
@@ -275,16 +291,16 @@ def with_copies(pages: DataFrame) -> DataFrame:
     return rows.join(repeated, ["host", "h1", "h2"], "left").select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", by_name: bool = True) -> DataFrame:
     """Per row: id, url, text."""
     rows = pick(pages, id_col, url_col, html_col).toDF("id_", "url_", "html")
     rows = rows.withColumn("host", host_and_path(F.col("url_"))[0])
-    low = checkpointed(noise_paths(with_copies(rows.select("host", "html"))))
+    low = checkpointed(noise_paths(with_copies(rows.select("host", "html")), unnamed=by_name))
 
     @F.pandas_udf("string")
     def text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for html, paths in batches:
-            yield pd.Series([main_text(h, set() if p is None else set(p.tolist())) for h, p in zip(html, paths)], dtype=object)
+            yield pd.Series([main_text(h, set() if p is None else set(p.tolist()), by_name) for h, p in zip(html, paths)], dtype=object)
 
     # without any noise path there's nothing to bring to the pages, so they stay where they are
     rows = rows.withColumn("low", F.lit(None).cast("array<long>")) if low.isEmpty() else rows.join(low, "host", "left")

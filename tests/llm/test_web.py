@@ -128,6 +128,25 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert got[12] == "Only here x" and got[13] == "No url" and got[14] == ""
 
 
+def test_the_tree_alone_finds_menus_and_footers(spark):
+    page = ("<body><header><b>The Site</b></header><nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav><div class='body'><h2>Title {0}</h2>"
+            "<p>Story {0} of {1}</p></div><footer>Imprint<p>All rights reserved</p></footer></body>")
+    rows = [(f"http://one.example/{i}", page.format(i, i * i)) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in style_tree.extract(pages_of(spark, rows), by_name=False).collect()}
+    assert got == {i: f"Title {i} Story {i} of {i * i}" for i in range(8)}
+    hosts = style_tree.noise_paths(pages_of(spark, [(None, h) for _, h in rows]).select("host", "html")).collect()
+    assert len(hosts) == 1 and len(hosts[0]["low"]) >= 4
+
+
+def test_compound_names_of_comments_and_notices():
+    page = "<div class='{}'>out</div><article class='post has-comments'><p>in</p><section class='{}'><p>me too</p></section></article>"
+    for name in ("comments-area", "comment-list", "cookie-bar", "adsbygoogle", "user-comments", "sponsored_links"):
+        assert main_text(page.format("x", name)) == "in", name
+        assert main_text(f"<div class='{name}'>out</div><p>in</p>") == "in", name
+    for name in ("no-comments", "has-ads", "post-comments-off", "entry-header"):
+        assert main_text(f"<div class='{name}'><p>in</p></div>") == "in", name
+
+
 def test_copies_of_an_article_stay(spark):
     rows = [("http://one.example/a", ARTICLE)] * 20
     got = style_tree.extract(pages_of(spark, rows)).collect()
