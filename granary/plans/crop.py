@@ -43,9 +43,11 @@ def _dec(c: Column, p: int = 12, s: int = 2) -> Column:
     return c.cast(f"decimal({p},{s})").cast("string")
 
 
-def crop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem joined to its part, supplier, nation and region."""
-    li = spread(load(spark, sf_dir, "lineitem"))
+def crop_lines(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """lineitem joined to its part, supplier, nation and region; ``dealt`` to all cores if the scan has too few
+    splits for them."""
+    li = load(spark, sf_dir, "lineitem")
+    li = spread(li) if dealt else li
     part = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -107,7 +109,7 @@ def crop_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_rows(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     """What the pages hold, a row for each record; with ``faults`` some pages' records have a late field."""
-    f = crop_fields(crop_lines(spark, sf_dir), extra=["l_extendedprice"])
+    f = crop_fields(crop_lines(spark, sf_dir, dealt=True), extra=["l_extendedprice"])
     record = bronze.columns_to_record(RECORD_KEYS)
     if faults:
         wide = F.map_concat(record, F.create_map(F.lit(LATE), F.concat(F.lit("late "), F.col("l_linenumber"))))
@@ -187,14 +189,14 @@ def crop_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest(crop_pages(spark, sf_dir))
 
 
-def crop_silver(spark: SparkSession, sf_dir: str, by_map: bool = False) -> DataFrame:
+def crop_silver(spark: SparkSession, sf_dir: str, by_map: bool = False, dealt: bool = False) -> DataFrame:
     """Silver rows, straight from the table rows. By default by an ordered
     select, as their fields are known; ``by_map=True`` goes through record maps
     of any fields (the same result)."""
     if by_map:
         recs = crop_records(spark, sf_dir)
         return silver.silver_map(recs.withColumn("source_record_hash", record_hash(F.col("record"))))
-    f = crop_fields(crop_lines(spark, sf_dir))
+    f = crop_fields(crop_lines(spark, sf_dir, dealt))
     f = f.withColumn("source_record_hash", struct_hash(*RECORD_KEYS))
     return silver.silver_select(f, RECORD_KEYS)
 

@@ -80,7 +80,7 @@ DQ_ALL_SQL = "\nUNION ALL\n".join([DQ_NULL_SQL, DQ_NEG_SQL, DQ_YEAR_SQL, DQ_NAME
 
 def _dq(rules):
     def build(spark, sf_dir):
-        return quality.issues(crop_silver(spark, sf_dir), rules)
+        return quality.issues(crop_silver(spark, sf_dir, dealt=True), rules)
 
     return build
 
@@ -99,7 +99,7 @@ query("dq_all", SILVER_CTE + DQ_ALL_SQL)(_dq(None))
 )
 def q_issue_summary(spark, sf_dir):
     return (
-        quality.issues(crop_silver(spark, sf_dir))
+        quality.issues(crop_silver(spark, sf_dir, dealt=True))
         .groupBy("issue_type", "severity")
         .agg(F.count(F.lit(1)).alias("issue_count"))
         .orderBy(F.desc("issue_count"), "issue_type", "severity")
