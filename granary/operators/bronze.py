@@ -3,7 +3,7 @@ schema (field catalogue, new-field detection, evolution)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions.hashing import record_hash
@@ -197,3 +197,14 @@ def promote_record(records: DataFrame, fields: list[str], record_col: str = "rec
 def schema_evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     """Widen by new text columns; old rows get NULL in them (no drop/retype)."""
     return old.unionByName(new, allowMissingColumns=True)
+
+
+def append_evolved(batch: DataFrame, path: str) -> None:
+    """Add a batch with whatever columns it has; files from before stay as they are."""
+    batch.write.mode("append").parquet(path)
+
+
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    """All batches as one table: the columns of all files (their footers are merged when the plan is built),
+    NULL where a file lacks one. A column keeps one type for good; bronze columns are text."""
+    return spark.read.option("mergeSchema", "true").parquet(path)

@@ -12,6 +12,7 @@ from granary.operators import bronze, schema_ops
 from granary.plans import crop, pages
 from granary.plans.registry import query
 from granary.plans.tables import load
+from granary.session import scratch_path
 
 KNOWN_FIELDS = ["k", "click"]
 DATASET = "events-res"
@@ -72,15 +73,17 @@ UNION ALL
 SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment FROM customer WHERE c_acctbal < 0""",
 )
 def schema_evolve(spark, sf_dir):
-    """A later page brings a field the table has not seen; earlier rows get NULL."""
+    """Three batches on disk, the later two with a field that the first doesn't have; its rows get NULL there
+    when all files are read as one table."""
     c = load(spark, sf_dir, "customer")
-    first = c.where(F.col("c_acctbal") >= 0).select(
-        bronze.columns_to_record(["c_custkey", "c_name", "c_nationkey"]).alias("record"))
-    later = c.where(F.col("c_acctbal") < 0).select(
-        bronze.columns_to_record(["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]).alias("record"))
-    old = bronze.promote_record(first, ["c_custkey", "c_name", "c_nationkey"])
-    new = bronze.promote_record(later, ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    return bronze.schema_evolve(old, new)
+    path = scratch_path(spark, "evolving")
+    fields = ["c_custkey", "c_name", "c_nationkey"]
+    early, late = c.where(F.col("c_acctbal") >= 0), c.where(F.col("c_acctbal") < 0)
+    even = F.col("c_custkey") % 2 == 0
+    for rows, names in ((early, fields), (late.where(even), [*fields, "c_mktsegment"]), (late.where(~even), [*fields, "c_mktsegment"])):
+        record = rows.select(bronze.columns_to_record(names).alias("record"))
+        bronze.append_evolved(bronze.promote_record(record, names), path)
+    return bronze.read_evolved(spark, path)
 
 
 @query(

@@ -126,3 +126,11 @@ def test_stream_dedup_time_is_flat(spark):
     got = streams.read_batches(spark, target)
     assert got.count() == got.distinct().count() == 4000
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_evolved_files_read_as_one_table(spark):
+    path = scratch_path(spark, "evolved")
+    for rows, ddl in (([("1", "x")], "a string, b string"), ([("2", "y", "z")], "a string, b string, c string"), ([("3", "w")], "a string, d string")):
+        bronze.append_evolved(spark.createDataFrame(rows, ddl), path)
+    got = {r["a"]: (r["b"], r["c"], r["d"]) for r in bronze.read_evolved(spark, path).collect()}
+    assert got == {"1": ("x", None, None), "2": ("y", "z", None), "3": (None, None, "w")}
