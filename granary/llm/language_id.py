@@ -85,16 +85,18 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
 
 def _mixture(like: np.ndarray, n: np.ndarray, starts: np.ndarray, owner: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """EM for many documents at once: (proportions, log likelihoods) within the ``allowed`` languages."""
-    share = allowed / allowed.sum(1, keepdims=True)
+    share = allowed / allowed.sum(1, keepdims=True)  # a new array, changed below
     total = np.add.reduceat(n, starts)[:, None]
-    fitted, part = None, like * share[owner]
-    while True:
+    part, fitted, active = like * share[owner], np.full(len(starts), -np.inf), np.ones(len(starts), bool)
+    while active.any():  # each document for as long as it gains itself, whatever it is batched with
         part *= (n / np.maximum(part.sum(1), 1e-30))[:, None]
-        share = np.add.reduceat(part, starts, axis=0) / total
+        share[active] = (np.add.reduceat(part, starts, axis=0) / total)[active]
         part = like * share[owner]
-        before, fitted = fitted, np.add.reduceat(n * np.log(np.maximum(part.sum(1), 1e-30)), starts)
-        if before is not None and (fitted - before <= GAIN + FLAT * np.abs(fitted)).all():
-            return share, fitted
+        now = np.add.reduceat(n * np.log(np.maximum(part.sum(1), 1e-30)), starts)
+        gain = now - fitted
+        fitted[active] = now[active]
+        active &= gain > GAIN + FLAT * np.abs(now)
+    return share, fitted
 
 
 def predict(texts: list[str | None], names: list[str], logp: np.ndarray, penalty: float = PENALTY) -> tuple[list[str], list[float]]:
