@@ -51,22 +51,6 @@ def test_components_by_rounds_over_the_cluster(spark):
         assert got == {("b", "b"), ("c", "b"), ("d", "b"), ("e", "e"), ("f", "e")}
 
 
-def test_long_shapes_take_few_checkpoints(spark, monkeypatch):
-    n = 250
-    ladder = [(f"a{i:04}", f"a{i + 1:04}") for i in range(n)] + [(f"b{i:04}", f"b{i + 1:04}") for i in range(n)] + [(f"a{i:04}", f"b{i:04}") for i in range(n)]
-    rings = [(f"k{r:04}-{i}", f"k{r:04}-{(i + 1) % 3}") for r in range(n) for i in range(3)]
-    long_ring = [(f"z{i:04}", f"z{(i + 1) % n:04}") for i in range(n)]
-    chord = [(f"y{i:04}", f"y{(i + 1) % n:04}") for i in range(n)] + [("y0125", "y0000")]
-    made = []
-    keep = graph._checkpoint
-    monkeypatch.setattr(graph, "_checkpoint", lambda df: (made.append(1), keep(df))[1])
-    got = [r["cycle"] for r in graph.simple_cycles(edges_of(spark, ladder + rings + long_ring + chord)).collect()]
-    assert len(made) < 60
-    lengths = sorted(map(len, got))
-    assert lengths == [3] * n + [126, n, n]
-    assert all(c[0] == min(c) for c in got) and [f"k0007-{i}" for i in range(3)] in got
-
-
 def test_no_cycles(spark):
     assert graph.simple_cycles(edges_of(spark, [("a", "b"), ("b", "c")])).collect() == []
     assert graph.simple_cycles(edges_of(spark, [])).collect() == []
