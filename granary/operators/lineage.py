@@ -173,14 +173,93 @@ def _deletion_keys(name: Column, depth: int = 1) -> Column:
     return keys
 
 
+#: from this distance on candidates come by segments, as deletion keys grow as length^distance
+SEGMENTS_FROM = 2
+#: a segment that more reference names share is left to the deletion keys of the names that hold it
+HOT_SEGMENT = 256
+
+
+def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
+    """(start from 0, width) of the ``i``-th of ``parts`` even segments of a text of ``length``."""
+    start, end = (F.floor(length * k / F.lit(parts)).cast("int") for k in (i, i + 1))
+    return start, end - start
+
+
+def _segment_key(length: Column, i: int, text: Column) -> Column:
+    return F.struct(length.alias("length"), F.lit(i).alias("i"), text.alias("text"))
+
+
+def _key_at(name: Column, length: Column, i: int, width: Column):
+    return lambda at: _segment_key(length, i, F.substring(name, at + 1, width))
+
+
+def _segment_keys(name: Column, depth: int) -> Column:
+    """(length, place, segment) of the ``depth`` + 1 even segments of a name."""
+    n = F.length(name)
+    keys = []
+    for i in range(depth + 1):
+        start, width = _segment(n, i, depth + 1)
+        keys.append(_segment_key(n, i, F.substring(name, start + 1, width)))
+    return F.array(*keys)
+
+
+def _probe_keys(name: Column, depth: int) -> Column:
+    """The segment keys that a name within ``depth`` of this one can share with it.
+
+    Of ``depth`` + 1 segments one stays whole such that at most i edits lie left
+    of the i-th (from 0) and at most ``depth`` - i right of it, which bounds
+    where it can start here: (depth^2 - shift^2) / 2 + depth + 1 places for each
+    difference in length, whatever the name's length.
+    """
+    n = F.length(name)
+    keys = []
+    for shift in range(-depth, depth + 1):
+        length = n - shift
+        for i in range(depth + 1):
+            start, width = _segment(length, i, depth + 1)
+            low = F.greatest(F.lit(0), start - i, start + shift - (depth - i))
+            high = F.least(n - width, start + i, start + shift + (depth - i))
+            found = F.transform(F.sequence(low, high), _key_at(name, length, i, width))
+            keys.append(F.when((length >= 0) & (low <= high), found).otherwise(F.slice(found, 1, 0)))
+    return F.array_distinct(F.concat(*keys))
+
+
+def _pairs(names: DataFrame, ref: DataFrame, depth: int) -> DataFrame:
+    """(district, ref_name) pairs that share a deletion key."""
+    nk = names.select("district", F.explode(_deletion_keys(F.col("district"), depth)).alias("k"))
+    rk = ref.select("ref_name", F.explode(_deletion_keys(F.col("ref_name"), depth)).alias("k"))
+    return nk.join(rk, "k").select("district", "ref_name")
+
+
+def candidates(names: DataFrame, ref: DataFrame, depth: int, segments_from: int = SEGMENTS_FROM,
+               hot: int = HOT_SEGMENT) -> DataFrame:
+    """Distinct (district, ref_name) pairs among which are all within Levenshtein distance ``depth``.
+
+    Below ``segments_from`` by deletion keys. From there by segments: a
+    reference name has ``depth`` + 1 keys, a name some tens. A segment that more
+    than ``hot`` reference names share (a common prefix, say) would pair them all
+    with each other, so names that hold one are matched by deletion keys, whose
+    groups are bounded; a pair that shares hot segments only has one on both sides.
+    """
+    if depth < segments_from:
+        return _pairs(names, ref, depth).distinct()
+    nk = names.select("district", F.explode(_probe_keys(F.col("district"), depth)).alias("k"))
+    rk = ref.select("ref_name", F.explode(_segment_keys(F.col("ref_name"), depth)).alias("k"))
+    often = rk.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("k")
+    common = nk.join(often, "k", "left_anti").join(rk.join(often, "k", "left_anti"), "k").select("district", "ref_name")
+    hot_names = nk.join(often, "k", "left_semi").select("district").distinct()
+    hot_refs = rk.join(often, "k", "left_semi").select("ref_name").distinct()
+    return common.unionByName(_pairs(hot_names, hot_refs, depth)).distinct()
+
+
 def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distance: int = 1,
                        materialize: bool = True) -> DataFrame:
     """Check every edge's target district against a reference directory.
 
     Exact name -> match, score 1.0. Otherwise the closest directory name with
-    Levenshtein distance <= ``max_distance`` (candidates come from an
-    equi-join on deletion keys, which finds every such pair and never pairs
-    all names of a block); score = 1 - d / longer length.
+    Levenshtein distance <= ``max_distance`` (:func:`candidates` finds every
+    such pair by equi-joins and never pairs all names of a block);
+    score = 1 - d / longer length.
     No directory -> no match, score 0.0.
     """
     if max_distance < 1:
@@ -206,9 +285,7 @@ def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distan
     # equi-join and send only the rest through the fuzzy path
     exact = names.join(ref, names.district == ref.ref_name, "left_semi")
     rest = names.join(ref, names.district == ref.ref_name, "left_anti")
-    nk = rest.select("district", F.explode(_deletion_keys(F.col("district"), max_distance)).alias("k"))
-    rk = ref.select("ref_name", F.explode(_deletion_keys(F.col("ref_name"), max_distance)).alias("k"))
-    cand = nk.join(rk, "k").select("district", "ref_name").distinct()
+    cand = candidates(rest, ref, max_distance)
     cand = cand.withColumn("d", F.levenshtein("district", "ref_name")).where(F.col("d") <= max_distance)
     fuzzy = cand.groupBy("district").agg(F.min_by(F.struct("d", "ref_name"), F.struct("d", "ref_name")).alias("b"))
     best = exact.select("district", F.struct(F.lit(0).alias("d"), F.col("district").alias("ref_name")).alias("b")) \

@@ -3,8 +3,11 @@ alias map, and a checksum manifest of downloaded files."""
 
 from __future__ import annotations
 
+import hashlib
 import re
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,9 @@ from granary.operators import lineage
 from granary.schemas import PAGE
 from granary.session import scratch_path
 
+# the function that streams a file travels to executors by value, so they need no package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LANDED_PAGE = T.StructType(
     [f for f in PAGE.fields] + [T.StructField("attempt", T.IntegerType())]
 )
@@ -29,22 +35,57 @@ def read_landed_pages(spark: SparkSession, path: str, schema: T.StructType = LAN
             .withColumn("file_path", F.col("_metadata.file_path")))
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str | None = None, listing: DataFrame | None = None) -> DataFrame:
+#: files up to so many bytes are read as one value; larger ones are streamed
+WHOLE_FILE = 256 << 20
+_BLOCK = 1 << 20
+
+
+def _open(path: str):
+    """The bytes of a file by its Hadoop path: from a shared mount, else by Arrow's file systems (HDFS, object stores)."""
+    scheme, found, rest = path.partition(":")
+    if not found or scheme == "file":
+        return open("/" + (rest if found else path).lstrip("/"), "rb")
+    from pyarrow import fs
+
+    host, _, key = rest.removeprefix("//").partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return system.open_input_stream(base.rstrip("/") + "/" + key)
+
+
+def _streamed_checksums(batches):
+    """SHA-256 of each file of ``path``, block by block."""
+    for batch in batches:
+        sums = []
+        for path in batch["path"]:
+            digest = hashlib.sha256()
+            with _open(path) as f:
+                while block := f.read(_BLOCK):
+                    digest.update(block)
+            sums.append(digest.hexdigest())
+        yield batch.assign(checksum=sums)
+
+
+def file_manifest(spark: SparkSession, path: str, glob: str | None = None, listing: DataFrame | None = None,
+                  whole: int = WHOLE_FILE) -> DataFrame:
     """One row per file under ``path``: filename (relative to it), checksum
     (SHA-256), size, modification time; from ``listing`` (filename, source_url,
     download_date) the URL the file came from and when it was fetched.
 
-    Files are read by executors as whole binary values, so a single file must
-    fit a JVM array (2 GB); there is no limit on their number.
+    Executors read files of up to ``whole`` bytes as one value, in the JVM. Of larger ones only the
+    listing comes by the scan; their bytes stream through a task in blocks of 1 MB, whatever the file's size.
+    Spark's file listing leaves out files of zero bytes, so they have no row.
     """
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.option("recursiveFileLookup", "true").load(path)
-    out = df.select(
+    small = df.where(F.col("length") <= whole).select("path", "length", "modificationTime", F.sha2("content", 256).alias("checksum"))
+    large = df.where(F.col("length") > whole).select("path", "length", "modificationTime")
+    schema = "path string, length long, modificationTime timestamp, checksum string"
+    out = small.unionByName(large.mapInPandas(_streamed_checksums, schema)).select(
         _relative(F.col("path"), _qualified(spark, path)).alias("filename"),
         F.col("path").alias("source_path"),
-        F.sha2("content", 256).alias("checksum"),
+        "checksum",
         F.col("length").alias("file_size"),
         F.col("modificationTime").cast("string").alias("last_modified"),
     )

@@ -88,7 +88,7 @@ def _lev(a, b):
     return prev[-1]
 
 
-@pytest.mark.parametrize("dist", [1, 2])
+@pytest.mark.parametrize("dist", [1, 2, 3])
 def test_reference_validate_matches_brute_force(spark, dist):
     rnd = random.Random(11)
     alphabet = "abc"
@@ -111,6 +111,34 @@ def test_reference_validate_matches_brute_force(spark, dist):
     assert none == {lineage.NO_DIRECTORY_NOTE}
 
 
+@pytest.mark.parametrize("dist,hot", [(1, 256), (2, 256), (3, 256), (3, 2), (4, 256), (2, 0)])
+def test_segment_candidates_match_brute_force(spark, dist, hot):
+    """Every pair within the distance is found by segments, whichever of them count as hot."""
+    rnd = random.Random(dist * 1000 + hot)
+    ref = {"", "a", "shared prefix 1", "shared prefix 2", "shared prefix 33"}
+    ref |= {"".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9))) for _ in range(60)}
+    names = {"", "bb", "shared prefix 34", "sharedprefix 2", "hared prefix 14"}
+    for n in sorted(ref):
+        t = list(n)
+        for _ in range(rnd.randint(0, dist)):
+            at = rnd.randint(0, len(t))
+            t[at:at + rnd.randint(0, 1)] = rnd.choice(["", "a", "b", "é"])
+        names.add("".join(t))
+    names = sorted(names)
+    left = spark.createDataFrame([(n,) for n in names], "district string")
+    right = spark.createDataFrame([(n,) for n in sorted(ref)], "ref_name string")
+    rows = [tuple(r) for r in lineage.candidates(left, right, dist, segments_from=1, hot=hot).collect()]
+    assert len(rows) == len(set(rows))
+    assert {(a, b) for a in names for b in ref if _lev(a, b) <= dist} <= set(rows)
+
+
+def test_few_segment_keys_a_name(spark):
+    name = spark.createDataFrame([("a district name of common length",)], "n string")
+    probe, own, deleted = name.select(F.size(lineage._probe_keys(F.col("n"), 3)), F.size(lineage._segment_keys(F.col("n"), 3)),
+                                      F.size(lineage._deletion_keys(F.col("n"), 3))).first()
+    assert own == 4 and probe <= 44 and deleted > 4000
+
+
 def test_tidy_narrow_equals_pivot(spark):
     rows = [(1, "S", "D", "2000", 1.0, None, 3.0, 4.0, None, 9.0),
             (2, "S", "E", "2001", None, None, None, None, None, None),
