@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.session import shared_dir
+from granary.session import scratch_path
 
 CIRCULAR = "CIRCULAR_LINEAGE"
 MISSING_YEAR = "MISSING_YEAR"
@@ -41,14 +43,24 @@ def graph_edges(edges: DataFrame, seq: list[str]) -> DataFrame:
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into spark.checkpoint.dir: cuts the lineage of an
-    iteration, so no round works out the one before again."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows written to the shared folder and read again: cuts the lineage of
+    an iteration, so no round works out the one before again.
+
+    A table and not ``checkpoint()``, which keeps the plan's estimated size: a
+    join's estimate is the product of its sides', so the digits of it would
+    double with each round of pointer doubling, until planning never ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "graph")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: up to so many edges (drawn together) one task labels the components; beyond it rounds over the cluster do
 SMALL_CORE = 1_000_000
+#: components with so many nodes on their edges or fewer are searched for circuits in one task each
+TASK_COMPONENT = 10_000
+#: circuits leave a task in batches of about so many nodes
+_BATCH_NODES = 100_000
 
 
 def _chains(e: DataFrame) -> DataFrame:
@@ -57,8 +69,9 @@ def _chains(e: DataFrame) -> DataFrame:
 
     An inner node has one edge in and one out. Each points at its predecessor
     while that is an inner node too; pointers double until they stand still,
-    so a path of n edges takes log2(n) rounds. On a ring they never do: after
-    log2 of the number of inner nodes, each has looked all around for the least.
+    so a path of n edges takes log2(n) rounds, and in each fewer nodes move than
+    before. On a ring they never do; once a round changes no least node there,
+    each has looked all around.
     """
     into = e.groupBy("tgt").agg(F.count(F.lit(1)).alias("n_in"), F.min("src").alias("pred"))
     out = e.groupBy("src").agg(F.count(F.lit(1)).alias("n_out"))
@@ -67,12 +80,16 @@ def _chains(e: DataFrame) -> DataFrame:
     first = inner.join(names, "pred", "left").select(
         "node", F.when(F.col("inner"), F.col("pred")).otherwise(F.col("node")).alias("up"), F.col("node").alias("least"))
     up = _checkpoint(first.withColumn("moved", F.lit(True)))
+    before = -1
     for _ in range(max(1, up.count()).bit_length() + 1):
         step = up.select(F.col("node").alias("up"), F.col("up").alias("over"), F.col("least").alias("other"))
         up = _checkpoint(up.join(step, "up").select(
-            "node", F.col("over").alias("up"), F.least("least", "other").alias("least"), (F.col("over") != F.col("up")).alias("moved")))
-        if up.where("moved").isEmpty():
+            "node", F.col("over").alias("up"), F.least("least", "other").alias("least"), (F.col("over") != F.col("up")).alias("moved"),
+            (F.col("other") < F.col("least")).alias("less")))
+        moved, less = up.where("moved").agg(F.count(F.lit(1)), F.count_if("less")).first()
+        if not moved or (moved == before and not less):
             break
+        before = moved
     # the edge out of an inner node, and the edge into a path's first node, belong to the path
     chain, ring = F.when(~F.col("moved"), F.col("up")), F.when(F.col("moved"), F.col("least"))
     by_src = up.select(F.col("node").alias("src"), chain.alias("chain_out"), ring.alias("ring"))
@@ -218,17 +235,85 @@ def _walk(edges: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chain": [name], "nodes": [nodes]})
 
 
-def simple_cycles(edges: DataFrame, max_length: int | None = None, small: int = SMALL_CORE) -> DataFrame:
+def _circuits(edges):
+    """Nodes of each circuit of one component's (src, tgt, step), from its least node on.
+
+    Depth-first from each root through greater nodes; a node that led to no
+    circuit stays blocked until one it waits for is free again, so between two
+    circuits each edge is looked at a bounded number of times."""
+    after: dict = {}
+    for src, tgt, step in edges:
+        after.setdefault(src, []).append((tgt, step))
+    for root in sorted(after):
+        blocked, waiting, path = {root}, {}, []
+        work = [[root, iter(after[root]), False]]
+        while work:
+            frame = work[-1]
+            for nxt, step in frame[1]:
+                if nxt == root:
+                    frame[2] = True
+                    yield [root, *(n for s in path for n in s), *step[:-1]]
+                elif nxt > root and nxt not in blocked:
+                    blocked.add(nxt)
+                    path.append(step)
+                    work.append([nxt, iter(after.get(nxt, ())), False])
+                    break
+            else:
+                work.pop()
+                if frame[2]:
+                    free = [frame[0]]
+                    while free:
+                        node = free.pop()
+                        if node in blocked:
+                            blocked.discard(node)
+                            free += waiting.pop(node, ())
+                else:
+                    for nxt, _ in after.get(frame[0], ()):
+                        waiting.setdefault(nxt, set()).add(frame[0])
+                if work:
+                    path.pop()
+                    work[-1][2] |= frame[2]
+
+
+def _component_circuits(max_length: int | None):
+    """Circuits of each component of the rows (component, src, tgt, step), which come sorted by component."""
+    def run(batches):
+        held: list = []
+        out: list = []
+        nodes = 0
+        rows = (r for b in batches for r in b.itertuples(index=False, name=None))
+        for row in itertools.chain(rows, [None]):
+            if held and (row is None or row[0] != held[0][0]):
+                for cycle in _circuits([(r[1], r[2], list(r[3])) for r in held]):
+                    out.append(cycle)
+                    nodes += len(cycle)
+                    if nodes > _BATCH_NODES:
+                        yield pd.DataFrame({"cycle": out})
+                        out, nodes = [], 0
+                    if max_length is not None and len(cycle) > max_length:
+                        break  # the caller fails on it
+                held = []
+            held.append(row)
+        yield pd.DataFrame({"cycle": out}, dtype="object")
+
+    return run
+
+
+def simple_cycles(edges: DataFrame, max_length: int | None = None, small: int = SMALL_CORE,
+                  per_task: int = TASK_COMPONENT) -> DataFrame:
     """Every elementary circuit (self-loops included), each reported once as
     an array of nodes starting at its smallest node.
 
     Only edges inside strongly connected components count. A component that is
     one ring is walked as it is (its circuit is a result row of its nodes). In
-    the others, unbranched paths are one edge, and paths grow by one such edge
-    per round from each node, only through nodes greater than that and not
-    yet on the path, closing where an edge leads back. The number of circuits
-    can be exponential in the core size; ``max_length`` bounds the length and the
-    call fails (never truncates) if a longer circuit or an open path remains.
+    the others, unbranched paths are one edge. Components of at most
+    ``per_task`` nodes on their edges are searched each in one task, many side by
+    side, so the number of rounds doesn't grow with their length. In larger ones
+    paths grow by one edge per round from each node, only through nodes greater
+    than that and not yet on the path, closing where an edge leads back. The
+    number of circuits can be exponential in the core size; ``max_length`` bounds
+    the length and the call fails (never truncates) if a longer circuit or an
+    open path remains.
     """
     core = cyclic_core(edges, small)
     loops = core.where(F.col("src") == F.col("tgt")).select(F.array("src").alias("cycle"))
@@ -242,10 +327,15 @@ def simple_cycles(edges: DataFrame, max_length: int | None = None, small: int =
     e = _checkpoint(g.join(walks, "chain", "left").select(
         "src", "tgt", F.coalesce(F.slice("nodes", 2, F.size("nodes") - 1), F.array("tgt")).alias("step")))
     self_closed = e.where(F.col("src") == F.col("tgt"))
-    e = e.where(F.col("src") != F.col("tgt"))
+    names = components(e.where(F.col("src") != F.col("tgt")), small)
+    e = _checkpoint(e.where(F.col("src") != F.col("tgt")).join(names.withColumnRenamed("node", "src"), "src"))
+    light = _checkpoint(e.groupBy("component").agg(F.sum(F.size("step")).alias("nodes")).where(F.col("nodes") <= per_task).select("component"))
+    searched = _checkpoint(e.join(light, "component").select("component", "src", "tgt", "step").repartition("component")
+                           .sortWithinPartitions("component").mapInPandas(_component_circuits(max_length), "cycle array<string>"))
+    e = e.join(light, "component", "left_anti").drop("component")
     paths = e.where(F.col("tgt") > F.col("src")).select(
         F.col("src").alias("root"), F.col("tgt").alias("last"), F.array("src", "tgt").alias("ends"), F.concat(F.array("src"), "step").alias("nodes"))
-    found = [rings.select(F.slice("nodes", 1, F.size("nodes") - 1).alias("cycle")), self_closed.select(F.col("step").alias("cycle"))]
+    found = [rings.select(F.slice("nodes", 1, F.size("nodes") - 1).alias("cycle")), self_closed.select(F.col("step").alias("cycle")), searched]
     closing = e.select(F.col("src").alias("last"), F.col("tgt").alias("root"), "step")
     steps = e.select(F.col("src").alias("last"), F.col("tgt").alias("next"), "step")
     paths = _checkpoint(paths)

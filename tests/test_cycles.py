@@ -39,8 +39,37 @@ def test_cycles_by_plain_search(spark):
         chain = [a, *[f"{part}c{i}" for i in rng.sample(range(9), 4)], b]
         pairs += list(zip(chain, chain[1:]))
     pairs += [("r3", "r1"), ("r1", "r2"), ("r2", "r3"), ("s", "s"), ("t", "u")]
-    got = sorted(tuple(r["cycle"]) for r in graph.simple_cycles(edges_of(spark, pairs)).collect())
-    assert got == plain_cycles(pairs)
+    for per_task in (graph.TASK_COMPONENT, 0):
+        got = sorted(tuple(r["cycle"]) for r in graph.simple_cycles(edges_of(spark, pairs), per_task=per_task).collect())
+        assert got == plain_cycles(pairs)
+
+
+def test_circuits_of_one_component():
+    """Random small graphs, parallel paths between the same two nodes included."""
+    for seed in range(200):
+        rng = random.Random(seed)
+        n = rng.randint(2, 6)
+        edges = {(str(a), str(b)) for a, b in ((rng.randrange(n), rng.randrange(n)) for _ in range(rng.randint(1, 14))) if a != b}
+        got = list(graph._circuits([(a, b, [b]) for a, b in edges]))
+        assert sorted(map(tuple, got)) == plain_cycles(edges)
+    got = sorted(map(tuple, graph._circuits([("a", "b", ["x", "b"]), ("a", "b", ["y", "b"]), ("b", "a", ["a"]), ("b", "a", ["z", "a"])])))
+    assert got == [("a", "x", "b"), ("a", "x", "b", "z"), ("a", "y", "b"), ("a", "y", "b", "z")]
+
+
+def test_long_shapes_take_few_rounds(spark, monkeypatch):
+    """A ladder of 1000 rungs without circuits, 1000 rings and a ladder of 60 rungs with 1830 circuits."""
+    pairs = [(f"u{i:04}", f"u{i + 1:04}") for i in range(999)] + [(f"v{i:04}", f"v{i + 1:04}") for i in range(999)]
+    pairs += [(f"u{i:04}", f"v{i:04}") for i in range(1000)]
+    pairs += [(f"r{k:04}{i}", f"r{k:04}{(i + 1) % 3}") for k in range(1000) for i in range(3)]
+    pairs += [(f"a{i:02}", f"a{i + 1:02}") for i in range(59)] + [(f"b{i + 1:02}", f"b{i:02}") for i in range(59)]
+    pairs += [(f"a{i:02}", f"b{i:02}") for i in range(60)] + [(f"b{i:02}", f"a{i:02}") for i in range(60)]
+    rounds = []
+    kept = graph._checkpoint
+    monkeypatch.setattr(graph, "_checkpoint", lambda df: rounds.append(1) or kept(df))
+    got = [tuple(r["cycle"]) for r in graph.simple_cycles(edges_of(spark, pairs)).collect()]
+    assert len(got) == len(set(got)) == 1000 + 60 + 60 * 59 // 2
+    assert sum(c[0].startswith("r") for c in got) == 1000 and max(map(len, got)) == 120
+    assert len(rounds) < 60
 
 
 def test_components_by_rounds_over_the_cluster(spark):
