@@ -315,20 +315,24 @@ def simple_cycles(edges: DataFrame, max_length: int | None = None, small: int =
     the length and the call fails (never truncates) if a longer circuit or an
     open path remains.
     """
-    core = cyclic_core(edges, small)
-    loops = core.where(F.col("src") == F.col("tgt")).select(F.array("src").alias("cycle"))
-    marked, g = _drawn(_checkpoint(core.where(F.col("src") != F.col("tgt"))))
+    every = _checkpoint(edges.select(F.col("source_district").alias("src"), F.col("target_district").alias("tgt")).distinct())
+    loops = every.where(F.col("src") == F.col("tgt")).select(F.array("src").alias("cycle"))
+    marked, g = _drawn(every.where(F.col("src") != F.col("tgt")))
     closed = g.where(F.col("src") == F.col("tgt")).select("chain", F.col("src").alias("head"))
-    named = marked.where(F.col("chain").isNotNull() | F.col("ring").isNotNull())
-    walks = _checkpoint(named.select("src", "tgt", F.coalesce("chain", "ring").alias("chain")).join(closed, "chain", "left")
-                        .groupBy("chain").applyInPandas(_walk, "chain string, nodes array<string>"))
+    between = g.where(F.col("src") != F.col("tgt"))
+    names = components(between, small)
+    inside = _checkpoint(between.join(names.withColumnRenamed("node", "src"), "src").join(
+        names.select(F.col("node").alias("tgt"), F.col("component").alias("other")), "tgt").where("component = other").drop("other"))
+    # only chains on a circuit are walked: each is part of a result row
+    stay = inside.where(F.col("chain").isNotNull()).select("chain").unionByName(closed.select("chain")).distinct()
+    named = marked.where(F.col("chain").isNotNull()).join(stay, "chain", "left_semi").select("src", "tgt", "chain").unionByName(
+        marked.where(F.col("ring").isNotNull()).select("src", "tgt", F.col("ring").alias("chain")))
+    walks = _checkpoint(named.join(closed, "chain", "left").groupBy("chain").applyInPandas(_walk, "chain string, nodes array<string>"))
     rings = walks.join(marked.where(F.col("ring").isNotNull()).select(F.col("ring").alias("chain")).distinct(), "chain", "left_semi")
+    self_closed = closed.join(walks, "chain").select(F.slice("nodes", 2, F.size("nodes") - 1).alias("step"))
     # an edge's step: the nodes after its source
-    e = _checkpoint(g.join(walks, "chain", "left").select(
-        "src", "tgt", F.coalesce(F.slice("nodes", 2, F.size("nodes") - 1), F.array("tgt")).alias("step")))
-    self_closed = e.where(F.col("src") == F.col("tgt"))
-    names = components(e.where(F.col("src") != F.col("tgt")), small)
-    e = _checkpoint(e.where(F.col("src") != F.col("tgt")).join(names.withColumnRenamed("node", "src"), "src"))
+    e = _checkpoint(inside.join(walks, "chain", "left").select(
+        "component", "src", "tgt", F.coalesce(F.slice("nodes", 2, F.size("nodes") - 1), F.array("tgt")).alias("step")))
     light = _checkpoint(e.groupBy("component").agg(F.sum(F.size("step")).alias("nodes")).where(F.col("nodes") <= per_task).select("component"))
     searched = _checkpoint(e.join(light, "component").select("component", "src", "tgt", "step").repartition("component")
                            .sortWithinPartitions("component").mapInPandas(_component_circuits(max_length), "cycle array<string>"))
