@@ -81,7 +81,8 @@ def _chains(e: DataFrame) -> DataFrame:
         "node", F.when(F.col("inner"), F.col("pred")).otherwise(F.col("node")).alias("up"), F.col("node").alias("least"))
     up = _checkpoint(first.withColumn("moved", F.lit(True)))
     before = -1
-    for _ in range(max(1, up.count()).bit_length() + 1):
+    n = up.count()
+    for _ in range(n.bit_length() + 1 if n else 0):
         step = up.select(F.col("node").alias("up"), F.col("up").alias("over"), F.col("least").alias("other"))
         up = _checkpoint(up.join(step, "up").select(
             "node", F.col("over").alias("up"), F.least("least", "other").alias("least"), (F.col("over") != F.col("up")).alias("moved"),
