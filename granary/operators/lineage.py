@@ -225,10 +225,13 @@ def _probe_keys(name: Column, depth: int) -> Column:
 
 
 def _pairs(names: DataFrame, ref: DataFrame, depth: int) -> DataFrame:
-    """(district, ref_name) pairs that share a deletion key."""
+    """(district, ref_name) pairs that share a deletion key (or, which costs a
+    comparison, its hash). The planner takes exploded keys for as small as the
+    names they come from, so both sides are shuffled by a hint."""
     nk = names.select("district", F.explode(_deletion_keys(F.col("district"), depth)).alias("k"))
-    rk = ref.select("ref_name", F.explode(_deletion_keys(F.col("ref_name"), depth)).alias("k"))
-    return nk.join(rk, "k").select("district", "ref_name")
+    rk = ref.where(F.col("ref_name").isNotNull()).select("ref_name", F.explode(_deletion_keys(F.col("ref_name"), depth)).alias("k"))
+    nk, rk = (df.withColumn("k", F.xxhash64("k")) for df in (nk, rk))
+    return nk.hint("merge").join(rk, "k").select("district", "ref_name")
 
 
 def candidates(names: DataFrame, ref: DataFrame, depth: int, segments_from: int = SEGMENTS_FROM,
@@ -246,7 +249,7 @@ def candidates(names: DataFrame, ref: DataFrame, depth: int, segments_from: int
     nk = names.select("district", F.explode(_probe_keys(F.col("district"), depth)).alias("k"))
     rk = ref.select("ref_name", F.explode(_segment_keys(F.col("ref_name"), depth)).alias("k"))
     often = rk.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("k")
-    common = nk.join(often, "k", "left_anti").join(rk.join(often, "k", "left_anti"), "k").select("district", "ref_name")
+    common = nk.join(often, "k", "left_anti").hint("merge").join(rk.join(often, "k", "left_anti"), "k").select("district", "ref_name")
     hot_names = nk.join(often, "k", "left_semi").select("district").distinct()
     hot_refs = rk.join(often, "k", "left_semi").select("ref_name").distinct()
     return common.unionByName(_pairs(hot_names, hot_refs, depth)).distinct()
@@ -259,7 +262,8 @@ def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distan
     Exact name -> match, score 1.0. Otherwise the closest directory name with
     Levenshtein distance <= ``max_distance`` (:func:`candidates` finds every
     such pair by equi-joins and never pairs all names of a block);
-    score = 1 - d / longer length.
+    score = 1 - d / longer length. No side is broadcast: names and directory
+    grow with the tables, by far more than compressed files tell the planner.
     No directory -> no match, score 0.0.
     """
     if max_distance < 1:
@@ -283,14 +287,15 @@ def reference_validate(edges: DataFrame, directory: DataFrame | None, max_distan
     ref = directory.select(F.col("name").alias("ref_name")).distinct()
     # an exact name (distance 0) cannot be beaten: settle those with an
     # equi-join and send only the rest through the fuzzy path
-    exact = names.join(ref, names.district == ref.ref_name, "left_semi")
-    rest = names.join(ref, names.district == ref.ref_name, "left_anti")
+    shuffled = ref.hint("merge")
+    exact = names.join(shuffled, names.district == ref.ref_name, "left_semi")
+    rest = names.join(shuffled, names.district == ref.ref_name, "left_anti")
     cand = candidates(rest, ref, max_distance)
     cand = cand.withColumn("d", F.levenshtein("district", "ref_name")).where(F.col("d") <= max_distance)
     fuzzy = cand.groupBy("district").agg(F.min_by(F.struct("d", "ref_name"), F.struct("d", "ref_name")).alias("b"))
     best = exact.select("district", F.struct(F.lit(0).alias("d"), F.col("district").alias("ref_name")).alias("b")) \
         .unionByName(fuzzy)
-    j = base.join(best, "district", "left")
+    j = base.join(best.hint("merge"), "district", "left")
     d = F.col("b.d")
     longest = F.greatest(F.length("district"), F.length(F.col("b.ref_name")))
     return j.select(

@@ -399,3 +399,14 @@ def test_checkpoint_folder_is_needed_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_reference_validate_broadcasts_no_side(spark):
+    """Exploded deletion keys look as small as the names; at size a broadcast of them fails the driver."""
+    edges = spark.createDataFrame([("p", t, "SPLIT", "2000", "S", "f") for t in ("abc", "abd", "xyz", None)],
+                                  "source_district string, target_district string, event_type string, "
+                                  "effective_year string, state string, source string")
+    directory = spark.createDataFrame([("abc",), (None,)], "name string")
+    out = lineage.reference_validate(edges, directory)
+    assert "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert {(r["district"], r["lgd_match"]) for r in out.collect()} == {("abc", True), ("abd", True), ("xyz", False), (None, False)}
