@@ -26,8 +26,10 @@ def _hashed_events(df):
     return df.withColumn("source_record_hash", record_hash(rec))
 
 
-def _land(df, path, parts: int = 4):
-    df.repartition(parts).write.mode("append").parquet(path)
+def _land(df, path, parts: int | None = None):
+    """Files of a landing folder: one per task, or ``parts`` (more if the table's scan has more splits)."""
+    df = df if parts is None else df.repartition(max(parts, df.rdd.getNumPartitions()))
+    df.write.mode("append").parquet(path)
     return path
 
 
@@ -66,7 +68,7 @@ def stream_ingest(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     ev = load(spark, sf_dir, "events").select(*EVENT_COLS)
     land = scratch_path(spark, "landing-dup")
-    _land(ev, land)
+    _land(ev, land, parts=4)
     _land(ev, land, parts=3)  # every event lands twice, in different files; each file is a micro-batch
     target, ckpt = scratch_path(spark, "dedup-events"), scratch_path(spark, "ckpt-dedup")
     s = _hashed_events(ingest.file_stream(spark, land, ev.schema, max_files_per_trigger=1))
@@ -76,7 +78,7 @@ def stream_dedup(spark, sf_dir):
 
 @query("stream_dq", SILVER_CTE + DQ_ALL_SQL)
 def stream_dq(spark, sf_dir):
-    silver = crop_silver(spark, sf_dir)
+    silver = crop_silver(spark, sf_dir, dealt=True)
     land = _land(silver, scratch_path(spark, "landing-silver"))
     target, ckpt = scratch_path(spark, "issues"), scratch_path(spark, "ckpt-dq")
     ingest.write_batches(ingest.stream_dq(ingest.file_stream(spark, land, silver.schema)), target, ckpt)

@@ -100,3 +100,16 @@ def test_no_round_robin_over_a_scan(spark):
 def test_successors_are_written_once(spark):
     from granary.plans.q_graph import transition_edges
     assert "rangepartitioning" not in _plan(transition_edges(spark, SMALL))  # reads the checkpoint
+
+
+def test_landing_files_follow_the_tasks(spark):
+    """A fixed number of landed files made one task read a fixed share of any table."""
+    from granary.plans import q_stream
+    from granary.session import scratch_path
+
+    def files(df, **kw):
+        return len(spark.read.parquet(q_stream._land(df, scratch_path(spark, "land"), **kw)).inputFiles())
+
+    assert files(spark.range(0, 1000, 1, 9)) == 9
+    assert files(spark.range(0, 1000, 1, 9), parts=4) == 9
+    assert files(spark.range(0, 1000, 1, 2), parts=4) == 4
