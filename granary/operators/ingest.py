@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.operators import bronze, ledger, records
-from granary.session import scratch_path, shared_dir
+from granary.session import release, scratch_path, shared_dir
 from granary.sinks.keyed_table import BUCKETS, SLOTS, KeyedTable
 
 _TEXT = T.StringType()
@@ -72,6 +72,7 @@ def land(pages: DataFrame, *, dataset: str, resource: str, system: str) -> Lande
         F.posexplode_outer(F.when(F.col("reason").isNull(), F.col("records"))).alias("record_no", "record"))
     path = scratch_path(pages.sparkSession, "records")
     _with_lineage(rows, dataset, resource, system).write.parquet(path)
+    release(pages.sparkSession)
     written = pages.sparkSession.read.parquet(path)
     keep = ["run_id", "offset", "attempt", "fetched_at"]
     return Landed(

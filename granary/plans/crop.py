@@ -141,8 +141,13 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001", fault
                  F.lit("double" if k in ("area_", "production_", "yield") else "keyword").alias("type"))
         for k in ["state_name", "district_name", "crop_year", "season", "crop", "area_", "production_", "yield"]
     ])
-    grouped = recs.groupBy("page_id", "page_part").agg(F.collect_list("record").alias("records"),
-                                          F.max("l_extendedprice").alias("mx"))
+    # only the values are shuffled; a page's keys are put back after it
+    values = F.map_values("record").alias("record")
+    grouped = recs.select("page_id", "page_part", "l_extendedprice", values).groupBy("page_id", "page_part").agg(
+        F.collect_list("record").alias("records"), F.max("l_extendedprice").alias("mx"))
+    keys, late = (F.array(*[F.lit(k) for k in ks]) for ks in (RECORD_KEYS, [*RECORD_KEYS, LATE]))
+    grouped = grouped.withColumn("records", F.transform("records", lambda v: F.map_from_arrays(
+        F.when(F.size(v) > len(RECORD_KEYS), late).otherwise(keys), v)))
     ok = F.struct(F.lit(1).alias("attempt"), F.to_json(F.struct(
         F.lit(DATASET_NAME).alias("title"), F.lit("ok").alias("status"),
         F.lit(str(total)).alias("total"), fields.alias("field"), F.col("records"),

@@ -64,6 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/granary/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Free the disk of shuffles that no plan refers to any more: Spark deletes them when the driver's collector
+    has found that, which by itself may be long after the write that they were for."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def local_fs_path(path: str) -> str:
     """Strip a ``file:`` scheme (used only where a local path is required)."""
     if path.startswith("file:"):

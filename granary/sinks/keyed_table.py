@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.session import scratch_path
+from granary.session import release, scratch_path
 
 SLOTS, BUCKETS = 32, 8
 _FOLDER, _DELTAS = "_snapshots", "_deltas"  # Spark's file listing passes over names with an underscore
@@ -49,6 +49,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    _, at, fs = _hadoop(spark, path)
+    fs.delete(at, True)
+
+
 class KeyedTable:
     """``schema`` holds the key and the payload; ``slots`` and ``buckets`` hold for the table's life."""
 
@@ -118,7 +123,7 @@ class KeyedTable:
         ``base`` holds their rows (None: they have none). The batch, with few rows per key, is written first, so
         that it is worked out once and decides the touched slots (at most ``slots``); then it is dealt to as
         many tasks as there are buckets, whatever the session's number of shuffle partitions, so that the join
-        finds both sides in place."""
+        finds both sides in place. After the commit the draft and the shuffles of this merge leave the disk."""
         before = self.snapshot()
         draft = scratch_path(self.spark, "merge")
         batch.withColumn("_slot", self.slot_of()).write.parquet(draft)
@@ -134,6 +139,8 @@ class KeyedTable:
             slots.update(dict.fromkeys(touched, version))
         new = Snapshot(before.number + 1, slots, before.mark if mark is None else mark, {b: f for b, f in before.deltas.items() if mark is None or b > mark})
         self._commit(new)
+        remove(self.spark, draft)
+        release(self.spark)
         return new
 
     # deltas
@@ -186,5 +193,4 @@ class KeyedTable:
         return gone
 
     def _delete(self, below: str) -> None:
-        _, at, fs = _hadoop(self.spark, f"{self.path}/{below}")
-        fs.delete(at, True)
+        remove(self.spark, f"{self.path}/{below}")

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.operators import bronze, ingest
 from granary.session import scratch_path
@@ -134,3 +135,18 @@ def test_evolved_files_read_as_one_table(spark):
         bronze.append_evolved(spark.createDataFrame(rows, ddl), path)
     got = {r["a"]: (r["b"], r["c"], r["d"]) for r in bronze.read_evolved(spark, path).collect()}
     assert got == {"1": ("x", None, None), "2": ("y", "z", None), "3": (None, None, "w")}
+
+
+def test_merge_leaves_no_draft(spark, tmp_path):
+    from granary.session import shared_dir
+    from granary.sinks import keyed_table
+
+    def drafts():
+        return {n for n in keyed_table.folders(spark, shared_dir(spark).rstrip("/") + "/granary") if n.startswith("merge-")}
+
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    table = keyed_table.KeyedTable(spark, str(tmp_path / "t"), schema, "k", slots=2, buckets=2)
+    before = drafts()
+    table.merge(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long"), lambda base, rows: rows)
+    assert drafts() == before
+    assert sorted(map(tuple, table.read().collect())) == [("a", 1), ("b", 2)]
