@@ -225,7 +225,9 @@ def file_manifest(spark, sf_dir):
     """One text file per supplier, its checksum and size, and the URL and date from the listing of downloads."""
     supp = load(spark, sf_dir, "supplier")
     raw = scratch_path(spark, "supplier-files")
-    supp.select("s_suppkey", F.col("s_name").alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(raw)
+    # as many tasks as cores, whatever few bytes the rows are; each moves its files in place (version 2), not the driver all of them
+    supp.select("s_suppkey", F.col("s_name").alias("value")).repartition(spark.sparkContext.defaultParallelism, "s_suppkey").write.option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("s_suppkey").text(raw)
     m = files.file_manifest(spark, raw, glob="*.txt")
     key = F.regexp_extract("filename", r"s_suppkey=(\d+)/", 1).cast("bigint")
     listing = m.select("filename", F.concat(F.lit("https://files.example/s"), key.cast("string")).alias("source_url"),

@@ -33,3 +33,21 @@ def test_large_files_are_listed_without_their_bytes(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"abc")
     plan = files.file_manifest(spark, str(tmp_path), whole=1)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInPandas" in plan and files.file_manifest(spark, str(tmp_path), whole=1).count() == 1
+
+
+def test_supplier_files_are_written_by_all_cores(spark, tmp_path):
+    """Few bytes in many files: merged into one partition, a single task would write them all."""
+    import re
+
+    from granary.plans import q_io
+    from granary.session import shared_dir
+    from granary.sinks.keyed_table import folders
+
+    spark.range(40).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name").write.parquet(f"{tmp_path}/supplier.parquet")
+    base = shared_dir(spark).rstrip("/") + "/granary"
+    before = set(folders(spark, base))
+    got = q_io.file_manifest(spark, str(tmp_path))
+    [new] = [n for n in folders(spark, base) if n not in before and n.startswith("supplier-files")]
+    written = spark.read.option("recursiveFileLookup", "true").text(f"{base}/{new}").inputFiles()
+    assert len(written) == 40 and len({re.search(r"part-(\d+)", f)[1] for f in written}) > 1
+    assert got.count() == 40
