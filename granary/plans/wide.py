@@ -70,7 +70,8 @@ def wide_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         cond = (F.col("p_type") == t) & (F.col("l_linestatus") == "F")
         aggs.append(F.sum(F.when(cond, price)).cast("double").alias(f"{crop_of(t)}_Production_Tonnes"))
     aggs.append(F.sum(qty).cast("double").alias("Total_Area"))
-    per_cust = lp.groupBy("o_custkey").agg(*aggs)
+    # lines are dealt by customer first: sums before the shuffle would hold all the columns of every customer of a split
+    per_cust = lp.where(F.col("o_custkey").isNotNull()).repartition("o_custkey").groupBy("o_custkey").agg(*aggs)
 
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
