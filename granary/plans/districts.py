@@ -40,7 +40,8 @@ def layout_frames(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     cust = load(spark, sf_dir, "customer")
     supp = load(spark, sf_dir, "supplier")
     part = load(spark, sf_dir, "part")
-    nr = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    # its size is estimated as the product of the two tables', larger than customer, which would be broadcast by nation
+    nr = F.broadcast(nation.join(region, nation.n_regionkey == region.r_regionkey))
     l1 = cust.join(nr, cust.c_nationkey == nr.n_nationkey).select(
         F.col("r_name").alias("State/UT"), F.col("n_name").alias("Old districts"),
         F.col("c_name").alias("New District"),
@@ -92,7 +93,8 @@ def merger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                   "o_orderdate")
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
-    o = (orders.join(cust, orders.o_custkey == cust.c_custkey)
+    # customer grows with orders: its compressed file is no measure of its rows in the driver
+    o = (orders.join(cust.hint("merge"), orders.o_custkey == cust.c_custkey)
          .join(cn, F.col("c_nationkey") == F.col("cn_key"))
          .join(parents, F.col("o_orderkey") == F.col("l_orderkey")))
     return o.select(

@@ -12,6 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.session import release
 from granary.sinks.arrow_source import register as register_arrow
 
 # Full microsecond precision for NTZ timestamps in text formats (the default
@@ -106,5 +107,9 @@ def write_node_link(nodes: DataFrame, links: DataFrame, path: str) -> tuple[str,
 
 
 def write_reports(reports: dict[str, DataFrame], path: str) -> dict[str, str]:
-    """Each named report as a CSV dataset with header."""
-    return {name: write_csv(df, f"{path}/{name}") for name, df in reports.items()}
+    """Each named report as a CSV dataset with header; what one leaves in memory and on disk goes before the next."""
+    out = {}
+    for name, df in reports.items():
+        out[name] = write_csv(df, f"{path}/{name}")
+        release(df.sparkSession)
+    return out
