@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.hashing import record_hash
 from granary.functions.numeric import py_float_text
-from granary.sinks.keyed_table import KeyedTable
+from granary.sinks.keyed_table import KeyedTable, Stage
 
 LINEAGE_COLUMNS = ["source_record_hash", "source_dataset", "source_resource_id", "source_system", "ingested_at"]
 # Prefix given to payload keys that collide with a lineage column (trap T9).
@@ -122,21 +122,21 @@ def _join(existing: DataFrame | None, b: DataFrame, record_col: str) -> DataFram
     )
 
 
-def merge_into(table: KeyedTable, batch: DataFrame, *, seq: list[str], record_col: str = "record", mark: int | None = None) -> dict:
+def merge_into(table: KeyedTable, batch: DataFrame | Stage, *, seq: list[str], record_col: str = "record", mark: int | None = None) -> dict:
     """:func:`bronze_upsert` into a table in place: only the slots that the
     batch's hashes fall into are read, joined (without an exchange of the base)
-    and written. The batch is reduced to a row per hash first. Returns the counts of ``new`` and ``old`` hashes of the batch,
-    observed on that write."""
-    watch = Observation()
+    and written, some at a time. The batch is reduced to a row per hash first. Returns the counts of ``new`` and ``old`` hashes of the batch,
+    observed on these writes."""
+    watches: list[Observation] = []
 
     def combine(base: DataFrame | None, rows: DataFrame) -> DataFrame:
+        watches.append(Observation())
         return _join(base, rows, record_col).observe(
-            watch, F.count_if(F.col("in_batch") & ~F.col("was_present")).alias("new"),
+            watches[-1], F.count_if(F.col("in_batch") & ~F.col("was_present")).alias("new"),
             F.count_if(F.col("in_batch") & F.col("was_present")).alias("old"))
 
-    before = table.snapshot().slots
-    after = table.merge(_reduced(batch, seq, record_col), combine, mark)
-    return dict(watch.get) if after.slots != before else {"new": 0, "old": 0}
+    table.merge(batch, combine, mark, lambda rows: _reduced(rows, seq, record_col))
+    return {name: sum(w.get[name] for w in watches) for name in ("new", "old")}
 
 
 def observed_fields(records: DataFrame, record_col: str = "record", by: list[str] | None = None) -> DataFrame:

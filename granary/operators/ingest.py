@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from granary.operators import bronze, ledger, records
 from granary.session import release, scratch_path, shared_dir
-from granary.sinks.keyed_table import BUCKETS, SLOTS, KeyedTable
+from granary.sinks.keyed_table import BUCKETS, PACKED, SLOTS, KeyedTable, Stage, stage
 
 _TEXT = T.StringType()
 BRONZE = T.StructType(
@@ -54,11 +54,42 @@ class Landed:
     records: DataFrame  # run_id, offset, attempt, fetched_at, record_no, record, lineage columns
     rejects: DataFrame  # quarantined pages: run_id, offset, attempt, fetched_at, reason, raw_json
     seen: dict  # pages, failed, records, min_/max_ of run_id and fetched_at
+    stage: Stage | None = None  # the records in the pieces of a table
 
 
-def land(pages: DataFrame, *, dataset: str, resource: str, system: str) -> Landed:
-    """Pages routed, parsed, hashed and written once; the counts are observed on that write."""
-    watch = Observation()
+def land(pages: DataFrame | list[DataFrame], *, dataset: str, resource: str, system: str, table: KeyedTable | None = None) -> Landed:
+    """Pages routed, parsed, hashed and written once; the counts are observed on that write. Portions of pages are
+    written one after the other, so that the disk has the shuffles of one only. With ``table`` the records lie in the
+    pieces in which they are merged into it."""
+    portions = pages if isinstance(pages, list) else [pages]
+    spark = portions[0].sparkSession
+    path = scratch_path(spark, "records")
+    keep = ["run_id", "offset", "attempt", "fetched_at"]
+    seen, staged = [], None
+    for portion in portions:
+        watch = Observation()
+        rows = _with_lineage(_routed(portion, watch), dataset, resource, system)
+        if table is not None:
+            staged = stage(rows, F.when(F.col("record").isNotNull(), table.piece_of()).otherwise(F.lit(-1)), path)
+        else:
+            rows.write.mode("append").options(**PACKED).parquet(path)
+        seen.append(watch.get)
+        release(spark)
+    records, rejects = (staged.read(), staged.read([-1])) if staged else [spark.read.parquet(path)] * 2
+    return Landed(
+        records.where(F.col("record").isNotNull()).drop("reason", "raw_json"),
+        rejects.where(F.col("reason").isNotNull()).select(*keep, "reason", "raw_json"), _in_all(seen), staged)
+
+
+def _in_all(seen: list[dict]) -> dict:
+    """The counts of several writes together."""
+    said = {k: [s[k] for s in seen if s[k] is not None] for k in seen[0]}
+    kinds = {"min": lambda v: min(v, default=None), "max": lambda v: max(v, default=None)}
+    return {k: kinds.get(k[:3], sum)(v) for k, v in said.items()}
+
+
+def _routed(pages: DataFrame, watch: Observation) -> DataFrame:
+    """A row per record, and one for each page without any."""
     routed = pages.select("run_id", "offset", "attempt", "fetched_at", "raw_json", records.page_reason(F.col("raw_json")).alias("reason"))
     env = records.parse_envelope(routed.withColumn("text", F.when(F.col("reason").isNull(), F.col("raw_json"))), "text")
     env = env.withColumn("records", F.col("env.records"))
@@ -67,20 +98,12 @@ def land(pages: DataFrame, *, dataset: str, resource: str, system: str) -> Lande
         watch, F.count(F.lit(1)).alias("pages"), F.count_if(F.col("reason").isNotNull()).alias("failed"),
         F.coalesce(F.sum(F.when(F.col("reason").isNull(), F.size("records"))), F.lit(0)).alias("records"),
         *_per_run(F.col("run_id"), "run_id"), *_per_run(F.col("fetched_at"), "fetched_at"))
-    rows = env.select(
+    return env.select(
         "run_id", "offset", "attempt", "fetched_at", "reason", F.when(F.col("reason").isNotNull(), F.col("raw_json")).alias("raw_json"),
         F.posexplode_outer(F.when(F.col("reason").isNull(), F.col("records"))).alias("record_no", "record"))
-    path = scratch_path(pages.sparkSession, "records")
-    _with_lineage(rows, dataset, resource, system).write.parquet(path)
-    release(pages.sparkSession)
-    written = pages.sparkSession.read.parquet(path)
-    keep = ["run_id", "offset", "attempt", "fetched_at"]
-    return Landed(
-        written.where(F.col("record").isNotNull()).drop("reason", "raw_json"),
-        written.where(F.col("reason").isNotNull()).select(*keep, "reason", "raw_json"), watch.get)
 
 
-def ingest(pages: DataFrame, table: KeyedTable, catalogue: DataFrame, *, dataset: str, resource: str, system: str,
+def ingest(pages: DataFrame | list[DataFrame], table: KeyedTable, catalogue: DataFrame, *, dataset: str, resource: str, system: str,
            seq: list[str] | None = None) -> Ingested:
     """Pages into a bronze table.
 
@@ -89,18 +112,21 @@ def ingest(pages: DataFrame, table: KeyedTable, catalogue: DataFrame, *, dataset
     table is widened by them; rows from before have NULL there. The pages are
     read and parsed once; the merge rewrites the touched slots only. A batch's
     counts are observed on these two writes; only for a batch of several runs
-    are they grouped from the written records.
+    are they grouped from the written records, which otherwise leave the disk as they are merged.
     """
     seq = seq or ["offset", "attempt", "record_no"]
-    landed = land(pages, dataset=dataset, resource=resource, system=system)
-    spark = pages.sparkSession
+    landed = land(pages, dataset=dataset, resource=resource, system=system, table=table)
+    spark = table.spark
+    known = catalogue.where((F.col("dataset_id") == resource) & F.col("field_name").isNotNull()).select("field_name").distinct()
+    names, listed = F.map_keys("record"), [F.lit(r["field_name"]) for r in known.collect()]
     found = landed.records.select(
-        F.lit(resource).alias("dataset_id"), F.explode(F.map_keys("record")).alias("field_name"),
+        F.lit(resource).alias("dataset_id"), F.explode(F.array_except(names, F.array(*listed)) if listed else names).alias("field_name"),
         F.col("fetched_at").alias("discovered_at"), *seq)
     shared_dir(spark)
     widened = bronze.catalogue_upsert(catalogue, found, seq=seq).checkpoint()
     before = table.snapshot()
-    merged = bronze.merge_into(table, landed.records, seq=seq)
+    landed.stage.keep = landed.seen["min_run_id"] != landed.seen["max_run_id"]
+    merged = bronze.merge_into(table, landed.stage, seq=seq)
     fields = [r["field_name"] for r in widened.where(F.col("dataset_id") == resource).select("field_name").collect()]
     wide = bronze.promote_record(table.read(), fields)  # fields: one per column
     seen = landed.seen

@@ -79,7 +79,7 @@ def page_reason(raw: Column) -> Column:
 def records_reason(raw: Column, parsed: Column) -> Column:
     """``records`` if the envelope has a member of that name which is no list of objects (also NULL), else
     NULL; ``parsed`` is what :func:`parse_envelope` made of it. Without the member a page has no records."""
-    return F.when(F.array_contains(F.json_object_keys(raw), "records") & parsed.isNull(), F.lit("records"))
+    return F.when(parsed.isNull() & F.array_contains(F.json_object_keys(raw), "records"), F.lit("records"))
 
 
 def split_error_pages(pages: DataFrame, json_col: str = "raw_json") -> tuple[DataFrame, DataFrame]:

@@ -27,6 +27,7 @@ RESOURCE_ID = "crop-apy"
 DATASET_NAME = "District-wise, season-wise crop production statistics"
 SOURCE_SYSTEM = "tables"
 PAGE_DIV = 20  # orders per page
+PORTION_LINES = 4_000_000  # lines of a portion of pages that is landed at once
 PAGE_LINES = 4  # an envelope holds the lines of 20 orders whose numbers fall into one group of 4
 BASE_URL = "https://source.example/resource/crop-apy"
 
@@ -43,10 +44,16 @@ def _dec(c: Column, p: int = 12, s: int = 2) -> Column:
     return c.cast(f"decimal({p},{s})").cast("string")
 
 
-def crop_lines(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+def _page_keys() -> tuple[Column, Column]:
+    return (F.col("l_orderkey") / PAGE_DIV).cast("bigint"), (F.col("l_linenumber") / PAGE_LINES).cast("bigint")
+
+
+def crop_lines(spark: SparkSession, sf_dir: str, dealt: bool = False, portion: tuple[int, int] = (0, 1)) -> DataFrame:
     """lineitem joined to its part, supplier, nation and region; ``dealt`` to all cores if the scan has too few
-    splits for them."""
+    splits for them; ``portion`` (k, n): the lines of one page in n, the k-th."""
     li = load(spark, sf_dir, "lineitem")
+    if portion[1] > 1:
+        li = li.where(F.coalesce(F.pmod(_page_keys()[0], F.lit(portion[1])), F.lit(0)) == portion[0])
     li = spread(li) if dealt else li
     part = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -70,8 +77,7 @@ def crop_fields(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
     v = F.floor(cents / qty).cast("bigint")
     yield_txt = _dec(v.cast("decimal(14,0)") / 100, 14)
     return lines.select(
-        (F.col("l_orderkey") / PAGE_DIV).cast("bigint").alias("page_id"),
-        (F.col("l_linenumber") / PAGE_LINES).cast("bigint").alias("page_part"),
+        *[c.alias(name) for c, name in zip(_page_keys(), ("page_id", "page_part"))],
         F.when(F.col("l_discount") == 0.07, _dec(-F.col("l_quantity")))
         .when(F.col("l_discount") == 0.08, F.concat(F.lit("-"), (cents * 7).cast("string"), F.lit(".5")))
         .when(F.col("l_discount") == 0.1, F.concat(F.lit("-0.000"), qty.cast("string")))
@@ -107,9 +113,11 @@ def crop_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("page_id", bronze.columns_to_record(RECORD_KEYS).alias("record"))
 
 
-def page_rows(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
-    """What the pages hold, a row for each record; with ``faults`` some pages' records have a late field."""
-    f = crop_fields(crop_lines(spark, sf_dir, dealt=True), extra=["l_extendedprice"])
+def page_rows(spark: SparkSession, sf_dir: str, faults: bool = False, portion: tuple[int, int] = (0, 1), by_page: bool = False) -> DataFrame:
+    """What the pages hold, a row for each record; with ``faults`` some pages' records have a late field.
+    ``by_page``: the lines of a page are together, shuffled as they are in the tables."""
+    lines = crop_lines(spark, sf_dir, dealt=True, portion=portion)
+    f = crop_fields(lines.repartition(*_page_keys()) if by_page else lines, extra=["l_extendedprice"])
     record = bronze.columns_to_record(RECORD_KEYS)
     if faults:
         wide = F.map_concat(record, F.create_map(F.lit(LATE), F.concat(F.lit("late "), F.col("l_linenumber"))))
@@ -124,7 +132,13 @@ CUT_PRICE = 104000.0  # pages holding a line above this (and no error) first com
 LATE = "note"  # a field that only some pages' records have
 
 
-def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001", faults: bool = False) -> DataFrame:
+def crop_portions(spark: SparkSession, sf_dir: str, faults: bool = False) -> list[DataFrame]:
+    """The pages in as many portions as lineitem's size asks for, each page whole in one of them."""
+    n = max(1, -(-load(spark, sf_dir, "lineitem").count() // PORTION_LINES))
+    return [crop_pages(spark, sf_dir, faults=faults, portion=(k, n)) for k in range(n)]
+
+
+def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001", faults: bool = False, portion: tuple[int, int] = (0, 1)) -> DataFrame:
     """Landed page envelopes (PAGE schema) - one per page, plus a failed
     attempt (status=error, no records) before pages holding a very large line.
 
@@ -132,7 +146,7 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001", fault
     ``PAGE_LINES`` line numbers) gathers at most 80 lines, however long an
     order is. Both kinds of envelope come out of the same aggregation.
     """
-    recs = page_rows(spark, sf_dir, faults)
+    recs = page_rows(spark, sf_dir, faults, portion, by_page=True)
     # dataset size as the source reports it: the source table's row count,
     # answered from Parquet footers (no pass over the data)
     total = load(spark, sf_dir, "lineitem").count()
@@ -141,13 +155,8 @@ def crop_pages(spark: SparkSession, sf_dir: str, run_id: str = "run-0001", fault
                  F.lit("double" if k in ("area_", "production_", "yield") else "keyword").alias("type"))
         for k in ["state_name", "district_name", "crop_year", "season", "crop", "area_", "production_", "yield"]
     ])
-    # only the values are shuffled; a page's keys are put back after it
-    values = F.map_values("record").alias("record")
-    grouped = recs.select("page_id", "page_part", "l_extendedprice", values).groupBy("page_id", "page_part").agg(
-        F.collect_list("record").alias("records"), F.max("l_extendedprice").alias("mx"))
-    keys, late = (F.array(*[F.lit(k) for k in ks]) for ks in (RECORD_KEYS, [*RECORD_KEYS, LATE]))
-    grouped = grouped.withColumn("records", F.transform("records", lambda v: F.map_from_arrays(
-        F.when(F.size(v) > len(RECORD_KEYS), late).otherwise(keys), v)))
+    grouped = recs.groupBy("page_id", "page_part").agg(F.collect_list("record").alias("records"),
+                                          F.max("l_extendedprice").alias("mx"))
     ok = F.struct(F.lit(1).alias("attempt"), F.to_json(F.struct(
         F.lit(DATASET_NAME).alias("title"), F.lit("ok").alias("status"),
         F.lit(str(total)).alias("total"), fields.alias("field"), F.col("records"),

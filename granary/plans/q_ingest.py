@@ -94,7 +94,7 @@ def _crop_ingest(spark, sf_dir) -> ingest.Ingested:
         [(crop.RESOURCE_ID, f, "keyword", "2023-06-01 00:00:00") for f in [*crop.RECORD_KEYS, "n_name"]],
         "dataset_id string, field_name string, field_type string, discovered_at string",
     ).withColumn("discovered_at", F.col("discovered_at").cast("timestamp_ntz"))
-    done = ingest.ingest(crop.crop_pages(spark, sf_dir, faults=True), table, catalogue, system=crop.SOURCE_SYSTEM, **names)
+    done = ingest.ingest(crop.crop_portions(spark, sf_dir, faults=True), table, catalogue, system=crop.SOURCE_SYSTEM, **names)
     table.vacuum()  # the pages are of one run, so nothing reads the slots from before
     return done
 

@@ -66,7 +66,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Free the disk of shuffles that no plan refers to any more: Spark deletes them when the driver's collector
-    has found that, which by itself may be long after the write that they were for."""
+    has found that, which by itself may be long after the write that they were for. The listeners hold the last
+    query until they have seen another one."""
+    spark.sql("SELECT 1").collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     spark.sparkContext._jvm.System.gc()
 
 

@@ -7,6 +7,9 @@ slot. That file is the commit: readers follow the newest one, so a merge that di
 nobody lists, and earlier snapshots stay readable until :meth:`KeyedTable.vacuum`. Writers take turns: of two
 that start from one snapshot, the second fails.
 
+A batch is staged in pieces by the key's hash, and a merge takes a few pieces at a time, so that the shuffles of
+one round only are on the disk; the pieces go when they are merged.
+
 Small batches may be added as deltas first, each a folder named by the same file, and folded into the slots
 together later: a batch then costs its own rows, and a reader opens the slots and the few deltas since.
 """
@@ -14,6 +17,7 @@ together later: a batch then costs its own rows, and a reader opens the slots an
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -26,6 +30,10 @@ from pyspark.sql import types as T
 from granary.session import release, scratch_path
 
 SLOTS, BUCKETS = 32, 8
+PIECES = 32  # a batch is staged in at least so many pieces
+ROUND_BYTES = 64 << 20  # staged bytes that a round of a merge takes, or else one piece
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}  # hashes are hexadecimal text: half the bytes
+_PIECE = "_piece"
 _FOLDER, _DELTAS = "_snapshots", "_deltas"  # Spark's file listing passes over names with an underscore
 
 
@@ -54,19 +62,57 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+@dataclass
+class Stage:
+    """A batch's rows in ``path``, a folder for each piece that has some; ``keep``: a merge leaves them there."""
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    keep: bool = False
+
+    def sizes(self) -> dict[int, int]:
+        """Piece -> bytes, of the pieces of a table."""
+        names = [n for n in folders(self.spark, self.path) if re.fullmatch(rf"{_PIECE}=\d+", n)]
+        _, _, fs = _hadoop(self.spark, self.path)
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return {int(n.partition("=")[2]): fs.getContentSummary(at(f"{self.path}/{n}")).getLength() for n in names}
+
+    def read(self, pieces: list[int] | None = None) -> DataFrame:
+        """Rows of these pieces, of all that ``sizes`` lists if not given."""
+        there = {int(n.partition("=")[2]) for n in folders(self.spark, self.path) if n.startswith(f"{_PIECE}=")}
+        wanted = sorted(p for p in there if (p >= 0 if pieces is None else p in pieces))
+        if not wanted:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{_PIECE}={p}" for p in wanted])
+
+    def drop(self, pieces: list[int]) -> None:
+        for p in pieces:
+            remove(self.spark, f"{self.path}/{_PIECE}={p}")
+
+
+def stage(rows: DataFrame, piece: F.Column, path: str) -> Stage:
+    """Add rows to the stage in ``path``; ``piece`` below 0 is for rows that no merge takes."""
+    rows.withColumn(_PIECE, piece).write.mode("append").options(**PACKED).partitionBy(_PIECE).parquet(path)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    return Stage(rows.sparkSession, path, schema)
+
+
 class KeyedTable:
     """``schema`` holds the key and the payload; ``slots`` and ``buckets`` hold for the table's life."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, slots: int = SLOTS, buckets: int = BUCKETS):
         self.spark, self.path, self.key, self.slots, self.buckets = spark, path.rstrip("/"), key, slots, buckets
         self.columns = schema.names
+        self.pieces = slots * -(-PIECES // slots)  # each lies in one slot
         self.name = "keyed_" + md5(self.path.encode()).hexdigest()[:20]
         if not spark.catalog.tableExists(self.name):
+            packed = ", ".join(f"'{k}' '{v}'" for k, v in PACKED.items())
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             spark.sql(
                 f"CREATE TABLE `{self.name}` ({columns}, `_version` STRING, `_slot` INT) USING parquet "
                 f"PARTITIONED BY (`_version`, `_slot`) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS "
-                f"LOCATION '{self.path}'")
+                f"OPTIONS ({packed}) LOCATION '{self.path}'")
             if any(n.startswith("_version=") for n in folders(spark, self.path)):
                 spark.catalog.recoverPartitions(self.name)
 
@@ -114,35 +160,69 @@ class KeyedTable:
         return self.spark.table(self.name).where(wanted).select(*self.columns)
 
     def slot_of(self) -> F.Column:
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.slots)).cast("int")
+        return self._dealt(self.slots)
+
+    def piece_of(self) -> F.Column:
+        return self._dealt(self.pieces)
+
+    def _dealt(self, among: int) -> F.Column:
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(among)).cast("int")
 
     def merge(
-        self, batch: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame], mark: int | None = None,
+        self, batch: DataFrame | Stage, combine: Callable[[DataFrame | None, DataFrame], DataFrame], mark: int | None = None,
+        reduce: Callable[[DataFrame], DataFrame] | None = None,
     ) -> Snapshot:
         """Fold a batch in. ``combine(base, batch)`` gives the new rows of the touched slots, one per key, where
-        ``base`` holds their rows (None: they have none). The batch, with few rows per key, is written first, so
-        that it is worked out once and decides the touched slots (at most ``slots``); then it is dealt to as
-        many tasks as there are buckets, whatever the session's number of shuffle partitions, so that the join
-        finds both sides in place. After the commit the draft and the shuffles of this merge leave the disk."""
+        ``base`` holds their rows (None: they have none). The batch is staged first, so that it is worked out once
+        and decides the touched slots (at most ``slots``). Then these are merged by rounds of a few pieces:
+        ``reduce(batch)``, if given, leaves few rows per key, and the rows are dealt to as many tasks as there are
+        buckets, whatever the session's number of shuffle partitions, so that the join finds both sides in place.
+        After a round its pieces, its draft and its shuffles leave the disk; there is one commit, after the last."""
         before = self.snapshot()
-        draft = scratch_path(self.spark, "merge")
-        batch.withColumn("_slot", self.slot_of()).write.parquet(draft)
-        staged = self.spark.read.parquet(draft)
-        touched = sorted(r["_slot"] for r in staged.select("_slot").distinct().collect())
-        slots = dict(before.slots)
-        if touched:
-            held = [s for s in touched if s in before.slots]
+        given = isinstance(batch, Stage)
+        staged = batch if given else stage(batch, self.piece_of(), scratch_path(self.spark, "merge"))
+        release(self.spark)
+        slots, version = dict(before.slots), f"{before.number + 1:08d}-{uuid.uuid4().hex[:12]}"
+        for pieces in self._rounds(staged.sizes()):
+            touched = {p % self.slots for p in pieces}
+            held = sorted(s for s in touched if s in before.slots)
             base = self.read(held, before) if held else None
-            version = f"{before.number + 1:08d}-{uuid.uuid4().hex[:12]}"
-            out = combine(base, staged.drop("_slot").repartition(self.buckets, self.key))
+            if base is not None and len(pieces) < len(touched) * self.pieces // self.slots:
+                base = base.where(self.piece_of().isin(pieces))
+            rows, draft = staged.read(pieces), None
+            if reduce:
+                draft, reduced = scratch_path(self.spark, "merge"), reduce(rows)
+                reduced.write.options(**PACKED).parquet(draft)
+                rows = self.spark.read.schema(reduced.schema).parquet(draft)
+                release(self.spark)
+            out = combine(base, rows.repartition(self.buckets, self.key))
             out.select(*self.columns, F.lit(version).alias("_version"), self.slot_of().alias("_slot")).write.insertInto(self.name)
             slots.update(dict.fromkeys(touched, version))
+            if not staged.keep:
+                staged.drop(pieces)
+            if draft:
+                remove(self.spark, draft)
+            release(self.spark)
         new = Snapshot(before.number + 1, slots, before.mark if mark is None else mark, {b: f for b, f in before.deltas.items() if mark is None or b > mark})
         self._commit(new)
-        remove(self.spark, draft)
-        release(self.spark)
+        if not given:
+            remove(self.spark, staged.path)
         return new
 
+    def _rounds(self, sizes: dict[int, int]) -> list[list[int]]:
+        """All pieces of the slots that have some of these pieces, those of a slot side by side, in rounds."""
+        rounds: list[list[int]] = []
+        filled = 0
+        for slot in sorted({p % self.slots for p in sizes}):
+            for piece in range(slot, self.pieces, self.slots):
+                size = sizes.get(piece, 0)
+                if not rounds or filled and filled + size > ROUND_BYTES:
+                    rounds.append([])
+                    filled = 0
+                rounds[-1].append(piece)
+                filled += size
+        return rounds
+
     # deltas
 
     def add_delta(self, rows: DataFrame, batch: int) -> Snapshot:
